@@ -114,21 +114,48 @@ def derived_features(zero_div: str = "null", growth: str = "sql") -> list[Column
     ]
 
 
-def feature_table(dense: DataFrame, metadata: DataFrame | None = None) -> DataFrame:
+def group_metadata_columns(total_quantiles: Column | None = None) -> list[Column]:
+    """Metadata columns of F17 computed as whole-group window aggregates (no join).
+
+    Same values as joining ``function_metadata``: total, category (F7) and stability (F8).
+    ``total_quantiles`` is the array [q80, q25] of group totals (a scalar subquery).
+    """
+    g = Window.partitionBy(*KEY)
+    total = F.sum("requests").over(g).cast("long")
+    mean = F.avg("requests").over(g)
+    std = F.stddev_samp("requests").over(g)
+    cols = [total.alias("total_requests")]
+    if total_quantiles is not None:
+        cols.append(F.when(total >= total_quantiles[0], "Hot").when(total <= total_quantiles[1], "Rare")
+                    .otherwise("Normal").alias("category"))
+    stab = F.when(mean == 0, "Noisy").when(std / mean > 1, "Noisy").otherwise("Stable")
+    cols.append(stab.alias("stability"))
+    return cols
+
+
+def feature_table(dense: DataFrame, metadata: DataFrame | None = None,
+                  group_totals: DataFrame | None = None) -> DataFrame:
     """dense columns + F10–F16 + metadata (category, stability, total_requests) + F18–F24.
 
-    The metadata join is on the group key only; both sides are partitioned by it (the metadata
-    is an aggregate of the same dense table), so the join is co-partitioned with no exchange.
+    Default: the metadata columns are whole-group window aggregates over the same group
+    partitioning as the rolling windows, so the dense table is exchanged at most once (not at
+    all when it comes from the group-partitioned calendar or a checkpoint of it) and no join is
+    planned. The group-total quantiles for the category are one scalar subquery.
+    ``group_totals`` (K, total_requests) may be given to feed that subquery from a smaller
+    table — the sparse minute table has the same totals, zero minutes add nothing.
+    An explicit ``metadata`` table (e.g. fitted on the training minutes only) is left-joined
+    null-safely on the group key instead.
     """
     base = rolling_features(dense)
-    if metadata is not None:
+    if metadata is None:
+        from minutewise.operators.metadata import group_statistics, total_quantiles
+        totals = group_totals if group_totals is not None else group_statistics(dense)
+        q = total_quantiles(totals)
+        base = base.select("*", *group_metadata_columns(q))
+    else:
         meta = metadata.select(*KEY, "category", "stability", "total_requests")
         base = base.join(meta, on=[base[k].eqNullSafe(meta[k]) for k in KEY], how="left").drop(
             *[meta[k] for k in KEY])
-    else:
-        base = base.select("*", F.lit(None).cast("string").alias("category"),
-                           F.lit(None).cast("string").alias("stability"),
-                           F.lit(None).cast("long").alias("total_requests"))
     return base.select("*", *derived_features(), *time_features())
 
 

@@ -24,13 +24,29 @@ def group_statistics(dense: DataFrame) -> DataFrame:
     )
 
 
+def total_quantiles(stats: DataFrame, total_col: str = "total_requests", hot_q: float = 0.80,
+                    rare_q: float = 0.25) -> Column:
+    """[q_hot, q_rare] of group totals, linear interpolation, as one scalar subquery.
+
+    Exact ``percentile`` buffers one value per group in a single task: bounded by the number of
+    groups (thousands to a few million), never by requests.
+    """
+    return stats.select(F.percentile(F.col(total_col).cast("double"),
+                                     F.array(F.lit(hot_q), F.lit(rare_q)))).scalar()
+
+
+def group_totals(minutes: DataFrame) -> DataFrame:
+    """Total requests per group; equal on the sparse and the dense table."""
+    return minutes.groupBy(*KEY).agg(F.sum("requests").cast("long").alias("total_requests"))
+
+
 def volume_category(stats: DataFrame, total_col: str = "total_requests", hot_q: float = 0.80,
                     rare_q: float = 0.25) -> Column:
     """Hot when total ≥ q80 (tested first), Rare when ≤ q25, else Normal.
 
     Both quantiles (linear interpolation) come from one scalar subquery over the group table.
     """
-    q = stats.select(F.percentile(F.col(total_col).cast("double"), F.array(F.lit(hot_q), F.lit(rare_q)))).scalar()
+    q = total_quantiles(stats, total_col, hot_q, rare_q)
     t = F.col(total_col)
     return (F.when(t >= q[0], "Hot").when(t <= q[1], "Rare").otherwise("Normal"))
 

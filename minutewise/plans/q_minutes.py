@@ -11,6 +11,7 @@ from minutewise.operators import minutes as mins
 from minutewise.operators import quality as qual
 from minutewise.plans.oracle_sql import dense_cte, features_cte, meta_cte, r, sparse_cte, with_ctes
 from minutewise.plans.registry import register
+from minutewise.session import materialize
 from minutewise.sources.fixture import trace
 
 
@@ -22,6 +23,16 @@ def _dense(spark, sf, bucket=60):
     return mins.dense_calendar(_sparse(spark, sf, bucket))
 
 
+def sparse_checkpointed(spark, sf, bucket=60):
+    """The sparse minute table cut at a reliable checkpoint: raw requests are read once."""
+    return materialize(_sparse(spark, sf, bucket))
+
+
+def dense_checkpointed(spark, sf, bucket=60):
+    """Dense calendar over the checkpointed sparse table (lazy, partitioned by group)."""
+    return mins.dense_calendar(sparse_checkpointed(spark, sf, bucket))
+
+
 MINUTE_COLS_SQL = ("minute, region, clusterName, funcName, requests, " + ", ".join(
     f"{r(c)} AS {c}" for c in ["avg_cpu", "avg_memory", "avg_runtime", "avg_request_size"])
     + ", active_pods, active_users")
@@ -178,7 +189,15 @@ FEATURE_SELECT_SQL = ", ".join(FEATURE_PLAIN + [f"{r(c)} AS {c}" for c in FEATUR
 @register("feature_table", with_ctes(sparse_cte(), dense_cte(), meta_cte(), features_cte(), select=
           f"SELECT {FEATURE_SELECT_SQL} FROM feat"))
 def q_feature_table(spark, sf):
-    d = _dense(spark, sf)
+    sparse = sparse_checkpointed(spark, sf)
+    features = feat.feature_table(mins.dense_calendar(sparse), group_totals=meta.group_totals(sparse))
+    return round_doubles(features)
+
+
+@register("feature_table_joined_metadata", with_ctes(sparse_cte(), dense_cte(), meta_cte(), features_cte(), select=
+          f"SELECT {FEATURE_SELECT_SQL} FROM feat"))
+def q_feature_table_joined_metadata(spark, sf):
+    d = dense_checkpointed(spark, sf)
     return round_doubles(feat.feature_table(d, meta.function_metadata(d)))
 
 
@@ -186,7 +205,7 @@ def q_feature_table(spark, sf):
           meta=None, std="STDDEV_POP", zero_div="zero"), select=
           f"SELECT {FEATURE_SELECT_SQL} FROM feat"))
 def q_raw_variant_features(spark, sf):
-    f = feat.raw_variant_features(_dense(spark, sf))
+    f = feat.raw_variant_features(dense_checkpointed(spark, sf))
     f = f.select("*", F.lit(None).cast("string").alias("category"), F.lit(None).cast("string").alias("stability"),
                  F.lit(None).cast("long").alias("total_requests"))
     return round_doubles(f.select(*FEATURE_PLAIN, *FEATURE_NUM))

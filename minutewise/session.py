@@ -61,3 +61,14 @@ def scratch_table_path(spark: SparkSession, name: str) -> str:
     """A path under the shared checkpoint folder for a materialised intermediate table."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/tables/{name}"
+
+
+def materialize(df, eager: bool = True):
+    """Cut the lineage with a reliable checkpoint in the shared checkpoint folder.
+
+    The checkpoint keeps the physical output partitioning, so downstream windows/aggregates
+    keyed like the checkpointed table need no new exchange; lost executors recompute nothing
+    upstream of it.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=eager)
