@@ -73,7 +73,7 @@ def _scalar(df: DataFrame) -> Column:
     return df.scalar()
 
 
-def dense_calendar(sparse: DataFrame) -> DataFrame:
+def dense_calendar(sparse: DataFrame, partitions: int | None = None) -> DataFrame:
     """every group × every minute of the global span; absent minutes are zero demand.
 
     Gap filling inside the group partitioning: each observed row emits the zero minutes between
@@ -81,9 +81,15 @@ def dense_calendar(sparse: DataFrame) -> DataFrame:
     the last row of a group also emits the trailing zeros up to the global last minute. Rows per
     group equal the calendar length, so a hot function costs no more than an idle one here.
     NULL key values form their own group (window partitioning is null-safe), so no counts are lost.
+
+    The group exchange is an explicit ``repartition(partitions, K)`` (default: the session's
+    shuffle partitions): the calendar multiplies rows after the exchange, so partitions must be
+    sized for the dense output, not coalesced by AQE to the size of the sparse input.
     """
     first = _scalar(sparse.select(F.min("minute")))
     last = _scalar(sparse.select(F.max("minute")))
+    n = partitions or int(sparse.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sparse = sparse.repartition(n, *KEY)
     w = Window.partitionBy(*KEY).orderBy("minute")
     prev = F.lag("minute").over(w)
     nxt = F.lead("minute").over(w)

@@ -122,3 +122,79 @@ def features_cte(src: str = "dense", meta: str | None = "meta", name: str = "fea
 
 def with_ctes(*ctes: str, select: str) -> str:
     return "WITH " + ",\n".join([TRACE_CTE_SQL, *ctes]) + "\n" + select
+
+
+# ---- normal distribution in DuckDB SQL (no erf / ndtri there) ------------------------------
+
+def _lit(x: float) -> str:
+    return f"CAST({x!r} AS DOUBLE)"
+
+
+def _horner_sql(coeffs: list[float], x: str) -> str:
+    acc = _lit(coeffs[0])
+    for c in coeffs[1:]:
+        acc = f"({acc} * {x} + {_lit(c)})"
+    return acc
+
+
+def sql_norm_cdf(x: str) -> str:
+    from minutewise.functions import normal as N
+    ax = f"ABS({x})"
+    e = f"EXP(-{ax} * {ax} / 2.0)"
+    central = f"({e} * {_horner_sql(N.HART_NUM, ax)} / {_horner_sql(N.HART_DEN, ax)})"
+    frac = f"({ax} + 0.65)"
+    for k in (4.0, 3.0, 2.0, 1.0):
+        frac = f"({ax} + {k} / {frac})"
+    tail = f"({e} / {frac} / {_lit(N.SQRT_2PI)})"
+    lower = (f"(CASE WHEN {ax} > {N.HART_TAIL_LIMIT} THEN 0.0 WHEN {ax} < {_lit(N.HART_SPLIT)} THEN {central} "
+             f"ELSE {tail} END)")
+    return f"(CASE WHEN {x} > 0 THEN 1.0 - {lower} ELSE {lower} END)"
+
+
+def sql_acklam(p: str) -> str:
+    from minutewise.functions import normal as N
+    qlo = f"SQRT(-2.0 * LN({p}))"
+    qhi = f"SQRT(-2.0 * LN(1.0 - {p}))"
+    lo = f"({_horner_sql(N.ACKLAM_C, qlo)} / ({_horner_sql(N.ACKLAM_D, qlo)} * {qlo} + 1.0))"
+    hi = f"(-{_horner_sql(N.ACKLAM_C, qhi)} / ({_horner_sql(N.ACKLAM_D, qhi)} * {qhi} + 1.0))"
+    q = f"({p} - 0.5)"
+    r = f"({q} * {q})"
+    mid = f"({_horner_sql(N.ACKLAM_A, r)} * {q} / ({_horner_sql(N.ACKLAM_B, r)} * {r} + 1.0))"
+    return f"(CASE WHEN {p} < {N.ACKLAM_P_LOW} THEN {lo} WHEN {p} > {1 - N.ACKLAM_P_LOW!r} THEN {hi} ELSE {mid} END)"
+
+
+def sql_halley(x: str, p: str) -> str:
+    import math
+    u = f"(({sql_norm_cdf(x)} - {p}) * {_lit(math.sqrt(2 * math.pi))} * EXP({x} * {x} / 2.0))"
+    return f"({x} - {u} / (1.0 + {x} * {u} / 2.0))"
+
+
+PRED_BASE_CTE = """pred_base AS (
+  SELECT region, clusterName, funcName, minute,
+    ROW_NUMBER() OVER w AS i,
+    COUNT(*) OVER (PARTITION BY region, clusterName, funcName) AS n,
+    LN(1 + CAST(requests AS DOUBLE)) AS last_log,
+    LN(1 + AVG(requests) OVER (w ROWS BETWEEN 4 PRECEDING AND CURRENT ROW)) + 0.5 AS mu,
+    STDDEV_SAMP(requests) OVER (w ROWS BETWEEN 29 PRECEDING AND CURRENT ROW) AS sd30,
+    COUNT(*) FILTER (WHERE requests > 0) OVER (w ROWS BETWEEN 29 PRECEDING AND CURRENT ROW) AS act30,
+    COALESCE(QUANTILE_CONT(CASE WHEN requests > 0 THEN CAST(requests AS DOUBLE) END, 0.9)
+             OVER (w ROWS BETWEEN 29 PRECEDING AND CURRENT ROW), 0.0) AS warm_capacity,
+    [LEAD(requests, 1) OVER w, LEAD(requests, 2) OVER w, LEAD(requests, 3) OVER w, LEAD(requests, 4) OVER w,
+     LEAD(requests, 5) OVER w, LEAD(requests, 6) OVER w, LEAD(requests, 7) OVER w, LEAD(requests, 8) OVER w,
+     LEAD(requests, 9) OVER w, LEAD(requests, 10) OVER w] AS fut
+  FROM dense
+  WINDOW w AS (PARTITION BY region, clusterName, funcName ORDER BY minute)
+)"""
+
+
+def preds_cte(flip_p: bool = False, name: str = "preds") -> str:
+    p = "(act30 + 1) / 32.0"
+    if flip_p:
+        p = f"1.0 - {p}"
+    return f"""{name} AS (
+  SELECT region, clusterName, funcName, minute AS origin_minute, CAST(s.range AS INTEGER) AS step,
+    LN(1 + CAST(fut[s.range] AS DOUBLE)) AS target_log, last_log, mu,
+    0.05 + 0.95 * sd30 / (1 + sd30) AS sigma, {p} AS p, warm_capacity
+  FROM pred_base, range(1, 11) s
+  WHERE i >= 60 AND i <= n - 10
+)"""

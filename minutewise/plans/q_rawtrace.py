@@ -1 +1,104 @@
-"""Registered queries (filled in below)."""
+"""Registered queries: the raw-trace variant (G1–G13) on the driver trace."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from minutewise.functions.numeric import round_doubles
+from minutewise.operators import rawtrace as raw
+from minutewise.plans.oracle_sql import features_cte, r, with_ctes
+from minutewise.plans.registry import register
+from minutewise.schema import COST_COLUMNS, KEY
+from minutewise.sources.fixture import trace
+
+K = ", ".join(KEY)
+COSTS_SQL = ", ".join(f"0.0 AS {c}" for c in COST_COLUMNS.values())
+RAW_AGG_CTE = f"""rt AS (SELECT *, time_worker AS ts FROM trace),
+rmin AS (SELECT MIN(ts) AS t0 FROM rt),
+ragg AS (
+  SELECT CAST(FLOOR((ts - t0) / 60) AS INTEGER) AS minute, {K}, CAST(COUNT(*) AS BIGINT) AS requests,
+         AVG(cpu_usage) AS avg_cpu, AVG(memory_usage) AS avg_memory, AVG(runtimeCost) AS avg_runtime,
+         AVG(requestBodySize) AS avg_request_size, CAST(COUNT(DISTINCT podID) AS BIGINT) AS active_pods,
+         CAST(COUNT(DISTINCT userID) AS BIGINT) AS active_users, {COSTS_SQL}
+  FROM rt, rmin GROUP BY ALL
+)"""
+KEPT_CTE = f"""kept AS (SELECT * EXCLUDE (gn) FROM (SELECT *, COUNT(*) OVER (PARTITION BY {K}) AS gn FROM ragg) WHERE gn >= 70)"""
+CODES_CTE = """ftot AS (SELECT funcName, SUM(requests) AS total FROM kept GROUP BY funcName),
+fq AS (SELECT quantile_cont(total, 0.8) AS qh, quantile_cont(total, 0.25) AS qr FROM ftot),
+fcat AS (SELECT funcName, CASE WHEN total >= qh THEN 2 WHEN total <= qr THEN 0 ELSE 1 END AS category FROM ftot, fq),
+fstab AS (
+  SELECT funcName,
+         CASE WHEN COALESCE(COALESCE(STDDEV_SAMP(requests), 0.0) / NULLIF(AVG(requests), 0.0), 0.0) <= 1.0
+              THEN 0 ELSE 1 END AS stability
+  FROM kept GROUP BY funcName
+)"""
+
+RAW_NUM = ["avg_cpu", "avg_memory", "avg_runtime", "avg_request_size", "rolling_mean_5", "rolling_mean_15",
+           "rolling_mean_30", "rolling_std", "rolling_median", "warm_capacity", "growth_rate", "coeff_variation",
+           "cpu_per_request", "memory_per_request", "runtime_per_request", "warm_ratio", "hour_sin", "hour_cos",
+           "minute_sin", "minute_cos", *COST_COLUMNS.values()]
+RAW_PLAIN = [*KEY, "minute", "requests", "active_pods", "active_users", "lag_1", "lag_5", "lag_15", "lag_30",
+             "rolling_max", "rolling_min", "trend", "minute_of_hour", "hour_of_day", "category", "stability"]
+
+
+@register("raw_trace_features", with_ctes(
+    RAW_AGG_CTE, KEPT_CTE, features_cte(src="kept", meta=None, std="STDDEV_POP", zero_div="zero"), CODES_CTE,
+    select=f"""SELECT {", ".join(c for c in RAW_PLAIN if c not in ("category", "stability"))},
+  c.category, s.stability, {", ".join(f"{r('f.' + c)} AS {c}" for c in RAW_NUM)}
+FROM feat f LEFT JOIN fcat c USING (funcName) LEFT JOIN fstab s USING (funcName)"""))
+def q_raw_trace_features(spark, sf):
+    f = raw.raw_feature_frame(trace(spark, sf))
+    return round_doubles(f.select(*RAW_PLAIN, *RAW_NUM))
+
+
+@register("raw_minute_aggregate", with_ctes(RAW_AGG_CTE, select=
+          f"SELECT minute, {K}, requests, active_pods, active_users, "
+          + ", ".join(f"{r(c)} AS {c}" for c in ["avg_cpu", "avg_memory", "avg_runtime", "avg_request_size",
+                                                 *COST_COLUMNS.values()]) + " FROM ragg"))
+def q_raw_minute_aggregate(spark, sf):
+    df = raw.relative_minute(raw.pick_time(trace(spark, sf)))
+    return round_doubles(raw.raw_minute_aggregate(df))
+
+
+@register("raw_minute_aggregate_fallbacks", with_ctes(select=f"""
+SELECT CAST(FLOOR((time_worker - (SELECT MIN(time_worker) FROM trace)) / 60) AS INTEGER) AS minute, {K},
+       CAST(COUNT(*) AS BIGINT) AS requests, 1.0 AS avg_cpu, 1.0 AS avg_memory,
+       {r('AVG(runtimeCost)')} AS avg_runtime, 1.0 AS avg_request_size,
+       CAST(COUNT(*) AS BIGINT) AS active_pods, CAST(COUNT(DISTINCT userID) AS BIGINT) AS active_users, {COSTS_SQL}
+FROM trace GROUP BY ALL"""))
+def q_raw_minute_aggregate_fallbacks(spark, sf):
+    """G5 with cpu/memory/request size and podID absent from the input."""
+    t = trace(spark, sf).drop("cpu_usage", "memory_usage", "requestBodySize", "podID")
+    return round_doubles(raw.raw_minute_aggregate(raw.relative_minute(raw.pick_time(t))))
+
+
+@register("time_unit_detection", with_ctes(select=f"""
+SELECT {r('MIN(t)')} AS min_seconds, {r('MAX(t)')} AS max_seconds, CAST(COUNT(t) AS BIGINT) AS n_parsed FROM (
+  SELECT CAST(epoch_us(ts) AS DOUBLE) / 1000000.0 AS t FROM events)"""))
+def q_time_unit_detection(spark, sf):
+    """G1 on event times given as integer microseconds (detected as µs by magnitude)."""
+    ev = spark.read.parquet(f"{sf.rstrip('/')}/events.parquet")
+    us = ev.select(F.unix_micros(F.col("ts").cast("timestamp")).alias("t_us"))
+    s = raw.to_seconds(us, "t_us", "t")
+    return round_doubles(s.agg(F.min("t").alias("min_seconds"), F.max("t").alias("max_seconds"),
+                               F.count("t").alias("n_parsed")))
+
+
+@register("time_text_parsing", with_ctes(select=f"""
+SELECT {r('MIN(t)')} AS min_seconds, {r('MAX(t)')} AS max_seconds, CAST(COUNT(t) AS BIGINT) AS n_parsed FROM (
+  SELECT CAST(epoch_us(ts) AS DOUBLE) / 1000000.0 AS t FROM events)"""))
+def q_time_text_parsing(spark, sf):
+    """G1 on ISO date-time text (no value numeric → parsed as timestamps)."""
+    ev = spark.read.parquet(f"{sf.rstrip('/')}/events.parquet")
+    txt = ev.select(F.date_format(F.col("ts"), "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("t_txt"))
+    s = raw.to_seconds(txt, "t_txt", "t")
+    return round_doubles(s.agg(F.min("t").alias("min_seconds"), F.max("t").alias("max_seconds"),
+                               F.count("t").alias("n_parsed")))
+
+
+@register("function_codes", with_ctes(RAW_AGG_CTE, KEPT_CTE, CODES_CTE, select=
+          "SELECT c.funcName, c.category, s.stability FROM fcat c JOIN fstab s USING (funcName)"))
+def q_function_codes(spark, sf):
+    from minutewise.operators.features import drop_short_groups
+    kept = drop_short_groups(raw.raw_minute_aggregate(raw.relative_minute(raw.pick_time(trace(spark, sf)))), 70)
+    return raw.function_category_codes(kept).join(raw.function_stability_codes(kept), "funcName")
