@@ -24,5 +24,5 @@ def register(name: str, sql: str | None):
 
 def load_all() -> dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]:
     # Importing the modules registers their queries.
-    from minutewise.plans import q_minutes, q_profile, q_windows, q_forecast, q_rawtrace  # noqa: F401
+    from minutewise.plans import q_minutes, q_profile, q_windows, q_forecast, q_rawtrace, q_io  # noqa: F401
     return REGISTRY

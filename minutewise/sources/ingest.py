@@ -19,8 +19,10 @@ from pyspark.sql import types as T
 from minutewise.schema import TRACE_SCHEMA
 
 CORRUPT = "_corrupt_record"
-# Fixed value: region = text before the first '_' of the directory two levels above the file.
-REGION_FROM_PATH = r"/([^/_]*)[^/]*/[^/]+/[^/]+$"
+# Fixed value: region = text before the first '_' of the directory two levels above the file
+# (``R1_xxx/day/file.csv`` → R1). A Hive-style ``key=`` prefix of that directory is dropped, so a
+# Spark-partitioned layout ``region=R1/day=0/part.csv`` gives R1 as well.
+REGION_FROM_PATH = r"/(?:[^/=]*=)?([^/_=]*)[^/]*/[^/]+/[^/]+$"
 LEDGER_SCHEMA = T.StructType([
     T.StructField("csv_file", T.StringType()),
     T.StructField("region", T.StringType()),
