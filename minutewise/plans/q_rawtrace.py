@@ -12,7 +12,7 @@ from minutewise.schema import COST_COLUMNS, KEY
 from minutewise.sources.fixture import trace
 
 K = ", ".join(KEY)
-COSTS_SQL = ", ".join(f"0.0 AS {c}" for c in COST_COLUMNS.values())
+COSTS_SQL = ", ".join(f"CAST(0.0 AS DOUBLE) AS {c}" for c in COST_COLUMNS.values())
 RAW_AGG_CTE = f"""rt AS (SELECT *, time_worker AS ts FROM trace),
 rmin AS (SELECT MIN(ts) AS t0 FROM rt),
 ragg AS (
@@ -62,8 +62,8 @@ def q_raw_minute_aggregate(spark, sf):
 
 @register("raw_minute_aggregate_fallbacks", with_ctes(select=f"""
 SELECT CAST(FLOOR((time_worker - (SELECT MIN(time_worker) FROM trace)) / 60) AS INTEGER) AS minute, {K},
-       CAST(COUNT(*) AS BIGINT) AS requests, 1.0 AS avg_cpu, 1.0 AS avg_memory,
-       {r('AVG(runtimeCost)')} AS avg_runtime, 1.0 AS avg_request_size,
+       CAST(COUNT(*) AS BIGINT) AS requests, CAST(1.0 AS DOUBLE) AS avg_cpu, CAST(1.0 AS DOUBLE) AS avg_memory,
+       {r("AVG(runtimeCost)")} AS avg_runtime, CAST(1.0 AS DOUBLE) AS avg_request_size,
        CAST(COUNT(*) AS BIGINT) AS active_pods, CAST(COUNT(DISTINCT userID) AS BIGINT) AS active_users, {COSTS_SQL}
 FROM trace GROUP BY ALL"""))
 def q_raw_minute_aggregate_fallbacks(spark, sf):
