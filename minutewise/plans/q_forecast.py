@@ -180,3 +180,22 @@ def q_best_horizon_step(spark, sf):
            .unionByName(e.groupBy("step").agg(F.avg(F.abs("e_base")).alias("validation_mae"))
                         .withColumn("run", F.lit("persistence"))))
     return round_doubles(metrics.best_epoch(log.withColumnRenamed("step", "epoch")))
+
+
+def _forecaster_rows(spark, sf):
+    from minutewise.operators import windows as win
+    from minutewise.operators.forecaster import step_rows
+    from minutewise.plans.q_windows import _features
+    from minutewise.session import materialize
+    f = _features(spark, sf)
+    return materialize(step_rows(win.normalise(f, win.feature_statistics(f))))
+
+
+@register("hurdle_forecaster_metrics", None)
+def q_hurdle_forecaster_metrics(spark, sf):
+    """T1/T2 (rows-only: model fitting is not SQL): fit on the training windows, score the test
+    windows, and report the forecast metrics against persistence."""
+    from minutewise.operators.forecaster import fit_hurdle, score
+    rows = _forecaster_rows(spark, sf)
+    model = fit_hurdle(rows.where("split = 'train'"))
+    return round_doubles(metrics.forecast_metrics(score(model, rows.where("split = 'test'"))))

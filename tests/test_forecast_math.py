@@ -90,3 +90,16 @@ def test_pinball_and_best_epoch(spark):
                                 "run string, epoch int, validation_mae double")
     got = {r.run: (r.best_epoch, r.best_validation_mae) for r in metrics.best_epoch(log).collect()}
     assert got == {"a": (2, 1.0), "b": (1, 2.0)}
+
+
+def test_hurdle_forecaster_bounds_and_determinism(spark):
+    from minutewise.operators.forecaster import fit_hurdle, score
+    from minutewise.plans.q_forecast import _forecaster_rows
+    rows = _forecaster_rows(spark, "/root/testdata/sf0.001")
+    train, test = rows.where("split = 'train'"), rows.where("split = 'test'")
+    m1, m2 = fit_hurdle(train), fit_hurdle(train)
+    assert list(m1.residual.coefficients) == list(m2.residual.coefficients)
+    pred = score(m1, test)
+    agg = pred.agg(F.min("sigma"), F.max("sigma"), F.min("p"), F.max("p"), F.count("*")).first()
+    assert 0.05 <= agg[0] <= agg[1] <= 1.0 and 0.0 <= agg[2] <= agg[3] <= 1.0
+    assert agg[4] == test.count()
