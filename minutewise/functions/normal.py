@@ -86,11 +86,19 @@ def norm_ppf(p: Column) -> Column:
 
 
 def with_norm_ppf(df: DataFrame, p_col: str, out_col: str) -> DataFrame:
-    """Add ``out_col`` = Φ⁻¹(``p_col``) in two projections (estimate, then Halley step).
+    """Add ``out_col`` = Φ⁻¹(``p_col``) as staged projections: the estimate, Φ at the estimate,
+    the Halley correction, the result.
 
-    The estimate becomes a column, so the refinement references it by name; Catalyst does not
-    collapse a projection whose non-trivial expressions are used more than once.
+    Each stage references the previous ones by name. Catalyst does not collapse a projection
+    whose non-trivial expressions are used more than once, so the tree never repeats the
+    estimate. Each stage also stays small enough for the JVM to compile its generated method;
+    one fused method for the whole formula exceeds the JIT's size limit and runs interpreted.
     """
-    tmp = f"_{out_col}_x0"
-    staged = df.withColumn(tmp, _acklam(F.col(p_col)))
-    return staged.withColumn(out_col, _halley(F.col(tmp), F.col(p_col))).drop(tmp)
+    x0, c0, u = f"_{out_col}_x0", f"_{out_col}_c0", f"_{out_col}_u"
+    p = F.col(p_col)
+    staged = df.withColumn(x0, _acklam(p))
+    staged = staged.withColumn(c0, norm_cdf(F.col(x0)))
+    x = F.col(x0)
+    staged = staged.withColumn(u, (F.col(c0) - p) * F.lit(math.sqrt(2 * math.pi)) * F.exp(x * x / 2.0))
+    refined = x - F.col(u) / (F.lit(1.0) + x * F.col(u) / 2.0)
+    return staged.withColumn(out_col, F.when((p > 0) & (p < 1), refined)).drop(x0, c0, u)

@@ -35,20 +35,26 @@ def with_hurdle_quantiles(df: DataFrame, quantiles: dict[str, float], mu: str =
                           p: str = "p") -> DataFrame:
     """P1 for several quantiles at once as staged projections (see ``with_norm_ppf``).
 
-    Adds one column per entry of ``quantiles`` (name → q).
+    Adds one column per entry of ``quantiles`` (name → q). The other columns travel packed in
+    one struct through the stages, which keeps every generated stage small and compiled.
     """
-    pc = clamp(F.col(p), P_EPS, 1 - P_EPS)
-    staged = df.withColumn("_pc", pc)
+    rest = [c for c in df.columns if c not in (mu, sigma, p)]
+    staged = df.select(F.struct(*rest).alias("_rest"), F.col(mu).alias("_mu"), F.col(sigma).alias("_sigma"),
+                       F.col(p).alias("_p"))
+    staged = staged.withColumn("_pc", clamp(F.col("_p"), P_EPS, 1 - P_EPS))
     for name, q in quantiles.items():
         staged = staged.withColumn(f"_c_{name}", (F.lit(q) - (F.lit(1.0) - F.col("_pc"))) / F.col("_pc"))
         staged = staged.withColumn(f"_k_{name}", clamp(F.col(f"_c_{name}"), P_EPS, 1 - P_EPS))
         staged = with_norm_ppf(staged, f"_k_{name}", f"_z_{name}")
-    out = staged.withColumns({
+    values = {
         name: F.when(F.col(f"_c_{name}") > 0,
-                     F.greatest(F.lit(0.0), F.expm1(F.col(mu) + F.col(sigma) * F.col(f"_z_{name}"))))
+                     F.greatest(F.lit(0.0), F.expm1(F.col("_mu") + F.col("_sigma") * F.col(f"_z_{name}"))))
         .otherwise(F.lit(0.0))
-        for name in quantiles})
-    return out.drop("_pc", *[f"_{t}_{n}" for n in quantiles for t in ("c", "k", "z")])
+        for name in quantiles}
+    out = staged.select(*[F.col(f"_rest.{c}").alias(c) for c in rest], F.col("_mu").alias(mu),
+                        F.col("_sigma").alias(sigma), F.col("_p").alias(p),
+                        *[v.alias(k) for k, v in values.items()])
+    return out.select(*df.columns, *quantiles)
 
 
 def hurdle_mean(mu, sigma, p, clamped: bool = True) -> Column:

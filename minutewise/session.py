@@ -16,6 +16,11 @@ _DEFAULTS = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Let the JIT compile large generated methods: the normal-distribution expressions produce
+    # whole-stage methods above HotSpot's 8000-byte limit, which otherwise run interpreted
+    # (measured 5x slower). Set the same on a cluster's executors.
+    "spark.driver.extraJavaOptions": "-XX:-DontCompileHugeMethods",
+    "spark.executor.extraJavaOptions": "-XX:-DontCompileHugeMethods",
 }
 
 
