@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from minutewise.operators.ordering import global_rank, running_total
 from minutewise.schema import (CATEGORY_CODES, HISTORY, HORIZON, KEY, PAST_VALUE_FEATURES, STABILITY_CODES,
-                               TIME_FEATURES)
+                               TIME_FEATURES, V1_FEATURES)
 
 
 def sized_broadcast(df: DataFrame, max_rows: int = 2_000_000) -> DataFrame:
@@ -135,7 +135,7 @@ def windows(features: DataFrame, history: int = HISTORY, horizon: int = HORIZON)
 
 def window_arrays(normalised: DataFrame, features: list[str] = PAST_VALUE_FEATURES,
                   time_features: list[str] = TIME_FEATURES, history: int = HISTORY,
-                  horizon: int = HORIZON) -> DataFrame:
+                  horizon: int = HORIZON, carry: list[str] | None = None) -> DataFrame:
     """D9 (all windows): arrays per origin row from sliding frames, float32.
 
     past_values [history][len(features)], past_time [history][4], future_time [horizon][4],
@@ -149,7 +149,7 @@ def window_arrays(normalised: DataFrame, features: list[str] = PAST_VALUE_FEATUR
     tvec = F.array(*[F.col(c).cast("float") for c in time_features])
     logt = F.log1p(F.col("raw_target")).cast("float")
     out = normalised.select(
-        *KEY, "minute",
+        *KEY, "minute", *(carry or []),
         F.collect_list(vec).over(past).alias("past_values"),
         F.collect_list(tvec).over(past).alias("past_time"),
         F.collect_list(tvec).over(fut).alias("future_time"),
@@ -179,10 +179,27 @@ def select_window_arrays(normalised: DataFrame, chosen: DataFrame, cols: list[st
                     F.transform(F.slice("_s", history + 1, horizon), lambda s: s["logt"]).alias("target"))
 
 
+def v1_samples(features: DataFrame, cols: list[str] = V1_FEATURES, history: int = HISTORY,
+               horizon: int = HORIZON) -> DataFrame:
+    """v1 samples — x = the 30 raw features (NULL → 0, float32) over the history,
+    y = log1p(requests) over the horizon, v1 category/stability codes (unmapped → 0)."""
+    filled = features.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in cols})
+    filled = filled.withColumns({
+        "raw_target": F.coalesce(F.col("requests").cast("double"), F.lit(0.0)),
+        "category_id": encode_category(mode="v1"),
+        "stability_id": encode_stability(mode="v1"),
+    })
+    a = window_arrays(filled, cols, time_features=[], history=history, horizon=horizon,
+                      carry=["category_id", "stability_id"])
+    return a.select(*KEY, "minute", F.col("past_values").alias("x"), F.col("target").alias("y"),
+                    "category_id", "stability_id")
+
+
 def v1_adapter(arrays: DataFrame) -> DataFrame:
     """v1 sample adapter — past time = last four past-value columns, future time = the last
     past time row repeated (stale)."""
-    past_time = F.transform("past_values", lambda r: F.slice(r, -4, 4))
+    src = "past_values" if "past_values" in arrays.columns else "x"
+    past_time = F.transform(src, lambda r: F.slice(r, -4, 4))
     return arrays.withColumn("past_time", past_time).withColumn(
         "future_time", F.array_repeat(F.element_at(past_time, -1), HORIZON))
 

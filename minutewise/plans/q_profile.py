@@ -251,3 +251,25 @@ def q_histogram_requests_per_pod(spark, sf):
 @register("histogram_cv", with_ctes(VARIATION_CTE, _hist_sql("variation", "cv"), select=HIST_SELECT))
 def q_histogram_cv(spark, sf):
     return round_doubles(skew.histogram(prof.function_variation(trace(spark, sf)), "cv", 30))
+
+
+@register("region_distribution", with_ctes(select=
+          "SELECT region, CAST(COUNT(*) AS BIGINT) AS n FROM trace GROUP BY region ORDER BY n DESC, region"))
+def q_region_distribution(spark, sf):
+    """A3: requests per region, largest first."""
+    return (trace(spark, sf).groupBy("region").agg(F.count(F.lit(1)).alias("n"))
+            .orderBy(F.desc("n"), "region"))
+
+
+@register("sample_size", with_ctes(select="SELECT CAST(LEAST(1000, COUNT(*)) AS BIGINT) AS n_rows FROM trace"))
+def q_sample_size(spark, sf):
+    """An exact uniform sample of 1000 requests has min(1000, rows) rows."""
+    from minutewise.sources.ingest import sample_rows
+    return sample_rows(trace(spark, sf), 1000).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@register("first_rows_count", with_ctes(select="SELECT CAST(LEAST(10000, COUNT(*)) AS BIGINT) AS n_rows FROM trace"))
+def q_first_rows_count(spark, sf):
+    """The first-N source has min(N, rows) rows."""
+    from minutewise.sources.ingest import first_rows
+    return first_rows(trace(spark, sf), 10000).agg(F.count(F.lit(1)).alias("n_rows"))

@@ -264,3 +264,36 @@ def q_window_shape_violations(spark, sf):
 def q_group_lookup(spark, sf):
     return win.group_rows(_features(spark, sf), "R1", "c0", "f0").select("minute", "requests", "lag_1",
                                                                         "total_requests")
+
+
+def _v1_cte() -> str:
+    xsum = " + ".join(f"CAST(CAST(COALESCE({c}, 0.0) AS FLOAT) AS DOUBLE)" for c in V1_FEATURES)
+    tsum = " + ".join(f"CAST(CAST(COALESCE({c}, 0.0) AS FLOAT) AS DOUBLE)" for c in TIME_FEATURES)
+    return f"""v1rows AS (
+  SELECT {K}, minute, {xsum} AS xs, {tsum} AS ts4,
+         CAST(CAST(LN(1 + CAST(COALESCE(requests, 0) AS DOUBLE)) AS FLOAT) AS DOUBLE) AS logt,
+         CASE category WHEN 'Rare' THEN 0 WHEN 'Normal' THEN 1 WHEN 'Hot' THEN 2 ELSE 0 END AS category_id,
+         CASE stability WHEN 'Stable' THEN 0 WHEN 'Noisy' THEN 1 ELSE 0 END AS stability_id
+  FROM feat
+)"""
+
+
+@register("v1_window_digest", with_ctes(*FEAT_CTES, _v1_cte(), select=f"""
+SELECT {K}, minute, category_id, stability_id,
+       {r('SUM(xs) OVER p')} AS x_sum, {r('SUM(logt) OVER f')} AS y_sum,
+       {r('SUM(ts4) OVER p')} AS past_time_sum, {r('10 * ts4')} AS future_time_sum,
+       COUNT(*) OVER p AS n_x, COUNT(*) OVER f AS n_y
+FROM v1rows
+WINDOW w AS (PARTITION BY {K} ORDER BY minute),
+       p AS (w ROWS BETWEEN 59 PRECEDING AND CURRENT ROW),
+       f AS (w ROWS BETWEEN 1 FOLLOWING AND 10 FOLLOWING)
+QUALIFY COUNT(*) OVER p = 60 AND COUNT(*) OVER f = 10"""))
+def q_v1_window_digest(spark, sf):
+    """D10 samples and the D11 adapter (stale future time), summarised per window."""
+    s = win.v1_adapter(win.v1_samples(_features(spark, sf)))
+    total = lambda c: F.aggregate(F.flatten(c), F.lit(0.0), lambda acc, x: acc + x)
+    flat = lambda c: F.aggregate(c, F.lit(0.0), lambda acc, x: acc + x)
+    return round_doubles(s.select(*KEY, "minute", "category_id", "stability_id", total("x").alias("x_sum"),
+                                  flat("y").alias("y_sum"), total("past_time").alias("past_time_sum"),
+                                  total("future_time").alias("future_time_sum"),
+                                  F.size("x").cast("long").alias("n_x"), F.size("y").cast("long").alias("n_y")))
