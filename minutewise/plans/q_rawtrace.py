@@ -102,3 +102,34 @@ def q_function_codes(spark, sf):
     from minutewise.operators.features import drop_short_groups
     kept = drop_short_groups(raw.raw_minute_aggregate(raw.relative_minute(raw.pick_time(trace(spark, sf)))), 70)
     return raw.function_category_codes(kept).join(raw.function_stability_codes(kept), "funcName")
+
+
+@register("filled_time_minutes", with_ctes(f"""gaps AS (
+  SELECT event_id,
+    'R' || CAST(user_id % 5 + 1 AS VARCHAR) AS region,
+    'c' || CAST((user_id % 5) % 4 AS VARCHAR) AS clusterName,
+    'f' || CAST(CAST(least(floor(value / 10), 49) AS INTEGER) AS VARCHAR) AS funcName,
+    CASE WHEN event_type = 'error' THEN NULL
+         ELSE 2592000 + (epoch_us(ts) - 1704067200000000) / 1000000 / 30 END AS tw
+  FROM events
+),
+filled AS (
+  SELECT *, COALESCE(tw,
+      LAST_VALUE(tw IGNORE NULLS) OVER (PARTITION BY region ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+      FIRST_VALUE(tw IGNORE NULLS) OVER (PARTITION BY region ORDER BY event_id ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) AS ts
+  FROM gaps
+)""", select=f"""
+SELECT CAST(FLOOR((ts - (SELECT MIN(ts) FROM filled)) / 60) AS INTEGER) AS minute, {K},
+       CAST(COUNT(*) AS BIGINT) AS requests, CAST(COUNT(*) FILTER (WHERE tw IS NULL) AS BIGINT) AS filled_rows
+FROM filled GROUP BY ALL"""))
+def q_filled_time_minutes(spark, sf):
+    """Times of 'error' events treated as unparseable, forward- then backward-filled in
+    event order per region (the file stand-in), then counted per relative minute (G4)."""
+    from minutewise.sources.fixture import events_as_trace, table
+    t = events_as_trace(table(spark, sf, "events"), keep=["event_id", "event_type"])
+    t = t.withColumn("tw", F.when(F.col("event_type") == "error", F.lit(None).cast("double"))
+                     .otherwise(F.col("time_worker")))
+    filled = raw.fill_time(t.withColumn("ts", F.col("tw")), "ts", "event_id", ["region"])
+    m = raw.relative_minute(filled)
+    return m.groupBy("minute", *KEY).agg(F.count(F.lit(1)).alias("requests"),
+                                         F.count_if(F.col("tw").isNull()).alias("filled_rows"))

@@ -24,10 +24,12 @@ def _elapsed_seconds(ts: Column) -> Column:
     return micros / F.lit(1000000) / F.lit(TIME_COMPRESSION)
 
 
-def events_as_trace(events: DataFrame) -> DataFrame:
-    """Map ``events`` rows to raw invocation records (one row per request)."""
+def events_as_trace(events: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """Map ``events`` rows to raw invocation records (one row per request); ``keep`` carries
+    extra event columns along (e.g. ``event_id`` as a file-order column)."""
     k = F.get_json_object("props", "$.k")
     return events.select(
+        *(keep or []),
         (F.lit(TRACE_EPOCH_SECONDS) + _elapsed_seconds(F.col("ts"))).alias("time_worker"),
         F.concat(F.lit("R"), (F.col("user_id") % 5 + 1).cast("string")).alias("region"),
         F.concat(F.lit("c"), ((F.col("user_id") % 5) % 4).cast("string")).alias("clusterName"),

@@ -90,28 +90,38 @@ def file_status(raw: DataFrame, imported_at: datetime | None = None) -> DataFram
 
 
 def ingest(spark: SparkSession, root: str, table_path: str, ledger_path: str,
-           schema: T.StructType = TRACE_SCHEMA) -> DataFrame:
+           schema: T.StructType = TRACE_SCHEMA, files_per_batch: int = 1000) -> DataFrame:
     """Load every CSV under ``root`` not yet loaded successfully; append good files to
     ``table_path`` (parquet partitioned by region) and their status rows to ``ledger_path``.
 
-    Returns the status rows of this run. The new-file list is file metadata (one path per
-    file); the rows themselves never leave the executors.
+    New files are taken in batches of ``files_per_batch``; each batch is parsed once (persisted
+    while its per-file status is decided and its good rows are written), so the cache is bounded
+    by the batch, not by the trace. A batch's ledger rows are written after its rows, so a crash
+    leaves those files to be retried. Returns the status rows of this run. The new-file list is
+    file metadata (one path per file); the rows themselves never leave the executors.
     """
     files = list_csv_files(spark, root)
     done = latest_ledger(read_ledger(spark, ledger_path)).where("status = 'SUCCESS'").select("csv_file")
-    new = [r["csv_file"] for r in files.join(done, "csv_file", "left_anti").collect()]
-    if not new:
+    new = sorted(r["csv_file"] for r in files.join(done, "csv_file", "left_anti").collect())
+    statuses = []
+    for i in range(0, len(new), files_per_batch):
+        raw = read_trace_csv(spark, new[i:i + files_per_batch], schema, recursive=False).persist()
+        try:
+            status = file_status(raw).persist()
+            good = raw.join(F.broadcast(status.where("status = 'SUCCESS'").select("csv_file")), "csv_file",
+                            "left_semi")
+            good.drop(CORRUPT).write.mode("append").partitionBy("region").parquet(table_path)
+            status.select(*LEDGER_SCHEMA.fieldNames()).write.mode("append").parquet(ledger_path)
+            statuses.append(spark.createDataFrame(status.collect(), status.schema))  # one row per file
+            status.unpersist()
+        finally:
+            raw.unpersist()
+    if not statuses:
         return spark.createDataFrame([], LEDGER_SCHEMA)
-    raw = read_trace_csv(spark, new, schema, recursive=False)
-    raw = raw.persist()
-    try:
-        status = file_status(raw).persist()
-        good = raw.join(F.broadcast(status.where("status = 'SUCCESS'").select("csv_file")), "csv_file", "left_semi")
-        (good.drop(CORRUPT).write.mode("append").partitionBy("region").parquet(table_path))
-        status.select(*LEDGER_SCHEMA.fieldNames()).write.mode("append").parquet(ledger_path)
-        return status
-    finally:
-        raw.unpersist()
+    out = statuses[0]
+    for s_ in statuses[1:]:
+        out = out.unionByName(s_)
+    return out
 
 
 def import_totals(ledger: DataFrame) -> DataFrame:
