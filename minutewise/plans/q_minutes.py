@@ -249,3 +249,26 @@ GROUP BY ALL"""))
 def q_short_groups_dropped(spark, sf):
     kept = feat.drop_short_groups(_sparse(spark, sf), 70)
     return kept.groupBy("region", "clusterName", "funcName").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@register("feature_build_tables", with_ctes(sparse_cte(), dense_cte(), meta_cte(), features_cte(), select="""
+SELECT (SELECT CAST(COUNT(*) AS BIGINT) FROM sparse) AS sparse_rows,
+       (SELECT CAST(COUNT(*) AS BIGINT) FROM dense) AS dense_rows,
+       (SELECT CAST(COUNT(*) AS BIGINT) FROM meta) AS metadata_rows,
+       (SELECT CAST(COUNT(*) AS BIGINT) FROM feat) AS feature_rows,
+       (SELECT CAST(SUM(requests) AS BIGINT) FROM feat) AS feature_requests,
+       (SELECT CAST(COUNT(*) FILTER (WHERE requests = 0) AS BIGINT) FROM dense) AS zero_rows"""))
+def q_feature_build_tables(spark, sf):
+    """E2 end to end: writes the four tables, gates the calendar, then reads the tables back."""
+    import uuid
+    from minutewise.plans.feature_build import build_feature_tables
+    from minutewise.session import scratch_table_path
+    res = build_feature_tables(trace(spark, sf), scratch_table_path(spark, f"features-{uuid.uuid4().hex}"))
+    p = res["paths"]
+    rd = spark.read.parquet
+    return (rd(p["sparse"]).agg(F.count(F.lit(1)).alias("sparse_rows"))
+            .join(rd(p["dense"]).agg(F.count(F.lit(1)).alias("dense_rows"),
+                                     F.count_if(F.col("requests") == 0).alias("zero_rows")))
+            .join(rd(p["metadata"]).agg(F.count(F.lit(1)).alias("metadata_rows")))
+            .join(rd(p["features"]).agg(F.count(F.lit(1)).alias("feature_rows"),
+                                        F.sum("requests").alias("feature_requests"))))
