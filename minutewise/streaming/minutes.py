@@ -2,7 +2,9 @@
 
 Event time is ``time_worker`` seconds; rows later than the watermark are dropped by Spark and
 counted in the query progress (``numRowsDroppedByWatermark``). Exact distinct counts are not
-allowed in streaming aggregation, so pods/users use HyperLogLog++ (``approx_count_distinct``).
+allowed in streaming aggregation, so pods/users use HyperLogLog++ (``approx_count_distinct``)
+at Spark's default 5 % relative error: its sketch (2^9 registers) is part of every state row, and
+at 1 % (2^14 registers) the state store writes grow about 30×.
 Each trigger emits updated groups (update mode) through ``foreachBatch`` under its
 ``batch_id``; the latest version of each (minute, group) is the result — idempotent on retry.
 """
@@ -16,7 +18,7 @@ from minutewise.schema import KEY
 
 
 def streaming_minute_aggregate(stream: DataFrame, watermark: str = "10 minutes", bucket: str = "1 minute",
-                               approx_rsd: float = 0.01) -> DataFrame:
+                               approx_rsd: float = 0.05) -> DataFrame:
     ev = stream.withColumn("event_time", F.timestamp_seconds(F.col("time_worker")))
     agg = (ev.withWatermark("event_time", watermark)
            .groupBy(F.window("event_time", bucket).alias("w"), *KEY)
