@@ -87,6 +87,25 @@ def top_share(functions: DataFrame, shares=(0.01, 0.05, 0.10), value: str = "inv
                         for p in shares])
 
 
+def workload_skew(functions: DataFrame, shares=(0.01, 0.05, 0.10), value: str = "invocations") -> DataFrame:
+    """A14 + A15 from one ascending rank and one aggregate: gini and top-p shares.
+
+    The k largest values sum to the same total whichever tied rows are taken, so the top-k
+    share can use the ascending rank (i > n − k)."""
+    ranked = global_rank(functions.select("funcName", value), [F.col(value), F.col("funcName")], "i")
+    n = F.count(F.lit(1))
+    cols = [n.alias("n"), F.sum(value).alias("t"), F.sum(F.col("i") * F.col(value)).alias("s")]
+    total_n = functions.select(F.count(F.lit(1))).scalar()
+    for p in shares:
+        k = F.greatest(F.lit(1.0), total_n * F.lit(p)).cast("long")
+        cols.append(F.sum(F.when(F.col("i") > total_n - k, F.col(value)).otherwise(0)).alias(f"_top_{round(p * 100)}"))
+    agg = ranked.agg(*cols)
+    nn, t, s_ = F.col("n").cast("double"), F.col("t").cast("double"), F.col("s").cast("double")
+    return agg.select((F.lit(2.0) * s_ / (nn * t) - (nn + 1) / nn).alias("gini"),
+                      *[(F.col(f"_top_{round(p * 100)}") / F.col("t") * 100.0).alias(f"top_{round(p * 100)}_pct")
+                        for p in shares])
+
+
 def stability_by_median(variation: DataFrame) -> DataFrame:
     """Stable when cv ≤ median(cv) (NULLs skipped), else Noisy (a NULL cv is Noisy)."""
     m = variation.select(F.percentile("cv", 0.5)).scalar()

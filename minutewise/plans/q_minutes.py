@@ -266,9 +266,12 @@ def q_feature_build_tables(spark, sf):
     res = build_feature_tables(trace(spark, sf), scratch_table_path(spark, f"features-{uuid.uuid4().hex}"))
     p = res["paths"]
     rd = spark.read.parquet
-    return (rd(p["sparse"]).agg(F.count(F.lit(1)).alias("sparse_rows"))
-            .join(rd(p["dense"]).agg(F.count(F.lit(1)).alias("dense_rows"),
-                                     F.count_if(F.col("requests") == 0).alias("zero_rows")))
-            .join(rd(p["metadata"]).agg(F.count(F.lit(1)).alias("metadata_rows")))
-            .join(rd(p["features"]).agg(F.count(F.lit(1)).alias("feature_rows"),
-                                        F.sum("requests").alias("feature_requests"))))
+    dense = rd(p["dense"])
+    feats = rd(p["features"])
+    return rd(p["sparse"]).agg(F.count(F.lit(1)).alias("sparse_rows")).select(
+        "sparse_rows",
+        dense.select(F.count(F.lit(1))).scalar().alias("dense_rows"),
+        rd(p["metadata"]).select(F.count(F.lit(1))).scalar().alias("metadata_rows"),
+        feats.select(F.count(F.lit(1))).scalar().alias("feature_rows"),
+        feats.select(F.sum("requests")).scalar().alias("feature_requests"),
+        dense.select(F.count_if(F.col("requests") == 0)).scalar().alias("zero_rows"))

@@ -23,7 +23,9 @@ def _long(df: DataFrame, section: str, metric_col: str | None = None, value_col:
 
 
 def report(trace: DataFrame) -> DataFrame:
-    functions = prof.function_statistics(trace)
+    from minutewise.session import materialize
+    # the per-function table feeds four sections; computed once (one row per function)
+    functions = materialize(prof.function_statistics(trace))
     classified = skew.invocation_category(functions)
     ratios = skew.reuse_ratios(functions)
     variation = prof.function_variation(trace)
@@ -32,7 +34,7 @@ def report(trace: DataFrame) -> DataFrame:
         _long(prof.region_statistics(trace), "REGION REQUESTS", "region", "requests"),
         _long(skew.category_counts(classified), "FUNCTION CLASSIFICATION", "category", "n_functions"),
         _long(skew.reuse_summary(ratios), "FUNCTION REUSE"),
-        _long(skew.gini(functions).join(skew.top_share(functions)), "WORKLOAD SKEW"),
+        _long(skew.workload_skew(functions), "WORKLOAD SKEW"),
         _long(prof.peak_requests_per_minute(prof.temporal_hotspots(trace)), "TEMPORAL HOTSPOTS"),
         _long(skew.stability_counts(skew.stability_by_median(variation)), "STABLE VS NOISY", "stability",
               "n_functions"),
