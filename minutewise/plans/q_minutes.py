@@ -64,20 +64,20 @@ def q_minute_calendar(spark, sf):
 
 @register("dense_calendar", with_ctes(sparse_cte(), dense_cte(), select=f"SELECT {MINUTE_COLS_SQL} FROM dense"))
 def q_dense_calendar(spark, sf):
-    return round_doubles(_dense(spark, sf))
+    return round_doubles(dense_checkpointed(spark, sf))
 
 
 @register("dense_calendar_hourly", with_ctes(sparse_cte(3600), dense_cte(), select=
           f"SELECT {MINUTE_COLS_SQL} FROM dense"))
 def q_dense_calendar_hourly(spark, sf):
-    return round_doubles(_dense(spark, sf, 3600))
+    return round_doubles(dense_checkpointed(spark, sf, 3600))
 
 
 @register("dense_zero_rows", with_ctes(sparse_cte(), dense_cte(), select=
           "SELECT CAST(COUNT(*) AS BIGINT) AS dense_rows, "
           "CAST(COUNT(*) FILTER (WHERE requests = 0) AS BIGINT) AS zero_rows FROM dense"))
 def q_dense_zero_rows(spark, sf):
-    return qual.zero_rows(_dense(spark, sf))
+    return qual.zero_rows(dense_checkpointed(spark, sf))
 
 
 @register("calendar_completeness", with_ctes(sparse_cte(), dense_cte(), select="""
@@ -90,7 +90,7 @@ SELECT CAST((SELECT COUNT(*) FROM (SELECT DISTINCT region, clusterName, funcName
            OR g.a <> (SELECT MIN(minute) FROM dense) OR g.b <> (SELECT MAX(minute) FROM dense)) AS BIGINT)
        AS invalid_groups"""))
 def q_calendar_completeness(spark, sf):
-    return qual.calendar_completeness(_dense(spark, sf))
+    return qual.calendar_completeness(dense_checkpointed(spark, sf))
 
 
 @register("dense_summary", with_ctes(sparse_cte(), dense_cte(), select=
@@ -98,7 +98,7 @@ def q_calendar_completeness(spark, sf):
           "CAST(COUNT(DISTINCT funcName) AS BIGINT) AS n_functions, "
           "CAST(COUNT(DISTINCT region) AS BIGINT) AS n_regions FROM dense"))
 def q_dense_summary(spark, sf):
-    return qual.dense_summary(_dense(spark, sf))
+    return qual.dense_summary(dense_checkpointed(spark, sf))
 
 
 @register("request_conservation", with_ctes(sparse_cte(), dense_cte(), select=
@@ -139,7 +139,7 @@ def q_time_range(spark, sf):
 @register("dense_preview", with_ctes(sparse_cte(), dense_cte(), select=
           f"SELECT {MINUTE_COLS_SQL} FROM dense ORDER BY minute, region, clusterName, funcName LIMIT 10"))
 def q_dense_preview(spark, sf):
-    return round_doubles(qual.preview(_dense(spark, sf), 10))
+    return round_doubles(qual.preview(dense_checkpointed(spark, sf), 10))
 
 
 META_COLS_SQL = ("region, clusterName, funcName, total_requests, " + ", ".join(
@@ -149,31 +149,31 @@ META_COLS_SQL = ("region, clusterName, funcName, total_requests, " + ", ".join(
 @register("group_statistics", with_ctes(sparse_cte(), dense_cte(), meta_cte(), select=
           f"SELECT {META_COLS_SQL} FROM meta_stats"))
 def q_group_statistics(spark, sf):
-    return round_doubles(meta.group_statistics(_dense(spark, sf)))
+    return round_doubles(meta.group_statistics(dense_checkpointed(spark, sf)))
 
 
 @register("function_metadata", with_ctes(sparse_cte(), dense_cte(), meta_cte(), select=
           f"SELECT {META_COLS_SQL}, category, stability FROM meta"))
 def q_function_metadata(spark, sf):
-    return round_doubles(meta.function_metadata(_dense(spark, sf)))
+    return round_doubles(meta.function_metadata(dense_checkpointed(spark, sf)))
 
 
 @register("function_metadata_hourly", with_ctes(sparse_cte(3600), dense_cte(), meta_cte(), select=
           f"SELECT {META_COLS_SQL}, category, stability FROM meta"))
 def q_function_metadata_hourly(spark, sf):
-    return round_doubles(meta.function_metadata(_dense(spark, sf, 3600)))
+    return round_doubles(meta.function_metadata(dense_checkpointed(spark, sf, 3600)))
 
 
 @register("category_counts", with_ctes(sparse_cte(), dense_cte(), meta_cte(), select=
           "SELECT category, CAST(COUNT(*) AS BIGINT) AS n_groups FROM meta GROUP BY category"))
 def q_category_counts(spark, sf):
-    return meta.category_counts(meta.function_metadata(_dense(spark, sf)))
+    return meta.category_counts(meta.function_metadata(dense_checkpointed(spark, sf)))
 
 
 @register("stability_counts_hourly", with_ctes(sparse_cte(3600), dense_cte(), meta_cte(), select=
           "SELECT stability, CAST(COUNT(*) AS BIGINT) AS n_groups FROM meta GROUP BY stability"))
 def q_stability_counts_hourly(spark, sf):
-    return meta.stability_counts(meta.function_metadata(_dense(spark, sf, 3600)))
+    return meta.stability_counts(meta.function_metadata(dense_checkpointed(spark, sf, 3600)))
 
 
 FEATURE_NUM = ["rolling_mean_5", "rolling_mean_15", "rolling_mean_30", "rolling_std", "rolling_median",
