@@ -74,8 +74,25 @@ def encode_stability(col: str = "stability", mode: str = "v2") -> Column:
     return F.when(c.isNull(), 0).otherwise(F.coalesce(mapped, F.lit(STABILITY_CODES["Noisy"] if mode == "v2" else 0)))
 
 
-def feature_statistics(features: DataFrame, cols: list[str] = PAST_VALUE_FEATURES) -> DataFrame:
-    """Mean and population std of COALESCE(x, 0) over the whole table; std 0 (or NULL) → 1."""
+def train_rows(features: DataFrame, history: int = HISTORY, horizon: int = HORIZON) -> DataFrame:
+    """Rows that training windows (D13) read: positions below train_end + history + horizon − 1."""
+    from minutewise.operators.splits import split_bounds
+    pos = window_positions(features, history, horizon)
+    n_windows = F.col("row_count") - (history + horizon) + 1
+    train_end, _ = split_bounds(n_windows)
+    keep = (n_windows >= 1) & (F.col("pos") < train_end + history + horizon - 1)
+    return pos.where(keep).drop("pos", "row_count", "active", "is_origin", "start")
+
+
+def feature_statistics(features: DataFrame, cols: list[str] = PAST_VALUE_FEATURES, fit_on: str = "all") -> DataFrame:
+    """Mean and population std of COALESCE(x, 0); std 0 (or NULL) → 1.
+
+    ``fit_on='all'`` uses the whole table, as the reference does (test minutes leak into the
+    scaling); ``'train'`` uses only the rows read by training windows."""
+    if fit_on == "train":
+        features = train_rows(features)
+    elif fit_on != "all":
+        raise ValueError("fit_on must be 'all' or 'train'")
     aggs = []
     for c in cols:
         x = F.coalesce(F.col(c).cast("double"), F.lit(0.0))

@@ -88,3 +88,17 @@ def test_subsamples_deterministic(spark):
     assert len(bal) == 60 and sum(r.active for r in bal) == 34  # only 34 active exist; rest filled
     train, rest = splits.v1_split(df, first_n=50)
     assert train.count() == 45 and rest.count() == 5
+
+
+def test_feature_statistics_fit_on_train(spark):
+    f = _features(spark, [79])  # 10 windows: 8 train → rows 0..76 read by training windows
+    rows = win.train_rows(f).collect()
+    assert len(rows) == 8 + 69
+    full = win.feature_statistics(f, ["requests"]).first()
+    train = win.feature_statistics(f, ["requests"], fit_on="train").first()
+    values = [m % 3 for m in range(79)]
+    assert abs(full.requests_mean - sum(values) / 79) < 1e-12
+    assert abs(train.requests_mean - sum(values[:77]) / 77) < 1e-12
+    import pytest
+    with pytest.raises(ValueError):
+        win.feature_statistics(f, ["requests"], fit_on="test")
