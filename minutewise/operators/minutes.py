@@ -73,6 +73,23 @@ def _scalar(df: DataFrame) -> Column:
     return df.scalar()
 
 
+def dense_partitions(sparse: DataFrame, rows_per_partition: int = 2_000_000) -> int:
+    """Partition count for the dense calendar, sized from its exact future row count.
+
+    rows = groups × (last − first + 1) is known from one small aggregate of the sparse table
+    (pass a materialised sparse table, or give ``partitions`` to ``dense_calendar``);
+    the count is at least the session's shuffle partitions and at most the number of groups
+    (the exchange is by group, so more partitions than groups would stay empty).
+    """
+    st = sparse.agg(F.count_distinct(F.struct(*KEY)).alias("g"), F.min("minute").alias("lo"),
+                    F.max("minute").alias("hi")).first()
+    base = int(sparse.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if not st["g"]:
+        return base
+    rows = st["g"] * (st["hi"] - st["lo"] + 1)
+    return int(max(1, min(st["g"], max(base, -(-rows // rows_per_partition)))))
+
+
 def dense_calendar(sparse: DataFrame, partitions: int | None = None) -> DataFrame:
     """every group × every minute of the global span; absent minutes are zero demand.
 
@@ -82,13 +99,13 @@ def dense_calendar(sparse: DataFrame, partitions: int | None = None) -> DataFram
     group equal the calendar length, so a hot function costs no more than an idle one here.
     NULL key values form their own group (window partitioning is null-safe), so no counts are lost.
 
-    The group exchange is an explicit ``repartition(partitions, K)`` (default: the session's
-    shuffle partitions): the calendar multiplies rows after the exchange, so partitions must be
-    sized for the dense output, not coalesced by AQE to the size of the sparse input.
+    The group exchange is an explicit ``repartition(partitions, K)``: the calendar multiplies
+    rows after the exchange, so partitions are sized for the dense output (``dense_partitions``,
+    about 2M dense rows each), not coalesced by AQE to the size of the sparse input.
     """
     first = _scalar(sparse.select(F.min("minute")))
     last = _scalar(sparse.select(F.max("minute")))
-    n = partitions or int(sparse.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = partitions or dense_partitions(sparse)
     sparse = sparse.repartition(n, *KEY)
     w = Window.partitionBy(*KEY).orderBy("minute")
     prev = F.lag("minute").over(w)
@@ -109,4 +126,6 @@ def dense_calendar(sparse: DataFrame, partitions: int | None = None) -> DataFram
 
 
 def dense_from_trace(trace: DataFrame, bucket_seconds: int = 60) -> DataFrame:
-    return dense_calendar(minute_aggregate(trace, bucket_seconds))
+    """F1 → checkpoint → F5: raw requests are read once."""
+    from minutewise.session import materialize
+    return dense_calendar(materialize(minute_aggregate(trace, bucket_seconds)))

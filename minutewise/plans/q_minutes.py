@@ -19,10 +19,6 @@ def _sparse(spark, sf, bucket=60):
     return mins.minute_aggregate(trace(spark, sf), bucket_seconds=bucket)
 
 
-def _dense(spark, sf, bucket=60):
-    return mins.dense_calendar(_sparse(spark, sf, bucket))
-
-
 def sparse_checkpointed(spark, sf, bucket=60):
     """The sparse minute table cut at a reliable checkpoint: raw requests are read once."""
     return materialize(_sparse(spark, sf, bucket))
@@ -107,7 +103,7 @@ def q_dense_summary(spark, sf):
           "(SELECT CAST(SUM(requests) AS BIGINT) FROM dense) AS dense_requests"))
 def q_request_conservation(spark, sf):
     t = trace(spark, sf)
-    sp = mins.minute_aggregate(t)
+    sp = materialize(mins.minute_aggregate(t))
     return qual.conservation(t, sp, mins.dense_calendar(sp))
 
 
