@@ -74,3 +74,19 @@ def test_stability_rule(spark):
                                "mean_requests double, std_requests double")
     got = [r.s for r in df.select(meta.stability_rule().alias("s")).collect()]
     assert got == ["Noisy", "Stable", "Noisy", "Stable"]
+
+
+def test_hot_function_does_not_skew_dense_partitions(spark):
+    # one function carries a third of all requests; the dense rows per group stay equal and the
+    # group partitions hold whole groups of equal length
+    rows = []
+    for g in range(12):
+        n = 600 if g == 0 else 100
+        rows += [(float(i % 60) * 60 + 1, "R1", "c0", f"f{g}", f"p{i % 7}", "u", 0.1) for i in range(n)]
+    t = trace_rows(spark, rows)
+    sp = mins.minute_aggregate(t).checkpoint()
+    d = mins.dense_calendar(sp, partitions=4)
+    per_group = {r.funcName: r.n for r in d.groupBy("funcName").agg(F.count("*").alias("n")).collect()}
+    assert set(per_group.values()) == {60}
+    sizes = [r.n for r in d.groupBy(F.spark_partition_id().alias("pid")).agg(F.count("*").alias("n")).collect()]
+    assert sum(sizes) == 12 * 60 and max(sizes) % 60 == 0
