@@ -114,3 +114,18 @@ lines AS (
 @register("report", REPORT_SQL)
 def q_report(spark, sf):
     return round_doubles(report(trace(spark, sf)))
+
+
+@register("stream_minute_aggregate_exact", with_ctes(sparse_cte(), select=
+          f"SELECT minute, {K}, requests, " + ", ".join(
+              f"{r(c)} AS {c}" for c in ["avg_cpu", "avg_memory", "avg_runtime", "avg_request_size"])
+          + ", active_pods, active_users FROM sparse"))
+def q_stream_minute_aggregate_exact(spark, sf):
+    """X2 (exact): the trace replayed as a stream in several micro-batches, merged exactly —
+    equal to the batch minute aggregate in every column, distinct pods/users included."""
+    base = scratch_table_path(spark, f"stream-exact-{uuid.uuid4().hex}")
+    t = trace(spark, sf)
+    t.repartition(4).write.mode("overwrite").parquet(f"{base}/source")
+    smin.run_exact_minute_stream(spark, f"{base}/source", f"{base}/out", f"{base}/checkpoint", t.schema,
+                                 max_files_per_trigger=1)
+    return round_doubles(smin.exact_minutes(spark, f"{base}/out"))

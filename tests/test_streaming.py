@@ -18,3 +18,18 @@ def test_watermark_drops_late_rows(spark):
     res = smin.latest_minutes(spark.read.parquet(f"{base}/out")).collect()
     assert [(r.minute, r.requests) for r in res] == [(600, 3)]
     assert info["rows_dropped_by_watermark"] == 1
+
+
+def test_exact_stream_merges_distinct_across_batches(spark):
+    base = tempfile.mkdtemp(prefix="mw-exact-", dir="/tmp")
+    a = trace_rows(spark, [(60.0 + 1, "R1", "c0", "f", "p1", "u1", 0.2), (60.0 + 2, "R1", "c0", "f", "p2", "u1", 0.4)])
+    b = trace_rows(spark, [(60.0 + 3, "R1", "c0", "f", "p1", "u2", 0.6)])
+    a.write.parquet(f"{base}/src/a")
+    b.write.parquet(f"{base}/src/b")
+    smin.run_exact_minute_stream(spark, f"{base}/src/*", f"{base}/out", f"{base}/ckpt", a.schema,
+                                 max_files_per_trigger=1)
+    r = smin.exact_minutes(spark, f"{base}/out").collect()
+    assert len(r) == 1
+    r = r[0]
+    assert (r.minute, r.requests, r.active_pods, r.active_users) == (1, 3, 2, 2)
+    assert abs(r.avg_cpu - 0.4) < 1e-12
