@@ -81,7 +81,7 @@ def _assemble(rows: DataFrame, inputs: list[str]) -> DataFrame:
     return VectorAssembler(inputCols=inputs, outputCol="x", handleInvalid="keep").transform(rows)
 
 
-def fit_hurdle(train_rows: DataFrame, features: list[str] = PAST_VALUE_FEATURES, max_iter: int = 50,
+def fit_hurdle(train_rows: DataFrame, features: list[str] = PAST_VALUE_FEATURES, max_iter: int = 25,
                reg: float = 1e-4) -> HurdleModel:
     """Fit occurrence and positive-residual models on the training rows."""
     inputs = model_inputs(features)
