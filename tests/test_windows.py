@@ -102,3 +102,26 @@ def test_feature_statistics_fit_on_train(spark):
     import pytest
     with pytest.raises(ValueError):
         win.feature_statistics(f, ["requests"], fit_on="test")
+
+
+def test_selected_arrays_equal_frame_arrays(spark):
+    f = _features(spark, [75, 72])
+    cols = ["requests"]
+    n = win.normalise(f, win.feature_statistics(f, cols), cols)
+    frame = {(r.funcName, r.minute): (r.past_values, r.past_target, r.target)
+             for r in win.window_arrays(n, cols, time_features=[]).collect()}
+    chosen = win.windows(f).where("start % 2 = 0")
+    sel = win.select_window_arrays(n, chosen, cols).collect()
+    assert len(sel) == chosen.count() > 0
+    for r in sel:
+        assert (r.past_values, r.past_target, r.target) == frame[(r.funcName, r.origin_minute)]
+
+
+def test_dense_partitions_sizing(spark):
+    from minutewise.operators.minutes import dense_partitions
+    sp = spark.createDataFrame([("R", "c", f"f{g}", m, 1) for g in range(40) for m in (0, 999)],
+                               "region string, clusterName string, funcName string, minute int, requests long")
+    # 40 groups × 1000 minutes = 40,000 dense rows
+    assert dense_partitions(sp, rows_per_partition=1000) == 40       # capped at the group count
+    assert dense_partitions(sp, rows_per_partition=4000) == 10
+    assert dense_partitions(sp, rows_per_partition=10 ** 9) == 8    # floor: shuffle partitions
