@@ -6,10 +6,17 @@ file with any malformed row (type error, missing columns) is rejected as a whole
 are not loaded — and recorded FAILED with the first bad record; the others load. Files whose
 latest ledger status is SUCCESS are skipped on the next run, so a rerun adds nothing and a
 previously failed file can succeed later (latest status wins).
+
+Commit protocol: a batch's rows are written under ``ingest_batch=<md5 of its file list>`` (one
+directory per batch, rows sorted by region inside the files) with dynamic partition overwrite,
+then its ledger rows are appended. ``read_table`` returns only
+rows of batches the ledger records, so a job that dies between the two writes leaves no
+visible rows, and the retry of the same files overwrites the orphaned partition.
 """
 
 from __future__ import annotations
 
+import hashlib
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -30,6 +37,7 @@ LEDGER_SCHEMA = T.StructType([
     T.StructField("status", T.StringType()),
     T.StructField("error", T.StringType()),
     T.StructField("imported_at", T.TimestampType()),
+    T.StructField("ingest_batch", T.StringType()),
 ])
 
 
@@ -91,8 +99,8 @@ def file_status(raw: DataFrame, imported_at: datetime | None = None) -> DataFram
 
 def ingest(spark: SparkSession, root: str, table_path: str, ledger_path: str,
            schema: T.StructType = TRACE_SCHEMA, files_per_batch: int = 1000) -> DataFrame:
-    """Load every CSV under ``root`` not yet loaded successfully; append good files to
-    ``table_path`` (parquet partitioned by region) and their status rows to ``ledger_path``.
+    """Load every CSV under ``root`` not yet loaded successfully; add good files to
+    ``table_path`` (parquet, one directory per batch) and their status rows to ``ledger_path``.
 
     New files are taken in batches of ``files_per_batch``; each batch is parsed once (persisted
     while its per-file status is decided and its good rows are written), so the cache is bounded
@@ -105,12 +113,18 @@ def ingest(spark: SparkSession, root: str, table_path: str, ledger_path: str,
     new = sorted(r["csv_file"] for r in files.join(done, "csv_file", "left_anti").collect())
     statuses = []
     for i in range(0, len(new), files_per_batch):
-        raw = read_trace_csv(spark, new[i:i + files_per_batch], schema, recursive=False).persist()
+        chunk = new[i:i + files_per_batch]
+        batch_key = hashlib.md5("\n".join(chunk).encode()).hexdigest()[:16]
+        raw = read_trace_csv(spark, chunk, schema, recursive=False).persist()
         try:
-            status = file_status(raw).persist()
+            status = file_status(raw).withColumn("ingest_batch", F.lit(batch_key)).persist()
             good = raw.join(F.broadcast(status.where("status = 'SUCCESS'").select("csv_file")), "csv_file",
                             "left_semi")
-            good.drop(CORRUPT).write.mode("append").partitionBy("region").parquet(table_path)
+            # one directory per batch: a retry replaces all of it (a region leaf could be missed)
+            (good.drop(CORRUPT).withColumn("ingest_batch", F.lit(batch_key))
+             .sortWithinPartitions("region", "clusterName", "funcName")
+             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy("ingest_batch").parquet(table_path))
             status.select(*LEDGER_SCHEMA.fieldNames()).write.mode("append").parquet(ledger_path)
             statuses.append(spark.createDataFrame(status.collect(), status.schema))  # one row per file
             status.unpersist()
@@ -124,6 +138,13 @@ def ingest(spark: SparkSession, root: str, table_path: str, ledger_path: str,
     return out
 
 
+def read_table(spark: SparkSession, table_path: str, ledger_path: str) -> DataFrame:
+    """Ingested rows of committed batches only (batches present in the ledger)."""
+    committed = read_ledger(spark, ledger_path).select("ingest_batch").distinct()  # one row per batch
+    rows = spark.read.parquet(table_path)
+    return rows.join(F.broadcast(committed), "ingest_batch", "left_semi")
+
+
 def import_totals(ledger: DataFrame) -> DataFrame:
     """Files and rows by status (latest status per file)."""
     return latest_ledger(ledger).groupBy("status").agg(F.count(F.lit(1)).alias("files"),

@@ -36,7 +36,8 @@ def _write_batch(table_path: str, ledger_path: str):
             (good.drop(CORRUPT).withColumn("batch_id", F.lit(batch_id))
              .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
              .partitionBy("batch_id", "region").parquet(table_path))
-            (status.select(*LEDGER_SCHEMA.fieldNames()).withColumn("batch_id", F.lit(batch_id))
+            (status.withColumn("ingest_batch", F.lit(f"stream-{batch_id}"))
+             .select(*LEDGER_SCHEMA.fieldNames()).withColumn("batch_id", F.lit(batch_id))
              .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
              .partitionBy("batch_id").parquet(ledger_path))
             status.unpersist()

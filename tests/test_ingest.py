@@ -33,7 +33,7 @@ def test_batch_ingest_isolates_bad_files_and_is_idempotent(spark):
                   "d.csv": ("SUCCESS", 1, "R3")}
     s2 = ing.ingest(spark, root, f"{out}/t", f"{out}/l").collect()
     assert {os.path.basename(r.csv_file) for r in s2} == {"b.csv", "c.csv"}  # failed files retried only
-    t = spark.read.parquet(f"{out}/t")
+    t = ing.read_table(spark, f"{out}/t", f"{out}/l")
     assert t.count() == 3
     assert {r.region: r.n for r in t.groupBy("region").agg(F.count("*").alias("n")).collect()} == {"R1": 2, "R3": 1}
     totals = {r.status: (r.files, r.rows) for r in ing.import_totals(ing.read_ledger(spark, f"{out}/l")).collect()}
@@ -52,3 +52,19 @@ def test_sample_rows_exact(spark):
     df = spark.range(1000)
     assert ing.sample_rows(df, 37).count() == 37
     assert ing.sample_rows(df, 5000).count() == 1000
+
+
+def test_uncommitted_batch_is_invisible_and_overwritten(spark):
+    root = _tree()
+    out = tempfile.mkdtemp(prefix="mw-crash-", dir="/tmp")
+    # a crashed run: rows of a batch written, ledger never written
+    files = sorted(r.csv_file for r in ing.list_csv_files(spark, root).collect())
+    import hashlib
+    key = hashlib.md5("\n".join(files).encode()).hexdigest()[:16]
+    crashed = ing.read_trace_csv(spark, files, recursive=False).where("_corrupt_record IS NULL")
+    (crashed.drop("_corrupt_record").withColumn("ingest_batch", F.lit(key)).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("ingest_batch").parquet(f"{out}/t"))
+    assert ing.read_table(spark, f"{out}/t", f"{out}/l").count() == 0
+    ing.ingest(spark, root, f"{out}/t", f"{out}/l")  # retry of the same files
+    assert spark.read.parquet(f"{out}/t").count() == 3  # orphaned partition overwritten, no duplicates
+    assert ing.read_table(spark, f"{out}/t", f"{out}/l").count() == 3
