@@ -26,10 +26,12 @@ ROWS_BY_REGION_SQL = with_ctes(select="SELECT region, CAST(COUNT(*) AS BIGINT) A
 
 
 def _stage_csv(spark, sf, base):
-    """Write the trace as a CSV tree ``region=R/day=D/part-*.csv`` (declared column order)."""
+    """Write the trace as a CSV tree ``region=R/day=D/part-*.csv`` (declared column order), one
+    file per (region, day) directory."""
     t = trace(spark, sf).withColumn("time_frontend", F.lit(None).cast("double"))
     cols = [f.name for f in TRACE_SCHEMA.fields]
-    (t.select(*cols, "region", F.floor(F.col("time_worker") / 86400).cast("int").alias("day"))
+    staged = t.select(*cols, "region", F.floor(F.col("time_worker") / 86400).cast("int").alias("day"))
+    (staged.repartition("region", "day")
      .write.mode("overwrite").option("header", True).partitionBy("region", "day").csv(base))
 
 
@@ -52,9 +54,12 @@ def q_stream_ingest_rows_by_region(spark, sf):
     return spark.read.parquet(f"{base}/requests").groupBy("region").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-@register("import_totals", None)
+@register("import_totals", with_ctes(select="""
+SELECT 'SUCCESS' AS status, CAST(COUNT(DISTINCT (region, CAST(FLOOR(time_worker / 86400) AS INTEGER))) AS BIGINT) AS files,
+       CAST(COUNT(*) AS BIGINT) AS rows
+FROM trace"""))
 def q_import_totals(spark, sf):
-    """S6 (rows-only: the number of files depends on how the staging write splits them)."""
+    """Files and rows by status after ingesting the staged tree (one file per region-day)."""
     base = scratch_table_path(spark, f"ingest-totals-{uuid.uuid4().hex}")
     _stage_csv(spark, sf, f"{base}/csv")
     ing.ingest(spark, f"{base}/csv", f"{base}/requests", f"{base}/ledger")
