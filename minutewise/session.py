@@ -31,7 +31,6 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         b = b.config(k, v)
     b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     b = b.config("spark.driver.memory", os.environ.get("MINUTEWISE_DRIVER_MEMORY", "8g"))
-    b = b.config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="minutewise-ckpt-", dir="/tmp"))
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
@@ -41,8 +40,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
-    On a cluster this setting names a shared, fault-tolerant folder and is used as is.
-    Only when it is unset (local tests) a fresh scratch folder is created and registered.
+    On a cluster this setting names a shared, fault-tolerant folder and is used as is; a
+    cluster without it is an error. Only a local session without it (tests) gets a fresh
+    scratch folder.
     """
     current = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir", None)
@@ -53,6 +53,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     existing = spark.sparkContext.getCheckpointDir()
     if existing:
         return existing
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir is not set: point it at shared, fault-tolerant storage "
+                           "(a machine-local folder is not usable on a cluster)")
     path = tempfile.mkdtemp(prefix="minutewise-ckpt-", dir="/tmp")
     spark.sparkContext.setCheckpointDir(path)
     try:
