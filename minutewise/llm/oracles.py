@@ -15,3 +15,43 @@ SELECT d.doc_id, CASE WHEN coalesce(d.text, '') = '' THEN 0 ELSE a.n END::BIGINT
        coalesce(a.n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(a.kept, '')) AS kept_sha256
 FROM documents d LEFT JOIN a USING (doc_id)
 """
+
+#: Items of which 80 % or more of the distinct 5-word shingles occur in the document.
+CONTAINMENT = r"""
+WITH w AS (
+  SELECT 'd' AS kind, doc_id AS id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+  UNION ALL
+  SELECT 'i', item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') FROM benchmark),
+s AS (
+  SELECT kind, id, unnest(CASE WHEN len(w) >= 5
+           THEN list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' ')))
+           WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s FROM w),
+n AS (SELECT id, count(*) AS n FROM s WHERE kind = 'i' GROUP BY id),
+m AS (SELECT d.id AS doc_id, i.id AS item_id, count(*) AS shared
+      FROM s i JOIN s d ON i.s = d.s AND i.kind = 'i' AND d.kind = 'd' GROUP BY d.id, i.id)
+SELECT doc_id, item_id, n::BIGINT AS n_item, shared::BIGINT AS n_shared FROM m JOIN n ON n.id = m.item_id
+WHERE 5 * shared >= 4 * n
+"""
+
+#: Documents linked at Jaccard similarity 0.85 or more of distinct 3-word shingles, and the smallest id they reach.
+NEAR_DUPLICATES = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+s AS MATERIALIZED (
+  SELECT doc_id, unnest(CASE WHEN len(w) >= 3
+           THEN list_distinct(list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i+2], ' ')))
+           WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s FROM w),
+n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS common FROM s x JOIN s y ON x.s = y.s AND x.doc_id < y.doc_id
+      GROUP BY x.doc_id, y.doc_id),
+l AS MATERIALIZED (
+  SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * common >= 85 * (x.n + y.n - common)),
+e AS MATERIALIZED (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r AS (SELECT doc_id AS a, doc_id AS root FROM documents
+      UNION SELECT e.b, r.root FROM r JOIN e ON e.a = r.a AND r.root < e.b)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, m.root AS component_id, d.doc_id = m.root AS kept
+FROM documents d JOIN (SELECT a, min(root) AS root FROM r GROUP BY a) m ON m.a = d.doc_id LEFT JOIN n USING (doc_id)
+"""

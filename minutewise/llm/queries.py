@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from minutewise.llm import oracles
 from minutewise.llm.common import table
+from minutewise.llm.containment import contained_items
 from minutewise.llm.line_spread import remove_spread_lines
+from minutewise.llm.near_minhash import near_duplicates
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
 
@@ -27,3 +29,13 @@ def line_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = remove_spread_lines(docs)
     return out.select("doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_removed").alias("n_removed"),
                       F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+@query("op8_containment", oracles.CONTAINMENT)
+def containment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op2_minhash_near_dup", oracles.NEAR_DUPLICATES)
+def minhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), k=3, pct=85)
