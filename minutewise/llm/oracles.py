@@ -55,3 +55,19 @@ r AS (SELECT doc_id AS a, doc_id AS root FROM documents
 SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, m.root AS component_id, d.doc_id = m.root AS kept
 FROM documents d JOIN (SELECT a, min(root) AS root FROM r GROUP BY a) m ON m.a = d.doc_id LEFT JOIN n USING (doc_id)
 """
+
+#: Vectors linked at cosine 0.95 or more in double precision.
+SIMILAR_VECTORS = r"""
+WITH RECURSIVE v AS MATERIALIZED (
+  SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+e AS MATERIALIZED (
+  SELECT x.vec_id AS a, y.vec_id AS b FROM v x JOIN v y ON len(x.v) = len(y.v) AND x.vec_id <> y.vec_id
+  WHERE list_cosine_similarity(x.v, y.v) >= 0.95),
+n AS (SELECT a, count(*) AS n FROM e GROUP BY a),
+r AS (SELECT vec_id AS a, vec_id AS root FROM embeddings
+      UNION SELECT e.b, r.root FROM r JOIN e ON e.a = r.a AND r.root < e.b)
+SELECT d.vec_id, coalesce(n.n, 0)::BIGINT AS n_links, m.root AS component_id, d.vec_id = m.root AS kept
+FROM embeddings d JOIN (SELECT a, min(root) AS root FROM r GROUP BY a) m ON m.a = d.vec_id LEFT JOIN n ON n.a = d.vec_id
+"""

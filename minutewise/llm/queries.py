@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from minutewise.llm import oracles
 from minutewise.llm.common import table
 from minutewise.llm.containment import contained_items
+from minutewise.llm.forest import similar_vectors
 from minutewise.llm.line_spread import remove_spread_lines
 from minutewise.llm.near_minhash import near_duplicates
 
@@ -39,3 +40,8 @@ def containment(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_minhash_near_dup", oracles.NEAR_DUPLICATES)
 def minhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), k=3, pct=85)
+
+
+@query("op7_projection_forest", oracles.SIMILAR_VECTORS)
+def projection_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar_vectors(table(spark, sf_dir, "embeddings"))
