@@ -71,3 +71,23 @@ r AS (SELECT vec_id AS a, vec_id AS root FROM embeddings
 SELECT d.vec_id, coalesce(n.n, 0)::BIGINT AS n_links, m.root AS component_id, d.vec_id = m.root AS kept
 FROM embeddings d JOIN (SELECT a, min(root) AS root FROM r GROUP BY a) m ON m.a = d.vec_id LEFT JOIN n ON n.a = d.vec_id
 """
+
+#: Bytes covered by a 50-byte string that also starts in a document with a smaller doc_id (on hex digits of the bytes).
+SUFFIX_REPEATS = r"""
+WITH h AS MATERIALIZED (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+w AS (SELECT doc_id, i, substr(x, 2 * i + 1, 100) AS s
+      FROM (SELECT doc_id, x, unnest(range(0, (length(x) // 2) - 49)) AS i FROM h)),
+f AS (SELECT s, min(doc_id) AS first FROM w GROUP BY s HAVING count(DISTINCT doc_id) > 1),
+g AS (SELECT w.doc_id, w.i FROM w JOIN f USING (s) WHERE f.first < w.doc_id),
+o AS (SELECT doc_id, i, coalesce(i > lag(i) OVER p + 50, true) AS new FROM g WINDOW p AS (PARTITION BY doc_id ORDER BY i)),
+r AS (SELECT doc_id, min(i) AS a, max(i) + 50 AS b
+      FROM (SELECT *, sum(new::INT) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM o) GROUP BY doc_id, run),
+k AS (SELECT doc_id, a, b, lag(b, 1, 0) OVER (PARTITION BY doc_id ORDER BY a) AS prev FROM r),
+c AS (SELECT k.doc_id, sum(b - a)::BIGINT AS n_removed, count(*) AS n_spans,
+             string_agg(substr(x, 2 * prev + 1, 2 * (a - prev)), '' ORDER BY a) AS kept, max(b) AS last
+      FROM k JOIN h USING (doc_id) GROUP BY k.doc_id)
+SELECT h.doc_id, (length(x) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed,
+       coalesce(n_spans, 0)::BIGINT AS n_spans,
+       sha256(unhex(coalesce(c.kept, '') || substr(x, 2 * coalesce(c.last, 0) + 1))) AS kept_sha256
+FROM h LEFT JOIN c USING (doc_id)
+"""

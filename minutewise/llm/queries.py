@@ -13,6 +13,7 @@ from minutewise.llm.containment import contained_items
 from minutewise.llm.forest import similar_vectors
 from minutewise.llm.line_spread import remove_spread_lines
 from minutewise.llm.near_minhash import near_duplicates
+from minutewise.llm.suffix_repeats import remove_repeats
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
 
@@ -45,3 +46,8 @@ def minhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_projection_forest", oracles.SIMILAR_VECTORS)
 def projection_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@query("op1_suffix_repeats", oracles.SUFFIX_REPEATS)
+def suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents"))
