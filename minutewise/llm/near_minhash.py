@@ -182,7 +182,8 @@ def near_duplicates(docs: DataFrame, k: int = 5, pct: int = 80, id_col: str = "d
               .where("n > 1"))
     buckets = store(spread.join(shared, "key"), "op2-buckets")
     wanted = buckets.select("doc_id").distinct()
-    texts = store(docs.join(wanted, "doc_id", "left_semi"), "op2-texts").dropDuplicates(["doc_id"])
+    # the same plan at every size: the ids grow with the documents, so they are never broadcast
+    texts = store(docs.join(wanted.hint("merge"), "doc_id", "left_semi"), "op2-texts").dropDuplicates(["doc_id"])
 
     # 1: each member against the smallest of its bucket
     pairs = buckets.where("doc_id <> pivot").select("pivot", "doc_id").distinct()
