@@ -11,9 +11,12 @@ from minutewise.llm import oracles
 from minutewise.llm.common import table
 from minutewise.llm.containment import contained_items
 from minutewise.llm.forest import similar_vectors
+from minutewise.llm.html_cut import extract
 from minutewise.llm.line_spread import remove_spread_lines
 from minutewise.llm.near_minhash import near_duplicates
+from minutewise.llm.pii import personal_spans
 from minutewise.llm.suffix_repeats import remove_repeats
+from minutewise.llm.toxicity import THRESHOLD, held_out, train, with_scores
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
 
@@ -51,3 +54,22 @@ def projection_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op1_suffix_repeats", oracles.SUFFIX_REPEATS)
 def suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents"))
+
+
+@query("op3_toxicity_cnn")
+def toxicity_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = train(docs, table(spark, sf_dir, "labels"))
+    scored = with_scores(docs.select("doc_id", "text"), model).drop("text")
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
+                         (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
+
+
+@query("op4_personal_data")
+def personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_spans(table(spark, sf_dir, "documents"))
+
+
+@query("op5_html_main_text")
+def html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(table(spark, sf_dir, "pages"))
