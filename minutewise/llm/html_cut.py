@@ -40,16 +40,18 @@ _BAD_WORDS = frozenset("""ad ads advert advertisement banner nav navbar navigati
 comment comments reply replies discussion disqus notice cookie cookies consent gdpr popup modal overlay share sharing
 social related recommended promo promoted sponsor sponsored newsletter subscribe signup login breadcrumb breadcrumbs
 widget toolbar tags tagcloud pager pagination copyright legal disclaimer alert toast search form masthead topbar
-bottombar teaser outbrain taboola""".split())
+bottombar teaser outbrain taboola contentinfo complementary""".split())
 _WORDS = re.compile(r"[a-z]+")
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
                   r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)", re.S)
 _HINT = re.compile(r"\b(?:class|id|role|itemprop|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-_HIDDEN = re.compile(r"\bhidden\b(?!\s*=\s*[\"']?(?:until-found|false))|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
+_QUOTED = re.compile(r"\"[^\"]*\"|'[^']*'")
+_HIDDEN_ATTR = re.compile(r"(?:^|\s)hidden(?=[\s/=]|$)", re.I)
+_HIDDEN_STYLE = re.compile(r"display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
 _SPACE = re.compile(r"\s+")
 
 #: Weights of the block classifier: the logarithm of the odds that a block is main text.
-WEIGHTS = {"bias": -0.4, "good": 2.5, "bad": -4.0, "heading": 1.0, "paragraph": 0.8, "words": 0.25, "links": -3.0, "stops": 0.3}
+WEIGHTS = {"bias": -0.4, "good": 2.5, "bad": -6.0, "heading": 1.0, "paragraph": 0.8, "words": 0.25, "links": -3.0, "stops": 0.3}
 #: Smoothness: of neighbours in page order, and of blocks that share their container.
 ADJACENT, SHARED = 0.6, 0.9
 INFINITE = 1e9
@@ -70,7 +72,7 @@ class Block(NamedTuple):
 def blocks_of(page: str) -> list[Block]:
     """The blocks of a page in order, without empty ones."""
     out: list[Block] = []
-    stack: list[tuple[str, int, bool, bool, bool]] = []  # tag, node, never, good, bad
+    stack: list[tuple[str, int, bool, bool, bool, bool]] = []  # tag, node, never, good by class, bad, good by tag
     nodes = 0
     parts: list[str] = []
     in_link = linked = 0
@@ -85,7 +87,10 @@ def blocks_of(page: str) -> list[Block]:
             tags = {s[0] for s in stack}
             box = next((s[1] for s in reversed(stack) if s[0] in BLOCKS and s[0] not in ("p", "br", "li", "h1", "h2", "h3", "h4", "h5", "h6")), 0)
             last = inner[-1][0] if inner else ""
-            out.append(Block(text, any(s[2] for s in stack), any(s[3] for s in stack), any(s[4] for s in stack),
+            # of a bad container and an article or main element the inner one counts
+            bad = next((s[4] for s in reversed(stack) if s[4] or s[5]), False)
+            good = not bad and any(s[3] or s[5] for s in stack)
+            out.append(Block(text, any(s[2] for s in stack), good, bad,
                              last in ("h1", "h2", "h3", "h4", "h5", "h6"), "p" in tags or last in ("blockquote", "pre", "li"),
                              linked / max(1, len(text)), box, len(inner)))
         linked = 0
@@ -140,8 +145,10 @@ def blocks_of(page: str) -> list[Block]:
             for hint in _HINT.finditer(attrs):
                 words.update(_WORDS.findall((hint[1] or hint[2] or hint[3] or "").lower()))
         never = tag in NEVER and not (tag == "header" and any(s[0] in ("article", "main") for s in stack))
-        never = never or bool(_HIDDEN.search(attrs))
-        stack.append((tag, nodes, never, tag in ("article", "main") or bool(words & _GOOD_WORDS), bool(words & _BAD_WORDS)))
+        if attrs:
+            never = never or bool(_HIDDEN_STYLE.search(attrs)) or bool(_HIDDEN_ATTR.search(_QUOTED.sub("", attrs)))
+        bad = bool(words & _BAD_WORDS) and tag not in ("html", "body")
+        stack.append((tag, nodes, never, bool(words & _GOOD_WORDS) and not bad, bad, tag in ("article", "main") and not bad))
         if tag == "a":
             in_link += 1
         if tag in RAW:

@@ -51,6 +51,8 @@ _AGAINST = r"(?i)\b(?:version|licen[cs]e|page|chapter|section|isbn|issn|figure|t
 _ENDINGS = r"(?i)(?:\.|dot ?[)\]}] ?)(?:com|org|net|edu|gov|info|io|de|fr|es|uk|eu)$"
 LABELERS = ("shape", "before", "after", "ending", "company", "digits")
 ROUNDS = 50
+#: Candidates' worth of smoothing in the classifier's counts.
+SMOOTH = 4.0
 #: Buckets of the words next to a span that the classifier tells apart.
 WORD_BUCKETS = 1 << 12
 
@@ -93,14 +95,15 @@ def _matches(kind: str, text: Column) -> Column:
 
 
 def candidates(rows: DataFrame) -> DataFrame:
-    """(rid, kind, start, end, match, before, after) of the spans that pass their check; ``rows`` has rid and hits."""
+    """(rid, kind, start, end, match, before, after, valid); ``rows`` has rid and hits. Matches of a base kind that
+    fail its check are never a result, but the labelers and the classifier learn from them."""
     each = rows.select("rid", F.explode("hits").alias("k")).select("rid", F.posexplode("k").alias("i", "s"))
     before = Window.partitionBy("rid", "s.kind").orderBy("i").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     placed = (each.select("rid", "i", "s", (F.col("s.gap") + F.length("s.match")).alias("step"))
               .withColumn("end", F.sum("step").over(before))
               .select("rid", "s.kind", (F.col("end") - F.length("s.match")).alias("start"), "end", "s.match", "s.before",
                       "s.after"))
-    return placed.where(_passes(F.col("kind"), F.col("match")))
+    return placed.withColumn("valid", _passes(F.col("kind"), F.col("match")))
 
 
 def _votes(c: DataFrame) -> DataFrame:
@@ -110,13 +113,14 @@ def _votes(c: DataFrame) -> DataFrame:
     base = F.col("kind").isin(*BASE)
     repeated = F.regexp_replace(_digits(F.col("match")), "([0-9])\\1+", "$1")
     per_text = Window.partitionBy("rid")
-    others = F.sum(base.cast("int")).over(per_text) - base.cast("int")
+    good = (base & F.col("valid")).cast("int")
+    others = F.sum(good).over(per_text) - good
 
     def vote(yes: Column, no: Column) -> Column:
         return F.when(yes, 1).when(no, -1).otherwise(0)
 
     return c.withColumns({
-        "shape": vote(base | F.col("match").rlike(r"^(?:AKIA|\([0-9]{2,5}\))"), F.col("match").rlike(r"^[0-9]{1,2}[ .-][0-9]{2}[ .-]")),
+        "shape": vote((base & F.col("valid")) | F.col("kind").isin("contact", "secret") | F.col("match").rlike(r"^\([0-9]{2,5}\)"), ~F.col("valid") | F.col("match").rlike(r"^(?:[0-9]{1,2}[ .-][0-9]{1,2}[ .-]|(?:19|20)[0-9]{2}[ .-])")),
         "before_": vote(near.rlike(_FOR), near.rlike(_AGAINST)),
         "after_": vote(F.col("after").rlike(_FOR), F.col("after").rlike(r"^\s*(?:%|[€$£]|km|kg|GB|MB)")),
         "ending": vote(F.col("match").rlike(_ENDINGS), F.col("kind").isin("email", "contact")),
@@ -165,7 +169,7 @@ def classified(c: DataFrame) -> DataFrame:
     """``c`` with ``personal``, the final classifier's decision on each candidate."""
     voted = store(_votes(c).withColumn("pattern", F.array("shape", "before_", "after_", "ending", "company", "digits"))
                   .withColumn("features", _features(F.col("match"), F.col("before"), F.col("after"), F.col("kind")))
-                  .select("rid", "kind", "start", "end", "pattern", "features"), "op4-votes")
+                  .select("rid", "kind", "start", "end", "valid", "pattern", "features"), "op4-votes")
     counts = voted.groupBy("pattern").agg(F.count(F.lit(1)).alias("n")).collect()  # 3^6 rows at most
     post, _, prior = estimate([(tuple(r["pattern"]), r["n"]) for r in sorted(counts, key=lambda r: r["pattern"])])
     soft = F.lit(0.5)
@@ -173,14 +177,16 @@ def classified(c: DataFrame) -> DataFrame:
         soft = F.create_map(*[x for v, p in post.items() for x in (F.lit(",".join(map(str, v))), F.lit(p))])[
             F.array_join(F.transform("pattern", lambda v: v.cast("string")), ",")]
     soft_rows = voted.withColumn("p", soft)
-    # log-odds of a feature by soft counts: at most 3 * WORD_BUCKETS and some more rows
+    # log-odds of a feature by soft counts, each class smoothed by what both have: at most 3 * WORD_BUCKETS and some more rows
     one = soft_rows.select("p", F.explode("features").alias("f"))
     sums = soft_rows.agg(F.sum("p").alias("yes"), F.sum(1 - F.col("p")).alias("no")).first()
-    yes, no = (sums["yes"] or 0.0) + 2.0, (sums["no"] or 0.0) + 2.0
-    weights = one.groupBy("f").agg((F.log((F.sum("p") + 1) / yes) - F.log((F.sum(1 - F.col("p")) + 1) / no)).alias("w"))
+    yes, no = sums["yes"] or 0.0, sums["no"] or 0.0
+    part = SMOOTH * (F.count(F.lit(1)) / max(yes + no, 1.0))
+    weights = one.groupBy("f").agg((F.log((F.sum("p") + part) / (yes + SMOOTH))
+                                    - F.log((F.sum(1 - F.col("p")) + part) / (no + SMOOTH))).alias("w"))
     more = voted.where(F.col("kind").isin(*MORE)).select("rid", "kind", "start", "end", F.explode("features").alias("f"))
     scored = more.join(weights, "f").groupBy("rid", "kind", "start", "end").agg(F.sum("w").alias("z"))
-    base = voted.where(F.col("kind").isin(*BASE)).select("rid", "kind", "start", "end", F.lit(True).alias("personal"))
+    base = voted.where(F.col("kind").isin(*BASE) & F.col("valid")).select("rid", "kind", "start", "end", F.lit(True).alias("personal"))
     return base.unionByName(scored.select("rid", "kind", "start", "end", (
         F.col("z") + math.log(prior / (1 - prior)) > 0).alias("personal")))
 
