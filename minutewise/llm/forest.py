@@ -34,7 +34,7 @@ SPILL = 0.07
 LEAF = 300
 #: Vectors of one subtree that a task goes on with, about.
 GROUP = 4000
-SAMPLE = 1 << 16
+SAMPLE = 1 << 14
 BLOCK = 2000
 COSINE = 0.95
 

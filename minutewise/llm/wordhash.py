@@ -74,7 +74,7 @@ def word_spans(raw: np.ndarray, offs: np.ndarray, word_bytes: np.ndarray = NON_S
     return starts, ends, np.searchsorted(starts, offs)
 
 
-def _span_hashes(total: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+def span_hashes(total: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     _, down = powers(len(total))
     return mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64))
 
@@ -83,7 +83,7 @@ def word_hashes(raw: np.ndarray, offs: np.ndarray, word_bytes: np.ndarray = NON_
                 ) -> tuple[np.ndarray, np.ndarray]:
     """Hash of each word with A-Z lower-cased, and the n + 1 word offsets of the documents."""
     starts, ends, at = word_spans(raw, offs, word_bytes)
-    return _span_hashes(prefix_hash(_LOWER[raw]), starts, ends), at
+    return span_hashes(prefix_hash(_LOWER[raw]), starts, ends), at
 
 
 def stem_hashes(raw: np.ndarray, offs: np.ndarray, sizes: tuple[int, ...], word_bytes: np.ndarray = ALNUM
@@ -92,9 +92,9 @@ def stem_hashes(raw: np.ndarray, offs: np.ndarray, sizes: tuple[int, ...], word_
     bytes than that; and the n + 1 word offsets of the documents."""
     starts, ends, at = word_spans(raw, offs, word_bytes)
     total = prefix_hash(_LOWER[raw])
-    cols = [_span_hashes(total, starts, ends)]
+    cols = [span_hashes(total, starts, ends)]
     for n in sizes:
-        cols.append(np.where(ends - starts > n, _span_hashes(total, starts, np.minimum(starts + n, ends)) + _U(n), _U(0)))
+        cols.append(np.where(ends - starts > n, span_hashes(total, starts, np.minimum(starts + n, ends)) + _U(n), _U(0)))
     return np.stack(cols, axis=1), at
 
 
