@@ -23,6 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -119,48 +120,67 @@ def _candidates(block: ItemBlock, h: np.ndarray, at: np.ndarray) -> np.ndarray:
     return np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)
 
 
-def _search(block: ItemBlock, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _hits(block: ItemBlock, rows: pa.RecordBatch, text_at: int, raw: np.ndarray, offs: np.ndarray
+          ) -> Iterator[tuple[int, int, int]]:
+    """(row, item, shared shingles) of the items that the documents of a pass contain."""
+    h, at = shingle_hashes(*word_hashes(raw, offs, ALNUM), K)
+    shingles: tuple[int, set] = (-1, set())
+    for pair in _candidates(block, h, at).tolist():
+        d, i = divmod(pair, len(block.ids))
+        mine, theirs = block.hashes[i], h[at[d]:at[d + 1]]
+        at_most = int((theirs[np.minimum(np.searchsorted(theirs, mine), len(theirs) - 1)] == mine).sum())
+        if NUM * at_most < DEN * len(block.sets[i]):
+            continue
+        if shingles[0] != d:
+            shingles = (d, exact_shingles(rows.column(text_at)[d].as_py() or ""))
+        shared = len(block.sets[i] & shingles[1])
+        if NUM * shared >= DEN * len(block.sets[i]):
+            yield d, i, shared
+
+
+def _report(block: ItemBlock, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = ["doc_id", "item_id", "n_item", "n_shared"]
     for rows, raw, offs in text_passes(batches):
-        h, at = shingle_hashes(*word_hashes(raw, offs, ALNUM), K)
-        out: list[tuple] = []
-        shingles: tuple[int, set] = (-1, set())
-        for pair in _candidates(block, h, at).tolist():
-            d, i = divmod(pair, len(block.ids))
-            mine, theirs = block.hashes[i], h[at[d]:at[d + 1]]
-            at_most = int((theirs[np.minimum(np.searchsorted(theirs, mine), len(theirs) - 1)] == mine).sum())
-            if NUM * at_most < DEN * len(block.sets[i]):
-                continue
-            if shingles[0] != d:
-                shingles = (d, exact_shingles(rows.column(1)[d].as_py() or ""))
-            shared = len(block.sets[i] & shingles[1])
-            if NUM * shared >= DEN * len(block.sets[i]):
-                out.append((rows.column(0)[d].as_py(), block.ids[i], len(block.sets[i]), shared))
+        out = [(rows.column(0)[d].as_py(), block.ids[i], len(block.sets[i]), n) for d, i, n in _hits(block, rows, 1, raw, offs)]
         if out:
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names=names)
 
 
+def _clean(block: ItemBlock, text_col: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for rows, raw, offs in text_passes(batches, text_col):
+        stays = np.ones(rows.num_rows, bool)
+        stays[[d for d, _, _ in _hits(block, rows, rows.schema.get_field_index(text_col), raw, offs)]] = False
+        yield rows.filter(pa.array(stays))
+
+
+def item_blocks(items: DataFrame, item_col: str = "item_id", text_col: str = "text",
+                block_bytes: int = BLOCK_BYTES) -> Iterator[Broadcast]:
+    """The items in broadcast blocks of bounded size, one after another."""
+    context = items.sparkSession.sparkContext
+    items = id_and_text(items, item_col, text_col)
+    total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    blocks = max(1, math.ceil(total / block_bytes))
+    for k in range(blocks):
+        part = items.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)) == k) if blocks > 1 else items
+        yield context.broadcast(ItemBlock([(r[0], r[1]) for r in part.collect()]))
+
+
 def contained_items(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     item_col: str = "item_id", item_text_col: str = "text",
                     block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """One row per document and item of which 80 % or more of the shingles are in the document."""
-    spark = docs.sparkSession
     docs = id_and_text(docs, id_col, text_col)
-    items = id_and_text(items, item_col, item_text_col)
-    total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = max(1, math.ceil(total / block_bytes))
     found = None
-    for k in range(blocks):
-        part = items.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)) == k) if blocks > 1 else items
-        held = spark.sparkContext.broadcast(ItemBlock([(r[0], r[1]) for r in part.collect()]))
-        hits = docs.mapInArrow(lambda it, held=held: _search(held.value, it), SCHEMA)
+    for held in item_blocks(items, item_col, item_text_col, block_bytes):
+        hits = docs.mapInArrow(lambda it, held=held: _report(held.value, it), SCHEMA)
         found = hits if found is None else found.unionByName(hits)
     return found
 
 
-def without_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                         item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
-    """``docs`` less the documents that contain an item; rows without an id stay."""
-    bad = contained_items(docs, items, id_col, text_col, item_col, item_text_col).select(
-        F.col("doc_id").alias("_bad")).distinct()
-    return docs.join(bad, F.col(id_col).cast("long") == F.col("_bad"), "left_anti")
+def without_contaminated(docs: DataFrame, items: DataFrame, text_col: str = "text", item_col: str = "item_id",
+                         item_text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """``docs`` less the rows that contain an item, filtered where they lie, block by block."""
+    schema = docs.schema
+    for held in item_blocks(items, item_col, item_text_col, block_bytes):
+        docs = docs.mapInArrow(lambda it, held=held: _clean(held.value, text_col, it), schema)
+    return docs

@@ -15,6 +15,7 @@ from minutewise.llm.html_cut import extract
 from minutewise.llm.line_spread import remove_spread_lines
 from minutewise.llm.near_minhash import near_duplicates
 from minutewise.llm.pii import personal_spans
+from minutewise.llm.pseudo_lm import pseudo_likelihood
 from minutewise.llm.segment import segmentations
 from minutewise.llm.suffix_repeats import remove_repeats
 from minutewise.llm.toxicity import THRESHOLD, held_out, train, with_scores
@@ -79,3 +80,8 @@ def html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_gumbel_segmentation")
 def gumbel_segmentation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return segmentations(table(spark, sf_dir, "documents"))
+
+
+@query("op9_pseudo_likelihood")
+def op9_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudo_likelihood(table(spark, sf_dir, "documents"))

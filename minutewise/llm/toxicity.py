@@ -23,6 +23,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from minutewise.llm.common import string_bytes, text_passes
 from minutewise.llm.wordhash import stem_hashes
@@ -40,6 +41,8 @@ EPOCHS, BATCH, RATE = 6, 64, 0.05
 THRESHOLD = 0.7
 #: Share of right decisions that a language's threshold is set for, and toxic rows it takes to set one.
 PRECISION, LEAST_ROWS = 0.98, 20
+#: Between these a language's threshold lies.
+LEAST_CUT, MOST_CUT = 0.5, 0.9
 _PAD = max(WIDTHS)
 
 
@@ -197,7 +200,7 @@ def _calibrated(m: Model, tok, start, held, y, lang) -> Model:
         right = np.cumsum(t[own][order]) / np.arange(1, own.sum() + 1)
         good = np.flatnonzero(right >= PRECISION)
         if len(good):
-            cut[str(one)] = float(p[own][order][good[-1]])
+            cut[str(one)] = float(np.clip(p[own][order][good[-1]], LEAST_CUT, MOST_CUT))
     return m._replace(thresholds=cut)
 
 
@@ -242,8 +245,7 @@ def with_scores(docs: DataFrame, model: Model | None, text_col: str = "text", ou
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores(held.value, *tokens(raw, offs)))],
                                              names=[*batch.schema.names, out])
 
-    schema = docs.schema.add(out, "double")
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(out, T.DoubleType())]))
 
 
 def flag_toxic(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, lang_col: str = "lang") -> DataFrame:

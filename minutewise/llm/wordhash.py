@@ -25,6 +25,10 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 32
 
 
+def ascii_lower_bytes(raw: np.ndarray) -> np.ndarray:
+    return _LOWER[raw]
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """A finaliser with full avalanche (two multiply-xorshift rounds)."""
     h = h ^ (h >> _U(32))
