@@ -1,0 +1,344 @@
+"""Operators 3, 4, 5, 6 and 9: brute force, exact round trips, held-out quality, and their defined cases."""
+
+import hashlib
+import math
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from minutewise.llm import pseudo_lm, segment, toxicity
+from minutewise.llm.common import string_bytes
+from minutewise.llm.html_cut import extract, main_text, max_flow
+from minutewise.llm.pii import MORE, estimate, personal_spans
+
+# ---- 3: toxicity
+
+
+def _toxic_corpus(rng, n):
+    """Words of two languages; toxic texts hold an insult of the language, inflected in the second."""
+    rows = []
+    for d in range(n):
+        lang = rng.choice(["en", "xx"])
+        w = [rng.choice("aeiou") + rng.choice(["n", "st", "ed", "ing", "re"]) + rng.choice(["", "o", "ly", "er"]) for _ in range(rng.randrange(5, 80))]
+        toxic = rng.random() < 0.4
+        if toxic:
+            w[rng.randrange(len(w))] = "blockhead" if lang == "en" else "grump" + rng.choice("aeiou") + rng.choice(["n", "sk", "t"])
+        rows.append((d, " ".join(w), lang, int(toxic)))
+    return rows
+
+
+def test_toxicity_learns_words_and_stems_from_open_rows_only(spark):
+    rows = _toxic_corpus(random.Random(1), 1500)
+    docs = spark.createDataFrame([(d, t, la, "extra") for d, t, la, _ in rows] + [(9001, None, "en", ""), (9002, "", None, "")],
+                                 "doc_id long, text string, lang string, source string")
+    closed = {r[0] for r in docs.where(toxicity.held_out(F.col("doc_id"))).select("doc_id").collect()}
+    # labels of held-out rows are inverted: a model that learnt from them could not be right on them
+    labels = spark.createDataFrame([(d, 1 - y if d in closed else y, None) for d, _, _, y in rows] + [(70000, 1, None), (3, None, None)],
+                                   "doc_id long, toxic int, quality int")
+    model = toxicity.train(docs, labels)
+    got = {r["doc_id"]: r["score"] for r in toxicity.with_scores(docs.select("doc_id", "text"), model).collect()}
+    right = [(got[d] >= toxicity.THRESHOLD) == bool(y) for d, _, _, y in rows if d in closed]
+    assert len(right) > 300 and np.mean(right) > 0.95
+    assert all(0 <= s <= 1 for s in got.values()) and got[9001] == got[9002]
+    flagged = toxicity.flag_toxic(docs, labels)
+    assert flagged.columns[:4] == docs.columns and set(model.thresholds) <= {"en", "xx"}
+    assert all(toxicity.LEAST_CUT <= x <= toxicity.MOST_CUT for x in model.thresholds.values())
+
+
+def test_toxicity_without_labels(spark):
+    docs = spark.createDataFrame([(1, "a", "en")], "doc_id long, text string, lang string")
+    none = spark.createDataFrame([], "doc_id long, toxic int")
+    assert toxicity.train(docs, none) is None
+    assert [r["score"] for r in toxicity.with_scores(docs, None).collect()] == [0.0]
+
+
+def test_pooling_reads_the_whole_text():
+    rng = np.random.default_rng(0)
+    m = toxicity.Model(rng.standard_normal((toxicity.BUCKETS, toxicity.DIM)).astype(np.float32),
+                       [rng.standard_normal((w, toxicity.DIM, toxicity.FILTERS)).astype(np.float32) for w in toxicity.WIDTHS],
+                       np.zeros(24, np.float32), np.zeros(24, np.float32), 0.0, (1.0, 0.0), {})
+    tok, start = toxicity.tokens(*string_bytes(pa.array(["a b c", "", "d e f g h i j", "k"])))
+    pooled, place = toxicity._pooled(m, tok, start, winners=True)
+    for i in range(4):
+        x = toxicity._vectors(m.emb, tok[start[i]:start[i + 1]])
+        want = [max((sum(x[p + j] @ f[j][:, c] for j in range(w))) for p in range(len(x) - w + 1))
+                for w, f in zip(toxicity.WIDTHS, m.filters) for c in range(toxicity.FILTERS)]
+        assert np.allclose(pooled[i], want, atol=1e-4)
+    assert all((p >= start[:-1, None]).all() and (p < start[1:, None]).all() for p in place)
+
+
+# ---- 4: personal data
+
+_BASE = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+         "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
+
+
+def _luhn(digits):
+    total = 0
+    for i, c in enumerate(reversed(digits)):
+        total += int(c) if i % 2 == 0 else sum(divmod(2 * int(c), 10))
+    return total % 10 == 0
+
+
+def _base_spans(text):
+    out = []
+    for kind, pattern in _BASE.items():
+        for m in re.finditer(pattern, text or ""):
+            d = re.sub("[^0-9]", "", m[0])
+            if (kind == "ip" and max(map(int, m[0].split("."))) > 255 or kind == "card" and not (13 <= len(d) <= 19 and _luhn(d))
+                    or kind == "phone" and not 9 <= len(d) <= 15):
+                continue
+            out.append((kind, m.start(), m.end()))
+    return out
+
+
+def test_base_spans_equal_brute_force(spark):
+    rng = random.Random(17)
+    atoms = ["a@b.c", "_", "x.y+z@mail-1.example.com", "@", ".", "..", "1.2.3.4", "256.1.1.1", "007.08.009.0255", "4111 1111 1111 1111",
+             "4041894974608795", "+1 (988) 555-2485", "+49", " ", "-", "é", "😀", "12", "9", "word", "\n", "+", "(", ")", "tel"]
+    docs = [(d, "".join(rng.choice(atoms) for _ in range(rng.randrange(40))), "x") for d in range(400)]
+    docs += [(None, "me@x.org", "x"), (5, None, "x"), (6, "", "x"), (7, "a@b.c", "x"), (7, "a@b.c", "x"),
+             (8, "9" * 5000 + "@" + "a." * 3000 + "com " + "1 " * 9000 + "+1" + " " * 5000, "x")]
+    got = personal_spans(spark.createDataFrame(docs, "doc_id long, text string, extra string")).collect()
+    want = Counter()
+    for d, t, _ in docs:
+        s = _base_spans(t)
+        want[(d, *[sum(x[0] == k for x in s) for k in _BASE],
+              hashlib.sha256(",".join(f"{k}:{a}:{b}" for k, a, b in s).encode()).hexdigest())] += 1
+    assert Counter(tuple(r)[:6] for r in got) == want
+    for r in got:  # base spans stay, added ones are of other kinds and overlap none
+        spans = [x.split(":") for x in r["spans"].split(",")] if r["spans"] else []
+        base = [x for x in spans if x[0] in _BASE]
+        assert len(base) == r["n_email"] + r["n_ip"] + r["n_card"] + r["n_phone"]
+        assert r["n_added"] == sum(x[0] in MORE for x in spans)
+        for x in spans:
+            if x[0] in MORE:
+                assert not any(int(x[1]) < int(b[2]) and int(b[1]) < int(x[2]) for b in base)
+
+
+def test_added_spans_and_plan(spark):
+    rng = random.Random(3)
+    rows = []
+    for d in range(300):
+        n = "".join(rng.choice("0123456789") for _ in range(10))
+        rows.append((d, rng.choice([f"call me: ({n[:3]}) {n[3:6]}-{n[6:]} today, mail bob.{n[:3]}@mail.com", f"version {n[:2]}.{n[2]} page {n[:3]} price {n[3:5]}",
+                                    f"my password: {n}abc and +1 {n[:3]} {n[3:6]} {n[6:]}", "plain text without numbers"])))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    out = personal_spans(df)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+    added = {r["doc_id"]: r["n_added"] for r in out.collect()}
+    assert sum(added[d] for d, t in rows if t.startswith("call")) > 0
+    assert sum(added[d] for d, t in rows if t.startswith(("version", "plain"))) == 0
+    assert personal_spans(df.limit(0)).count() == 0
+
+
+def test_estimate_recovers_reliabilities():
+    rng = random.Random(9)
+    right = (0.95, 0.8, 0.6)
+    counts = Counter()
+    for _ in range(20000):
+        y = rng.random() < 0.3
+        counts[tuple((1 if (rng.random() < p) == y else -1) if rng.random() < 0.9 else 0 for p in right)] += 1
+    post, rel, prior = estimate(sorted(counts.items()))
+    assert abs(prior - 0.3) < 0.05
+    for j, p in enumerate(right):
+        assert abs(rel[j][(1, 1)] / (rel[j][(1, 1)] + rel[j][(1, -1)]) - p) < 0.07
+    assert post[(1, 1, 1)] > 0.9 > 0.1 > post[(-1, -1, -1)] and estimate([])[0] == {}
+
+
+# ---- 5: HTML
+
+
+def test_max_flow_equals_enumeration():
+    rng = random.Random(6)
+    for _ in range(200):
+        n = rng.randrange(3, 8)
+        edges = [(u, v, rng.randrange(6), rng.randrange(6)) for u in range(n) for v in range(u + 1, n) if rng.random() < 0.6]
+        side = max_flow(n, edges, n - 2, n - 1)
+
+        def cost(inside):
+            return sum(c * (inside[u] and not inside[v]) + b * (inside[v] and not inside[u]) for u, v, c, b in edges)
+        best = min(cost([*[bool(k >> i & 1) for i in range(n - 2)], True, False]) for k in range(1 << (n - 2)))
+        assert side[n - 2] and not side[n - 1] and cost(side) == best
+
+
+_PAGE = ('<!DOCTYPE html><html><head><title>T &amp; U</title><style>p{}</style><script>var a="</p><p>no</p>";</script></head><body>'
+         '<header><a href="/">Home</a></header><nav><ul><li><a href="/a">News</a></li></ul></nav><div class="cookie-notice">We use cookies, as all do. Accept?</div>'
+         '<article><h1>T &amp;  U</h1><p><b>First  paragraph, with\nwords&nbsp;in it.<br><p>Second &lt;one&gt;, longer than the first. It ends.</p>'
+         '<div class="ad">Buy this now, it is cheap!</div><p>Third.</p><section class="comments"><article class="comment"><p>I liked this article, thanks a lot.</p>'
+         '</article></section></article><aside><p>Related text, in a sidebar. Long enough.</p></aside><form><label>Mail</label><button>Go</button></form>'
+         '<footer>&copy; 2020</footer></body></html>')
+
+
+def test_main_text_of_pages(spark):
+    want = "T & U\nFirst paragraph, with words in it.\nSecond <one>, longer than the first. It ends.\nThird."
+    assert main_text(_PAGE) == want
+    assert main_text("plain &amp; simple text, no tags. It is enough, really.") == "plain & simple text, no tags. It is enough, really."
+    assert main_text('<div id="menu"><a href="a">One</a></div>') == ""
+    assert main_text("<p>unclosed <a href='x") == "unclosed" or main_text("<p>unclosed <a href='x") == ""
+    rows = [(1, "u", _PAGE, "x"), (1, "u", _PAGE, "x"), (2, None, None, "x"), (None, "v", "", "x"),
+            (3, "w", "<article>" + "<p>Some text, with words. Yes.</p>" * 3000 + "</article>", "x")]
+    got = extract(spark.createDataFrame(rows, "page_id long, url string, html string, text string")).collect()
+    assert [(r["page_id"], r["url"]) for r in got].count((1, "u")) == 2
+    by = {(r["page_id"], r["url"]): r for r in got}
+    assert by[(1, "u")]["text"] == want and by[(1, "u")]["n_chars"] == len(want)
+    assert by[(2, None)]["text"] == "" and by[(None, "v")]["n_chars"] == 0
+    assert by[(3, "w")]["text"].count("\n") == 2999
+    assert extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+def test_sample_pages_keep_their_articles(spark):
+    import html
+    for r in spark.read.parquet("/root/testdata/sf0.001/pages.parquet").collect():
+        inner = re.search(r"<article>(.*?)</article>", r["html"], re.S)
+        parts = re.split(r"</?(?:p|h1|br)\b[^>]*>", inner[1])
+        parts = [re.sub(r"\s+", " ", html.unescape(re.sub(r"<[^>]+>", "", p))).strip() for p in parts]
+        assert main_text(r["html"]) == "\n".join(p for p in parts if p)
+
+
+# ---- 6: segmentations
+
+
+@pytest.fixture(scope="module")
+def vocabulary():
+    return segment.load_vocabulary()
+
+
+def _all_segmentations(v, data):
+    ids = {v.data[v.at[i]:v.at[i + 1]].tobytes(): i for i in range(len(v.weight))
+           if v.weight[i] > -np.inf and not v.first_byte <= i < v.first_byte + 256}
+    lead = [i for i in range(len(data)) if data[i] & 0xC0 != 0x80] + [len(data)]
+    out = {}
+
+    def go(i, pieces, w):
+        if i == len(data):
+            out[tuple(pieces)] = w
+            return
+        if i in lead:
+            for j in range(i + 1, len(data) + 1):
+                if data[i:j] in ids:
+                    go(j, [*pieces, ids[data[i:j]]], w + v.weight[ids[data[i:j]]])
+        c = max(x for x in lead if x <= i)
+        if data[c:lead[lead.index(c) + 1]] not in ids:
+            go(i + 1, [*pieces, v.first_byte + data[i]], w + segment.BYTE_WEIGHT)
+    go(0, [], 0.0)
+    total = math.log(sum(map(math.exp, out.values())))
+    return {s: w - total for s, w in out.items()}
+
+
+@pytest.mark.parametrize("text", ["the of", "a▁é\U0001F9FF x", "  ab", "internation"])
+def test_draws_follow_the_distribution(vocabulary, text):
+    v, n = vocabulary, 8000
+    ref = _all_segmentations(v, b" " + text.encode())
+    p = {s: math.exp(w) for s, w in ref.items()}
+    size = len(text.encode())
+    raw, offs = segment._spaced(np.frombuffer((text * n).encode(), np.uint8), np.arange(n + 1) * size)
+    drawn, bound = segment.draw(raw, offs, np.arange(n), v, 3)
+    first, second, included = Counter(), Counter(), Counter()
+    for r, d in enumerate(drawn):
+        at = np.searchsorted(d.doc, np.arange(n + 1))
+        for i in np.flatnonzero(d.there):
+            s = tuple(d.piece[at[i]:at[i + 1]].tolist())
+            assert abs(ref[s] - d.logp[i]) < 1e-9
+            (first, second, Counter())[r][s] += 1
+            included[s] += 1 / -math.expm1(-math.exp(ref[s] - bound[i]))
+            assert segment.decode_text(list(s), v) == text
+    for s in sorted(p, key=p.get)[-4:]:
+        assert abs(first[s] / n - p[s]) < 0.02
+        want = sum(p[t] * p[s] / (1 - p[t]) for t in p if t != s and p[t] < 1)
+        assert abs(second[s] / n - want) < 0.025
+        if p[s] > 0.05:  # inverse inclusion scores weigh to one
+            assert abs(included[s] / n - 1) < 0.1
+
+
+def test_draws_are_distinct_and_seeded_by_row(spark):
+    text = "Hello  world,\n\tthis is a text — with ▁ and 😀 in it. " * 3
+    rows = [(d, text, "x") for d in range(20)] + [(3, text, "x"), (90, None, "x"), (91, "", "x"), (92, "a", "x"), (None, "b c", "x"), (93, "q" * 20000 + " z", "x")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, extra string")
+    one = {(r["doc_id"], r["digest"][0]): r for r in segment.segmentations(df.repartition(1)).collect()}
+    two = segment.segmentations(df.repartition(7)).collect()
+    assert len(two) == len(rows)
+    for r in two:
+        assert r == one[(r["doc_id"], r["digest"][0])] and r["round_trip"]
+        assert len(set(r["digest"])) == len(r["digest"])
+    by = {r["doc_id"]: r for r in two}
+    assert len({by[d]["digest"][0] for d in range(20)}) > 10
+    assert by[90]["n_tokens"] == [0] and by[91]["inclusion"] == [1.0]
+    tokens = segment.with_tokens(df, k=2)
+    assert tokens.columns == [*df.columns, "tokens"]
+    v = segment.load_vocabulary()
+    for r in tokens.collect():
+        assert [x["logp"] for x in r["tokens"]] == by[r["doc_id"]]["logp"][:2]
+        for x in r["tokens"]:
+            assert segment.decode_text(x["pieces"], v) == (r["text"] or "")
+    assert segment.segmentations(df.limit(0)).count() == 0
+
+
+# ---- 9: language model
+
+
+def test_gradients_of_the_network():
+    rng = np.random.default_rng(2)
+    w = [x.astype(np.float64) for x in pseudo_lm.start_weights()]
+    cls, at = rng.integers(0, pseudo_lm.CLASSES, 40), np.array([0, 25, 25, 40])
+
+    def loss(w):
+        z = pseudo_lm._hidden(w, pseudo_lm._windows(cls, at)) @ w[2] + w[3]
+        z = z - z.max(axis=1, keepdims=True)
+        return float(np.mean(np.log(np.exp(z).sum(axis=1)) - z[np.arange(40), cls]))
+
+    t = pseudo_lm.Trainer(w)
+    t.seen = [np.zeros_like(x) for x in w]
+    before = [x.copy() for x in t.w]
+    with np.errstate(divide="ignore", invalid="ignore"):
+        t.run(cls, at)
+    for k, shape in enumerate(pseudo_lm._SHAPES):
+        for _ in range(12):
+            i = tuple(rng.integers(0, s) for s in shape)
+            up, down = [x.copy() for x in w], [x.copy() for x in w]
+            up[k][i] += 1e-5
+            down[k][i] -= 1e-5
+            g = (loss(up) - loss(down)) / 2e-5
+            assert abs(math.sqrt(t.seen[k][i]) - abs(g)) < 1e-5  # the first step saw the gradient itself
+            if abs(g) > 1e-6:
+                assert np.sign(before[k][i] - t.w[k][i]) == np.sign(g)
+
+
+def test_windows_stay_within_documents():
+    near = pseudo_lm._windows(np.array([1, 2, 3, 4]), np.array([0, 3, 3, 4]))
+    c = pseudo_lm.CLASSES
+    assert near.T.tolist() == [[c, c, 2, 3], [c, 1, 3, c], [1, 2, c, c], [c, c, c, c]]
+
+
+def test_scores_prefer_text_like_the_corpus(spark):
+    rng = random.Random(8)
+    pairs = {"red": "fox", "blue": "sky", "green": "tree", "old": "house"}
+    def good(n):  # noqa: E306
+        return " ".join(f"the {a} {pairs[a]} is" for a in (rng.choice(list(pairs)) for _ in range(n)))
+    rows = [(d, good(rng.randrange(5, 60)), "x") for d in range(400)]
+    words = good(30).split()
+    rng.shuffle(words)
+    rows += [(900, " ".join(words), "x"), (901, None, "x"), (902, "", "x"), (None, "the red fox is", "x"), (3, rows[3][1], "x"), (903, good(4000), "x")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, extra string")
+    got = {r["doc_id"]: r for r in pseudo_lm.pseudo_likelihood(df).collect()}
+    assert got[901]["log_likelihood"] == 0 and got[902]["mean_log_likelihood"] is None and got[901]["n_tokens"] == 0
+    usual = np.mean([got[d]["mean_log_likelihood"] for d in range(400)])
+    assert got[900]["mean_log_likelihood"] < usual - 0.3 and abs(got[903]["mean_log_likelihood"] - usual) < 0.2
+    assert got[903]["n_tokens"] == 16000
+    assert pseudo_lm.pseudo_likelihood(df.limit(0)).count() == 0
+
+
+def test_corpus_counts_cover_every_document(spark):
+    df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    lang, w = pseudo_lm.train(df.repartition(3))
+    bucket, at = pseudo_lm.tokens(*string_bytes(pa.array([r["text"] for r in df.collect()])))
+    want = pseudo_lm.language(np.bincount(bucket, minlength=pseudo_lm.BUCKETS))
+    assert np.array_equal(lang.of, want.of) and np.allclose(lang.inside, want.inside)
+    trained = pseudo_lm.log_probabilities(w, lang, bucket, at).mean()
+    assert trained > pseudo_lm.log_probabilities(pseudo_lm.start_weights(), lang, bucket, at).mean()
