@@ -50,10 +50,10 @@ def rolling_features(df: DataFrame, value: str = "requests", std: str = "samp")
         std_fn(v).over(w30).alias("rolling_std"),
         F.max(v).over(w30).alias("rolling_max"),
         F.min(v).over(w30).alias("rolling_min"),
-        F.percentile(v, 0.5).over(w30).alias("rolling_median"),
-        F.percentile(v, 0.9).over(w30).alias("warm_capacity"),
+        F.percentile(v, F.array(F.lit(0.5), F.lit(0.9))).over(w30).alias("_quantiles"),  # one map for both
     ]
-    return df.select("*", *cols)
+    out = df.select("*", *cols)
+    return out.withColumns({"rolling_median": F.col("_quantiles")[0], "warm_capacity": F.col("_quantiles")[1]}).drop("_quantiles")
 
 
 def trend(value: str = "requests", prev: str = "lag_1") -> Column:

@@ -81,12 +81,16 @@ def _assemble(rows: DataFrame, inputs: list[str]) -> DataFrame:
     return VectorAssembler(inputCols=inputs, outputCol="x", handleInvalid="keep").transform(rows)
 
 
-def fit_hurdle(train_rows: DataFrame, features: list[str] = PAST_VALUE_FEATURES, max_iter: int = 25,
-               reg: float = 1e-4) -> HurdleModel:
-    """Fit occurrence and positive-residual models on the training rows."""
+def fit_hurdle(train_rows: DataFrame, features: list[str] = PAST_VALUE_FEATURES, reg: float = 1e-4,
+               limit: int = 1000) -> HurdleModel:
+    """Fit occurrence and positive-residual models on the training rows.
+
+    The tolerance ends the logistic fit; one that has not converged within ``limit`` iterations is an error."""
     inputs = model_inputs(features)
     data = _assemble(train_rows, inputs).withColumn("occ", (F.col("target_log") > 0).cast("double"))
-    occ = LogisticRegression(featuresCol="x", labelCol="occ", maxIter=max_iter, regParam=reg).fit(data)
+    occ = LogisticRegression(featuresCol="x", labelCol="occ", maxIter=limit, regParam=reg).fit(data)
+    if occ.summary.totalIterations >= limit:
+        raise RuntimeError(f"the occurrence model has not converged after {limit} iterations")
     pos = data.where("target_log > 0").withColumn("res", F.col("target_log") - F.col("last_log"))
     lin = LinearRegression(featuresCol="x", labelCol="res", regParam=reg, solver="normal").fit(pos)
     resid = lin.transform(pos).withColumn("e", F.col("res") - F.col("prediction"))
@@ -104,7 +108,8 @@ def score(model: HurdleModel, rows: DataFrame) -> DataFrame:
         *KEY, "origin_minute", "step", "target_log", "last_log", "x",
         vector_to_array("probability")[1].alias("p"))
     mu = model.residual.transform(p).withColumn("mu", F.col("last_log") + F.col("prediction"))
-    sig = model.sigma_by_group
-    out = mu.join(sig, [mu[k].eqNullSafe(sig[k]) for k in KEY], "left").drop(*[sig[k] for k in KEY])
+    # names of its own: fitted and scored rows may come from one table, so their columns are told apart by name
+    sig = model.sigma_by_group.select(*[F.col(k).alias(f"_g_{k}") for k in KEY], "sigma")
+    out = mu.join(sig, [F.col(k).eqNullSafe(F.col(f"_g_{k}")) for k in KEY], "left")
     return out.select(*KEY, "origin_minute", "step", "target_log", "last_log", "mu",
                       F.coalesce(F.col("sigma"), F.lit(model.pooled_sigma)).alias("sigma"), "p")

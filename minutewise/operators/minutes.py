@@ -1,7 +1,8 @@
 """Minute aggregation and the dense zero-filled calendar (one regular series per group).
 
-Plan shape at scale: raw requests are reduced once by (minute, group) with map-side partial
-aggregation, so no request row ever crosses the network; everything after that is keyed by the
+Plan shape at scale: raw requests are reduced once, with map-side partial aggregation, to cells
+(minute, group, pod, user), and the cells to minutes: exact distinct counts expand cells, not raw
+requests. As many cells cross the network as there are combinations in a map task; everything after that is keyed by the
 group only, and the dense calendar is generated inside the group partitioning (no join, no
 second shuffle of the dense rows), which is exactly what the rolling windows need next.
 """
@@ -31,25 +32,32 @@ def minute_aggregate(trace: DataFrame, bucket_seconds: int = 60, time_col: str =
     ``approx_distinct`` switches the two exact distinct counts to HyperLogLog++ with that
     relative error (removes the Expand of exact distinct when pods per minute are huge).
     """
-    if approx_distinct is None:
-        pods = F.countDistinct("podID")
-        users = F.countDistinct("userID")
-    else:
-        pods = F.approx_count_distinct("podID", approx_distinct)
-        users = F.approx_count_distinct("userID", approx_distinct)
-    return (
-        trace.withColumn("minute", minute_of(time_col, bucket_seconds))
-        .groupBy("minute", *KEY)
-        .agg(
-            F.count(F.lit(1)).alias("requests"),
-            F.avg("cpu_usage").alias("avg_cpu"),
-            F.avg("memory_usage").alias("avg_memory"),
-            F.avg("runtimeCost").alias("avg_runtime"),
-            F.avg("requestBodySize").alias("avg_request_size"),
-            pods.cast("long").alias("active_pods"),
-            users.cast("long").alias("active_users"),
-        )
-    )
+    minutes = trace.withColumn("minute", minute_of(time_col, bucket_seconds))
+    means = {"avg_cpu": "cpu_usage", "avg_memory": "memory_usage", "avg_runtime": "runtimeCost",
+             "avg_request_size": "requestBodySize"}
+    if approx_distinct is not None:
+        return minutes.groupBy("minute", *KEY).agg(
+            F.count(F.lit(1)).alias("requests"), *[F.avg(c).alias(a) for a, c in means.items()],
+            F.approx_count_distinct("podID", approx_distinct).alias("active_pods"),
+            F.approx_count_distinct("userID", approx_distinct).alias("active_users"))
+    cells = request_cells(minutes, ["minute", *KEY, "podID", "userID"], list(means.values()))
+    return cells.groupBy("minute", *KEY).agg(
+        F.sum("_n").alias("requests"), *[cell_mean(c).alias(a) for a, c in means.items()],
+        F.countDistinct("podID").cast("long").alias("active_pods"),
+        F.countDistinct("userID").cast("long").alias("active_users"))
+
+
+def request_cells(trace: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
+    """Raw requests reduced to one row per combination of ``keys``: ``_n`` rows, and for each value the sum
+    and the number of rows that have it."""
+    return trace.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_n"), *[F.sum(c).alias(f"_sum_{c}") for c in values],
+        *[F.count(c).alias(f"_n_{c}") for c in values])
+
+
+def cell_mean(value: str) -> Column:
+    """The mean of a value over the requests of some cells (NULL if none has it)."""
+    return F.sum(f"_sum_{value}") / F.nullif(F.sum(f"_n_{value}"), F.lit(0))
 
 
 def minute_bounds(minutes: DataFrame) -> DataFrame:

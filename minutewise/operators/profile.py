@@ -5,27 +5,33 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from minutewise.operators.minutes import minute_of
+from minutewise.operators.minutes import cell_mean, minute_of
 
+# Fixed output values: the labels of the report's summary section, in order.
 SUMMARY_LABELS = ["Requests", "Functions", "Users", "Pods", "Clusters", "Regions", "Average CPU",
                   "Average Memory", "Average Runtime", "Start Time", "End Time"]
 
 
 def dataset_summary(trace: DataFrame, time_col: str = "time_worker") -> DataFrame:
-    """A1 (wide): 11 metrics in one pass."""
-    return trace.agg(
-        F.count(F.lit(1)).alias("requests"),
+    """A1 (wide): 11 metrics in one pass over the requests; distinct counts expand cells (combinations of the
+    entities), not requests."""
+    keys, values = ["funcName", "userID", "podID", "clusterName", "region"], ["cpu_usage", "memory_usage", "runtimeCost"]
+    cells = trace.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_n"), *[F.sum(c).alias(f"_sum_{c}") for c in values],
+        *[F.count(c).alias(f"_n_{c}") for c in values], F.min(time_col).alias("_first"), F.max(time_col).alias("_last"))
+    return cells.agg(
+        F.sum("_n").alias("requests"),
         F.countDistinct("funcName").alias("functions"),
         F.countDistinct("userID").alias("users"),
         F.countDistinct("podID").alias("pods"),
         F.countDistinct("clusterName").alias("clusters"),
         F.countDistinct("region").alias("regions"),
-        F.avg("cpu_usage").alias("avg_cpu"),
-        F.avg("memory_usage").alias("avg_memory"),
-        F.avg("runtimeCost").alias("avg_runtime"),
-        F.min(time_col).alias("start_time"),
-        F.max(time_col).alias("end_time"),
-    )
+        cell_mean("cpu_usage").alias("avg_cpu"),
+        cell_mean("memory_usage").alias("avg_memory"),
+        cell_mean("runtimeCost").alias("avg_runtime"),
+        F.min("_first").alias("start_time"),
+        F.max("_last").alias("end_time"),
+    ).withColumn("requests", F.coalesce("requests", F.lit(0)))
 
 
 def dataset_summary_long(trace: DataFrame) -> DataFrame:

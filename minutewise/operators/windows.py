@@ -13,17 +13,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from minutewise.operators.ordering import global_rank, running_total
 from minutewise.schema import (CATEGORY_CODES, HISTORY, HORIZON, KEY, PAST_VALUE_FEATURES, STABILITY_CODES,
                                TIME_FEATURES, V1_FEATURES)
 
 
-def sized_broadcast(df: DataFrame, max_rows: int = 2_000_000) -> DataFrame:
-    """Broadcast ``df`` only when a count proves it small; otherwise leave the join to a shuffle."""
-    return F.broadcast(df) if df.count() <= max_rows else df
-
-
 def group_windows_meta(features: DataFrame, history: int = HISTORY, horizon: int = HORIZON) -> DataFrame:
     """Per group row_count, category, stability; groups shorter than history+horizon dropped.
 
@@ -53,6 +49,19 @@ def function_key() -> Column:
     return F.concat_ws("::", *KEY)
 
 
+def _passed_codes(df: DataFrame, col: str, encoded: Column) -> Column:
+    """Integer classes (as the raw-trace path emits) are codes already; NULL → 0."""
+    if isinstance(df.schema[col].dataType, T.NumericType):
+        return F.coalesce(F.col(col).cast("int"), F.lit(0))
+    return encoded
+
+
+def encoded_classes(df: DataFrame, mode: str = "v2") -> dict[str, Column]:
+    """D4/D4b for a table: ``category_id`` and ``stability_id`` by the type of its columns."""
+    return {"category_id": _passed_codes(df, "category", encode_category(mode=mode)),
+            "stability_id": _passed_codes(df, "stability", encode_stability(mode=mode))}
+
+
 def _code_map(c: Column, codes: dict[str, int]) -> Column:
     expr = None
     for k, v in codes.items():
@@ -144,7 +153,7 @@ def windows(features: DataFrame, history: int = HISTORY, horizon: int = HORIZON)
     group id, active flag. No arrays."""
     rows = window_positions(features, history, horizon).where("is_origin")
     idx = window_index(group_windows_meta(features, history, horizon), history, horizon)
-    idx = sized_broadcast(idx.select(*KEY, "group_id", "offset", "n_windows"))
+    idx = idx.select(*KEY, "group_id", "offset", "n_windows")  # AQE picks the join from its size in bytes
     j = rows.join(idx, [rows[k].eqNullSafe(idx[k]) for k in KEY]).drop(*[idx[k] for k in KEY])
     return j.select(*KEY, "group_id", F.col("minute").alias("origin_minute"), "start", "n_windows",
                     (F.col("offset") + F.col("start")).alias("window_index"), "active")
@@ -152,12 +161,13 @@ def windows(features: DataFrame, history: int = HISTORY, horizon: int = HORIZON)
 
 def window_arrays(normalised: DataFrame, features: list[str] = PAST_VALUE_FEATURES,
                   time_features: list[str] = TIME_FEATURES, history: int = HISTORY,
-                  horizon: int = HORIZON, carry: list[str] | None = None) -> DataFrame:
+                  horizon: int = HORIZON, carry: list[str] | None = None, whole_only: bool = True) -> DataFrame:
     """D9 (all windows): arrays per origin row from sliding frames, float32.
 
     past_values [history][len(features)], past_time [history][4], future_time [horizon][4],
     past_target = log1p(raw) over history, target = log1p(raw) over the horizon (D12).
-    Input must be NULL-free (``normalise``), since ``collect_list`` skips NULLs.
+    Input must be NULL-free (``normalise``), since ``collect_list`` skips NULLs. ``whole_only=False``
+    keeps the rows whose frames are cut by the group's ends.
     """
     w = Window.partitionBy(*KEY).orderBy("minute")
     past = w.rowsBetween(-(history - 1), 0)
@@ -173,7 +183,7 @@ def window_arrays(normalised: DataFrame, features: list[str] = PAST_VALUE_FEATUR
         F.collect_list(logt).over(past).alias("past_target"),
         F.collect_list(logt).over(fut).alias("target"),
     )
-    return out.where((F.size("past_target") == history) & (F.size("target") == horizon))
+    return out.where((F.size("past_target") == history) & (F.size("target") == horizon)) if whole_only else out
 
 
 def select_window_arrays(normalised: DataFrame, chosen: DataFrame, cols: list[str] = PAST_VALUE_FEATURES,
@@ -203,8 +213,7 @@ def v1_samples(features: DataFrame, cols: list[str] = V1_FEATURES, history: int
     filled = features.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in cols})
     filled = filled.withColumns({
         "raw_target": F.coalesce(F.col("requests").cast("double"), F.lit(0.0)),
-        "category_id": encode_category(mode="v1"),
-        "stability_id": encode_stability(mode="v1"),
+        **encoded_classes(features, mode="v1"),
     })
     a = window_arrays(filled, cols, time_features=[], history=history, horizon=horizon,
                       carry=["category_id", "stability_id"])
@@ -222,6 +231,7 @@ def v1_adapter(arrays: DataFrame) -> DataFrame:
 
 
 def group_rows(features: DataFrame, region: str, cluster: str, func: str) -> DataFrame:
-    """One group's rows in minute order (filter pushed to the scan / partition pruned)."""
+    """One group's rows in minute order. On a stored feature table (partitioned by region) the filter prunes
+    partitions and reaches the scan; on a computed one the whole table is built first."""
     return features.where((F.col("region") == region) & (F.col("clusterName") == cluster)
                           & (F.col("funcName") == func)).orderBy("minute")

@@ -183,12 +183,13 @@ def q_best_horizon_step(spark, sf):
 
 
 def _forecaster_rows(spark, sf):
+    """(origin, step) rows of all windows, scaled with the statistics of training rows only."""
     from minutewise.operators import windows as win
     from minutewise.operators.forecaster import step_rows
     from minutewise.plans.q_windows import _features
-    from minutewise.session import materialize
+    from minutewise.session import stored
     f = _features(spark, sf)
-    return materialize(step_rows(win.normalise(f, win.feature_statistics(f))))
+    return stored(step_rows(win.normalise(f, win.feature_statistics(f, fit_on="train"))), "steps", "split")
 
 
 @register("hurdle_forecaster_metrics", None)
@@ -199,3 +200,25 @@ def q_hurdle_forecaster_metrics(spark, sf):
     rows = _forecaster_rows(spark, sf)
     model = fit_hurdle(rows.where("split = 'train'"))
     return round_doubles(metrics.forecast_metrics(score(model, rows.where("split = 'test'"))))
+
+
+def _forecaster_invariants_sql() -> str:
+    from minutewise.plans.q_windows import FEAT_CTES, GROUPS_CTE, INDEX_CTE, SPLIT_CTE, WINDOWS_CTE
+    return with_ctes(*FEAT_CTES, GROUPS_CTE, INDEX_CTE, WINDOWS_CTE, SPLIT_CTE, select=f"""
+SELECT CAST(10 * COUNT(*) AS BIGINT) AS n_scored, CAST(0 AS BIGINT) AS n_bad_sigma, CAST(0 AS BIGINT) AS n_bad_p,
+       CAST(0 AS BIGINT) AS n_bad_mu, CAST(COUNT(DISTINCT ({K})) AS BIGINT) AS n_groups, CAST(10 AS BIGINT) AS n_steps
+FROM wsplit WHERE split = 'test'""")
+
+
+@register("hurdle_forecaster_invariants", _forecaster_invariants_sql())
+def q_hurdle_forecaster_invariants(spark, sf):
+    """T1/T2 against SQL: ten predictions for each test window, within their bounds, for every group."""
+    from minutewise.operators.forecaster import fit_hurdle, score
+    rows = _forecaster_rows(spark, sf)
+    out = score(fit_hurdle(rows.where("split = 'train'")), rows.where("split = 'test'"))
+    bad = lambda c: F.count_if(F.coalesce(c, F.lit(True)))
+    return out.agg(F.count(F.lit(1)).alias("n_scored"),
+                   bad((F.col("sigma") < 0.05) | (F.col("sigma") > 1.0) | F.isnan("sigma")).alias("n_bad_sigma"),
+                   bad((F.col("p") < 0) | (F.col("p") > 1) | F.isnan("p")).alias("n_bad_p"),
+                   bad(F.isnan("mu") | (F.abs("mu") > 1e6)).alias("n_bad_mu"),
+                   F.countDistinct(F.struct(*KEY)).alias("n_groups"), F.countDistinct("step").alias("n_steps"))

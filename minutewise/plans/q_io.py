@@ -25,14 +25,34 @@ K = ", ".join(KEY)
 ROWS_BY_REGION_SQL = with_ctes(select="SELECT region, CAST(COUNT(*) AS BIGINT) AS n_rows FROM trace GROUP BY region")
 
 
-def _stage_csv(spark, sf, base):
-    """Write the trace as a CSV tree ``region=R/day=D/part-*.csv`` (declared column order), one
-    file per (region, day) directory."""
+def _slots(spark, sf):
+    """The trace with the hour of each request: one directory and file for each region and hour."""
     t = trace(spark, sf).withColumn("time_frontend", F.lit(None).cast("double"))
-    cols = [f.name for f in TRACE_SCHEMA.fields]
-    staged = t.select(*cols, "region", F.floor(F.col("time_worker") / 86400).cast("int").alias("day"))
-    (staged.repartition("region", "day")
-     .write.mode("overwrite").option("header", True).partitionBy("region", "day").csv(base))
+    return t.withColumn("slot", F.floor(F.col("time_worker") / 3600).cast("int"))
+
+
+def _write_csv(df, base):
+    (df.repartition("region", "slot").write.mode("append").option("header", True)
+     .partitionBy("region", "slot").csv(base))
+
+
+def _stage_csv(spark, sf, base):
+    """Write the trace as a CSV tree ``region=R/slot=H/part-*.csv`` (declared column order); the number of
+    files grows with the time span, and no task or file holds a whole region."""
+    _write_csv(_slots(spark, sf).select(*[f.name for f in TRACE_SCHEMA.fields], "region", "slot"), base)
+
+
+def _stage_mixed_csv(spark, sf, base):
+    """As ``_stage_csv``, but R2 has its columns in another order, one the trace does not know and one cost
+    column, R5 has text for a number in even hours, and R0 is a file with a header only."""
+    t, names = _slots(spark, sf), [f.name for f in TRACE_SCHEMA.fields]
+    _write_csv(t.where("region NOT IN ('R2', 'R5')").select(*names, "region", "slot"), base)
+    swapped = ["funcName", "clusterName", *[n for n in reversed(names) if n not in ("funcName", "clusterName")]]
+    _write_csv(t.where("region = 'R2'").select(*swapped[:4], F.lit("a,b").alias("note"), (F.col("cpu_usage") * 2).alias("workerCost"),
+                                               *swapped[4:], "region", "slot"), base)
+    text = F.when(F.col("slot") % 2 == 0, F.lit("n/a")).otherwise(F.col("runtimeCost").cast("string"))
+    _write_csv(t.where("region = 'R5'").withColumn("runtimeCost", text).select(*names, "region", "slot"), base)
+    t.where("1 = 0").select(*names).coalesce(1).write.option("header", True).csv(f"{base}/region=R0/slot=0")
 
 
 @register("batch_ingest_rows_by_region", ROWS_BY_REGION_SQL)
@@ -49,23 +69,60 @@ def q_batch_ingest_rows_by_region(spark, sf):
 def q_stream_ingest_rows_by_region(spark, sf):
     base = scratch_table_path(spark, f"stream-ingest-{uuid.uuid4().hex}")
     _stage_csv(spark, sf, f"{base}/csv")
-    for _ in range(2):  # rerun against the same checkpoint adds nothing
-        sing.stream_ingest(spark, f"{base}/csv", f"{base}/requests", f"{base}/ledger", f"{base}/checkpoint")
-    return spark.read.parquet(f"{base}/requests").groupBy("region").agg(F.count(F.lit(1)).alias("n_rows"))
+    for _ in range(2):  # several micro-batches; the rerun against the same checkpoint adds nothing
+        sing.stream_ingest(spark, f"{base}/csv", f"{base}/requests", f"{base}/ledger", f"{base}/checkpoint", 50)
+    rows = ing.read_table(spark, f"{base}/requests", f"{base}/ledger")
+    return rows.groupBy("region").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 @register("import_totals", with_ctes(select="""
-SELECT 'SUCCESS' AS status, CAST(COUNT(DISTINCT (region, CAST(FLOOR(time_worker / 86400) AS INTEGER))) AS BIGINT) AS files,
+SELECT 'SUCCESS' AS status, CAST(COUNT(DISTINCT (region, CAST(FLOOR(time_worker / 3600) AS INTEGER))) AS BIGINT) AS files,
        CAST(COUNT(*) AS BIGINT) AS rows
 FROM trace"""))
 def q_import_totals(spark, sf):
-    """Files and rows by status after ingesting the staged tree (one file per region-day)."""
+    """Files and rows by status after ingesting the staged tree (one file per region and hour)."""
     base = scratch_table_path(spark, f"ingest-totals-{uuid.uuid4().hex}")
     _stage_csv(spark, sf, f"{base}/csv")
     ing.ingest(spark, f"{base}/csv", f"{base}/requests", f"{base}/ledger")
     return ing.import_totals(ing.read_ledger(spark, f"{base}/ledger"))
 
 
+_MIXED_CTE = """mixed AS (
+  SELECT *, CAST(FLOOR(time_worker / 3600) AS INTEGER) AS slot,
+         region = 'R5' AND CAST(FLOOR(time_worker / 3600) AS INTEGER) % 2 = 0 AS bad FROM trace)"""
+
+
+def _ingest_mixed(spark, sf):
+    base = scratch_table_path(spark, f"ingest-mixed-{uuid.uuid4().hex}")
+    _stage_mixed_csv(spark, sf, f"{base}/csv")
+    ing.ingest(spark, f"{base}/csv", f"{base}/requests", f"{base}/ledger", files_per_batch=40)
+    return base
+
+
+@register("import_totals_mixed", with_ctes(_MIXED_CTE, """files AS (
+  SELECT region, slot, bool_or(bad) AS bad, COUNT(*) AS n FROM mixed GROUP BY region, slot
+  UNION ALL SELECT 'R0', 0, false, 0)""", select="""
+SELECT CASE WHEN bad THEN 'FAILED' ELSE 'SUCCESS' END AS status, CAST(COUNT(*) AS BIGINT) AS files,
+       CAST(SUM(CASE WHEN bad THEN 0 ELSE n END) AS BIGINT) AS rows FROM files GROUP BY 1"""))
+def q_import_totals_mixed(spark, sf):
+    """S4–S6 over files with other column orders, further columns, a header only, and malformed rows."""
+    return ing.import_totals(ing.read_ledger(spark, f"{_ingest_mixed(spark, sf)}/ledger"))
+
+
+@register("ingest_by_header_name", with_ctes(_MIXED_CTE, select=f"""
+SELECT region, clusterName, CAST(COUNT(*) AS BIGINT) AS n_rows, CAST(COUNT(DISTINCT funcName) AS BIGINT) AS n_functions,
+       {r('SUM(cpu_usage)')} AS cpu, {r('SUM(memory_usage)')} AS memory, {r('SUM(requestBodySize)')} AS size,
+       {r("SUM(CASE WHEN region = 'R2' THEN cpu_usage * 2 END)")} AS worker_cost
+FROM mixed WHERE NOT bad GROUP BY region, clusterName"""))
+def q_ingest_by_header_name(spark, sf):
+    """Values come from the column of their name in every file; absent cost columns are NULL."""
+    base = _ingest_mixed(spark, sf)
+    rows = ing.read_table(spark, f"{base}/requests", f"{base}/ledger")
+    return round_doubles(rows.groupBy("region", "clusterName").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.countDistinct("funcName").alias("n_functions"), F.sum("cpu_usage").alias("cpu"),
+        F.sum("memory_usage").alias("memory"), F.sum("requestBodySize").alias("size"), F.sum("workerCost").alias("worker_cost")))
+
+
 @register("stream_minute_aggregate", with_ctes(sparse_cte(), select=
           f"SELECT minute, {K}, requests, " + ", ".join(
               f"{r(c)} AS {c}" for c in ["avg_cpu", "avg_memory", "avg_runtime", "avg_request_size"])

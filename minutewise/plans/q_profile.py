@@ -9,6 +9,7 @@ from minutewise.operators import profile as prof
 from minutewise.operators import skew
 from minutewise.plans.oracle_sql import r, with_ctes
 from minutewise.plans.registry import register
+from minutewise.session import materialize
 from minutewise.sources.fixture import trace
 
 FUNCS_CTE = """funcs AS (
@@ -261,15 +262,24 @@ def q_region_distribution(spark, sf):
             .orderBy(F.desc("n"), "region"))
 
 
-@register("sample_size", with_ctes(select="SELECT CAST(LEAST(1000, COUNT(*)) AS BIGINT) AS n_rows FROM trace"))
+@register("sample_size", with_ctes(select="""
+SELECT CAST(LEAST(500, COUNT(*)) AS BIGINT) AS n_rows, CAST(LEAST(500, COUNT(*)) AS BIGINT) AS n_distinct,
+       CAST(LEAST(500, COUNT(*)) AS BIGINT) AS n_members FROM events"""))
 def q_sample_size(spark, sf):
-    """An exact uniform sample of 1000 requests has min(1000, rows) rows."""
+    """An exact uniform sample of 500 events holds min(500, rows) different rows, all of them of the table."""
     from minutewise.sources.ingest import sample_rows
-    return sample_rows(trace(spark, sf), 1000).agg(F.count(F.lit(1)).alias("n_rows"))
+    events = spark.read.parquet(f"{sf}/events.parquet")
+    got = materialize(sample_rows(events, 500))
+    members = got.join(events.select(*events.columns), events.columns, "left_semi")
+    return got.agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("event_id").alias("n_distinct")).crossJoin(
+        members.agg(F.count(F.lit(1)).alias("n_members")))
 
 
-@register("first_rows_count", with_ctes(select="SELECT CAST(LEAST(10000, COUNT(*)) AS BIGINT) AS n_rows FROM trace"))
+@register("first_rows_count", with_ctes(select="""
+SELECT CAST(LEAST(700, COUNT(*)) AS BIGINT) AS n_first, CAST(COUNT(*) AS BIGINT) AS n_all FROM trace"""))
 def q_first_rows_count(spark, sf):
-    """The first-N source has min(N, rows) rows."""
+    """The first-N source has min(N, rows) rows, N below the row count; without N it has all."""
     from minutewise.sources.ingest import first_rows
-    return first_rows(trace(spark, sf), 10000).agg(F.count(F.lit(1)).alias("n_rows"))
+    t = trace(spark, sf)
+    return first_rows(t, 700).agg(F.count(F.lit(1)).alias("n_first")).crossJoin(
+        first_rows(t).agg(F.count(F.lit(1)).alias("n_all")))

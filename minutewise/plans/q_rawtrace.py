@@ -56,7 +56,8 @@ def q_raw_trace_features(spark, sf):
           + ", ".join(f"{r(c)} AS {c}" for c in ["avg_cpu", "avg_memory", "avg_runtime", "avg_request_size",
                                                  *COST_COLUMNS.values()]) + " FROM ragg"))
 def q_raw_minute_aggregate(spark, sf):
-    df = raw.relative_minute(raw.pick_time(trace(spark, sf)))
+    df, probe = raw.with_time(trace(spark, sf))
+    df = raw.relative_minute(df, start=probe.start)
     return round_doubles(raw.raw_minute_aggregate(df))
 
 
@@ -69,7 +70,8 @@ FROM trace GROUP BY ALL"""))
 def q_raw_minute_aggregate_fallbacks(spark, sf):
     """G5 with cpu/memory/request size and podID absent from the input."""
     t = trace(spark, sf).drop("cpu_usage", "memory_usage", "requestBodySize", "podID")
-    return round_doubles(raw.raw_minute_aggregate(raw.relative_minute(raw.pick_time(t))))
+    df, probe = raw.with_time(t)
+    return round_doubles(raw.raw_minute_aggregate(raw.relative_minute(df, start=probe.start)))
 
 
 @register("time_unit_detection", with_ctes(select=f"""
@@ -100,7 +102,10 @@ def q_time_text_parsing(spark, sf):
           "SELECT c.funcName, c.category, s.stability FROM fcat c JOIN fstab s USING (funcName)"))
 def q_function_codes(spark, sf):
     from minutewise.operators.features import drop_short_groups
-    kept = drop_short_groups(raw.raw_minute_aggregate(raw.relative_minute(raw.pick_time(trace(spark, sf)))), 70)
+    from minutewise.session import stored
+    df, probe = raw.with_time(trace(spark, sf))
+    minutes = stored(raw.raw_minute_aggregate(raw.relative_minute(df, start=probe.start)), "raw-minutes")
+    kept = drop_short_groups(minutes, 70)
     return raw.function_category_codes(kept).join(raw.function_stability_codes(kept), "funcName")
 
 
@@ -133,3 +138,44 @@ def q_filled_time_minutes(spark, sf):
     m = raw.relative_minute(filled)
     return m.groupBy("minute", *KEY).agg(F.count(F.lit(1)).alias("requests"),
                                          F.count_if(F.col("tw").isNull()).alias("filled_rows"))
+
+
+def _filled_sql() -> str:
+    costs = ", ".join({"workerCost": "AVG(cpu_usage * 2) AS avg_worker_cost",
+                       "totalCost_frontend": "COALESCE(AVG(CASE WHEN event_id % 3 > 0 THEN runtimeCost + 1 END), 0.0) AS avg_total_cost_frontend"}
+                      .get(src, f"CAST(0.0 AS DOUBLE) AS {dst}") for src, dst in COST_COLUMNS.items())
+    agg = f"""src AS (
+  SELECT event_id, 'R' || CAST(user_id % 5 + 1 AS VARCHAR) AS region, 'c' || CAST((user_id % 5) % 4 AS VARCHAR) AS clusterName,
+    'f' || CAST(CAST(least(floor(value / 10), 49) AS INTEGER) AS VARCHAR) AS funcName, 'pod' || (props ->> '$.k') AS podID,
+    CAST(user_id AS VARCHAR) AS userID, value / 100 AS cpu_usage, CAST(props ->> '$.k' AS DOUBLE) AS memory_usage,
+    value / 1000 AS runtimeCost, CAST(length(props) AS DOUBLE) AS requestBodySize,
+    CASE WHEN event_type = 'error' THEN NULL ELSE 2592000 + (epoch_us(ts) - 1704067200000000) / 1000000 / 30 END AS tw FROM events),
+rt AS (
+  SELECT *, COALESCE(tw,
+      LAST_VALUE(tw IGNORE NULLS) OVER (PARTITION BY region ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+      FIRST_VALUE(tw IGNORE NULLS) OVER (PARTITION BY region ORDER BY event_id ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) AS ts FROM src),
+rmin AS (SELECT MIN(ts) AS t0 FROM rt),
+ragg AS (
+  SELECT CAST(FLOOR((ts - t0) / 60) AS INTEGER) AS minute, {K}, CAST(COUNT(*) AS BIGINT) AS requests,
+         AVG(cpu_usage) AS avg_cpu, AVG(memory_usage) AS avg_memory, AVG(runtimeCost) AS avg_runtime,
+         AVG(requestBodySize) AS avg_request_size, CAST(COUNT(DISTINCT podID) AS BIGINT) AS active_pods,
+         CAST(COUNT(DISTINCT userID) AS BIGINT) AS active_users, {costs}
+  FROM rt, rmin GROUP BY ALL)"""
+    nums = ", ".join(f"{r('f.' + c)} AS {c}" for c in RAW_NUM)
+    plain = [c for c in RAW_PLAIN if c not in ("category", "stability")]
+    return with_ctes(agg, KEPT_CTE.replace(">= 70", ">= 40"),
+                     features_cte(src="kept", meta=None, std="STDDEV_POP", zero_div="zero"), CODES_CTE,
+                     select=f"SELECT {', '.join(plain)}, c.category, s.stability, {nums} "
+                            "FROM feat f LEFT JOIN fcat c USING (funcName) LEFT JOIN fstab s USING (funcName)")
+
+
+@register("raw_trace_features_filled", _filled_sql())
+def q_raw_trace_features_filled(spark, sf):
+    """G3 and G6 within the whole raw path: times missing for 'error' events, two cost columns present."""
+    from minutewise.sources.fixture import events_as_trace, table
+    t = events_as_trace(table(spark, sf, "events"), keep=["event_id", "event_type"])
+    t = (t.withColumn("time_worker", F.when(F.col("event_type") != "error", F.col("time_worker")))
+         .withColumn("workerCost", F.col("cpu_usage") * 2)
+         .withColumn("totalCost_frontend", F.when(F.col("event_id") % 3 > 0, F.col("runtimeCost") + 1)))
+    f = raw.raw_feature_frame(t, min_rows=40, fill_order="event_id", fill_parts=["region"])
+    return round_doubles(f.select(*RAW_PLAIN, *RAW_NUM))

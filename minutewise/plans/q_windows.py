@@ -15,14 +15,17 @@ from minutewise.plans.oracle_sql import dense_cte, features_cte, meta_cte, r, sp
 from minutewise.plans.q_minutes import sparse_checkpointed
 from minutewise.plans.registry import register
 from minutewise.schema import KEY, PAST_VALUE_FEATURES, TIME_FEATURES, V1_FEATURES
+from minutewise.session import stored
 
 K = ", ".join(KEY)
 FEAT_CTES = [sparse_cte(), dense_cte(), meta_cte(), features_cte()]
 
 
 def _features(spark, sf):
+    """The feature table, written once and read by every pass of a query (partitioned by region)."""
     sparse = sparse_checkpointed(spark, sf)
-    return feat.feature_table(mins.dense_calendar(sparse), group_totals=meta.group_totals(sparse))
+    table = feat.feature_table(mins.dense_calendar(sparse), group_totals=meta.group_totals(sparse))
+    return stored(table, "features", "region")
 
 
 GROUPS_CTE = f"""wgroups AS (
@@ -96,7 +99,8 @@ SELECT region, clusterName, funcName,
 FROM wgroups"""))
 def q_static_codes(spark, sf):
     g = win.group_windows_meta(_features(spark, sf))
-    return g.select(*KEY, win.encode_category().alias("category_id"), win.encode_stability().alias("stability_id"),
+    codes = win.encoded_classes(g)
+    return g.select(*KEY, codes["category_id"].alias("category_id"), codes["stability_id"].alias("stability_id"),
                     win.encode_stability(mode="v1").alias("stability_id_v1"))
 
 
@@ -160,8 +164,8 @@ def q_uniform_subsample(spark, sf):
 @register("balanced_subsample", with_ctes(*FEAT_CTES, GROUPS_CTE, INDEX_CTE, WINDOWS_CTE, """cnt AS (
   SELECT COUNT(*) FILTER (WHERE active) AS na, COUNT(*) FILTER (WHERE NOT active) AS ni FROM wins),
 quota AS (
-  SELECT LEAST(na, 1000 - LEAST(1000 - LEAST(CAST(FLOOR(1000 * 0.5) AS BIGINT), na), ni)) AS qa,
-         LEAST(1000 - LEAST(CAST(FLOOR(1000 * 0.5) AS BIGINT), na), ni) AS qi FROM cnt)""", select=f"""
+  SELECT LEAST(na, 1000 - LEAST(1000 - LEAST(CAST(ROUND_EVEN(1000 * 0.5, 0) AS BIGINT), na), ni)) AS qa,
+         LEAST(1000 - LEAST(CAST(ROUND_EVEN(1000 * 0.5, 0) AS BIGINT), na), ni) AS qi FROM cnt)""", select=f"""
 SELECT {K}, origin_minute, window_index, active FROM (
   SELECT *, ROW_NUMBER() OVER (PARTITION BY active ORDER BY {HASH}, window_index) AS rk FROM wins) w, quota
 WHERE (active AND rk <= qa) OR (NOT active AND rk <= qi)"""))
@@ -170,20 +174,31 @@ def q_balanced_subsample(spark, sf):
     return b.select(*KEY, "origin_minute", "window_index", "active")
 
 
-V1_HEAD = "(SELECT * FROM wins WHERE window_index < 100000)"
+@register("balanced_subsample_rounded", with_ctes(*FEAT_CTES, GROUPS_CTE, INDEX_CTE, WINDOWS_CTE, """cnt AS (
+  SELECT COUNT(*) FILTER (WHERE active) AS na, COUNT(*) FILTER (WHERE NOT active) AS ni FROM wins),
+quota AS (
+  SELECT LEAST(na, 1000 - LEAST(1000 - LEAST(CAST(ROUND_EVEN(1000 * 0.1237, 0) AS BIGINT), na), ni)) AS qa,
+         LEAST(1000 - LEAST(CAST(ROUND_EVEN(1000 * 0.1237, 0) AS BIGINT), na), ni) AS qi FROM cnt)""", select=f"""
+SELECT {K}, origin_minute, window_index, active FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY active ORDER BY {HASH}, window_index) AS rk FROM wins) w, quota
+WHERE (active AND rk <= qa) OR (NOT active AND rk <= qi)"""))
+def q_balanced_subsample_rounded(spark, sf):
+    """A fraction at which rounding and truncation differ (123.7 of 1000)."""
+    b = splits.balanced_subsample(_windows(spark, sf), 1000, 0.1237)
+    return b.select(*KEY, "origin_minute", "window_index", "active")
 
 
 @register("v1_split_train", with_ctes(*FEAT_CTES, GROUPS_CTE, INDEX_CTE, WINDOWS_CTE, select=
-          f"SELECT window_index FROM {V1_HEAD} ORDER BY {HASH}, window_index "
-          "LIMIT (SELECT CAST(FLOOR(0.9 * COUNT(*)) AS BIGINT) FROM wins WHERE window_index < 100000)"))
+          f"SELECT window_index FROM wins ORDER BY {HASH}, window_index "
+          "LIMIT (SELECT CAST(FLOOR(0.9 * COUNT(*)) AS BIGINT) FROM wins)"))
 def q_v1_split_train(spark, sf):
     train, _ = splits.v1_split(_windows(spark, sf))
     return train.select("window_index")
 
 
 @register("v1_split_holdout", with_ctes(*FEAT_CTES, GROUPS_CTE, INDEX_CTE, WINDOWS_CTE, select=
-          f"SELECT window_index FROM {V1_HEAD} ORDER BY {HASH}, window_index "
-          "OFFSET (SELECT CAST(FLOOR(0.9 * COUNT(*)) AS BIGINT) FROM wins WHERE window_index < 100000)"))
+          f"SELECT window_index FROM wins ORDER BY {HASH}, window_index "
+          "OFFSET (SELECT CAST(FLOOR(0.9 * COUNT(*)) AS BIGINT) FROM wins)"))
 def q_v1_split_holdout(spark, sf):
     _, rest = splits.v1_split(_windows(spark, sf))
     return rest.select("window_index")
@@ -250,12 +265,18 @@ def q_selected_window_digest(spark, sf):
                                   flat("past_target").alias("past_target_sum"), flat("target").alias("target_sum")))
 
 
-@register("window_shape_violations", with_ctes(*FEAT_CTES, select=
-          f"SELECT {K}, minute FROM feat WHERE 1 = 0"))
+@register("window_shape_violations", with_ctes(*FEAT_CTES, GROUPS_CTE, select="""
+SELECT CAST(SUM(row_count - 69) AS BIGINT) AS n_windows, CAST(SUM(row_count) AS BIGINT) AS n_rows,
+       CAST(SUM(69) AS BIGINT) AS n_violations, CAST(0 AS BIGINT) AS n_bad_whole FROM wgroups"""))
 def q_window_shape_violations(spark, sf):
+    """V10 over the arrays of every row: each group has 59 rows without a whole history and 10 without a whole
+    horizon, and all others have the declared shape in every array."""
     f = _features(spark, sf)
-    a = win.window_arrays(win.normalise(f, win.feature_statistics(f)))
-    return qual.window_shape_violations(a, n_features=len(PAST_VALUE_FEATURES)).select(*KEY, "minute")
+    a = win.window_arrays(win.normalise(f, win.feature_statistics(f)), whole_only=False)
+    bad = qual.window_shape_violation(n_features=len(PAST_VALUE_FEATURES), n_times=len(TIME_FEATURES))
+    whole = (F.size("past_target") == 60) & (F.size("target") == 10)
+    return a.agg(F.count_if(~bad).alias("n_windows"), F.count(F.lit(1)).alias("n_rows"),
+                 F.count_if(bad).alias("n_violations"), F.count_if(bad & whole).alias("n_bad_whole"))
 
 
 @register("group_lookup", with_ctes(*FEAT_CTES, select=

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -71,6 +72,15 @@ def scratch_table_path(spark: SparkSession, name: str) -> str:
     return f"{base}/tables/{name}"
 
 
+def stored(df, name: str, *partition_by: str):
+    """Write ``df`` once as Parquet under the shared folder and read it back: later passes prune columns and
+    partitions, which a row checkpoint cannot, and nothing upstream is recomputed."""
+    path = scratch_table_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
+    df.write.partitionBy(*partition_by).parquet(path)
+    back = df.sparkSession.read.schema(df.schema).parquet(path)
+    return back.select(*df.columns)
+
+
 def materialize(df, eager: bool = True):
     """Cut the lineage with a reliable checkpoint in the shared checkpoint folder.
 

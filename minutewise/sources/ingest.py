@@ -1,29 +1,35 @@
 """CSV trace ingest with a per-file ledger (idempotent, failure-isolating).
 
-One lazy scan reads every new file of a directory tree with a declared schema; the region
-comes from the directory two levels above each file (``R1_xxx/day/file.csv`` → ``R1``). A
-file with any malformed row (type error, missing columns) is rejected as a whole — its rows
-are not loaded — and recorded FAILED with the first bad record; the others load. Files whose
-latest ledger status is SUCCESS are skipped on the next run, so a rerun adds nothing and a
-previously failed file can succeed later (latest status wins).
+Columns are taken by the name that each file's header gives them, in any order; columns that the
+trace does not know are left out, and the optional cost columns are NULL where a file lacks
+them. The region comes from the directory two levels above each file (``R1_xxx/day/file.csv`` →
+``R1``). A file without a header, with a declared column missing or doubled, or with any malformed
+row is rejected as a whole and recorded FAILED with the reason; the others load, a file with a
+header only as SUCCESS with 0 rows (Spark does not list files of 0 bytes; they leave no trace). Files whose latest ledger status is SUCCESS are skipped on
+the next run, so a rerun adds nothing and a failed file can succeed later (latest status wins).
+
+New files are taken in batches of ``files_per_batch``; the driver holds the paths and headers of
+one batch. A batch reads its files twice: once for the header lines, once parsed.
 
 Commit protocol: a batch's rows are written under ``ingest_batch=<md5 of its file list>`` (one
-directory per batch, rows sorted by region inside the files) with dynamic partition overwrite,
-then its ledger rows are appended. ``read_table`` returns only
-rows of batches the ledger records, so a job that dies between the two writes leaves no
-visible rows, and the retry of the same files overwrites the orphaned partition.
+directory per batch) with dynamic partition overwrite, then its ledger rows are appended.
+``read_table`` returns only rows of batches the ledger records, so a job that dies between the two
+writes leaves no visible rows, and the retry of the same files overwrites the orphaned partition.
 """
 
 from __future__ import annotations
 
+import csv
 import hashlib
 from datetime import datetime, timezone
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from minutewise.schema import TRACE_SCHEMA
+from minutewise.schema import COST_COLUMNS, TRACE_SCHEMA
+from minutewise.session import stored
 
 CORRUPT = "_corrupt_record"
 # Fixed value: region = text before the first '_' of the directory two levels above the file
@@ -41,20 +47,45 @@ LEDGER_SCHEMA = T.StructType([
 ])
 
 
-def csv_schema(schema: T.StructType = TRACE_SCHEMA) -> T.StructType:
-    return T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+#: What the table holds of a request, whatever order and further columns its file has.
+TABLE_SCHEMA = T.StructType([*TRACE_SCHEMA.fields, *[T.StructField(c, T.DoubleType()) for c in COST_COLUMNS]])
+FILE_SCHEMA = T.StructType([T.StructField("csv_file", T.StringType()), T.StructField("header", T.StringType())])
+
+
+def region_of(path):
+    return F.regexp_extract(path, REGION_FROM_PATH, 1)
+
+
+def header_lines(text: DataFrame) -> DataFrame:
+    """(csv_file, header): the first line of each file of a ``text`` source (the first row of its first block)."""
+    rows = text.select("value", F.col("_metadata.file_path").alias("csv_file"), F.col("_metadata.file_block_start").alias("_block"),
+                       F.monotonically_increasing_id().alias("_i")).where("_block = 0")
+    return rows.groupBy("csv_file").agg(F.min_by("value", "_i").alias("header"))
+
 
+def header_fields(header: str | None, schema: T.StructType = TRACE_SCHEMA) -> tuple[list[str], str | None]:
+    """The names of a header line, and what is wrong with it (None: nothing)."""
+    names = [x.strip() for x in next(csv.reader([(header or "").lstrip("\ufeff")]), [])]
+    if not any(names):
+        return names, "no header"
+    missing = [f.name for f in schema.fields if f.name not in names]
+    doubled = sorted({x for x in names if names.count(x) > 1})
+    if missing:
+        return names, f"columns missing: {', '.join(missing)}"
+    return names, f"columns doubled: {', '.join(doubled)}" if doubled else None
 
-def read_trace_csv(spark: SparkSession, paths: str | list[str], schema: T.StructType = TRACE_SCHEMA,
-                   recursive: bool = True) -> DataFrame:
-    """Declared-schema CSV scan (header skipped, PERMISSIVE) with file path and region."""
-    reader = (spark.read.schema(csv_schema(schema)).option("header", True).option("mode", "PERMISSIVE")
-              .option("columnNameOfCorruptRecord", CORRUPT))
-    if recursive:
-        reader = reader.option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv")
-    df = reader.csv(paths)
+
+def read_trace_csv(spark: SparkSession, paths: list[str], names: list[str]) -> DataFrame:
+    """Files that share the header ``names``, with the trace's columns by name, file path, region and the
+    malformed record if a row is one."""
+    known = {f.name: f.dataType for f in TABLE_SCHEMA.fields}
+    # columns the trace does not know are read as text and left out
+    fields = [T.StructField(n if n in known else f"_other_{i}", known.get(n, T.StringType())) for i, n in enumerate(names)]
+    df = (spark.read.schema(T.StructType([*fields, T.StructField(CORRUPT, T.StringType())])).option("header", True)
+          .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).option("columnPruning", False).csv(paths))
     path = F.col("_metadata.file_path")
-    return df.select("*", path.alias("csv_file"), F.regexp_extract(path, REGION_FROM_PATH, 1).alias("region"))
+    return df.select(*[(F.col(f.name) if f.name in names else F.lit(None).cast(f.dataType)).alias(f.name)
+                       for f in TABLE_SCHEMA.fields], CORRUPT, path.alias("csv_file"), region_of(path).alias("region"))
 
 
 def list_csv_files(spark: SparkSession, root: str) -> DataFrame:
@@ -70,79 +101,92 @@ def latest_ledger(ledger: DataFrame) -> DataFrame:
     return ledger.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
 
 
-def read_ledger(spark: SparkSession, ledger_path: str) -> DataFrame:
+def _parquet_or_none(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A table, or no rows if nothing was written there yet; any other trouble is an error."""
     try:
-        return spark.read.schema(LEDGER_SCHEMA).parquet(ledger_path)
-    except Exception:  # no ledger yet (first run)
-        return spark.createDataFrame([], LEDGER_SCHEMA)
-
-
-def file_status(raw: DataFrame, imported_at: datetime | None = None) -> DataFrame:
-    """Per file row count, FAILED when any row is malformed (first 500 chars of the first
-    bad record as the error), else SUCCESS."""
-    ts = imported_at or datetime.now(timezone.utc).replace(tzinfo=None)
-    per = raw.groupBy("csv_file").agg(
-        F.count(F.lit(1)).alias("rows_read"),
-        F.count(CORRUPT).alias("bad_rows"),
-        F.min_by(F.col(CORRUPT), F.when(F.col(CORRUPT).isNotNull(), F.lit(0)).otherwise(F.lit(1))).alias("first_bad"),
-        F.first("region").alias("region"),
-    )
-    failed = F.col("bad_rows") > 0
-    return per.select(
-        "csv_file", "region",
-        F.when(failed, F.lit(0)).otherwise(F.col("rows_read")).cast("long").alias("row_count"),
-        F.when(failed, "FAILED").otherwise("SUCCESS").alias("status"),
-        F.when(failed, F.substring(F.concat(F.lit("malformed record: "), F.col("first_bad")), 1, 500)).alias("error"),
-        F.lit(ts).cast("timestamp").alias("imported_at"),
-    )
-
-
-def ingest(spark: SparkSession, root: str, table_path: str, ledger_path: str,
-           schema: T.StructType = TRACE_SCHEMA, files_per_batch: int = 1000) -> DataFrame:
-    """Load every CSV under ``root`` not yet loaded successfully; add good files to
-    ``table_path`` (parquet, one directory per batch) and their status rows to ``ledger_path``.
-
-    New files are taken in batches of ``files_per_batch``; each batch is parsed once (persisted
-    while its per-file status is decided and its good rows are written), so the cache is bounded
-    by the batch, not by the trace. A batch's ledger rows are written after its rows, so a crash
-    leaves those files to be retried. Returns the status rows of this run. The new-file list is
-    file metadata (one path per file); the rows themselves never leave the executors.
-    """
-    files = list_csv_files(spark, root)
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
+def read_ledger(spark: SparkSession, ledger_path: str) -> DataFrame:
+    return _parquet_or_none(spark, ledger_path, LEDGER_SCHEMA)
+
+
+def load_files(spark: SparkSession, files: list[tuple[str, str | None]], imported_at: datetime, batch_key: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The rows of the good files of one batch, a ledger row for each of its files, and the parsed rows that both
+    come from (persisted: unpersist them when both are written).
+
+    ``files`` are paths with their header lines (bounded by the batch). Files are read header by header."""
+    by_header: dict[tuple[str, ...], list[str]] = {}
+    wrong = []
+    for path, header in files:
+        names, problem = header_fields(header)
+        if problem:
+            wrong.append((path, problem))
+        else:
+            by_header.setdefault(tuple(names), []).append(path)
+    raw = None
+    for names, paths in sorted(by_header.items()):
+        part = read_trace_csv(spark, paths, list(names))
+        raw = part if raw is None else raw.unionByName(part)
+    if raw is None:
+        raw = spark.createDataFrame([], T.StructType([*TABLE_SCHEMA.fields, T.StructField(CORRUPT, T.StringType()),
+                                                      T.StructField("csv_file", T.StringType()), T.StructField("region", T.StringType())]))
+    raw = raw.persist()  # parsed once, for the status and for the rows
+    per = raw.groupBy("csv_file").agg(F.count(F.lit(1)).alias("rows_read"), F.min(F.substring(CORRUPT, 1, 400)).alias("bad"))
+    listed = spark.createDataFrame([(p, dict(wrong).get(p)) for p, _ in files], "csv_file string, problem string")
+    error = F.coalesce("problem", F.concat(F.lit("malformed record: "), F.col("bad")))
+    status = listed.join(per, "csv_file", "left").select(
+        "csv_file", region_of(F.col("csv_file")).alias("region"),
+        F.when(error.isNull(), F.coalesce("rows_read", F.lit(0))).otherwise(0).cast("long").alias("row_count"),
+        F.when(error.isNull(), "SUCCESS").otherwise("FAILED").alias("status"), F.substring(error, 1, 500).alias("error"),
+        F.lit(imported_at).cast("timestamp").alias("imported_at"), F.lit(batch_key).alias("ingest_batch"))
+    # at most one row for each file of the batch
+    good = raw.join(F.broadcast(status.where("status = 'SUCCESS'").select("csv_file")), "csv_file", "left_semi")
+    return good.drop(CORRUPT).withColumn("ingest_batch", F.lit(batch_key)), status, raw
+
+
+def run_batch(spark: SparkSession, files: list[tuple[str, str | None]], imported_at: datetime, key: str, table_path: str,
+              ledger_path: str) -> None:
+    """Load one batch: rows first (replacing what an earlier attempt left), the ledger after them."""
+    good, status, raw = load_files(spark, files, imported_at, key)
+    (good.sortWithinPartitions("region", "clusterName", "funcName").write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("ingest_batch").parquet(table_path))
+    status.write.mode("append").parquet(ledger_path)
+    raw.unpersist()
+
+
+def batch_key(paths: list[str]) -> str:
+    return hashlib.md5("\n".join(sorted(paths)).encode()).hexdigest()[:16]
+
+
+def ingest(spark: SparkSession, root: str, table_path: str, ledger_path: str, files_per_batch: int = 1000) -> DataFrame:
+    """Load every CSV under ``root`` not yet loaded successfully; add good files to ``table_path`` (parquet,
+    one directory per batch) and a row for every file to ``ledger_path``. Returns the ledger rows of this run.
+
+    The file list stays a table; each step takes the next files that this run has not yet tried."""
+    now = datetime.now(timezone.utc).replace(tzinfo=None)
     done = latest_ledger(read_ledger(spark, ledger_path)).where("status = 'SUCCESS'").select("csv_file")
-    new = sorted(r["csv_file"] for r in files.join(done, "csv_file", "left_anti").collect())
-    statuses = []
-    for i in range(0, len(new), files_per_batch):
-        chunk = new[i:i + files_per_batch]
-        batch_key = hashlib.md5("\n".join(chunk).encode()).hexdigest()[:16]
-        raw = read_trace_csv(spark, chunk, schema, recursive=False).persist()
-        try:
-            status = file_status(raw).withColumn("ingest_batch", F.lit(batch_key)).persist()
-            good = raw.join(F.broadcast(status.where("status = 'SUCCESS'").select("csv_file")), "csv_file",
-                            "left_semi")
-            # one directory per batch: a retry replaces all of it (a region leaf could be missed)
-            (good.drop(CORRUPT).withColumn("ingest_batch", F.lit(batch_key))
-             .sortWithinPartitions("region", "clusterName", "funcName")
-             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy("ingest_batch").parquet(table_path))
-            status.select(*LEDGER_SCHEMA.fieldNames()).write.mode("append").parquet(ledger_path)
-            statuses.append(spark.createDataFrame(status.collect(), status.schema))  # one row per file
-            status.unpersist()
-        finally:
-            raw.unpersist()
-    if not statuses:
-        return spark.createDataFrame([], LEDGER_SCHEMA)
-    out = statuses[0]
-    for s_ in statuses[1:]:
-        out = out.unionByName(s_)
-    return out
+    new = stored(list_csv_files(spark, root).join(done, "csv_file", "left_anti").select("csv_file"), "csv-files")
+    this_run = lambda: read_ledger(spark, ledger_path).where(F.col("imported_at") == F.lit(now).cast("timestamp"))
+    while True:
+        left = new.join(this_run().select("csv_file"), "csv_file", "left_anti")
+        paths = [r["csv_file"] for r in left.orderBy("csv_file").limit(files_per_batch).collect()]
+        if not paths:
+            return this_run()
+        headers = {r["csv_file"]: r["header"] for r in header_lines(spark.read.text(paths)).collect()}
+        run_batch(spark, [(p, headers.get(p)) for p in paths], now, batch_key(paths), table_path, ledger_path)
 
 
 def read_table(spark: SparkSession, table_path: str, ledger_path: str) -> DataFrame:
-    """Ingested rows of committed batches only (batches present in the ledger)."""
-    committed = read_ledger(spark, ledger_path).select("ingest_batch").distinct()  # one row per batch
-    rows = spark.read.parquet(table_path)
-    return rows.join(F.broadcast(committed), "ingest_batch", "left_semi")
+    """Ingested rows of committed batches only (batches present in the ledger); none if no file has loaded yet."""
+    schema = T.StructType([*TABLE_SCHEMA.fields, T.StructField("csv_file", T.StringType()), T.StructField("region", T.StringType()),
+                           T.StructField("ingest_batch", T.StringType())])
+    committed = read_ledger(spark, ledger_path).select("ingest_batch").distinct()
+    return _parquet_or_none(spark, table_path, schema).join(committed, "ingest_batch", "left_semi")
 
 
 def import_totals(ledger: DataFrame) -> DataFrame:
@@ -151,16 +195,14 @@ def import_totals(ledger: DataFrame) -> DataFrame:
                                                        F.sum("row_count").alias("rows"))
 
 
-def first_rows(df: DataFrame, n: int | None = 10000) -> DataFrame:
-    """The first n rows in no stated order (not deterministic), or all rows when n is None."""
+def first_rows(df: DataFrame, n: int | None = None) -> DataFrame:
+    """The first n rows in no stated order (not deterministic), or all rows when n is None (the default)."""
     return df if n is None else df.limit(n)
 
 
 def sample_rows(df: DataFrame, n: int, seed: int = 42) -> DataFrame:
-    """Exactly min(n, rows) rows chosen uniformly at random (seeded)."""
-    from minutewise.operators.ordering import global_rank
-    ranked = global_rank(df.withColumn("_u", F.rand(seed)), [F.col("_u")], "_r")
-    return ranked.where(F.col("_r") <= n).drop("_u", "_r")
+    """Exactly min(n, rows) rows chosen uniformly at random (seeded); a top-n, so a task keeps n rows at most."""
+    return df.orderBy(F.rand(seed)).limit(n)
 
 
 def sample_fraction(df: DataFrame, fraction: float, seed: int = 42) -> DataFrame:

@@ -1,57 +1,36 @@
 """Each new CSV file ingested exactly once with Structured Streaming.
 
-The file source's checkpoint remembers processed files (a rerun adds nothing); each
-micro-batch is checked per file (malformed file → FAILED ledger row, rows withheld) and written
-idempotently: rows and ledger go under ``batch_id=<id>`` with dynamic partition overwrite, so a
-retried batch replaces its own output instead of duplicating it.
+The file source's checkpoint remembers processed files (a rerun adds nothing). A micro-batch takes at
+most ``max_files_per_trigger`` files, so neither the first batch nor its file list grows with the
+backlog; its files go through the same per-file checks as the batch ingest (columns by header name,
+malformed files withheld and recorded FAILED). A batch's key follows from its files and its rows
+replace their own directory, so a retried batch does not duplicate rows; its ledger rows may repeat,
+and the latest counts. A file without a single line leaves no trace.
 """
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from minutewise.schema import TRACE_SCHEMA
-from minutewise.sources.ingest import CORRUPT, LEDGER_SCHEMA, REGION_FROM_PATH, csv_schema, file_status
+from minutewise.sources.ingest import batch_key, header_lines, run_batch
 
+MAX_FILES = 1000
 
-def stream_csv(spark: SparkSession, root: str, schema=TRACE_SCHEMA, max_files_per_trigger: int | None = None) -> DataFrame:
-    reader = (spark.readStream.schema(csv_schema(schema)).option("header", True).option("mode", "PERMISSIVE")
-              .option("columnNameOfCorruptRecord", CORRUPT).option("recursiveFileLookup", True)
-              .option("pathGlobFilter", "*.csv"))
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    df = reader.csv(root)
-    path = F.col("_metadata.file_path")
-    return df.select("*", path.alias("csv_file"), F.regexp_extract(path, REGION_FROM_PATH, 1).alias("region"))
 
+def stream_ingest(spark: SparkSession, root: str, table_path: str, ledger_path: str, checkpoint: str,
+                  max_files_per_trigger: int = MAX_FILES) -> None:
+    """Ingest every file under ``root`` not seen by this checkpoint, then stop (AvailableNow)."""
+    lines = (spark.readStream.format("text").option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv")
+             .option("maxFilesPerTrigger", max_files_per_trigger).load(root)
+             .select("value", "_metadata"))
 
-def _write_batch(table_path: str, ledger_path: str):
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
-        try:
-            status = file_status(batch).persist()
-            good = batch.join(F.broadcast(status.where("status = 'SUCCESS'").select("csv_file")), "csv_file",
-                              "left_semi")
-            (good.drop(CORRUPT).withColumn("batch_id", F.lit(batch_id))
-             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy("batch_id", "region").parquet(table_path))
-            (status.withColumn("ingest_batch", F.lit(f"stream-{batch_id}"))
-             .select(*LEDGER_SCHEMA.fieldNames()).withColumn("batch_id", F.lit(batch_id))
-             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy("batch_id").parquet(ledger_path))
-            status.unpersist()
-        finally:
-            batch.unpersist()
-    return write
+        files = sorted((r["csv_file"], r["header"]) for r in header_lines(batch).collect())
+        if files:
+            run_batch(spark, files, datetime.now(timezone.utc).replace(tzinfo=None), batch_key([p for p, _ in files]),
+                      table_path, ledger_path)
 
-
-def stream_ingest(spark: SparkSession, root: str, table_path: str, ledger_path: str, checkpoint: str,
-                  max_files_per_trigger: int | None = None) -> None:
-    """Ingest every file under ``root`` not seen by this checkpoint, then stop (AvailableNow)."""
-    q = (stream_csv(spark, root, max_files_per_trigger=max_files_per_trigger).writeStream
-         .foreachBatch(_write_batch(table_path, ledger_path))
-         .option("checkpointLocation", checkpoint)
-         .trigger(availableNow=True)
-         .start())
+    q = lines.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     q.awaitTermination()

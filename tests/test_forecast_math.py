@@ -103,3 +103,31 @@ def test_hurdle_forecaster_bounds_and_determinism(spark):
     agg = pred.agg(F.min("sigma"), F.max("sigma"), F.min("p"), F.max("p"), F.count("*")).first()
     assert 0.05 <= agg[0] <= agg[1] <= 1.0 and 0.0 <= agg[2] <= agg[3] <= 1.0
     assert agg[4] == test.count()
+
+
+def test_hurdle_forecaster_recovers_known_coefficients(spark):
+    """T1 on generated data: occurrence and residual follow known linear rules."""
+    import math
+    import random
+
+    import pytest
+
+    from minutewise.operators.forecaster import fit_hurdle
+    rng = random.Random(1)
+    rows = []
+    for i in range(6000):
+        x, z = rng.gauss(0, 1), rng.gauss(0, 1)
+        on = rng.random() < 1 / (1 + math.exp(-(0.5 + 1.5 * x)))
+        last = rng.random()
+        target = max(0.01, last + 2.0 + 0.3 * x - 0.2 * z + rng.gauss(0, 0.1)) if on else 0.0
+        rows.append(("R", "c", "f", i, 1 + i % 10, x, z, last, target, 0.0, 0.0, 0.0, 0.0))
+    df = spark.createDataFrame(rows, "region string, clusterName string, funcName string, origin_minute int, step int, x1 double, "
+                                     "x2 double, last_log double, target_log double, f_hour_sin double, f_hour_cos double, "
+                                     "f_minute_sin double, f_minute_cos double")
+    m = fit_hurdle(df, ["x1", "x2"])
+    occ, res = m.occurrence.coefficients.toArray(), m.residual.coefficients.toArray()
+    assert abs(occ[0] - 1.5) < 0.15 and abs(occ[1]) < 0.1 and abs(m.occurrence.intercept - 0.5) < 0.3
+    assert abs(res[0] - 0.3) < 0.02 and abs(res[1] + 0.2) < 0.02 and abs(m.residual.intercept - 2.0) < 0.05
+    assert abs(m.pooled_sigma - 0.1) < 0.01
+    with pytest.raises(RuntimeError):
+        fit_hurdle(df, ["x1", "x2"], limit=1)

@@ -45,7 +45,43 @@ def test_stream_ingest_once(spark):
     out = tempfile.mkdtemp(prefix="mw-sout-", dir="/tmp")
     for _ in range(2):
         sing.stream_ingest(spark, root, f"{out}/t", f"{out}/l", f"{out}/ckpt")
-    assert spark.read.parquet(f"{out}/t").count() == 3
+    assert ing.read_table(spark, f"{out}/t", f"{out}/l").count() == 3
+    status = {os.path.basename(r.csv_file): r.status for r in ing.latest_ledger(ing.read_ledger(spark, f"{out}/l")).collect()}
+    assert status == {"a.csv": "SUCCESS", "b.csv": "FAILED", "c.csv": "FAILED", "d.csv": "SUCCESS"}
+
+
+def _write(root, files):
+    for rel, text in files.items():
+        os.makedirs(os.path.join(root, os.path.dirname(rel)), exist_ok=True)
+        with open(os.path.join(root, rel), "w") as fh:
+            fh.write(text)
+
+
+def test_columns_go_by_header_name(spark):
+    root, out = tempfile.mkdtemp(prefix="mw-head-", dir="/tmp"), tempfile.mkdtemp(prefix="mw-headout-", dir="/tmp")
+    _write(root, {
+        "R1_a/d/swapped.csv": "funcName,note,clusterName,workerCost,time_worker,time_frontend,podID,userID,cpu_usage,memory_usage,runtimeCost,requestBodySize\n"
+                              'FUNC,"x,y",CLUSTER,7.5,1.0,,p,u,0.5,1,2,3\n',
+        "R1_a/d/short.csv": HEADER + "1.0,,c,f\n",
+        "R1_a/d/only.csv": HEADER,
+        "R1_a/d/blank.csv": "\n\n",
+        "R1_a/d/twice.csv": HEADER.strip() + ",podID\n1.0,,c,f,p,u,1,1,1,1,p\n",
+    })
+    got = {os.path.basename(r.csv_file): (r.status, r.row_count) for r in ing.ingest(spark, root, f"{out}/t", f"{out}/l", files_per_batch=2).collect()}
+    assert got == {"swapped.csv": ("SUCCESS", 1), "short.csv": ("FAILED", 0), "only.csv": ("SUCCESS", 0), "blank.csv": ("FAILED", 0),
+                   "twice.csv": ("FAILED", 0)}
+    rows = ing.read_table(spark, f"{out}/t", f"{out}/l").collect()
+    assert [(r.clusterName, r.funcName, r.workerCost, r.cpu_usage, r.region, r.busCost) for r in rows] == [("CLUSTER", "FUNC", 7.5, 0.5, "R1", None)]
+    again = ing.ingest(spark, root, f"{out}/t", f"{out}/l").collect()
+    assert {os.path.basename(r.csv_file) for r in again} == {"short.csv", "blank.csv", "twice.csv"}
+
+
+def test_a_table_without_any_good_file_is_empty(spark):
+    root, out = tempfile.mkdtemp(prefix="mw-bad-", dir="/tmp"), tempfile.mkdtemp(prefix="mw-badout-", dir="/tmp")
+    assert ing.read_table(spark, f"{out}/t", f"{out}/l").count() == 0
+    _write(root, {"R1_a/d/x.csv": "a,b\n1,2\n"})
+    assert [r.status for r in ing.ingest(spark, root, f"{out}/t", f"{out}/l").collect()] == ["FAILED"]
+    assert ing.read_table(spark, f"{out}/t", f"{out}/l").count() == 0
 
 
 def test_sample_rows_exact(spark):
@@ -59,10 +95,9 @@ def test_uncommitted_batch_is_invisible_and_overwritten(spark):
     out = tempfile.mkdtemp(prefix="mw-crash-", dir="/tmp")
     # a crashed run: rows of a batch written, ledger never written
     files = sorted(r.csv_file for r in ing.list_csv_files(spark, root).collect())
-    import hashlib
-    key = hashlib.md5("\n".join(files).encode()).hexdigest()[:16]
-    crashed = ing.read_trace_csv(spark, files, recursive=False).where("_corrupt_record IS NULL")
-    (crashed.drop("_corrupt_record").withColumn("ingest_batch", F.lit(key)).write.mode("overwrite")
+    good = [f for f in files if f.endswith(("a.csv", "d.csv"))]
+    rows = ing.read_trace_csv(spark, good, HEADER.strip().split(","))
+    (rows.drop("_corrupt_record").withColumn("ingest_batch", F.lit(ing.batch_key(files))).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy("ingest_batch").parquet(f"{out}/t"))
     assert ing.read_table(spark, f"{out}/t", f"{out}/l").count() == 0
     ing.ingest(spark, root, f"{out}/t", f"{out}/l")  # retry of the same files

@@ -55,6 +55,8 @@ def test_arrays_shape(spark):
     assert len(r.past_values) == 60 and len(r.past_values[0]) == 2 and len(r.target) == 10
     from minutewise.operators.quality import window_shape_violations
     assert window_shape_violations(a, n_features=2).count() == 0
+    assert window_shape_violations(a, n_features=3).count() == 2  # an inner width that is wrong is seen
+    assert window_shape_violations(a, history=59, n_features=2).count() == 2
 
 
 def test_global_rank_and_running_total(spark):
@@ -86,8 +88,18 @@ def test_subsamples_deterministic(spark):
     assert a == b and len(a) == 10
     bal = splits.balanced_subsample(df, 60, 0.8).collect()
     assert len(bal) == 60 and sum(r.active for r in bal) == 34  # only 34 active exist; rest filled
-    train, rest = splits.v1_split(df, first_n=50)
-    assert train.count() == 45 and rest.count() == 5
+    assert splits.balanced_subsample(df, 10, 0.17).where("active").count() == 2  # 1.7 rounds up
+    assert splits.balanced_subsample(df, 10, 0.25).where("active").count() == 2  # halves go to even
+    train, rest = splits.v1_split(df)
+    a, b = {r.window_index for r in train.collect()}, {r.window_index for r in rest.collect()}
+    assert len(a) == 90 and len(b) == 10 and not a & b  # all windows, none left out
+
+
+def test_numeric_classes_are_codes_already(spark):
+    df = spark.createDataFrame([(2, 1), (None, None), (0, 0)], "category int, stability int")
+    for mode in ("v1", "v2"):
+        codes = win.encoded_classes(df, mode)
+        assert [tuple(r) for r in df.select(codes["category_id"], codes["stability_id"]).collect()] == [(2, 1), (0, 0), (0, 0)]
 
 
 def test_feature_statistics_fit_on_train(spark):
