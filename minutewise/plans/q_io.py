@@ -15,7 +15,7 @@ from minutewise.plans.oracle_sql import r, sparse_cte, with_ctes
 from minutewise.plans.registry import register
 from minutewise.plans.report import report
 from minutewise.schema import KEY, TRACE_SCHEMA
-from minutewise.session import scratch_table_path
+from minutewise.session import scratch_table_path, stored
 from minutewise.sources import ingest as ing
 from minutewise.sources.fixture import trace
 from minutewise.streaming import ingest as sing
@@ -192,3 +192,84 @@ def q_stream_minute_aggregate_exact(spark, sf):
     smin.run_exact_minute_stream(spark, f"{base}/source", f"{base}/out", f"{base}/checkpoint", t.schema,
                                  max_files_per_trigger=1)
     return round_doubles(smin.exact_minutes(spark, f"{base}/out"))
+
+
+@register("stream_minute_late_rows", with_ctes("""kept AS (
+  SELECT * FROM trace WHERE time_worker >= 2592000 + 39600 OR CAST(userID AS BIGINT) % 10 <> 0)""", select=f"""
+SELECT CAST(FLOOR(time_worker / 60) AS INTEGER) AS minute, {K}, CAST(COUNT(*) AS BIGINT) AS requests,
+       {r('AVG(cpu_usage)')} AS avg_cpu FROM kept GROUP BY ALL"""))
+def q_stream_minute_late_rows(spark, sf):
+    """Three micro-batches; the last brings rows of the first half of the day after the watermark has passed the
+    second half, and all of them are dropped."""
+    base = scratch_table_path(spark, f"stream-late-{uuid.uuid4().hex}")
+    t = trace(spark, sf)
+    early = F.col("time_worker") < 2592000 + 43200
+    # late rows lie an hour before the end of the first part: what is late follows from the batch before the last
+    late = (F.col("time_worker") < 2592000 + 39600) & (F.col("userID").cast("long") % 10 == 0)
+    for part in (t.where(early & ~late), t.where(~early), t.where(late)):  # files in the order of their writing
+        part.coalesce(1).write.mode("append").parquet(f"{base}/source")
+    info = smin.run_minute_stream(spark, f"{base}/source", f"{base}/out", f"{base}/checkpoint", t.schema, max_files_per_trigger=1)
+    if not info["rows_dropped_by_watermark"]:
+        raise RuntimeError(f"no late row was counted: {info}")
+    res = smin.latest_minutes(spark.read.parquet(f"{base}/out"))
+    return round_doubles(res.select("minute", *KEY, "requests", "avg_cpu"))
+
+
+@register("catalog_round_trip", with_ctes(select="""
+SELECT CAST(COUNT(*) AS BIGINT) AS n_view, CAST(COUNT(*) AS BIGINT) AS n_statistics, CAST(10 AS BIGINT) AS n_columns,
+       true AS listed FROM trace"""))
+def q_catalog_round_trip(spark, sf):
+    """A view over the trace, the catalog's look at it, and the row count that ANALYZE stores."""
+    from minutewise.sources import catalog
+    name = f"trace_{uuid.uuid4().hex}"
+    catalog.register_view(trace(spark, sf), f"{name}_view")
+    catalog.save_table(spark.table(f"{name}_view"), name, path=scratch_table_path(spark, name))
+    stats = catalog.analyze(spark, name).where("col_name = 'Statistics'").first()["data_type"]
+    n = int(stats.split(",")[-1].split()[0])
+    listed = catalog.table_exists(spark, name) and f"{name}_view" in catalog.list_tables(spark)
+    out = spark.table(f"{name}_view").agg(F.count(F.lit(1)).alias("n_view"), F.lit(n).cast("long").alias("n_statistics"),
+                                          F.lit(len(catalog.describe(spark, name))).cast("long").alias("n_columns"),
+                                          F.lit(listed).alias("listed"))
+    spark.sql(f"DROP TABLE {name}")
+    return out
+
+
+@register("csv_sink_round_trip", with_ctes(sparse_cte(), select=f"""
+SELECT {K}, CAST(SUM(requests) AS BIGINT) AS requests, CAST(COUNT(*) AS BIGINT) AS minutes FROM sparse GROUP BY ALL"""))
+def q_csv_sink_round_trip(spark, sf):
+    """The minute table written as CSV with a header and read back by its names."""
+    from minutewise.operators.minutes import minute_aggregate
+    from minutewise.sources import catalog
+    path = scratch_table_path(spark, f"csv-{uuid.uuid4().hex}")
+    catalog.write_csv(minute_aggregate(trace(spark, sf)), path)
+    back = spark.read.option("header", True).csv(path)
+    return back.groupBy(*KEY).agg(F.sum(F.col("requests").cast("long")).alias("requests"), F.count(F.lit(1)).alias("minutes"))
+
+
+@register("ensured_columns", with_ctes(select=f"""
+SELECT {r('SUM(0.0)')} AS bus_cost, {r('SUM(cpu_usage)')} AS cpu, {r('SUM(0.5)')} AS fallback,
+       {r('SUM(COALESCE(TRY_CAST(substr(podID, 4) AS DOUBLE), 0.0))')} AS pod_number FROM trace"""))
+def q_ensured_columns(spark, sf):
+    """Missing columns get a default, and the first candidate that is present is read as a number."""
+    from minutewise.operators.rawtrace import ensure_columns, select_numeric
+    t = ensure_columns(trace(spark, sf).withColumn("pod_text", F.substr("podID", F.lit(4))), ["busCost", "cpu_usage"])
+    return round_doubles(t.agg(F.sum("busCost").alias("bus_cost"), F.sum("cpu_usage").alias("cpu"),
+                               F.sum(select_numeric(t, ["absent"], 0.5)).alias("fallback"),
+                               F.sum(select_numeric(t, ["absent", "pod_text"])).alias("pod_number")))
+
+
+_MANY_CTE = """many AS (SELECT * EXCLUDE (funcName), 'u' || userID || '-' || podID AS funcName FROM trace),
+mtot AS (SELECT region, clusterName, funcName, CAST(COUNT(*) AS BIGINT) AS total_requests FROM many GROUP BY ALL),
+mq AS (SELECT quantile_cont(total_requests, 0.8) AS qh, quantile_cont(total_requests, 0.25) AS qr FROM mtot)"""
+
+
+@register("many_groups_category", with_ctes(_MANY_CTE, select=f"""
+SELECT {K}, total_requests, CASE WHEN total_requests >= qh THEN 'Hot' WHEN total_requests <= qr THEN 'Rare' ELSE 'Normal' END AS category
+FROM mtot, mq"""))
+def q_many_groups_category(spark, sf):
+    """F6/F7 with one function for each user and pod: groups grow with the trace, unlike the fixture's 250."""
+    from minutewise.operators import metadata as meta
+    from minutewise.operators.minutes import minute_aggregate
+    t = trace(spark, sf).withColumn("funcName", F.concat(F.lit("u"), "userID", F.lit("-"), "podID"))
+    totals = meta.group_totals(stored(minute_aggregate(t), "many-minutes"))
+    return totals.select("*", meta.volume_category(totals).alias("category"))

@@ -66,10 +66,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+def scratch_root(spark: SparkSession) -> str:
+    """Where this application keeps its intermediate tables: a folder of its own under the shared one."""
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    return f"{base}/tables/{spark.sparkContext.applicationId}"
+
+
 def scratch_table_path(spark: SparkSession, name: str) -> str:
     """A path under the shared checkpoint folder for a materialised intermediate table."""
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/tables/{name}"
+    return f"{scratch_root(spark)}/{name}"
+
+
+def drop_scratch(spark: SparkSession) -> bool:
+    """Delete the intermediate tables of this application, once no result that reads them is needed any more."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stored(df, name: str, *partition_by: str):

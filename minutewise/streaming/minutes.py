@@ -16,6 +16,9 @@ from pyspark.sql import functions as F
 
 from minutewise.schema import KEY
 
+#: Files of a micro-batch at most, so that the first one does not take the whole backlog.
+MAX_FILES = 1000
+
 
 def streaming_minute_aggregate(stream: DataFrame, watermark: str = "10 minutes", bucket: str = "1 minute",
                                approx_rsd: float = 0.05) -> DataFrame:
@@ -35,9 +38,9 @@ def streaming_minute_aggregate(stream: DataFrame, watermark: str = "10 minutes",
 
 
 def run_minute_stream(spark: SparkSession, source_dir: str, out_path: str, checkpoint: str, schema,
-                      watermark: str = "10 minutes", max_files_per_trigger: int | None = None) -> dict:
-    """Run the aggregation over the parquet files in ``source_dir`` until caught up; returns
-    row counts from the last progress (incl. rows dropped as late)."""
+                      watermark: str = "10 minutes", max_files_per_trigger: int = MAX_FILES) -> dict:
+    """Run the aggregation over the parquet files in ``source_dir`` until caught up; returns the number of
+    batches and of partial rows dropped as late, over all triggers."""
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
@@ -49,13 +52,21 @@ def run_minute_stream(spark: SparkSession, source_dir: str, out_path: str, check
 
     q = (agg.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
-    q.awaitTermination()
-    dropped = 0
-    for p in q.recentProgress:
-        ops = p["stateOperators"] if isinstance(p, dict) else p.stateOperators
-        for op in ops:
-            dropped += int(op["numRowsDroppedByWatermark"] if isinstance(op, dict) else op.numRowsDroppedByWatermark)
-    return {"batches": len(q.recentProgress), "rows_dropped_by_watermark": dropped}
+    # Spark keeps the last hundred progress records only, so they are gathered while the query runs
+    dropped: dict[int, int] = {}
+    while not q.awaitTermination(0.5):
+        _count_dropped(q, dropped)
+    _count_dropped(q, dropped)
+    return {"batches": len(dropped), "rows_dropped_by_watermark": sum(dropped.values())}
+
+
+def _count_dropped(query, dropped: dict[int, int]) -> None:
+    """Rows dropped as late, by batch."""
+    for p in query.recentProgress:
+        get = p.get if isinstance(p, dict) else lambda k, p=p: getattr(p, k)
+        ops = get("stateOperators")
+        dropped[get("batchId")] = sum(int(o["numRowsDroppedByWatermark"] if isinstance(o, dict) else o.numRowsDroppedByWatermark)
+                                      for o in ops)
 
 
 def latest_minutes(out: DataFrame) -> DataFrame:
@@ -109,16 +120,13 @@ def exact_minutes(spark: SparkSession, out_path: str) -> DataFrame:
     sums = [F.sum("n").alias("requests")]
     for dst, src in MEAN_SOURCES.items():
         sums.append((F.sum(f"s_{src}") / F.sum(f"c_{src}")).alias(dst))
-    merged = cells.groupBy("minute", *KEY).agg(*sums)
-    pods = spark.read.parquet(f"{out_path}/pods").groupBy("minute", *KEY).agg(
-        F.countDistinct("podID").alias("active_pods"))
-    users = spark.read.parquet(f"{out_path}/users").groupBy("minute", *KEY).agg(
-        F.countDistinct("userID").alias("active_users"))
     keys = ["minute", *KEY]
-    on_p = [merged[k].eqNullSafe(pods[k]) for k in keys]
-    out = merged.join(pods, on_p, "left").drop(*[pods[k] for k in keys])
-    on_u = [out[k].eqNullSafe(users[k]) for k in keys]
-    out = out.join(users, on_u, "left").drop(*[users[k] for k in keys])
+    merged = cells.groupBy(*keys).agg(*sums)
+    pods = spark.read.parquet(f"{out_path}/pods").groupBy(*keys).agg(F.countDistinct("podID").alias("active_pods"))
+    users = spark.read.parquet(f"{out_path}/users").groupBy(*keys).agg(F.countDistinct("userID").alias("active_users"))
+    # each column is in one of the three, so a union and one aggregate put the rows of a key together
+    parts = merged.unionByName(pods, allowMissingColumns=True).unionByName(users, allowMissingColumns=True)
+    out = parts.groupBy(*keys).agg(*[F.max(c).alias(c) for c in parts.columns if c not in keys])
     return out.select("minute", *KEY, F.col("requests").cast("long"), *MEAN_SOURCES,
                       F.coalesce("active_pods", F.lit(0)).cast("long").alias("active_pods"),
                       F.coalesce("active_users", F.lit(0)).cast("long").alias("active_users"))

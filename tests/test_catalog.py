@@ -34,3 +34,13 @@ def test_csv_and_text_sinks(spark):
     write_report_text(rep, f"{base}/report")
     lines = spark.read.text(f"{base}/report").collect()
     assert len(lines) == rep.count() and any("DATASET SUMMARY | Requests:" in r.value for r in lines)
+
+
+def test_scratch_tables_can_be_dropped(spark, monkeypatch):
+    from minutewise import session
+    root = session.scratch_root(spark)
+    assert session.scratch_table_path(spark, "x").startswith(root) and spark.sparkContext.applicationId in root
+    monkeypatch.setattr(session, "scratch_root", lambda s: f"{root}-other")
+    back = session.stored(spark.range(10), "numbers")
+    assert back.count() == 10
+    assert session.drop_scratch(spark) and not session.drop_scratch(spark)
