@@ -42,9 +42,11 @@ from minutewise.session import scratch_table_path
 LENGTH = 50
 GRAM = 20
 #: Corpus bytes that a shard stands for on average.
-SHARD_BYTES = 16 << 20
+SHARD_BYTES = 4 << 20
 #: Text bytes whose anchors or contexts a map task gathers before it sends them.
-SEND_BYTES = 16 << 20
+SEND_BYTES = 8 << 20
+#: Contexts whose strings are spelt out at a time.
+STRIP = 1 << 15
 _CTX = 2 * LENGTH - GRAM
 _LEAD = LENGTH - GRAM
 EMPTY_SHA = hashlib.sha256(b"").hexdigest()
@@ -85,13 +87,11 @@ def anchors(raw: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return pos, h[pos]
 
 
-def _shard_of(h: np.ndarray, shards: int) -> np.ndarray:
-    return ((h >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)).astype(np.int64)
-
-
 def _codes(h: np.ndarray, shards: int) -> np.ndarray:
-    """A gram as the shard and 32 bits that the shard doesn't follow from."""
-    return (_shard_of(h, shards).astype(np.uint64) << np.uint64(32)) | (mix(h) & np.uint64(0xFFFFFFFF))
+    """A gram as its shard and 32 bits that the shard doesn't follow from. Hashes of anchors are small ones, so they
+    are mixed again, or the first shards would get most of them."""
+    g = mix(h ^ np.uint64(0x2545F4914F6CDD1D))
+    return ((g >> np.uint64(32)) * np.uint64(shards) & ~np.uint64(0xFFFFFFFF)) | (g & np.uint64(0xFFFFFFFF))
 
 
 def _send_grams(batches: Iterator[pa.RecordBatch], shards: int) -> Iterator[pa.RecordBatch]:
@@ -229,8 +229,11 @@ def _send_contexts(batches: Iterator[pa.RecordBatch], shards: int) -> Iterator[p
         least = np.repeat(doc[order][first], np.diff(np.append(first, len(order))))
         later = order[doc[order] > least]
         sent = order[doc[order] == least]
-        own, start = _strings(pos[later], left[later], have[later])
-        done = _runs(doc[later][own], start)
+        done = []
+        for s in range(0, len(later), STRIP):
+            part = later[s:s + STRIP]
+            own, start = _strings(pos[part], left[part], have[part])
+            done += _runs(doc[part][own], start)
         sent = sent[np.argsort(shard[sent], kind="stable")]
         rows = []
         for part in np.split(sent, np.flatnonzero(np.diff(shard[sent])) + 1) if len(sent) else []:
@@ -256,11 +259,12 @@ def _send_contexts(batches: Iterator[pa.RecordBatch], shards: int) -> Iterator[p
         theirs = np.frombuffer(b"".join(packed), np.uint64)
         salt = mix(np.arange(batch.num_rows, dtype=np.uint64) + np.uint64(1))
         owner = np.repeat(np.arange(batch.num_rows), [len(x) // 8 for x in packed])
-        hit = np.isin(mix(_codes(h, shards) ^ salt[row]), mix(theirs ^ salt[owner]))
-        pos, h, row = pos[hit], h[hit], row[hit]
+        code = _codes(h, shards)
+        hit = np.isin(mix(code ^ salt[row]), mix(theirs ^ salt[owner]))
+        pos, code, row = pos[hit], code[hit], row[hit]
         ctx, left, have = _windows(raw, pos, offs[row], offs[row + 1])
         ids = np.asarray(batch.column(0))
-        held.append((_shard_of(h, shards), ids[row], pos - offs[row], left, have, ctx))
+        held.append(((code >> np.uint64(32)).astype(np.int64), ids[row], pos - offs[row], left, have, ctx))
         size += len(raw)
         if size >= SEND_BYTES:
             yield from flush()
@@ -300,10 +304,13 @@ def _repeated(pdf: pd.DataFrame) -> pd.DataFrame:
     if len(new):
         smallest[ids] = np.repeat(np.minimum.reduceat(least[of[ids]], new), np.diff(np.append(new, len(ids))))
     base = np.cumsum(n) - n
-    own, start = _strings(pos, left, have)
-    index = base[group[own]] + (start - (pos - _LEAD + left)[own])
-    gone = smallest[index] < doc[own]
-    out = _runs(doc[own][gone], start[gone])
+    by_doc = np.lexsort((pos, doc))
+    for s in range(0, len(doc), STRIP):
+        part = by_doc[s:s + STRIP]
+        own, start = _strings(pos[part], left[part], have[part])
+        index = base[group[part][own]] + (start - (pos[part] - _LEAD + left[part])[own])
+        gone = smallest[index] < doc[part][own]
+        out += _runs(doc[part][own][gone], start[gone])
     for d, a, b in zip(*(x.tolist() for x in done)):
         out.append((d, np.array([a, b], np.int64).tobytes()))
     return pd.DataFrame(out, columns=["doc_id", "ranges"])
