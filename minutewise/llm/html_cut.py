@@ -144,10 +144,12 @@ def blocks_of(page: str) -> list[Block]:
         if "=" in attrs:
             for hint in _HINT.finditer(attrs):
                 words.update(_WORDS.findall((hint[1] or hint[2] or hint[3] or "").lower()))
-        never = tag in NEVER and not (tag == "header" and any(s[0] in ("article", "main") for s in stack))
+        inside = any(s[5] for s in stack)
+        never = tag in NEVER and not (tag == "header" and inside)
         if attrs:
             never = never or bool(_HIDDEN_STYLE.search(attrs)) or bool(_HIDDEN_ATTR.search(_QUOTED.sub("", attrs)))
-        bad = bool(words & _BAD_WORDS) and tag not in ("html", "body")
+        # the header of an article is its headline, not the page's
+        bad = bool((words - {"header"} if inside else words) & _BAD_WORDS) and tag not in ("html", "body")
         stack.append((tag, nodes, never, bool(words & _GOOD_WORDS) and not bad, bad, tag in ("article", "main") and not bad))
         if tag == "a":
             in_link += 1
