@@ -374,9 +374,13 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     # the one shuffle of texts: those that go on, bucketed by doc_id
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     name = f"op1_texts_{uuid.uuid4().hex}"
-    ahead = first.where(F.col("n") >= LENGTH).select(F.col("first").alias("doc_id"), "h1", "h2")
-    (keys.join(ahead, ["doc_id", "h1", "h2"], "left_semi").dropDuplicates(["doc_id", "h1", "h2"])
-     .select("doc_id", "text", "h1").repartition(parts, "doc_id").write.bucketBy(parts, "doc_id")
+    ahead = first.where(F.col("n") >= LENGTH).select(F.col("first").alias("first_id"), F.col("h1").alias("g1"),
+                                                        F.col("h2").alias("g2"))
+    # joined on doc_id alone, the hashes compared beside it, so that the rows lie as the buckets need them
+    same = ((F.col("doc_id") == F.col("first_id")) & (F.col("h1").bitwiseXOR(F.col("g1")) == 0)
+            & (F.col("h2").bitwiseXOR(F.col("g2")) == 0))
+    (keys.join(ahead.hint("merge"), same, "left_semi").dropDuplicates(["doc_id", "h1", "h2"])
+     .select("doc_id", "text", "h1").write.bucketBy(parts, "doc_id")
      .option("path", scratch_table_path(spark, name)).saveAsTable(name))
     texts = spark.table(name)
 
