@@ -44,7 +44,7 @@ def test_toxicity_learns_words_and_stems_from_open_rows_only(spark):
     got = {r["doc_id"]: r["score"] for r in toxicity.with_scores(docs.select("doc_id", "text"), model).collect()}
     right = [(got[d] >= toxicity.THRESHOLD) == bool(y) for d, _, _, y in rows if d in closed]
     assert len(right) > 300 and np.mean(right) > 0.95
-    assert all(0 <= s <= 1 for s in got.values()) and got[9001] == got[9002]
+    assert all(0 <= s <= 1 for s in got.values()) and abs(got[9001] - got[9002]) < 1e-6
     flagged = toxicity.flag_toxic(docs, labels)
     assert flagged.columns[:4] == docs.columns and set(model.thresholds) <= {"en", "xx"}
     assert all(toxicity.LEAST_CUT <= x <= toxicity.MOST_CUT for x in model.thresholds.values())
