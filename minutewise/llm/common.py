@@ -56,6 +56,16 @@ def string_bytes(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
+def text_runs(texts: list[str], limit: int = CHUNK_BYTES) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Bytes and offsets of runs of texts of at most ``limit`` bytes (one text at least)."""
+    raw, offs = string_bytes(pa.array(texts, pa.string()))
+    at = 0
+    while at < len(texts):
+        to = max(at + 1, int(np.searchsorted(offs, offs[at] + limit, "right")) - 1)
+        yield raw[offs[at]:offs[to]], offs[at:to + 1] - offs[at]
+        at = to
+
+
 def text_passes(batches: Iterator[pa.RecordBatch], text_col: str = "text", limit: int = CHUNK_BYTES
                 ) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     """Cut record batches into runs of rows of at most ``limit`` text bytes (one row at least)."""

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from minutewise.llm.common import id_and_text, store, string_bytes, text_passes
+from minutewise.llm.common import id_and_text, store, text_passes, text_runs
 from minutewise.llm.graph import components
 from minutewise.llm.wordhash import mix, shingle_hashes, word_hashes
 
@@ -105,9 +105,11 @@ def signatures(docs: DataFrame, k: int, bands: int = BANDS, rows: int = ROWS) ->
 
 
 def _sets(texts: list[str], k: int) -> list[np.ndarray]:
-    raw, offs = string_bytes(pa.array(texts, pa.string()))
-    h, at = shingle_hashes(*word_hashes(raw, offs), k)
-    return [h[at[i]:at[i + 1]] for i in range(len(texts))]
+    out = []
+    for raw, offs in text_runs(texts):
+        h, at = shingle_hashes(*word_hashes(raw, offs), k)
+        out += [h[at[i]:at[i + 1]] for i in range(len(offs) - 1)]
+    return out
 
 
 def _similar(one: np.ndarray, others: list[np.ndarray], pct: int) -> np.ndarray:

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from minutewise.llm.common import string_bytes, text_passes
+from minutewise.llm.common import text_passes, text_runs
 from minutewise.llm.wordhash import stem_hashes
 
 #: Labelled documents that the model is fitted on at most.
@@ -117,18 +117,25 @@ def _take(tok: np.ndarray, start: np.ndarray, rows: np.ndarray) -> tuple[np.ndar
 
 def fit(texts: list[str], toxic: np.ndarray, lang: list[str], seed: int = 5) -> Model:
     rng = np.random.default_rng(seed)
-    raw, offs = string_bytes(pa.array(texts, pa.string()))
-    tok, start = tokens(raw, offs)
     y = np.asarray(toxic, np.float32)
     check = np.zeros(len(y), bool)
     check[rng.permutation(len(y))[:len(y) // 5]] = True
     train, held = np.flatnonzero(~check), np.flatnonzero(check)
 
-    doc = np.repeat(np.arange(len(y)), np.diff(start))
-    seen = np.unique((doc[~check[doc], None] * BUCKETS + tok[~check[doc]]).ravel()) % BUCKETS
-    known = np.bincount(seen, minlength=BUCKETS) >= LEAST_DOCS
+    runs, sizes, seen = [], [], np.zeros(BUCKETS, np.int64)
+    for raw, offs in text_runs(texts):
+        t, at = tokens(raw, offs)
+        doc = np.repeat(np.arange(len(at) - 1), np.diff(at))
+        learns = ~check[len(sizes):len(sizes) + len(at) - 1][doc]
+        seen += np.bincount(np.unique((doc[learns, None] * BUCKETS + t[learns]).ravel()) % BUCKETS, minlength=BUCKETS)
+        runs.append(t)
+        sizes.extend(np.diff(at).tolist())
+    known = seen >= LEAST_DOCS
     known[0] = False
-    tok = np.where(known[tok], tok, 0)
+    tok = np.concatenate(runs)
+    runs.clear()
+    tok[~known[tok]] = 0
+    start = np.concatenate([[0], np.cumsum(sizes)])
 
     emb = (rng.standard_normal((BUCKETS, DIM)) * 0.1).astype(np.float32)
     emb[~known] = 0

@@ -38,7 +38,6 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> _U(32))
 
 
-@lru_cache(maxsize=2)
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     with np.errstate(over="ignore"):
         up = np.full(n, _BASE, np.uint64)
@@ -47,9 +46,14 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
         return np.cumprod(up, dtype=np.uint64), np.cumprod(down, dtype=np.uint64)
 
 
+#: Bytes of a pass up to which the powers are kept; only a longer document has its own.
+_KEPT = 1 << 21
+_kept_powers = lru_cache(maxsize=1)(_powers)
+
+
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """base^i and base^-i modulo 2^64 for i < n at least."""
-    return _powers(1 << max(21, int(n).bit_length()))
+    return _kept_powers(_KEPT) if n <= _KEPT else _powers(n)
 
 
 def prefix_hash(raw: np.ndarray) -> np.ndarray:
