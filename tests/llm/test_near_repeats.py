@@ -198,3 +198,28 @@ def test_similar_vectors_equal_brute_force(spark):
     out = similar_vectors(df, group=40)
     assert sorted((tuple(r) for r in out.collect()), key=str) == _vector_oracle(rows)
     assert similar_vectors(df.limit(0)).count() == 0
+
+
+def test_links_inside_a_dense_cluster_are_all_found(spark):
+    rng = np.random.default_rng(6)
+
+    def unit(v):
+        return v / np.linalg.norm(v, axis=-1, keepdims=True)
+
+    centre = unit(rng.standard_normal(64))
+
+    def around(v):  # mutual cosine of about 0.9
+        return np.sqrt(0.9) * centre + np.sqrt(0.1) * unit(v - np.outer(v @ centre, centre))
+
+    a = unit(rng.standard_normal((400, 64)))
+    x = np.vstack([around(rng.standard_normal((2000, 64))), around(a), around(0.55 * a + 0.835 * unit(rng.standard_normal((400, 64)))),
+                   unit(rng.standard_normal((600, 64)))])
+    near = x @ x.T
+    assert np.abs(near - 0.95).min() > 1e-9
+    near = (near >= 0.95) & ~np.eye(len(x), dtype=bool)
+    links = np.argwhere(np.triu(near)).tolist()
+    assert len(links) > 150
+    root = _roots(range(len(x)), links)
+    df = spark.createDataFrame([(i, [float(c) for c in v]) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in similar_vectors(df, group=40, rest_block=700).collect()}
+    assert got == {i: (int(near[i].sum()), root[i]) for i in range(len(x))}
