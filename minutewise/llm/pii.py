@@ -40,10 +40,11 @@ PATTERNS = {
     "number": r"(?<![0-9A-Za-z+.-])(?:\([0-9]{2,5}\) ?|[0-9]{2,5}[ .-])[0-9]{2,4}[ .-][0-9]{2,4}"
               r"(?:[ .-][0-9]{2,4}){0,3}(?![0-9A-Za-z-])",
     "secret": r"(?<![A-Za-z0-9])(?:AKIA[0-9A-Z]{16}|(?i:password|passwd|secret|token|api[_-]?key) ?[=:] ?"
-              r"[\"']?[A-Za-z0-9+/_-]{8,128})(?![A-Za-z0-9])",
+              r"[\"']?[A-Za-z0-9+/_-]{8,}+)(?![A-Za-z0-9])",
 }
-#: A character without which a kind can't match.
+#: A character, or else a pattern, without which a kind can't match.
 _NEEDS = {"email": "@", "ip": ".", "phone": "+"}
+_NEEDS_PATTERN = {"card": "[0-9]", "contact": r"(?:at|AT) ?[)\]}]", "number": "[0-9]", "secret": "AKIA|[=:]"}
 _CONTEXT = 40
 # Words that speak for or against personal data next to a span.
 _FOR = r"(?i)\b(?:tel|phone|call|fax|mobile|mail|e-?mail|contact|address|card|visa|account|iban|ssn|passport|name|login|user)\b"
@@ -88,8 +89,7 @@ def _matches(kind: str, text: Column) -> Column:
                  lambda x: x["m"].isNotNull()),
         lambda x: F.struct(F.lit(kind).alias("kind"), x["m"].alias("match"), F.length(x["p"]).cast("long").alias("gap"),
                            F.right(x["p"], F.lit(_CONTEXT)).alias("before"), F.left(x["q"], F.lit(_CONTEXT)).alias("after")))
-    needs = F.contains(text, F.lit(_NEEDS[kind])) if kind in _NEEDS else text.rlike(
-        "[0-9]" if kind != "contact" else r"(?:at|AT) ?[)\]}]")
+    needs = F.contains(text, F.lit(_NEEDS[kind])) if kind in _NEEDS else text.rlike(_NEEDS_PATTERN[kind])
     return F.when(needs, rows).otherwise(F.array().cast(
         "array<struct<kind:string,match:string,gap:bigint,before:string,after:string>>"))
 
