@@ -14,8 +14,9 @@ of a bucket:
 2. in buckets whose other members still lie in different components, every pair across components is compared
    inside tasks that hold two blocks of at most ``BLOCK`` members; only links that unite something are emitted.
 
-So no candidate pair that could unite two components goes uncompared, whatever the size of a bucket. ``ROWS`` and
-``BANDS`` miss a pair at the threshold with probability (1 - 0.85^6)^20 < 1e-4 and closer pairs far more rarely.
+So no candidate pair that could unite two components goes uncompared, whatever the size of a bucket. Bands and rows
+follow from the threshold (``banding``): a pair at it is missed with probability below ``MISS``, 7.7e-5 at 0.85 (20 bands
+of 6) and 7.3e-5 at 0.80 (24 of 5), and closer pairs far more rarely.
 
 Defined cases: words are `[^\\x20\\x09-\\x0D]+` with A-Z lower-cased; fewer than ``k`` words make one shingle; a null or
 empty text has no shingle and is linked with nothing; repeated rows (doc_id and text) are one document and each gets a
@@ -25,6 +26,7 @@ columns are ignored.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,8 +39,8 @@ from minutewise.llm.common import id_and_text, store, text_passes, text_runs
 from minutewise.llm.graph import components
 from minutewise.llm.wordhash import mix, shingle_hashes, word_hashes
 
-BANDS, ROWS = 20, 6
-T = BANDS * ROWS
+#: Coordinates of a sketch, about, and the largest probability of missing a pair at the threshold.
+T, MISS = 120, 1e-4
 #: Members of a bucket that one side of a comparison task holds at most.
 BLOCK = 1500
 #: Members that are compared with one pivot in one task, about.
@@ -48,6 +50,16 @@ _LOW = np.uint64(0xFFFFFFFF)
 _32 = np.uint64(32)
 
 
+def banding(pct: int) -> tuple[int, int]:
+    """Bands and rows: as many rows as ``T`` coordinates allow while a pair of similarity ``pct`` % is missed with
+    probability ``MISS`` at most. More coordinates where single rows don't suffice."""
+    s = min(max(pct, 1), 99) / 100
+    for rows in range(T // 2, 0, -1):
+        if (1 - s ** rows) ** (T // rows) <= MISS:
+            return T // rows, rows
+    return math.ceil(math.log(MISS) / math.log(1 - s)), 1
+
+
 def sketches(h: np.ndarray, at: np.ndarray, t: int = T) -> np.ndarray:
     """The (documents, t) fast similarity sketches of shingle sets; rows of empty sets mean nothing."""
     n = len(at) - 1
@@ -70,7 +82,7 @@ def sketches(h: np.ndarray, at: np.ndarray, t: int = T) -> np.ndarray:
     return out.reshape(n, t)
 
 
-def band_keys(sk: np.ndarray, bands: int = BANDS) -> np.ndarray:
+def band_keys(sk: np.ndarray, bands: int) -> np.ndarray:
     """A 64-bit key for each document and band."""
     n, t = sk.shape
     rows = sk.reshape(n, bands, t // bands)
@@ -98,7 +110,7 @@ def _sign(batches: Iterator[pa.RecordBatch], k: int, bands: int, rows: int) -> I
             names=["doc_id", "n_shingles", "s1", "s2", "bands"])
 
 
-def signatures(docs: DataFrame, k: int, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+def signatures(docs: DataFrame, k: int, bands: int, rows: int) -> DataFrame:
     """doc_id, n_shingles, (s1, s2): a 128-bit hash of the shingle set, bands."""
     return docs.mapInArrow(lambda it: _sign(it, k, bands, rows),
                            "doc_id long, n_shingles long, s1 long, s2 long, bands array<long>")
@@ -173,8 +185,9 @@ def _across(pdf: pd.DataFrame, k: int, pct: int) -> pd.DataFrame:
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, pct: int = 80, id_col: str = "doc_id", text_col: str = "text",
-                    bands: int = BANDS, rows: int = ROWS, block: int = BLOCK) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept: one row per row of ``docs``."""
+                    bands: int | None = None, rows: int | None = None, block: int = BLOCK) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept: one row per row of ``docs``. Bands and rows follow from ``pct`` unless given."""
+    bands, rows = (given or derived for given, derived in zip((bands, rows), banding(pct)))
     docs = id_and_text(docs, id_col, text_col)
     signed = store(signatures(docs, k, bands, rows), "op2-signed")
     classes = store(signed.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("s1", "s2", "n_shingles")

@@ -68,6 +68,14 @@ def test_near_duplicates_defaults_and_empty(spark):
     assert near_duplicates(df.limit(0)).count() == 0
 
 
+def test_pairs_at_the_default_threshold_are_not_missed(spark):
+    docs = []
+    for i in range(0, 5000, 2):  # 40 common words of 50: a similarity of 0.80
+        docs += [(i + j, " ".join([f"w{i}_{n}" for n in range(40)] + [f"v{i + j}_{n}" for n in range(5)])) for j in (0, 1)]
+    out = near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"), k=1)
+    assert [r["doc_id"] for r in out.collect() if r["component_id"] != r["doc_id"] - r["doc_id"] % 2] == []
+
+
 def test_one_bucket_with_several_components(spark):
     """Members that differ from the smallest member but not from each other are united in the second step."""
     rng = random.Random(5)
