@@ -13,11 +13,11 @@ from minutewise.llm.common import store, table
 from minutewise.llm.containment import without_contaminated
 from minutewise.llm.line_spread import remove_spread_lines
 from minutewise.llm.near_minhash import near_duplicates
-from minutewise.llm.segment import with_tokens
+from minutewise.llm.segment import SAMPLES, with_tokens
 from minutewise.llm.toxicity import flag_toxic
 
-#: Segmentations of each document.
-DRAWS = 2
+#: Segmentations of each document, as many as the operator draws.
+DRAWS = SAMPLES
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,7 +47,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def segmentation(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents with ``tokens``, two sampled segmentations of each."""
+    """The documents with ``tokens``, sampled segmentations of each."""
     return with_tokens(docs, k=DRAWS)
 
 

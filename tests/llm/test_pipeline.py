@@ -74,6 +74,10 @@ def test_contaminated_documents_go(spark, tables):
     assert out.columns == docs.columns and {r.doc_id for r in out.collect()} == {2, 3}
 
 
+def test_stage_draws_as_many_segmentations_as_the_operator():
+    assert P.DRAWS == segment.SAMPLES
+
+
 def test_segmentations_decode_to_the_text(spark, tables):
     docs = _docs(spark, [(1, "Some text, with words.", "en", "s"), (2, None, "en", "s"), (3, "", "en", "s")])
     v = segment.load_vocabulary()
