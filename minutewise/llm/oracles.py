@@ -91,3 +91,43 @@ SELECT h.doc_id, (length(x) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BI
        sha256(unhex(coalesce(c.kept, '') || substr(x, 2 * coalesce(c.last, 0) + 1))) AS kept_sha256
 FROM h LEFT JOIN c USING (doc_id)
 """
+
+#: Hashed 1- and 2-word features, gains of their buckets, and the highest Gumbel scores; CRC-32 spelt out over bytes.
+RESAMPLING = r"""
+WITH tab AS MATERIALIZED (
+  SELECT list_transform(range(256), lambda n: list_reduce(list_prepend(n, range(8)),
+         lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS tab),
+w AS MATERIALIZED (
+  SELECT false AS target, doc_id AS id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+  UNION ALL
+  SELECT true, item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') FROM benchmark),
+f AS MATERIALIZED (
+  SELECT target, id, f, count(*) AS n
+  FROM (SELECT target, id, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS f
+        FROM w) GROUP BY target, id, f),
+c AS MATERIALIZED (
+  SELECT f, xor(list_reduce(list_prepend(4294967295, list_transform(range(length(x) // 2),
+           lambda i: ('0x' || substr(x, 2 * i + 1, 2))::BIGINT)),
+         lambda c, b: xor(tab[(xor(c, b) & 255) + 1], c >> 8)), 4294967295) % 10000 AS bucket
+  FROM (SELECT f, hex(encode(f)) AS x FROM (SELECT DISTINCT f FROM f)), tab),
+b AS MATERIALIZED (
+  SELECT bucket, coalesce(sum(n) FILTER (WHERE NOT target), 0) AS s, coalesce(sum(n) FILTER (WHERE target), 0) AS t
+  FROM f JOIN c USING (f) GROUP BY bucket),
+g AS (
+  SELECT bucket, floor(1000 * ln(((t + 1)::DOUBLE * (sum(s) OVER () + 10000)::DOUBLE)
+                                 / ((s + 1)::DOUBLE * (sum(t) OVER () + 10000)::DOUBLE)))::BIGINT AS gain FROM b),
+m AS (
+  SELECT f.id AS doc_id, sum(n) AS n_features, floor(sum(n * gain)::DOUBLE / sum(n))::BIGINT AS weight
+  FROM f JOIN c USING (f) JOIN g USING (bucket) WHERE NOT target GROUP BY f.id),
+k AS MATERIALIZED (
+  SELECT w.id AS doc_id, len(w.w) AS n_words, coalesce(m.n_features, 0)::BIGINT AS n_features,
+         coalesce(m.weight, 0)::BIGINT AS weight,
+         coalesce(m.weight, 0)::BIGINT + floor(-1000 * ln(-ln((('0x' || substr(sha256('7:' || w.id), 1, 8))::BIGINT + 0.5::DOUBLE)
+                                                         / 4294967296::DOUBLE)))::BIGINT AS score
+  FROM w LEFT JOIN m ON m.doc_id = w.id WHERE NOT w.target),
+r AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank, count(*) OVER () AS n FROM k WHERE n_words >= 20)
+SELECT k.doc_id, n_features, weight, score, CASE WHEN r.rank <= 25 * r.n // 100 THEN r.rank END::BIGINT AS rank
+FROM k LEFT JOIN r USING (doc_id)
+"""

@@ -16,6 +16,7 @@ from minutewise.llm.line_spread import remove_spread_lines
 from minutewise.llm.near_minhash import near_duplicates
 from minutewise.llm.pii import personal_spans
 from minutewise.llm.pseudo_lm import pseudo_likelihood
+from minutewise.llm.resample import importance_scores
 from minutewise.llm.segment import segmentations
 from minutewise.llm.suffix_repeats import remove_repeats
 from minutewise.llm.toxicity import THRESHOLD, held_out, train, with_scores
@@ -85,3 +86,9 @@ def gumbel_segmentation(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_pseudo_likelihood")
 def op9_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pseudo_likelihood(table(spark, sf_dir, "documents"))
+
+
+@query("op13_importance_resampling", oracles.RESAMPLING)
+def importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = importance_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return scored.select("doc_id", "n_features", "weight", "score", "rank")
