@@ -131,3 +131,37 @@ r AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank, co
 SELECT k.doc_id, n_features, weight, score, CASE WHEN r.rank <= 25 * r.n // 100 THEN r.rank END::BIGINT AS rank
 FROM k LEFT JOIN r USING (doc_id)
 """
+
+#: What each of five filters removes by part, order and step.
+FILTER_AUDIT = r"""
+WITH w AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+         list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+l AS (SELECT doc_id, max(quality = 1) AS good, max(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+f AS (
+  SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+         CASE WHEN len(w) < 50 THEN 'A' ELSE '' END
+         || CASE WHEN 100 * len(list_distinct(w)) < 65 * len(w) THEN 'B' ELSE '' END
+         || CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]+', '', 'g')) > 5 * length(t) THEN 'C' ELSE '' END
+         || CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END
+         || CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY t) THEN 'E' ELSE '' END AS fails
+  FROM w LEFT JOIN l USING (doc_id)),
+n AS (SELECT part, good, toxic, fails, count(*) AS n FROM f GROUP BY ALL),
+x AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+o AS (SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM x a, x b, x c, x d, x e
+      WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+s AS (SELECT filter_order, step::INTEGER AS step, filter_order[step] AS x, filter_order[1:step - 1] AS earlier
+      FROM o, range(1, 6) r(step)),
+c AS (SELECT part, filter_order, step, x, n, good, toxic, fails = x AS sole, contains(fails, x) AS bad,
+             earlier <> '' AND regexp_matches(fails, '[' || earlier || '_]') AS gone FROM n, s),
+r AS (SELECT part, filter_order, step, x,
+             coalesce(sum(n) FILTER (WHERE NOT bad AND NOT gone), 0)::BIGINT AS kept,
+             coalesce(sum(n) FILTER (WHERE bad AND NOT gone), 0)::BIGINT AS removed,
+             coalesce(sum(n) FILTER (WHERE bad AND gone), 0)::BIGINT AS redundant,
+             coalesce(sum(n) FILTER (WHERE sole), 0)::BIGINT AS unique_fails,
+             coalesce(sum(n) FILTER (WHERE bad AND NOT gone AND good), 0)::BIGINT AS good_lost,
+             coalesce(sum(n) FILTER (WHERE bad AND NOT gone AND toxic), 0)::BIGINT AS toxic_lost
+      FROM c GROUP BY part, filter_order, step, x)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       sum(removed) OVER (PARTITION BY part, x)::BIGINT AS shapley FROM r
+"""

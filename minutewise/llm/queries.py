@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from minutewise.llm import oracles
 from minutewise.llm.common import table
 from minutewise.llm.containment import contained_items
+from minutewise.llm.filter_audit import audit_files
 from minutewise.llm.forest import similar_vectors
 from minutewise.llm.html_cut import extract
 from minutewise.llm.line_spread import remove_spread_lines
@@ -92,3 +93,8 @@ def op9_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
 def importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = importance_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return scored.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+@query("op11_filter_audit", oracles.FILTER_AUDIT)
+def filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit_files(spark, f"{sf_dir}/documents.parquet", table(spark, sf_dir, "labels"))
