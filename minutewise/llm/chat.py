@@ -16,9 +16,9 @@ with the conversation. A digest of a sequence can't be split: the turns of a con
 after another, at the speed of SHA-256.
 
 Defined cases: a null text or content is empty; a null role is an empty one; turns go by ``turn``, nulls first, ties
-by role and text; rows without a conv_id are one conversation without an id; content that is no JSON list of typed
-parts, and a part that is none of the four types, is taken as text, whole; an empty table gives an empty result; other
-columns are ignored, whatever their names.
+by role and formatted text, so repeated rows are repeated turns; rows without a conv_id are one conversation without
+an id; content that is no JSON list of typed parts, and a part that is none of the four types, is taken as text, whole;
+an empty table gives an empty result; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -31,7 +31,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 #: What opens and closes the turns of the named roles; any other role is written out between its two markers.
@@ -54,7 +54,7 @@ _TURN = re.compile("|".join(
     [f"{re.escape(a)}(?P<{role}>.*){re.escape(b)}" for role, (a, b) in ROLES.items()]
     + [f"{re.escape(OTHER[0])}(?P<role>.*?){re.escape(OTHER[1])}(?P<other>.*){re.escape(OTHER[2])}"]), re.S)
 
-_SEGMENT = ("conv_id long, turn long, role_key string, text_key string, segment string, n_chars long, loss array<struct<start:int,end:int>>, "
+_SEGMENT = ("conv_id long, turn long, role string, segment string, n_chars long, loss array<struct<start:int,end:int>>, "
             "attachments array<struct<kind:string,ref:string,at:int,tokens:long>>, expanded_tokens long")
 
 
@@ -66,6 +66,9 @@ def unescape(text: str) -> str:
     return _UNESCAPE.sub(lambda m: "\\" if m[1] == "\\" else "", text)
 
 
+_END = object()
+
+
 @dataclass
 class Attachment:
     kind: str
@@ -82,8 +85,28 @@ class Flattener:
     size: int = 0
     spans: list[tuple[int, int]] = field(default_factory=list)
     attachments: list[Attachment] = field(default_factory=list)
+    #: Text that is not written yet: texts side by side are escaped as one, so no marker arises between them.
+    pending: list[str] = field(default_factory=list)
+    #: What is still to be visited, the next one last: parts, and ends of documents.
+    ahead: list = field(default_factory=list)
+
+    def walk(self, parts: list) -> None:
+        self.ahead = list(reversed(parts))
+        while self.ahead:
+            part = self.ahead.pop()
+            if part is _END:
+                self.write(CLOSE_DOCUMENT)
+            else:
+                self.visit(part)
 
     def write(self, s: str) -> int:
+        if self.pending:
+            text = escape("".join(self.pending))
+            self.pending = []
+            if text:
+                self.spans.append((self.size, self.size + len(text)))
+            self.out.append(text)
+            self.size += len(text)
         at = self.size
         self.out.append(s)
         self.size += len(s)
@@ -98,9 +121,7 @@ class Flattener:
             visit(part)
 
     def text(self, text: str) -> None:
-        at = self.write(escape(text))
-        if self.size > at:
-            self.spans.append((at, self.size))
+        self.pending.append(_encodable(text))
 
     def visit_text(self, part: dict) -> None:
         text = part.get("text")
@@ -120,18 +141,22 @@ class Flattener:
             return
         self.attach("document", part, 1)
         self.write(OPEN_DOCUMENT)
-        for p in inner:
-            self.visit(p)
-        self.write(CLOSE_DOCUMENT)
+        self.ahead.append(_END)
+        self.ahead += reversed(inner)
 
     def attach(self, kind: str, part: dict, tokens: int) -> None:
         ref = part.get("ref")
-        self.attachments.append(Attachment(kind, "" if ref is None else str(ref), self.write(PLACEHOLDERS[kind]), max(1, tokens)))
+        self.attachments.append(Attachment(kind, "" if ref is None else _encodable(str(ref)), self.write(PLACEHOLDERS[kind]), max(1, tokens)))
 
 
 def _number(x) -> float:
-    ok = isinstance(x, (int, float)) and not isinstance(x, bool) and math.isfinite(x) and x > 0
-    return float(x) if ok else 0.0
+    """A size in an attachment; what is no number, or beyond any size, counts as not given."""
+    return float(x) if isinstance(x, (int, float)) and not isinstance(x, bool) and 0 < x < 1 << 31 else 0.0
+
+
+def _encodable(s: str) -> str:
+    """Half a surrogate pair, which JSON can spell, becomes a question mark."""
+    return s.encode("utf-8", "replace").decode("utf-8")
 
 
 def content_parts(content: str, typed: bool) -> list:
@@ -162,8 +187,7 @@ def format_turn(role: str, content: str, typed: bool = False) -> Turn:
     else:
         after = OTHER[2]
         f.write(OTHER[0] + escape(role) + OTHER[1])
-    for part in content_parts(content, typed):
-        f.visit(part)
+    f.walk(content_parts(content, typed))
     f.write(after)
     return Turn("".join(f.out), f.spans if role == LOSS_ROLE else [], f.attachments)
 
@@ -178,7 +202,7 @@ def read_turn(segment: str) -> tuple[str, str]:
 
 
 def _formatted(batches: Iterator[pa.RecordBatch], typed: bool) -> Iterator[pa.RecordBatch]:
-    types = pa.schema([("conv_id", pa.int64()), ("turn", pa.int64()), ("role_key", pa.string()), ("text_key", pa.string()),
+    types = pa.schema([("conv_id", pa.int64()), ("turn", pa.int64()), ("role", pa.string()),
                        ("segment", pa.string()), ("n_chars", pa.int64()),
                        ("loss", pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))),
                        ("attachments", pa.list_(pa.struct([("kind", pa.string()), ("ref", pa.string()), ("at", pa.int32()),
@@ -187,7 +211,7 @@ def _formatted(batches: Iterator[pa.RecordBatch], typed: bool) -> Iterator[pa.Re
     for batch in batches:
         turns = [format_turn(r, t, typed) for r, t in zip(batch.column("role").to_pylist(), batch.column("content").to_pylist())]
         yield pa.RecordBatch.from_arrays([
-            batch.column("conv_id"), batch.column("turn"), batch.column("role_key"), batch.column("text_key"),
+            batch.column("conv_id"), batch.column("turn"), batch.column("role"),
             pa.array([t.segment for t in turns], pa.string()),
             pa.array([len(t.segment) for t in turns], pa.int64()),
             pa.array([[{"start": a, "end": b} for a, b in t.loss] for t in turns], types.field("loss").type),
@@ -197,30 +221,26 @@ def _formatted(batches: Iterator[pa.RecordBatch], typed: bool) -> Iterator[pa.Re
 
 def formatted_turns(conversations: DataFrame, typed: bool = False, conv_col: str = "conv_id", turn_col: str = "turn",
                     role_col: str = "role", content_col: str = "text") -> DataFrame:
-    """One row per turn: conv_id, turn, segment (the formatted turn; a conversation is its segments one after another),
+    """One row per turn: conv_id, turn, role, segment (the formatted turn; a conversation is its segments one after another),
     n_chars, loss (spans of the segment), attachments (their places in the segment, tokens), expanded_tokens.
 
-    ``typed``: the content may be a JSON list of parts; otherwise it is plain text, whatever it looks like. Two digests,
-    of role and content, order turns of one number.
+    ``typed``: the content may be a JSON list of parts; otherwise it is plain text, whatever it looks like.
     """
     role, content = (F.coalesce(F.col(c).cast("string"), F.lit("")) for c in (role_col, content_col))
     rows = conversations.select(F.col(conv_col).cast("long").alias("conv_id"), F.col(turn_col).cast("long").alias("turn"),
                                 role.alias("role"), content.alias("content"))
-    # only turns of one number need their texts compared, by the texts' own order
-    rows = rows.withColumn("role_key", F.col("role")).withColumn("text_key", F.substring("content", 1, 0))
     return rows.mapInArrow(lambda it: _formatted(it, typed), _SEGMENT)
 
 
 def in_order(turns: DataFrame) -> DataFrame:
     """Formatted turns, each conversation's together and in order, within the partitions."""
-    return turns.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role_key", "segment")
+    return turns.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "segment")
 
 
 def with_offsets(turns: DataFrame) -> DataFrame:
     """Formatted turns with ``start``, the place of the segment in its conversation, and ``attachment``, the number of
     attachments before it: running sums, no conversation is gathered."""
-    from pyspark.sql import Window
-    w = Window.partitionBy("conv_id").orderBy("turn", "role_key", "segment").rowsBetween(Window.unboundedPreceding, -1)
+    w = Window.partitionBy("conv_id").orderBy("turn", "role", "segment").rowsBetween(Window.unboundedPreceding, -1)
     return (turns.withColumn("start", F.coalesce(F.sum("n_chars").over(w), F.lit(0)))
             .withColumn("attachment", F.coalesce(F.sum(F.size("attachments")).over(w), F.lit(0))))
 
@@ -234,10 +254,10 @@ class _Reader:
 
     def add(self, segment: str, loss: list[dict], tokens: int, attached: int) -> None:
         role, text = read_turn(segment)
-        self.turns.update(f"{role}\n{text}\n".encode("utf-8", "surrogatepass"))
+        self.turns.update(f"{role}\n{text}\n".encode())
         for span in loss:
             learnt = unescape(segment[span["start"]:span["end"]])
-            self.loss.update(learnt.encode("utf-8", "surrogatepass"))
+            self.loss.update(learnt.encode())
             self.loss_chars += len(learnt)
         self.n_turns += 1
         self.chars += len(segment)
@@ -280,6 +300,6 @@ def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def conversation_digests(turns: DataFrame) -> DataFrame:
     """One row per conversation, read back from its formatted turns: digests of all turns and of the text under the
     loss mask, sizes, attachments and the tokens that they expand to."""
-    ordered = in_order(turns.select("conv_id", "turn", "role_key", "segment", "loss", "expanded_tokens",
+    ordered = in_order(turns.select("conv_id", "turn", "role", "segment", "loss", "expanded_tokens",
                                     F.size("attachments").cast("long").alias("n_attachments")))
     return ordered.mapInArrow(_digests, _DIGEST)

@@ -165,3 +165,23 @@ r AS (SELECT part, filter_order, step, x,
 SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
        sum(removed) OVER (PARTITION BY part, x)::BIGINT AS shapley FROM r
 """
+
+#: Turns and assistant texts by conversation. Formatted sizes: a turn's markers, its text, one character more for each
+#: backslash and two more for each marker in it.
+CHAT_FORMATTING = r"""
+WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+           UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+e AS (SELECT *, length(text) + len(regexp_extract_all(text, '\\'))
+         + 2 * len(regexp_extract_all(text, '\[/?(?:SYS|INST|ROLE)\]|\[(?:ANS|AS)\]|</?s>|</?pages>|<image>|<audio>|<document>')) AS n_text,
+         length(role) + len(regexp_extract_all(role, '\\'))
+         + 2 * len(regexp_extract_all(role, '\[/?(?:SYS|INST|ROLE)\]|\[(?:ANS|AS)\]|</?s>|</?pages>|<image>|<audio>|<document>')) AS n_role
+      FROM c)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       sum(n_text + CASE role WHEN 'system' THEN 13 WHEN 'user' THEN 15 WHEN 'assistant' THEN 11 ELSE 21 + n_role END)::BIGINT
+         AS formatted_chars,
+       0::BIGINT AS n_attachments, 0::BIGINT AS expanded_tokens
+FROM e GROUP BY conv_id
+"""
