@@ -31,6 +31,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -94,8 +95,20 @@ def _codes(h: np.ndarray, shards: int) -> np.ndarray:
     return ((g >> np.uint64(32)) * np.uint64(shards) & ~np.uint64(0xFFFFFFFF)) | (g & np.uint64(0xFFFFFFFF))
 
 
+def _packed(x: np.ndarray) -> bytes:
+    """Compressed bytes of an array: contexts are text, and ids and counts hold mostly zero bytes."""
+    return zstandard.compress(np.ascontiguousarray(x), 1)
+
+
+def _unpacked(blobs, kind) -> np.ndarray:
+    """The arrays in a column of packed ones, one after another."""
+    parts = [np.frombuffer(zstandard.decompress(x), kind) for x in blobs if x is not None]
+    return np.concatenate(parts) if parts else np.zeros(0, kind)
+
+
 def _send_grams(batches: Iterator[pa.RecordBatch], shards: int) -> Iterator[pa.RecordBatch]:
-    """(shard, docs, counts, grams): the distinct grams of a run of documents by shard, packed."""
+    """(shard, docs, counts, grams): the distinct grams of a run of documents by shard, packed; of the ascending
+    doc_ids the differences."""
     held: list[tuple[np.ndarray, np.ndarray]] = []
     size = 0
 
@@ -108,8 +121,8 @@ def _send_grams(batches: Iterator[pa.RecordBatch], shards: int) -> Iterator[pa.R
         for part in np.split(np.arange(len(code)), np.flatnonzero(np.diff(shard)) + 1) if len(code) else []:
             d = doc[part]
             first = np.concatenate([[0], np.flatnonzero(np.diff(d)) + 1])
-            rows.append((int(shard[part[0]]), d[first].tobytes(), np.diff(np.append(first, len(d))).astype(np.int32)
-                         .tobytes(), code[part].astype(np.uint32).tobytes()))
+            rows.append((int(shard[part[0]]), _packed(np.diff(d[first], prepend=0)),
+                         _packed(np.diff(np.append(first, len(d))).astype(np.int32)), code[part].astype(np.uint32).tobytes()))
         held.clear()
         cols = list(zip(*rows)) if rows else [[], [], [], []]
         return pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32())] + [pa.array(c, pa.binary()) for c in cols[1:]],
@@ -136,8 +149,8 @@ def _send_grams(batches: Iterator[pa.RecordBatch], shards: int) -> Iterator[pa.R
 def _shared_grams(pdf: pd.DataFrame) -> pd.DataFrame:
     """(doc_id, codes): for each document the grams of this shard that another document has too."""
     shard = np.uint64(int(pdf["shard"].iloc[0]) << 32)
-    counts = np.frombuffer(b"".join(pdf["counts"]), np.int32)
-    doc = np.repeat(np.frombuffer(b"".join(pdf["docs"]), np.int64), counts)
+    counts = _unpacked(pdf["counts"], np.int32)
+    doc = np.repeat(np.concatenate([np.cumsum(_unpacked([x], np.int64)) for x in pdf["docs"]]), counts)
     gram = np.frombuffer(b"".join(pdf["grams"]), np.uint32)
     order = np.argsort(gram, kind="stable")
     g, d = gram[order], doc[order]
@@ -237,9 +250,9 @@ def _send_contexts(batches: Iterator[pa.RecordBatch], shards: int) -> Iterator[p
         sent = sent[np.argsort(shard[sent], kind="stable")]
         rows = []
         for part in np.split(sent, np.flatnonzero(np.diff(shard[sent])) + 1) if len(sent) else []:
-            rows.append([int(shard[part[0]]), doc[part].tobytes(), pos[part].astype(np.int64).tobytes(),
-                         left[part].astype(np.uint8).tobytes(), have[part].astype(np.uint8).tobytes(),
-                         ctx[part].tobytes(), None, None, None])
+            rows.append([int(shard[part[0]]), _packed(doc[part]), _packed(pos[part].astype(np.int64)),
+                         _packed(left[part].astype(np.uint8)), _packed(have[part].astype(np.uint8)),
+                         _packed(ctx[part]), None, None, None])
         if done:
             # they ride on one row each, spread over the shards so that no shard gets them all
             for i, (d, r) in enumerate(done):
@@ -278,9 +291,9 @@ def _repeated(pdf: pd.DataFrame) -> pd.DataFrame:
     def column(name, kind):
         return np.frombuffer(b"".join(x for x in pdf[name] if x is not None), kind)
 
-    doc, pos = column("docs", np.int64), column("pos", np.int64)
-    left, have = column("left", np.uint8).astype(np.int64), column("have", np.uint8).astype(np.int64)
-    ctx = column("ctx", np.uint8).reshape(-1, _CTX)
+    doc, pos = _unpacked(pdf["docs"], np.int64), _unpacked(pdf["pos"], np.int64)
+    left, have = (_unpacked(pdf[name], np.uint8).astype(np.int64) for name in ("left", "have"))
+    ctx = _unpacked(pdf["ctx"], np.uint8).reshape(-1, _CTX)
     out = []
     done = column("done_docs", np.int64), column("done_from", np.int64), column("done_to", np.int64)
     order, first = _groups(ctx, left, have, doc)
@@ -380,7 +393,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     same = ((F.col("doc_id") == F.col("first_id")) & (F.col("h1").bitwiseXOR(F.col("g1")) == 0)
             & (F.col("h2").bitwiseXOR(F.col("g2")) == 0))
     (keys.join(ahead.hint("merge"), same, "left_semi").dropDuplicates(["doc_id", "h1", "h2"])
-     .select("doc_id", "text", "h1").write.bucketBy(parts, "doc_id")
+     .select("doc_id", "text", "h1").write.bucketBy(parts, "doc_id").option("compression", "zstd")
      .option("path", scratch_table_path(spark, name)).saveAsTable(name))
     texts = spark.table(name)
 
