@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from minutewise.schema import KEY
+from minutewise.session import materialize
 
 LAGS = (1, 5, 15, 30)
 MEANS = (5, 15, 30)
@@ -35,6 +36,29 @@ def safe_ratio(num: Column, den: Column, zero_div: str = "null") -> Column:
     return num / F.nullif(den, F.lit(0))
 
 
+def nonzero_values(value: Column, frame) -> list[Column]:
+    """What ``frame_quantile`` needs of a row frame of values ≥ 0: the values above 0, and how many values there are.
+
+    Series of demand are mostly zeros, which need no sorting; ``percentile`` builds and sorts a map for every row.
+    """
+    return [F.collect_list(F.when(value > 0, value)).over(frame).alias("_above"), F.count(value).over(frame).alias("_n")]
+
+
+def frame_quantile(q: float, above: Column | str = "_sorted", n: Column | str = "_n") -> Column:
+    """The q-quantile (linear interpolation, as ``percentile``) of ``n`` values ≥ 0, of which ``above`` holds those
+    above 0 in ascending order; NULL of none."""
+    above, n = (F.col(c) if isinstance(c, str) else c for c in (above, n))
+    zeros = n - F.size(above)
+
+    def at(i: Column) -> Column:
+        return F.when(i < zeros, F.lit(0.0)).otherwise(F.get(above, (i - zeros).cast("int")).cast("double"))
+
+    place = (n - 1) * F.lit(q)
+    low, high = F.floor(place), F.ceil(place)
+    between = (high - place) * at(low) + (place - low) * at(high)
+    return F.when(n == 0, None).when((low == high) | (at(low) == at(high)), at(low)).otherwise(between)
+
+
 def rolling_features(df: DataFrame, value: str = "requests", std: str = "samp") -> DataFrame:
     """Lags, rolling mean 5/15/30, std/max/min/median/q90 over 30 rows.
 
@@ -50,10 +74,11 @@ def rolling_features(df: DataFrame, value: str = "requests", std: str = "samp")
         std_fn(v).over(w30).alias("rolling_std"),
         F.max(v).over(w30).alias("rolling_max"),
         F.min(v).over(w30).alias("rolling_min"),
-        F.percentile(v, F.array(F.lit(0.5), F.lit(0.9))).over(w30).alias("_quantiles"),  # one map for both
+        *nonzero_values(v, w30),
     ]
-    out = df.select("*", *cols)
-    return out.withColumns({"rolling_median": F.col("_quantiles")[0], "warm_capacity": F.col("_quantiles")[1]}).drop("_quantiles")
+    out = df.select("*", *cols).withColumn("_sorted", F.sort_array("_above"))
+    return (out.withColumns({"rolling_median": frame_quantile(0.5), "warm_capacity": frame_quantile(0.9)})
+            .drop("_above", "_n", "_sorted"))
 
 
 def trend(value: str = "requests", prev: str = "lag_1") -> Column:
@@ -118,7 +143,7 @@ def group_metadata_columns(total_quantiles: Column | None = None) -> list[Column
     """Metadata columns of F17 computed as whole-group window aggregates (no join).
 
     Same values as joining ``function_metadata``: total, category (F7) and stability (F8).
-    ``total_quantiles`` is the array [q80, q25] of group totals (a scalar subquery).
+    ``total_quantiles`` is the array [q80, q25] of group totals.
     """
     g = Window.partitionBy(*KEY)
     total = F.sum("requests").over(g).cast("long")
@@ -140,8 +165,8 @@ def feature_table(dense: DataFrame, metadata: DataFrame | None = None,
     Default: the metadata columns are whole-group window aggregates over the same group
     partitioning as the rolling windows, so the dense table is exchanged at most once (not at
     all when it comes from the group-partitioned calendar or a checkpoint of it) and no join is
-    planned. The group-total quantiles for the category are one scalar subquery.
-    ``group_totals`` (K, total_requests) may be given to feed that subquery from a smaller
+    planned. The group-total quantiles for the category are literals, found first.
+    ``group_totals`` (K, total_requests) may be given to find them from a smaller
     table — the sparse minute table has the same totals, zero minutes add nothing.
     An explicit ``metadata`` table (e.g. fitted on the training minutes only) is left-joined
     null-safely on the group key instead.
@@ -149,7 +174,7 @@ def feature_table(dense: DataFrame, metadata: DataFrame | None = None,
     base = rolling_features(dense)
     if metadata is None:
         from minutewise.operators.metadata import group_statistics, total_quantiles
-        totals = group_totals if group_totals is not None else group_statistics(dense)
+        totals = materialize(group_totals if group_totals is not None else group_statistics(dense))
         q = total_quantiles(totals)
         base = base.select("*", *group_metadata_columns(q))
     else:
@@ -172,9 +197,10 @@ def sparse_rolling_features(sparse: DataFrame) -> DataFrame:
         F.stddev_samp(v).over(_frame(15)).alias("rolling_std_15"),
         F.stddev_samp(v).over(_frame(30)).alias("rolling_std_30"),
         F.avg(v).over(_frame(10)).alias("ema_10"),
-        F.percentile(v, 0.9).over(_frame(30)).alias("warm_capacity"),
+        *nonzero_values(v, _frame(30)),
     )
-    return out.select("*", trend(prev="prev_requests").alias("trend"),
+    out = out.withColumn("_sorted", F.sort_array("_above")).withColumn("warm_capacity", frame_quantile(0.9))
+    return out.drop("_above", "_n", "_sorted").select("*", trend(prev="prev_requests").alias("trend"),
                       growth_rate(prev="prev_requests").alias("growth_rate"))
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from minutewise.functions.normal import norm_cdf, norm_ppf, with_norm_ppf
 from minutewise.functions.numeric import clamp
+from minutewise.operators.features import frame_quantile
 from minutewise.schema import KEY, WARM_LOOKBACK
 
 P_EPS = 1e-6
@@ -88,7 +89,9 @@ def history_capacity(requests: str = "requests", lookback: int = WARM_LOOKBACK,
     """P5: 90th percentile (linear) of the positive values among the last ``lookback`` rows; 0 if none."""
     w = Window.partitionBy(*KEY).orderBy(order).rowsBetween(-(lookback - 1), 0)
     r = F.col(requests)
-    return F.coalesce(F.percentile(F.when(r > 0, r.cast("double")), 0.9).over(w), F.lit(0.0))
+    positive = F.sort_array(F.collect_list(F.when(r > 0, r.cast("double"))).over(w))
+    # bound in an array of one, so that the frame is sorted once
+    return F.coalesce(F.transform(F.array(positive), lambda x: frame_quantile(0.9, x, F.size(x)))[0], F.lit(0.0))
 
 
 def cold_start_risk(mu, sigma, p, capacity) -> Column:

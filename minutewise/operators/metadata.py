@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from minutewise.operators.selection import quantile_array
 from minutewise.schema import KEY
+from minutewise.session import materialize
 
 
 def group_statistics(dense: DataFrame) -> DataFrame:
@@ -26,13 +28,10 @@ def group_statistics(dense: DataFrame) -> DataFrame:
 
 def total_quantiles(stats: DataFrame, total_col: str = "total_requests", hot_q: float = 0.80,
                     rare_q: float = 0.25) -> Column:
-    """[q_hot, q_rare] of group totals, linear interpolation, as one scalar subquery.
-
-    Exact ``percentile`` buffers one value per group in a single task: bounded by the number of
-    groups (thousands to a few million), never by requests.
+    """[q_hot, q_rare] of group totals, linear interpolation, as literals found by counting passes over ``stats``
+    (pass a stored table): no task holds the totals of all groups.
     """
-    return stats.select(F.percentile(F.col(total_col).cast("double"),
-                                     F.array(F.lit(hot_q), F.lit(rare_q)))).scalar()
+    return quantile_array(stats, total_col, [hot_q, rare_q])
 
 
 def group_totals(minutes: DataFrame) -> DataFrame:
@@ -44,7 +43,7 @@ def volume_category(stats: DataFrame, total_col: str = "total_requests", hot_q:
                     rare_q: float = 0.25) -> Column:
     """Hot when total ≥ q80 (tested first), Rare when ≤ q25, else Normal.
 
-    Both quantiles (linear interpolation) come from one scalar subquery over the group table.
+    Both quantiles (linear interpolation) come from counting passes over the group table.
     """
     q = total_quantiles(stats, total_col, hot_q, rare_q)
     t = F.col(total_col)
@@ -61,7 +60,7 @@ def stability_rule(std_col: str = "std_requests", mean_col: str = "mean_requests
 
 def function_metadata(dense: DataFrame) -> DataFrame:
     """One row per group with category and stability."""
-    stats = group_statistics(dense)
+    stats = materialize(group_statistics(dense))
     return stats.select("*", volume_category(stats).alias("category"), stability_rule().alias("stability"))
 
 

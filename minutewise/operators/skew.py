@@ -2,7 +2,8 @@
 stability by median CV, rank–size series and histograms.
 
 Inputs are per-function tables (one row per function). Global orderings use the distributed
-exact rank of ``ordering``; quantiles and histogram bounds are one-row scalar subqueries.
+exact rank of ``ordering``, quantiles the counting passes of ``selection``; histogram bounds are one-row
+scalar subqueries.
 """
 
 from __future__ import annotations
@@ -11,12 +12,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from minutewise.operators.ordering import global_rank, running_total
+from minutewise.operators.selection import quantile_array
 
 
 def invocation_category(functions: DataFrame, rare_q: float = 0.20, hot_q: float = 0.80) -> DataFrame:
-    """A10: Rare when invocations ≤ q20 (tested first), Hot when ≥ q80, else Normal."""
-    q = functions.select(F.percentile(F.col("invocations").cast("double"),
-                                      F.array(F.lit(rare_q), F.lit(hot_q)))).scalar()
+    """A10: Rare when invocations ≤ q20 (tested first), Hot when ≥ q80, else Normal.
+
+    ``functions`` is read several times for the quantiles: pass a stored table."""
+    q = quantile_array(functions, "invocations", [rare_q, hot_q])
     inv = F.col("invocations")
     cat = F.when(inv <= q[0], "Rare").when(inv >= q[1], "Hot").otherwise("Normal")
     return functions.withColumn("category", cat)
@@ -107,8 +110,10 @@ def workload_skew(functions: DataFrame, shares=(0.01, 0.05, 0.10), value: str =
 
 
 def stability_by_median(variation: DataFrame) -> DataFrame:
-    """Stable when cv ≤ median(cv) (NULLs skipped), else Noisy (a NULL cv is Noisy)."""
-    m = variation.select(F.percentile("cv", 0.5)).scalar()
+    """Stable when cv ≤ median(cv) (NULLs skipped), else Noisy (a NULL cv is Noisy).
+
+    ``variation`` is read several times for the median: pass a stored table."""
+    m = quantile_array(variation, "cv", [0.5])[0]
     return variation.withColumn("stability", F.when(F.col("cv") <= m, "Stable").otherwise("Noisy"))
 
 

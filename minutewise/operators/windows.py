@@ -3,10 +3,11 @@ window materialisation.
 
 A forecast window is identified by its *origin* row (the last history row) inside a group's
 minute-ordered series: history = rows origin−59..origin, horizon = rows origin+1..origin+10.
-The index is lazy (one row per window, no arrays); arrays are built only where asked, either
-for all windows with frame-based ``collect_list`` (rows × 70 values) or for a selected subset by
-exploding each selected window into its 70 (group, minute) keys and equi-joining — never by
-pairing windows with rows inside a group.
+The index is lazy (one row per window, no arrays); arrays are built only where asked: for all
+windows as slices of blocked series (one array a block of rows, with a halo for the windows at its
+edges), or for a selected subset by exploding each selected window into its 70 (group, minute) keys
+and equi-joining — never by pairing windows with rows inside a group. A sample of window numbers is
+drawn and located without any window being built (``sample_numbers``, ``locate_windows``).
 """
 
 from __future__ import annotations
@@ -148,42 +149,115 @@ def window_index(groups: DataFrame, history: int = HISTORY, horizon: int = HORIZ
                       (F.col("_cum") - F.col("n_windows")).alias("offset"))
 
 
-def windows(features: DataFrame, history: int = HISTORY, horizon: int = HORIZON) -> DataFrame:
+def calendar_groups(sparse: DataFrame) -> DataFrame:
+    """Groups with the ``row_count`` of their dense series, from the sparse minutes: every group has a row for each
+    minute of the calendar."""
+    bounds = sparse.select((F.max("minute") - F.min("minute") + 1).cast("long")).scalar()
+    return sparse.select(*KEY).distinct().select(*KEY, bounds.alias("row_count"))
+
+
+#: Window numbers of a bucket in ``locate_windows``.
+NUMBERS_A_BUCKET = 1 << 16
+
+
+def locate_windows(numbers: DataFrame, index: DataFrame, number: str = "window_index", bucket: int = NUMBERS_A_BUCKET) -> DataFrame:
+    """D8 lookup: the group and start of given window numbers (KEY, group_id, ``number``, start); numbers that no
+    window has are left out.
+
+    The groups' intervals of numbers lie side by side, so this is an as-of join: numbers and interval starts are dealt
+    into buckets of ``bucket`` numbers (an interval to each bucket that it reaches), and within a bucket the last
+    interval start at or before a number is carried forward. No number is compared with the intervals of a bucket, and
+    no task holds more than a bucket's intervals and numbers, however unequal the groups are.
+    """
+    held = F.struct(*KEY, "group_id", "offset", "n_windows")
+    starts = index.select(
+        F.explode(F.sequence(F.floor(F.col("offset") / bucket), F.floor((F.col("offset") + F.col("n_windows") - 1) / bucket))).alias("b"),
+        F.col("offset").alias("at"), held.alias("held"))
+    starts = starts.select("b", F.greatest(F.col("at"), F.col("b") * bucket).alias("at"), F.lit(False).alias("asked"), "held")
+    asked = numbers.select(F.floor(F.col(number) / bucket).alias("b"), F.col(number).cast("long").alias("at"), F.lit(True).alias("asked"),
+                           F.lit(None).cast(starts.schema["held"].dataType).alias("held"))
+    w = Window.partitionBy("b").orderBy("at", "asked").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    found = (starts.unionByName(asked).withColumn("held", F.last("held", ignorenulls=True).over(w)).where("asked")
+             .select("held.*", F.col("at").alias(number)))
+    start = F.col(number) - F.col("offset")
+    return found.where((start >= 0) & (start < F.col("n_windows"))).select(*KEY, "group_id", number, start.alias("start"))
+
+
+def windows(features: DataFrame, history: int = HISTORY, horizon: int = HORIZON, groups: DataFrame | None = None) -> DataFrame:
     """The lazy window table: one row per window with key, start, origin minute, global index,
-    group id, active flag. No arrays."""
+    group id, active flag. No arrays.
+
+    Only the key, ``minute`` and ``requests`` are read: the dense calendar will do. ``groups`` (KEY, row_count) may be
+    given where the lengths of the series are known (``calendar_groups``), which saves counting them."""
+    features = features.select(*KEY, "minute", "requests")
     rows = window_positions(features, history, horizon).where("is_origin")
-    idx = window_index(group_windows_meta(features, history, horizon), history, horizon)
+    if groups is None:
+        groups = features.groupBy(*KEY).agg(F.count(F.lit(1)).alias("row_count"))
+    idx = window_index(groups.where(F.col("row_count") >= history + horizon), history, horizon)
     idx = idx.select(*KEY, "group_id", "offset", "n_windows")  # AQE picks the join from its size in bytes
     j = rows.join(idx, [rows[k].eqNullSafe(idx[k]) for k in KEY]).drop(*[idx[k] for k in KEY])
     return j.select(*KEY, "group_id", F.col("minute").alias("origin_minute"), "start", "n_windows",
                     (F.col("offset") + F.col("start")).alias("window_index"), "active")
 
 
+#: Rows of a group whose windows share one block.
+BLOCK_ROWS = 256
+
+
+def series_blocks(normalised: DataFrame, features: list[str] = PAST_VALUE_FEATURES, time_features: list[str] = TIME_FEATURES,
+                  history: int = HISTORY, horizon: int = HORIZON, carry: list[str] | None = None,
+                  block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """Each group's series in blocks: (KEY, block, rows), where ``rows`` holds in order the rows that the windows with
+    their origin in the block read: its own ``block_rows`` and a halo of history − 1 before and horizon after them.
+
+    A row is in 1 + 69/256 blocks on average instead of in 70 windows. A series that is partitioned by group, as the
+    dense calendar and tables stored from it are, is not exchanged again.
+    """
+    w = Window.partitionBy(*KEY).orderBy("minute")
+    rows = normalised.select(
+        *KEY, "minute", *(carry or []), (F.row_number().over(w) - 1).alias("pos"),
+        F.array(*[F.col(c).cast("float") for c in features]).alias("x"),
+        F.array(*[F.col(c).cast("float") for c in time_features]).alias("t"),
+        F.log1p(F.col("raw_target")).cast("float").alias("y"))
+    first = F.floor(F.greatest(F.col("pos") - horizon, F.lit(0)) / block_rows)
+    last = F.floor((F.col("pos") + history - 1) / block_rows)
+    dealt = rows.withColumn("block", F.explode(F.sequence(first, last)))
+    packed = F.sort_array(F.collect_list(F.struct("pos", "minute", *(carry or []), "x", "t", "y")))
+    return dealt.groupBy(*KEY, "block").agg(packed.alias("rows"))
+
+
+def block_windows(blocks: DataFrame, history: int = HISTORY, horizon: int = HORIZON, carry: list[str] | None = None,
+                  whole_only: bool = True, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """The windows of blocked series, one row per origin, as slices of the block's arrays."""
+    cols = blocks.select(*KEY, "block", F.col("rows.pos").alias("pos"), F.col("rows.minute").alias("m"), F.col("rows.x").alias("x"),
+                         F.col("rows.t").alias("t"), F.col("rows.y").alias("y"),
+                         *[F.col(f"rows.{c}").alias(f"all_{c}") for c in carry or []])
+    n = F.size("pos")
+    lo = F.greatest(F.col("block") * block_rows, F.col("pos")[0] + (history - 1 if whole_only else 0))
+    hi = F.least((F.col("block") + 1) * block_rows - 1, F.col("pos")[n - 1] - (horizon if whole_only else 0))
+    here = cols.withColumn("n", n).withColumn("i", F.explode(F.when(lo <= hi, F.sequence(lo, hi)))) \
+               .withColumn("i", (F.col("i") - F.col("pos")[0]).cast("int"))  # the origin's place in the arrays
+    i = F.col("i")
+    from_ = F.greatest(i - (history - 1), F.lit(0))
+    past = lambda c: F.slice(c, from_ + 1, i - from_ + 1)
+    ahead = lambda c: F.slice(c, i + 2, F.least(F.lit(horizon), F.col("n") - 1 - i))
+    return here.select(*KEY, F.get("m", i).alias("minute"), *[F.get(f"all_{c}", i).alias(c) for c in carry or []],
+                       past("x").alias("past_values"), past("t").alias("past_time"), ahead("t").alias("future_time"),
+                       past("y").alias("past_target"), ahead("y").alias("target"))
+
+
 def window_arrays(normalised: DataFrame, features: list[str] = PAST_VALUE_FEATURES,
                   time_features: list[str] = TIME_FEATURES, history: int = HISTORY,
-                  horizon: int = HORIZON, carry: list[str] | None = None, whole_only: bool = True) -> DataFrame:
-    """D9 (all windows): arrays per origin row from sliding frames, float32.
+                  horizon: int = HORIZON, carry: list[str] | None = None, whole_only: bool = True,
+                  block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """D9 (all windows): arrays per origin row, float32, as slices of blocked series.
 
     past_values [history][len(features)], past_time [history][4], future_time [horizon][4],
     past_target = log1p(raw) over history, target = log1p(raw) over the horizon (D12).
-    Input must be NULL-free (``normalise``), since ``collect_list`` skips NULLs. ``whole_only=False``
-    keeps the rows whose frames are cut by the group's ends.
+    ``whole_only=False`` keeps the rows whose frames are cut by the group's ends.
     """
-    w = Window.partitionBy(*KEY).orderBy("minute")
-    past = w.rowsBetween(-(history - 1), 0)
-    fut = w.rowsBetween(1, horizon)
-    vec = F.array(*[F.col(c).cast("float") for c in features])
-    tvec = F.array(*[F.col(c).cast("float") for c in time_features])
-    logt = F.log1p(F.col("raw_target")).cast("float")
-    out = normalised.select(
-        *KEY, "minute", *(carry or []),
-        F.collect_list(vec).over(past).alias("past_values"),
-        F.collect_list(tvec).over(past).alias("past_time"),
-        F.collect_list(tvec).over(fut).alias("future_time"),
-        F.collect_list(logt).over(past).alias("past_target"),
-        F.collect_list(logt).over(fut).alias("target"),
-    )
-    return out.where((F.size("past_target") == history) & (F.size("target") == horizon)) if whole_only else out
+    blocks = series_blocks(normalised, features, time_features, history, horizon, carry, block_rows)
+    return block_windows(blocks, history, horizon, carry, whole_only, block_rows)
 
 
 def select_window_arrays(normalised: DataFrame, chosen: DataFrame, cols: list[str] = PAST_VALUE_FEATURES,

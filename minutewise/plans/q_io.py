@@ -123,19 +123,38 @@ def q_ingest_by_header_name(spark, sf):
         F.sum("memory_usage").alias("memory"), F.sum("requestBodySize").alias("size"), F.sum("workerCost").alias("worker_cost")))
 
 
-@register("stream_minute_aggregate", with_ctes(sparse_cte(), select=
-          f"SELECT minute, {K}, requests, " + ", ".join(
-              f"{r(c)} AS {c}" for c in ["avg_cpu", "avg_memory", "avg_runtime", "avg_request_size"])
-          + " FROM sparse"))
+MINUTES_SQL = (f"SELECT minute, {K}, requests, " + ", ".join(
+    f"{r(c)} AS {c}" for c in ["avg_cpu", "avg_memory", "avg_runtime", "avg_request_size"]) + ", active_pods, active_users FROM sparse")
+
+
+def _replay(spark, name, t, parts, last):
+    """Run the watermarked stream over parts of a trace in the order of their arrival, each written as its own files
+    and taken by a run of its own; then end the stream. Returns the closed minutes and the rows dropped as late."""
+    base = scratch_table_path(spark, f"{name}-{uuid.uuid4().hex}")
+    dropped = 0
+    for i, part in enumerate([*parts, smin.end_of_stream(spark, t.schema, last)]):
+        part.write.parquet(f"{base}/source/part-{i}")
+        info = smin.run_watermarked_minutes(spark, f"{base}/source/*", f"{base}/out", f"{base}/checkpoint", t.schema)
+        dropped += info["rows_dropped_by_watermark"]
+    return smin.closed_minutes(spark, f"{base}/out"), dropped
+
+
+def _time_bounds(t):
+    b = t.agg(F.min("time_worker").alias("lo"), F.max("time_worker").alias("hi")).first()
+    return b["lo"] or 0.0, b["hi"] or 0.0
+
+
+@register("stream_minute_aggregate", with_ctes(sparse_cte(), select=MINUTES_SQL))
 def q_stream_minute_aggregate(spark, sf):
-    """The trace replayed as a stream equals the batch minute aggregate (requests, means)."""
-    base = scratch_table_path(spark, f"stream-minutes-{uuid.uuid4().hex}")
+    """The trace replayed as a stream in two parts under a watermark equals the batch minute aggregate in every
+    column, distinct pods and users included."""
     t = trace(spark, sf)
-    t.write.mode("overwrite").parquet(f"{base}/source")
-    smin.run_minute_stream(spark, f"{base}/source", f"{base}/out", f"{base}/checkpoint", t.schema)
-    res = smin.latest_minutes(spark.read.parquet(f"{base}/out"))
-    return round_doubles(res.select("minute", *KEY, "requests", "avg_cpu", "avg_memory", "avg_runtime",
-                                    "avg_request_size"))
+    lo, hi = _time_bounds(t)
+    first = F.col("time_worker") < (lo + hi) / 2
+    out, dropped = _replay(spark, "stream-minutes", t, [t.where(first), t.where(~first)], hi)
+    if dropped:
+        raise RuntimeError(f"{dropped} rows of a trace in order were dropped as late")
+    return round_doubles(out)
 
 
 REPORT_SQL = with_ctes("""funcs AS (
@@ -188,31 +207,31 @@ def q_stream_minute_aggregate_exact(spark, sf):
     equal to the batch minute aggregate in every column, distinct pods/users included."""
     base = scratch_table_path(spark, f"stream-exact-{uuid.uuid4().hex}")
     t = trace(spark, sf)
-    t.repartition(4).write.mode("overwrite").parquet(f"{base}/source")
-    smin.run_exact_minute_stream(spark, f"{base}/source", f"{base}/out", f"{base}/checkpoint", t.schema,
-                                 max_files_per_trigger=1)
+    half = F.xxhash64("userID") % 2 == 0
+    for i, part in enumerate((t.where(half), t.where(~half))):  # each in as many files as its scan has tasks
+        part.write.parquet(f"{base}/source/part-{i}")
+        smin.run_exact_minute_stream(spark, f"{base}/source/*", f"{base}/out", f"{base}/checkpoint", t.schema)
     return round_doubles(smin.exact_minutes(spark, f"{base}/out"))
 
 
 @register("stream_minute_late_rows", with_ctes("""kept AS (
-  SELECT * FROM trace WHERE time_worker >= 2592000 + 39600 OR CAST(userID AS BIGINT) % 10 <> 0)""", select=f"""
+  SELECT * FROM trace WHERE time_worker >= (SELECT (MIN(time_worker) + MAX(time_worker)) / 2 - 3600 FROM trace)
+                            OR CAST(userID AS BIGINT) % 10 <> 0)""", select=f"""
 SELECT CAST(FLOOR(time_worker / 60) AS INTEGER) AS minute, {K}, CAST(COUNT(*) AS BIGINT) AS requests,
-       {r('AVG(cpu_usage)')} AS avg_cpu FROM kept GROUP BY ALL"""))
+       {r('AVG(cpu_usage)')} AS avg_cpu, CAST(COUNT(DISTINCT podID) AS BIGINT) AS active_pods,
+       CAST(COUNT(DISTINCT userID) AS BIGINT) AS active_users FROM kept GROUP BY ALL"""))
 def q_stream_minute_late_rows(spark, sf):
-    """Three micro-batches; the last brings rows of the first half of the day after the watermark has passed the
-    second half, and all of them are dropped."""
-    base = scratch_table_path(spark, f"stream-late-{uuid.uuid4().hex}")
+    """Three parts; the last brings rows of the first half of the day after the watermark has passed the second
+    half, and all of them are dropped."""
     t = trace(spark, sf)
-    early = F.col("time_worker") < 2592000 + 43200
+    lo, hi = _time_bounds(t)
+    early = F.col("time_worker") < (lo + hi) / 2
     # late rows lie an hour before the end of the first part: what is late follows from the batch before the last
-    late = (F.col("time_worker") < 2592000 + 39600) & (F.col("userID").cast("long") % 10 == 0)
-    for part in (t.where(early & ~late), t.where(~early), t.where(late)):  # files in the order of their writing
-        part.coalesce(1).write.mode("append").parquet(f"{base}/source")
-    info = smin.run_minute_stream(spark, f"{base}/source", f"{base}/out", f"{base}/checkpoint", t.schema, max_files_per_trigger=1)
-    if not info["rows_dropped_by_watermark"]:
-        raise RuntimeError(f"no late row was counted: {info}")
-    res = smin.latest_minutes(spark.read.parquet(f"{base}/out"))
-    return round_doubles(res.select("minute", *KEY, "requests", "avg_cpu"))
+    late = (F.col("time_worker") < (lo + hi) / 2 - 3600) & (F.col("userID").cast("long") % 10 == 0)
+    out, dropped = _replay(spark, "stream-late", t, [t.where(early & ~late), t.where(~early), t.where(late)], hi)
+    if not dropped:
+        raise RuntimeError("no late row was counted")
+    return round_doubles(out.select("minute", *KEY, "requests", "avg_cpu", "active_pods", "active_users"))
 
 
 @register("catalog_round_trip", with_ctes(select="""
@@ -271,5 +290,5 @@ def q_many_groups_category(spark, sf):
     from minutewise.operators import metadata as meta
     from minutewise.operators.minutes import minute_aggregate
     t = trace(spark, sf).withColumn("funcName", F.concat(F.lit("u"), "userID", F.lit("-"), "podID"))
-    totals = meta.group_totals(stored(minute_aggregate(t), "many-minutes"))
+    totals = stored(meta.group_totals(minute_aggregate(t)), "many-totals")
     return totals.select("*", meta.volume_category(totals).alias("category"))

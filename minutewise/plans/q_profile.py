@@ -130,20 +130,20 @@ classified AS (
 @register("invocation_category", with_ctes(FUNCS_CTE, CATEGORY_CTE, select=
           "SELECT funcName, invocations, category FROM classified"))
 def q_invocation_category(spark, sf):
-    return skew.invocation_category(_funcs(spark, sf)).select("funcName", "invocations", "category")
+    return skew.invocation_category(materialize(_funcs(spark, sf))).select("funcName", "invocations", "category")
 
 
 @register("invocation_category_counts", with_ctes(FUNCS_CTE, CATEGORY_CTE, select=
           "SELECT category, CAST(COUNT(*) AS BIGINT) AS n_functions FROM classified GROUP BY category"))
 def q_invocation_category_counts(spark, sf):
-    return skew.category_counts(skew.invocation_category(_funcs(spark, sf)))
+    return skew.category_counts(skew.invocation_category(materialize(_funcs(spark, sf))))
 
 
 @register("category_share", with_ctes(FUNCS_CTE, CATEGORY_CTE, select=
           f"SELECT category, {r('COUNT(*) / (SELECT COUNT(*) FROM classified) * 100.0')} AS pct "
           "FROM classified GROUP BY category"))
 def q_category_share(spark, sf):
-    return round_doubles(skew.category_share(skew.invocation_category(_funcs(spark, sf))))
+    return round_doubles(skew.category_share(skew.invocation_category(materialize(_funcs(spark, sf)))))
 
 
 @register("reuse_ratios", with_ctes(FUNCS_CTE, select=
@@ -219,21 +219,21 @@ STAB_CTE = """stab AS (
 @register("stability_by_median", with_ctes(VARIATION_CTE, STAB_CTE, select=
           f"SELECT funcName, {r('cv')} AS cv, stability FROM stab"))
 def q_stability_by_median(spark, sf):
-    v = skew.stability_by_median(prof.function_variation(trace(spark, sf)))
+    v = skew.stability_by_median(materialize(prof.function_variation(trace(spark, sf))))
     return round_doubles(v.select("funcName", "cv", "stability"))
 
 
 @register("stability_by_median_hourly", with_ctes(VARIATION_CTE.replace("/ 60)", "/ 3600)"), STAB_CTE, select=
           f"SELECT funcName, {r('cv')} AS cv, stability FROM stab"))
 def q_stability_by_median_hourly(spark, sf):
-    v = skew.stability_by_median(prof.function_variation(trace(spark, sf), bucket_seconds=3600))
+    v = skew.stability_by_median(materialize(prof.function_variation(trace(spark, sf), bucket_seconds=3600)))
     return round_doubles(v.select("funcName", "cv", "stability"))
 
 
 @register("stability_median_counts", with_ctes(VARIATION_CTE, STAB_CTE, select=
           "SELECT stability, CAST(COUNT(*) AS BIGINT) AS n_functions FROM stab GROUP BY stability"))
 def q_stability_median_counts(spark, sf):
-    return skew.stability_counts(skew.stability_by_median(prof.function_variation(trace(spark, sf))))
+    return skew.stability_counts(skew.stability_by_median(materialize(prof.function_variation(trace(spark, sf)))))
 
 
 @register("rank_size", with_ctes(FUNCS_CTE, select=

@@ -14,7 +14,7 @@ from minutewise.operators import windows as win
 from minutewise.plans.oracle_sql import dense_cte, features_cte, meta_cte, r, sparse_cte, with_ctes
 from minutewise.plans.q_minutes import sparse_checkpointed
 from minutewise.plans.registry import register
-from minutewise.schema import KEY, PAST_VALUE_FEATURES, TIME_FEATURES, V1_FEATURES
+from minutewise.schema import HISTORY, HORIZON, KEY, PAST_VALUE_FEATURES, TIME_FEATURES, V1_FEATURES
 from minutewise.session import stored
 
 K = ", ".join(KEY)
@@ -52,7 +52,13 @@ wins AS (
 
 
 def _windows(spark, sf):
-    return win.windows(_features(spark, sf))
+    """The window table needs the calendar alone, and the lengths of its series follow from the sparse minutes."""
+    sparse = sparse_checkpointed(spark, sf)
+    return win.windows(mins.dense_calendar(sparse), groups=win.calendar_groups(sparse))
+
+
+def _stored_windows(spark, sf):
+    return stored(_windows(spark, sf), "windows")
 
 
 @register("window_groups", with_ctes(*FEAT_CTES, GROUPS_CTE, select="SELECT * FROM wgroups"))
@@ -158,7 +164,34 @@ HASH = "md5('42:' || CAST(window_index AS VARCHAR))"
 @register("uniform_subsample", with_ctes(*FEAT_CTES, GROUPS_CTE, INDEX_CTE, WINDOWS_CTE, select=
           f"SELECT {K}, origin_minute, window_index, active FROM wins ORDER BY {HASH}, window_index LIMIT 1000"))
 def q_uniform_subsample(spark, sf):
-    return splits.uniform_subsample(_windows(spark, sf), 1000).select(*KEY, "origin_minute", "window_index", "active")
+    return splits.uniform_subsample(_stored_windows(spark, sf), 1000).select(*KEY, "origin_minute", "window_index", "active")
+
+
+@register("window_lookup", with_ctes(*FEAT_CTES, GROUPS_CTE, INDEX_CTE, WINDOWS_CTE, select=
+          f"SELECT {K}, group_id, window_index, CAST(start AS BIGINT) AS start FROM wins ORDER BY {HASH}, window_index LIMIT 1000"))
+def q_window_lookup(spark, sf):
+    """A training sample drawn from the numbers of the windows and located in the index; no window is built."""
+    sparse = sparse_checkpointed(spark, sf)
+    groups = win.calendar_groups(sparse).where(F.col("row_count") >= HISTORY + HORIZON)
+    index = stored(win.window_index(groups), "window-index")
+    n = index.agg(F.sum("n_windows")).first()[0] or 0
+    return win.locate_windows(splits.sample_numbers(spark, n, 1000), index)
+
+
+@register("window_lookup_all", with_ctes(*FEAT_CTES, GROUPS_CTE, INDEX_CTE, WINDOWS_CTE, select=
+          f"SELECT {K}, group_id, COUNT(*) AS n_windows, CAST(SUM(start) AS BIGINT) AS starts, "
+          "CAST(SUM(window_index) AS BIGINT) AS numbers FROM wins GROUP BY ALL"))
+def q_window_lookup_all(spark, sf):
+    """Every window number located, in buckets smaller and larger than a group's interval; both must agree."""
+    sparse = sparse_checkpointed(spark, sf)
+    groups = win.calendar_groups(sparse).where(F.col("row_count") >= HISTORY + HORIZON)
+    index = stored(win.window_index(groups), "window-index")
+    n = index.agg(F.sum("n_windows")).first()[0] or 0
+    numbers = spark.range(n).select(F.col("id").alias("window_index"))
+    found = (win.locate_windows(numbers, index, bucket=1000).where("window_index % 2 = 0")
+             .unionByName(win.locate_windows(numbers, index).where("window_index % 2 = 1")))
+    return found.groupBy(*KEY, "group_id").agg(F.count(F.lit(1)).alias("n_windows"), F.sum("start").alias("starts"),
+                                               F.sum("window_index").alias("numbers"))
 
 
 @register("balanced_subsample", with_ctes(*FEAT_CTES, GROUPS_CTE, INDEX_CTE, WINDOWS_CTE, """cnt AS (
@@ -170,7 +203,7 @@ SELECT {K}, origin_minute, window_index, active FROM (
   SELECT *, ROW_NUMBER() OVER (PARTITION BY active ORDER BY {HASH}, window_index) AS rk FROM wins) w, quota
 WHERE (active AND rk <= qa) OR (NOT active AND rk <= qi)"""))
 def q_balanced_subsample(spark, sf):
-    b = splits.balanced_subsample(_windows(spark, sf), 1000, 0.5)
+    b = splits.balanced_subsample(_stored_windows(spark, sf), 1000, 0.5)
     return b.select(*KEY, "origin_minute", "window_index", "active")
 
 
@@ -184,7 +217,7 @@ SELECT {K}, origin_minute, window_index, active FROM (
 WHERE (active AND rk <= qa) OR (NOT active AND rk <= qi)"""))
 def q_balanced_subsample_rounded(spark, sf):
     """A fraction at which rounding and truncation differ (123.7 of 1000)."""
-    b = splits.balanced_subsample(_windows(spark, sf), 1000, 0.1237)
+    b = splits.balanced_subsample(_stored_windows(spark, sf), 1000, 0.1237)
     return b.select(*KEY, "origin_minute", "window_index", "active")
 
 
@@ -192,7 +225,7 @@ def q_balanced_subsample_rounded(spark, sf):
           f"SELECT window_index FROM wins ORDER BY {HASH}, window_index "
           "LIMIT (SELECT CAST(FLOOR(0.9 * COUNT(*)) AS BIGINT) FROM wins)"))
 def q_v1_split_train(spark, sf):
-    train, _ = splits.v1_split(_windows(spark, sf))
+    train, _ = splits.v1_split(_stored_windows(spark, sf))
     return train.select("window_index")
 
 
@@ -200,7 +233,7 @@ def q_v1_split_train(spark, sf):
           f"SELECT window_index FROM wins ORDER BY {HASH}, window_index "
           "OFFSET (SELECT CAST(FLOOR(0.9 * COUNT(*)) AS BIGINT) FROM wins)"))
 def q_v1_split_holdout(spark, sf):
-    _, rest = splits.v1_split(_windows(spark, sf))
+    _, rest = splits.v1_split(_stored_windows(spark, sf))
     return rest.select("window_index")
 
 
@@ -257,7 +290,7 @@ GROUP BY ALL"""))
 def q_selected_window_digest(spark, sf):
     f = _features(spark, sf)
     n = win.normalise(f, win.feature_statistics(f))
-    chosen = splits.uniform_subsample(win.windows(f), 1000)
+    chosen = splits.uniform_subsample(stored(win.windows(f), "windows"), 1000)
     a = win.select_window_arrays(n, chosen)
     total = lambda c: F.aggregate(F.flatten(c), F.lit(0.0), lambda acc, x: acc + x)
     flat = lambda c: F.aggregate(c, F.lit(0.0), lambda acc, x: acc + x)

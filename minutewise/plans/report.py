@@ -59,8 +59,8 @@ def report(trace: DataFrame) -> DataFrame:
         _mean("memory_usage").alias("avg_memory"), _mean("runtimeCost").alias("avg_runtime")))
     per_minute = cells.groupBy("minute").agg(requests.alias("requests"))
     per_func_minute = cells.groupBy("funcName", "minute").agg(requests.alias("requests"))
-    variation = per_func_minute.groupBy("funcName").agg(
-        (F.stddev_samp("requests") / F.avg("requests")).alias("cv"))
+    variation = materialize(per_func_minute.groupBy("funcName").agg(
+        (F.stddev_samp("requests") / F.avg("requests")).alias("cv")))
     classified = skew.invocation_category(functions)
     ratios = skew.reuse_ratios(functions)
     parts = [
