@@ -4,7 +4,8 @@ Outputs are parquet tables under ``out_dir`` (a shared folder on a cluster):
 ``sparse`` (checkpoint of the only pass over raw requests), ``dense`` and ``features``
 (partitioned by region, rows sorted by group and minute within each file, so a per-group
 lookup prunes partitions and row groups), ``metadata`` (one row per group).
-The calendar gate (V8) runs on the dense table before anything is written downstream of it.
+Each is published as a new version beside the last one, so readers of the tables never see a gap;
+the returned paths are those of the versions written. The calendar gate (V8) runs on the dense table before anything is written downstream of it.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from minutewise.operators import metadata as meta
 from minutewise.operators import minutes as mins
 from minutewise.operators import quality as qual
 from minutewise.schema import KEY
-from minutewise.sources.catalog import replace_table
+from minutewise.sources.catalog import publish_table
 
 
 def build_feature_tables(trace: DataFrame, out_dir: str, bucket_seconds: int = 60) -> dict:
@@ -24,13 +25,13 @@ def build_feature_tables(trace: DataFrame, out_dir: str, bucket_seconds: int = 6
     out = out_dir.rstrip("/")
     order = [*KEY, "minute"]
     # the only pass over raw requests; the written table is the lineage cut
-    replace_table(mins.minute_aggregate(trace, bucket_seconds), f"{out}/sparse", sort_within=order)
-    sparse = spark.read.parquet(f"{out}/sparse")
-    replace_table(mins.dense_calendar(sparse), f"{out}/dense", sort_within=order)
-    dense = spark.read.parquet(f"{out}/dense")
+    paths = {"sparse": publish_table(mins.minute_aggregate(trace, bucket_seconds), f"{out}/sparse", sort_within=order)}
+    sparse = spark.read.parquet(paths["sparse"])
+    paths["dense"] = publish_table(mins.dense_calendar(sparse), f"{out}/dense", sort_within=order)
+    dense = spark.read.parquet(paths["dense"])
     gate = qual.assert_dense_calendar(dense)  # raises on an incomplete calendar
-    replace_table(meta.function_metadata(dense), f"{out}/metadata", partition_by=None)
+    paths["metadata"] = publish_table(meta.function_metadata(dense), f"{out}/metadata", partition_by=None)
     # features from the sparse table: one exchange of sparse rows, none of the dense rows
     features = feat.feature_table(mins.dense_calendar(sparse), group_totals=meta.group_totals(sparse))
-    replace_table(features, f"{out}/features", sort_within=order)
-    return {"paths": {t: f"{out}/{t}" for t in ("sparse", "dense", "metadata", "features")}, "gate": gate}
+    paths["features"] = publish_table(features, f"{out}/features", sort_within=order)
+    return {"paths": paths, "gate": gate}

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from minutewise.functions.numeric import round_doubles
@@ -15,7 +17,8 @@ from minutewise.plans.oracle_sql import dense_cte, features_cte, meta_cte, r, sp
 from minutewise.plans.q_minutes import sparse_checkpointed
 from minutewise.plans.registry import register
 from minutewise.schema import HISTORY, HORIZON, KEY, PAST_VALUE_FEATURES, TIME_FEATURES, V1_FEATURES
-from minutewise.session import stored
+from minutewise.session import scratch_table_path, stored
+from minutewise.sources import catalog
 
 K = ", ".join(KEY)
 FEAT_CTES = [sparse_cte(), dense_cte(), meta_cte(), features_cte()]
@@ -320,6 +323,18 @@ def q_group_lookup(spark, sf):
                                                                         "total_requests")
 
 
+@register("group_lookup_bucketed", with_ctes(*FEAT_CTES, select=
+          "SELECT minute, requests, lag_1, total_requests FROM feat "
+          "WHERE region = 'R1' AND clusterName = 'c0' AND funcName = 'f0'"))
+def q_group_lookup_bucketed(spark, sf):
+    """D18 over a feature store bucketed by group: the scan reads one bucket."""
+    sparse = sparse_checkpointed(spark, sf)
+    table = feat.feature_table(mins.dense_calendar(sparse), group_totals=meta.group_totals(sparse))
+    name = f"features_{uuid.uuid4().hex}"
+    catalog.save_feature_store(table, name, scratch_table_path(spark, name), mins.dense_partitions(sparse))
+    return catalog.lookup_group(spark, name, "R1", "c0", "f0").select("minute", "requests", "lag_1", "total_requests")
+
+
 def _v1_cte() -> str:
     xsum = " + ".join(f"CAST(CAST(COALESCE({c}, 0.0) AS FLOAT) AS DOUBLE)" for c in V1_FEATURES)
     tsum = " + ".join(f"CAST(CAST(COALESCE({c}, 0.0) AS FLOAT) AS DOUBLE)" for c in TIME_FEATURES)
