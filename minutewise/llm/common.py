@@ -31,6 +31,14 @@ def store(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name`` for a column that is added to ``df``, with underscores before it while ``df`` has such a column."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Only the two columns an operator reads, under fixed names; a null text is empty."""
     return docs.select(F.col(id_col).cast("long").alias("doc_id"),

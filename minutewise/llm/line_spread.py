@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from minutewise.llm.common import store
+from minutewise.llm.common import free_name, store
 
 #: Sites from which a line is boilerplate.
 MIN_SITES = 10
@@ -65,20 +65,22 @@ def spread_lines(lines: DataFrame, min_sites: int = MIN_SITES, near: float = NEA
 
 def remove_spread_lines(docs: DataFrame, min_sites: int = MIN_SITES, id_col: str = "doc_id", text_col: str = "text",
                         site_col: str = "source", near: float = NEAR, lg_k: int = LG_K) -> DataFrame:
-    """``docs`` with boilerplate lines taken out of ``text_col``, plus ``_n_lines`` and ``_n_removed``."""
+    """``docs`` with boilerplate lines taken out of ``text_col``, plus ``_n_lines`` and ``_n_removed``; a name that
+    ``docs`` has already is taken with a further underscore (``free_name``)."""
+    n_lines, n_removed, id_, gone_, kept_ = (free_name(docs, c) for c in ("_n_lines", "_n_removed", "_id", "_gone", "_kept"))
     lines = lines_of(docs, id_col, text_col, site_col)
     spread = spread_lines(lines, min_sites, near, lg_k)
     gone = (lines.join(spread, ["a", "b"]).where(F.col("doc_id") > F.col("first_doc"))
-            .groupBy(F.col("doc_id").alias("_id")).agg(F.collect_set(F.struct("a", "b")).alias("_gone")))
+            .groupBy(F.col("doc_id").alias(id_)).agg(F.collect_set(F.struct("a", "b")).alias(gone_)))
     pieces = split_lines(F.col(text_col))
 
     def stays(line: Column) -> Column:
-        return (_trimmed(line) == "") | ~F.array_contains(F.col("_gone"), _key(_trimmed(line)))
+        return (_trimmed(line) == "") | ~F.array_contains(F.col(gone_), _key(_trimmed(line)))
 
-    kept = F.when(F.col("_gone").isNull(), pieces).otherwise(F.filter(pieces, stays))
-    joined = docs.join(gone, F.col(id_col).cast("long") == F.col("_id"), "left").withColumn("_kept", kept)
+    kept = F.when(F.col(gone_).isNull(), pieces).otherwise(F.filter(pieces, stays))
+    joined = docs.join(gone, F.col(id_col).cast("long") == F.col(id_), "left").withColumn(kept_, kept)
     n = F.coalesce(F.when(F.col(text_col) == "", 0).otherwise(F.size(pieces)), F.lit(0)).cast("long")
-    out = (joined.withColumn("_n_lines", n)
-           .withColumn("_n_removed", F.coalesce(F.size(pieces) - F.size("_kept"), F.lit(0)).cast("long"))
-           .withColumn(text_col, F.array_join("_kept", "\n")))
-    return out.drop("_id", "_gone", "_kept")
+    out = (joined.withColumn(n_lines, n)
+           .withColumn(n_removed, F.coalesce(F.size(pieces) - F.size(kept_), F.lit(0)).cast("long"))
+           .withColumn(text_col, F.array_join(kept_, "\n")))
+    return out.drop(id_, gone_, kept_)

@@ -35,10 +35,10 @@ PATTERNS = {
     "ip": r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
     "card": r"(?<![0-9])[0-9]++(?:[\x20-][0-9]++)*+",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
-    "contact": rf"(?<![{_LOCAL}])[{_LOCAL}]{{1,64}}+ ?[(\[{{] ?(?:at|AT) ?[)\]}}] ?[A-Za-z0-9-]{{1,63}}+"
-               r"(?: ?(?:\.|[(\[{] ?(?:dot|DOT) ?[)\]}]) ?[A-Za-z0-9-]{1,63}+){1,4}",
+    "contact": rf"(?<![{_LOCAL}])[{_LOCAL}]++ ?[(\[{{] ?(?:at|AT) ?[)\]}}] ?[A-Za-z0-9-]++"
+               r"(?: ?(?:\.|[(\[{] ?(?:dot|DOT) ?[)\]}]) ?[A-Za-z0-9-]++)++",
     "number": r"(?<![0-9A-Za-z+.-])(?:\([0-9]{2,5}\) ?|[0-9]{2,5}[ .-])[0-9]{2,4}[ .-][0-9]{2,4}"
-              r"(?:[ .-][0-9]{2,4}){0,3}(?![0-9A-Za-z-])",
+              r"(?:[ .-][0-9]{2,4})*+(?![0-9A-Za-z-])",
     "secret": r"(?<![A-Za-z0-9])(?:AKIA[0-9A-Z]{16}|(?i:password|passwd|secret|token|api[_-]?key) ?[=:] ?"
               r"[\"']?[A-Za-z0-9+/_-]{8,}+)(?![A-Za-z0-9])",
 }
@@ -185,7 +185,8 @@ def classified(c: DataFrame) -> DataFrame:
     weights = one.groupBy("f").agg((F.log((F.sum("p") + part) / (yes + SMOOTH))
                                     - F.log((F.sum(1 - F.col("p")) + part) / (no + SMOOTH))).alias("w"))
     more = voted.where(F.col("kind").isin(*MORE)).select("rid", "kind", "start", "end", F.explode("features").alias("f"))
-    scored = more.join(weights, "f").groupBy("rid", "kind", "start", "end").agg(F.sum("w").alias("z"))
+    # one row a feature (the bound above), and only a few features for a kind: no shuffle by feature
+    scored = more.join(F.broadcast(weights), "f").groupBy("rid", "kind", "start", "end").agg(F.sum("w").alias("z"))
     base = voted.where(F.col("kind").isin(*BASE) & F.col("valid")).select("rid", "kind", "start", "end", F.lit(True).alias("personal"))
     return base.unionByName(scored.select("rid", "kind", "start", "end", (
         F.col("z") + math.log(prior / (1 - prior)) > 0).alias("personal")))

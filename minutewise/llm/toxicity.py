@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from minutewise.llm.common import text_passes, text_runs
+from minutewise.llm.common import free_name, text_passes, text_runs
 from minutewise.llm.wordhash import stem_hashes
 
 #: Labelled documents that the model is fitted on at most.
@@ -256,10 +256,12 @@ def with_scores(docs: DataFrame, model: Model | None, text_col: str = "text", ou
 
 
 def flag_toxic(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, lang_col: str = "lang") -> DataFrame:
-    """``docs`` with ``_score``, the ``_threshold`` of its language (0.7 where none could be set) and ``_toxic``."""
+    """``docs`` with ``_score``, the ``_threshold`` of its language (0.7 where none could be set) and ``_toxic``; a name
+    that ``docs`` has already is taken with a further underscore (``free_name``)."""
+    score, threshold, toxic = (free_name(docs, c) for c in ("_score", "_threshold", "_toxic"))
     model = train(docs, labels, sample)
     cut = F.lit(THRESHOLD)
     for lang, at in sorted((model.thresholds if model else {}).items()):
         cut = F.when(F.col(lang_col) == lang, at).otherwise(cut)
-    out = with_scores(docs, model, out="_score").withColumn("_threshold", cut)
-    return out.withColumn("_toxic", F.col("_score") >= F.col("_threshold"))
+    out = with_scores(docs, model, out=score).withColumn(threshold, cut)
+    return out.withColumn(toxic, F.col(score) >= F.col(threshold))

@@ -3,9 +3,11 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline as P
 from minutewise.llm import segment
+from minutewise.llm.common import store
 from minutewise.llm.queries import QUERIES
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -36,7 +38,7 @@ def tables(spark, tmp_path_factory):
 def test_stages_are_in_order():
     assert [n for n, _ in P.STAGES] == ["toxicity", "line_dedup", "near_dedup", "decontamination", "segmentation"]
     assert P.ORACLE_SQL is None
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 def test_toxic_documents_go_and_clean_ones_stay(spark, tables):
@@ -94,3 +96,31 @@ def test_run_over_the_sample_tables(spark):
     for r in out:  # what is left of a text is some of its lines, in order
         lines = iter(src[r.doc_id].split("\n"))
         assert all(any(x == y for y in lines) for x in r.text.split("\n"))
+
+
+def test_columns_with_clashing_names_are_kept(spark, tables):
+    base, rows, toxic, _ = tables
+    names = ["tokens", "_kept", "_id", "_gone", "_score", "_threshold", "_toxic", "_n_removed", "_n_lines", "_N_LINES2", "a", "b", "k", "site"]
+    plain = _docs(spark, [*rows, (9000, None, None, None)])
+    docs = plain.select("*", *[F.concat(F.lit(n), F.col("doc_id").cast("string")).alias(n) for n in names])
+    want = plain
+    for name, stage in P.STAGES:
+        docs, want = stage(spark, docs, base), stage(spark, want, base)
+        if name != "segmentation":
+            assert docs.columns == [*plain.columns, *names], name
+            docs, want = store(docs, "clash"), store(want, "plain")
+    assert docs.columns == [*plain.columns, *names, "_tokens"] and want.columns == [*plain.columns, "tokens"]
+    got, want = ({r["doc_id"]: r for r in df.collect()} for df in (docs, want))
+    assert got.keys() == want.keys() and len(got) > 100
+    for d, r in got.items():
+        assert [r[n] for n in names] == [f"{n}{d}" for n in names]
+        assert (r["text"], r["_tokens"]) == (want[d]["text"], want[d]["tokens"])
+
+
+def test_stages_take_empty_tables_and_nulls(spark, tables):
+    base = tables[0]
+    docs = _docs(spark, [(None, None, None, None), (1, None, "en", None), (2, "", None, "s"), (None, "some words of a text", "en", "s")])
+    for df, n in ((docs, 4), (docs.where("false"), 0)):
+        for _, stage in P.STAGES:
+            df = store(stage(spark, df, base), "nulls")
+        assert df.count() == n

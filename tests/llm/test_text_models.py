@@ -357,3 +357,15 @@ def test_corpus_counts_cover_every_document(spark):
     assert np.array_equal(lang.of, want.of) and np.allclose(lang.inside, want.inside)
     trained = pseudo_lm.log_probabilities(w, lang, bucket, at).mean()
     assert trained > pseudo_lm.log_probabilities(pseudo_lm.start_weights(), lang, bucket, at).mean()
+
+
+def test_contacts_and_numbers_of_any_length_are_whole(spark):
+    from pyspark.sql import functions as F
+    from minutewise.llm.pii import PATTERNS
+    cases = {"contact": ["n" * 70 + " (at) host.org", "bob (at) a.b.c.d.e.f.g", "x [at] " + "h" * 100 + ".org",
+                         "j.d {AT} mail [dot] site (dot) org", "y (at) " + ".".join(["z"] * 4000)],
+             "number": ["030 12 34 56 78 90 12 34", "(030) 123 45", "12-34-56-78-90-12", " ".join(["12"] * 3000)]}
+    for kind, texts in cases.items():
+        df = spark.createDataFrame([(f"see {t}, or", t) for t in texts], "text string, want string")
+        got = df.select("want", F.regexp_extract_all("text", F.lit(PATTERNS[kind]), F.lit(0)).alias("m")).collect()
+        assert [r["m"] for r in got] == [[r["want"]] for r in got]
