@@ -214,6 +214,21 @@ def q_stream_minute_aggregate_exact(spark, sf):
     return round_doubles(smin.exact_minutes(spark, f"{base}/out"))
 
 
+@register("stream_minute_update_mode", with_ctes(sparse_cte(), select=
+          f"SELECT minute, {K}, requests, " + ", ".join(
+              f"{r(c)} AS {c}" for c in ["avg_cpu", "avg_memory", "avg_runtime", "avg_request_size"])
+          + " FROM sparse"))
+def q_stream_minute_update_mode(spark, sf):
+    """X2 in update mode, open minutes included: equals the batch minute aggregate (requests, means)."""
+    base = scratch_table_path(spark, f"stream-update-{uuid.uuid4().hex}")
+    t = trace(spark, sf)
+    t.write.mode("overwrite").parquet(f"{base}/source")
+    smin.run_minute_stream(spark, f"{base}/source", f"{base}/out", f"{base}/checkpoint", t.schema)
+    res = smin.latest_minutes(spark.read.parquet(f"{base}/out"))
+    return round_doubles(res.select("minute", *KEY, "requests", "avg_cpu", "avg_memory", "avg_runtime",
+                                    "avg_request_size"))
+
+
 @register("stream_minute_late_rows", with_ctes("""kept AS (
   SELECT * FROM trace WHERE time_worker >= (SELECT (MIN(time_worker) + MAX(time_worker)) / 2 - 3600 FROM trace)
                             OR CAST(userID AS BIGINT) % 10 <> 0)""", select=f"""
