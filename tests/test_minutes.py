@@ -90,3 +90,14 @@ def test_hot_function_does_not_skew_dense_partitions(spark):
     assert set(per_group.values()) == {60}
     sizes = [r.n for r in d.groupBy(F.spark_partition_id().alias("pid")).agg(F.count("*").alias("n")).collect()]
     assert sum(sizes) == 12 * 60 and max(sizes) % 60 == 0
+
+
+def test_the_calendar_gate_raises_on_a_missing_and_on_a_doubled_minute(spark):
+    import pytest
+    from minutewise.operators.quality import assert_dense_calendar
+    rows = [("R", "c", f, m, m % 2) for f in ("f", "g") for m in range(5)]
+    frame = lambda x: spark.createDataFrame(x, "region string, clusterName string, funcName string, minute int, requests long")
+    assert assert_dense_calendar(frame(rows)) == {"expected_rows": 10, "invalid_groups": 0, "dense_rows": 10, "zero_rows": 6}
+    for bad in (rows[:3] + rows[4:], rows + rows[2:3], rows[1:]):
+        with pytest.raises(RuntimeError, match="missing or doubled"):
+            assert_dense_calendar(frame(bad))
