@@ -3,15 +3,22 @@
 A page is cut into blocks of text at block-level tags. A block's classifier (a logistic function of its tags, words of
 class and id, length, links and sentence marks) gives the capacities of its edges to the two terminals, content and
 boilerplate. Smoothness edges tie blocks that follow one another, and blocks whose nearest containers in the DOM are
-the same, more strongly the closer they are. The maximum flow's cut labels the blocks at the least total cost. Tags
-that never hold main text (scripts, styles, forms, navigation and the like) bind their blocks to boilerplate with
-infinite capacity.
+the same, more strongly the closer they are. The maximum flow's cut labels the blocks at the least total cost.
 
-Pages are independent, so they are labelled where they lie, without a shuffle; a page's graph grows with its blocks.
+Elements that never hold main text (scripts, styles, hidden elements and the like) bind their blocks to boilerplate
+with infinite capacity, and so do navigation, asides, forms and other containers of boilerplate, unless they wrap the
+page: a form with an article or main element in it is judged by its blocks, as is one that holds half of a page without
+such an element; an aside, header, footer, menu or dialog is when all articles of the page lie in such containers. The
+classifier's weights are stated, not fitted: the tables hold no blocks with labels.
+
+Pages are independent, so they are labelled where they lie, without a shuffle; a page's graph grows with its blocks,
+and reading it takes time in proportion to its length, whatever its tags leave open.
 
 Defined cases: a null or empty page, or one without text, has the text ""; unclosed and crossing tags close their
-blocks in page order; equal blocks are judged each by itself; repeated rows each get a row; rows without an id keep a
-null id; an empty table gives an empty result; other columns are ignored.
+blocks in page order; the end tag of an inline element closes no block; a quote opens an attribute's value only after
+its equals sign, and one that is never closed is part of the value; `br` is white space; equal blocks are judged each
+by itself; repeated rows each get a row; rows without an id keep a null id; an empty table gives an empty result;
+other columns are ignored.
 """
 
 from __future__ import annotations
@@ -28,13 +35,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # HTML's elements by their role here.
-BLOCKS = frozenset("""address article aside blockquote body br button caption center dd details dialog div dl dt fieldset
-figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hr html iframe legend li main menu nav noscript ol optgroup
+BLOCKS = frozenset("""address article aside blockquote body button caption center dd details dialog div dl dt fieldset
+figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hr html iframe label legend li main menu nav noscript ol optgroup
 option p pre section select summary table tbody td textarea tfoot th thead title tr ul""".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-NEVER = frozenset("""script style noscript head title nav footer header aside form button select option textarea iframe
-template menu dialog svg math object canvas audio video xmp noembed noframes""".split())
+NEVER = frozenset("""script style noscript head title button select option textarea label legend iframe template svg math
+object canvas audio video xmp noembed noframes""".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Elements at whose start an open paragraph ends.
+ENDS_PARAGRAPH = HEADINGS | frozenset("""address article aside blockquote center details dialog div dl fieldset figcaption
+figure footer form header main menu nav ol p pre section table ul""".split())
+#: Containers of boilerplate, unless they wrap the page's article.
+WRAPPERS = frozenset("nav footer header aside form menu dialog".split())
 _GOOD_WORDS = frozenset("article main content post story body entry text prose".split())
 _BAD_WORDS = frozenset("""ad ads advert advertisement banner nav navbar navigation menu footer header sidebar side aside
 comment comments reply replies discussion disqus notice cookie cookies consent gdpr popup modal overlay share sharing
@@ -42,12 +55,11 @@ social related recommended promo promoted sponsor sponsored newsletter subscribe
 widget toolbar tags tagcloud pager pagination copyright legal disclaimer alert toast search form masthead topbar
 bottombar teaser outbrain taboola contentinfo complementary""".split())
 _WORDS = re.compile(r"[a-z]+")
-_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-                  r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)", re.S)
-_HINT = re.compile(r"\b(?:class|id|role|itemprop|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-_QUOTED = re.compile(r"\"[^\"]*\"|'[^']*'")
-_HIDDEN_ATTR = re.compile(r"(?:^|\s)hidden(?=[\s/=]|$)", re.I)
-_HIDDEN_STYLE = re.compile(r"display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
+_TAG = re.compile(r"<!--(?:-?>|.*?(?:--!?>|\Z))|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
+                  r"|<(/?)([a-zA-Z][^\s/>]*)((?>=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s>]*+)|[^>=]++)*+)(?:>|\Z)", re.S)
+_ATTR = re.compile(r"([^\s=/]++)(?:\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s>]*+)))?")
+_HINTS = frozenset("class id role itemprop aria-label".split())
+_HIDDEN_STYLE = re.compile(r"display\s*:\s*none", re.I)
 _SPACE = re.compile(r"\s+")
 
 #: Weights of the block classifier: the logarithm of the odds that a block is main text.
@@ -67,15 +79,96 @@ class Block(NamedTuple):
     linked: float
     container: int
     depth: int
+    wrapper: int
+
+
+class Open(NamedTuple):
+    """An open element, with what its ancestors and it say together, so that nothing looks through them again."""
+    tag: str
+    block: str      #: tag of the innermost block-level element
+    depth: int      #: block-level elements
+    links: int
+    never: bool
+    named: bool     #: a good name, or an article or main element
+    bad: bool       #: of a bad container and an article or main element, the inner one counts
+    article: bool   #: in an article or main element
+    own: bool       #: in one that lies within the innermost wrapper
+    paragraph: bool
+    box: int        #: nearest container
+    wrapper: int
+
+
+class Wrapper(NamedTuple):
+    parent: int
+    tag: str
+    bad: bool
+
+
+_ROOT = Open("", "", 0, 0, False, False, False, False, False, False, 0, 0)
+
+
+def _opened(up: Open, tag: str, attrs: str, node: int, wrappers: list[Wrapper]) -> Open:
+    """The frame of a start tag below ``up``."""
+    words: set[str] = set()
+    hidden = link = False
+    for m in _ATTR.finditer(attrs):
+        name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
+        if name in _HINTS:
+            words.update(_WORDS.findall(value.lower()))
+        hidden = (hidden or name == "hidden" or name == "style" and bool(_HIDDEN_STYLE.search(value))
+                  or name == "aria-hidden" and value.strip().lower() == "true")
+        link = link or name == "href"
+    # the header of an article is its headline, not the page's
+    bad = bool((words - {"header"} if up.article else words) & _BAD_WORDS) and tag not in ("html", "body")
+    article = tag in ("article", "main") and not bad
+    wraps = tag in WRAPPERS and not (tag == "header" and up.article)
+    if wraps:
+        wrappers.append(Wrapper(up.wrapper, tag, bad))
+    block = tag in BLOCKS
+    return Open(tag, tag if block else up.block, up.depth + block, up.links + (link and tag == "a"),
+                up.never or hidden or tag in NEVER, up.named or article or not bad and bool(words & _GOOD_WORDS),
+                bad or up.bad and not article, up.article or article, article or up.own and not wraps,
+                up.paragraph or tag == "p", node if block and tag not in HEADINGS and tag not in ("p", "li") else up.box,
+                len(wrappers) - 1 if wraps else up.wrapper)
+
+
+def _boilerplate(wrappers: list[Wrapper], sizes: list[list[int]]) -> list[bool]:
+    """Which wrappers bind their blocks to boilerplate.
+
+    ``sizes``: for each wrapper (the first stands for the page) the characters of its blocks that lie in no inner
+    wrapper: all of them, those in an article or main element, and those in one that lies in this wrapper.
+    """
+    n = len(wrappers)
+    whole, own = [x[0] for x in sizes], [x[2] for x in sizes]
+    for i in range(n - 1, 0, -1):
+        whole[wrappers[i].parent] += whole[i]
+        own[wrappers[i].parent] += own[i]
+
+    def bound(freed: list[bool]) -> list[bool]:
+        out = [False] * n
+        for i in range(1, n):
+            out[i] = not freed[i] or out[wrappers[i].parent]
+        return out
+
+    freed = [x.tag == "form" and own[i] > 0 for i, x in enumerate(wrappers)]
+    out = bound(freed)
+    if sum(x[1] for x, shut in zip(sizes, out) if not shut):
+        return out
+    # no article lies in the open
+    return bound([freed[i] or own[i] > 0 or x.tag == "form" and not x.bad and 2 * whole[i] >= whole[0]
+                  for i, x in enumerate(wrappers)])
 
 
 def blocks_of(page: str) -> list[Block]:
     """The blocks of a page in order, without empty ones."""
     out: list[Block] = []
-    stack: list[tuple[str, int, bool, bool, bool, bool]] = []  # tag, node, never, good by class, bad, good by tag
+    stack: list[Open] = [_ROOT]
+    places: dict[str, list[int]] = {}  # of the open elements by tag
+    wrappers = [Wrapper(0, "", False)]
+    sizes: dict[int, list[int]] = {}
     nodes = 0
     parts: list[str] = []
-    in_link = linked = 0
+    linked = 0
     raw_end: str | None = None
 
     def close() -> None:
@@ -83,18 +176,21 @@ def blocks_of(page: str) -> list[Block]:
         text = _SPACE.sub(" ", "".join(parts)).strip()
         parts.clear()
         if text:
-            inner = [s for s in stack if s[0] in BLOCKS]
-            tags = {s[0] for s in stack}
-            box = next((s[1] for s in reversed(stack) if s[0] in BLOCKS and s[0] not in ("p", "br", "li", "h1", "h2", "h3", "h4", "h5", "h6")), 0)
-            last = inner[-1][0] if inner else ""
-            # of a bad container and an article or main element the inner one counts
-            bad = next((s[4] for s in reversed(stack) if s[4] or s[5]), False)
-            good = not bad and any(s[3] or s[5] for s in stack)
-            out.append(Block(text, any(s[2] for s in stack), good, bad,
-                             last in ("h1", "h2", "h3", "h4", "h5", "h6"), "p" in tags or last in ("blockquote", "pre", "li"),
-                             linked / max(1, len(text)), box, len(inner)))
+            x = stack[-1]
+            if not x.never:
+                size = sizes.setdefault(x.wrapper, [0, 0, 0])
+                for k, counts in enumerate((True, x.article and not x.bad, x.own and not x.bad)):
+                    size[k] += len(text) * counts
+            out.append(Block(text, x.never, x.named and not x.bad, x.bad, x.block in HEADINGS,
+                             x.paragraph or x.block in ("blockquote", "pre", "li"),
+                             linked / max(1, len(text)), x.box, x.depth, x.wrapper))
         linked = 0
 
+    def cut(to: int) -> None:
+        for x in stack[to:]:
+            places[x.tag].pop()
+        del stack[to:]
+
     at = 0
     while at <= len(page):
         if raw_end:
@@ -106,7 +202,7 @@ def blocks_of(page: str) -> list[Block]:
         text = entities.unescape(page[at:m.start() if m else len(page)])
         if text:
             parts.append(text)
-            linked += len(text) if in_link else 0
+            linked += len(text) if stack[-1].links else 0
         if not m:
             break
         at = m.end()
@@ -116,47 +212,27 @@ def blocks_of(page: str) -> list[Block]:
         if m[1]:
             if tag in BLOCKS:
                 close()
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == tag:
-                    in_link -= sum(s[0] == "a" for s in stack[i:])
-                    if any(s[0] in BLOCKS for s in stack[i:]):
-                        close()
-                    del stack[i:]
-                    break
+            if places.get(tag):
+                i = places[tag][-1]
+                if tag in BLOCKS or stack[-1].depth == stack[i].depth:
+                    cut(i)
             continue
         if tag in BLOCKS:
             close()
         if tag in VOID:
+            parts.append(" " if tag == "br" else "")
             continue
-        if tag in ("p", "h1", "h2", "h3", "h4", "h5", "h6", "ul", "ol", "div", "table", "section", "article", "footer", "nav", "aside",
-                   "form", "header", "main", "blockquote", "pre"):
-            # a paragraph ends where a block begins, with all inline elements left open in it
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == "p":
-                    in_link -= sum(s[0] == "a" for s in stack[i:])
-                    del stack[i:]
-                    break
-                if stack[i][0] in BLOCKS:
-                    break
+        if tag in ENDS_PARAGRAPH and stack[-1].block == "p":
+            # with all inline elements left open in it
+            cut(places["p"][-1])
         nodes += 1
-        attrs = m[3] or ""
-        words: set[str] = set()
-        if "=" in attrs:
-            for hint in _HINT.finditer(attrs):
-                words.update(_WORDS.findall((hint[1] or hint[2] or hint[3] or "").lower()))
-        inside = any(s[5] for s in stack)
-        never = tag in NEVER and not (tag == "header" and inside)
-        if attrs:
-            never = never or bool(_HIDDEN_STYLE.search(attrs)) or bool(_HIDDEN_ATTR.search(_QUOTED.sub("", attrs)))
-        # the header of an article is its headline, not the page's
-        bad = bool((words - {"header"} if inside else words) & _BAD_WORDS) and tag not in ("html", "body")
-        stack.append((tag, nodes, never, bool(words & _GOOD_WORDS) and not bad, bad, tag in ("article", "main") and not bad))
-        if tag == "a":
-            in_link += 1
+        places.setdefault(tag, []).append(len(stack))
+        stack.append(_opened(stack[-1], tag, m[3] or "", nodes, wrappers))
         if tag in RAW:
             raw_end = tag
     close()
-    return out
+    shut = _boilerplate(wrappers, [sizes.get(i, [0, 0, 0]) for i in range(len(wrappers))])
+    return [b._replace(never=True) if shut[b.wrapper] else b for b in out]
 
 
 def _odds(b: Block) -> float:

@@ -217,6 +217,46 @@ def test_sample_pages_keep_their_articles(spark):
         assert main_text(r["html"]) == "\n".join(p for p in parts if p)
 
 
+_STORY = ("<article><h1>Title here</h1><p class=it's>First paragraph, with words in it.</p>"
+          "<p>Second one doesn't stop. It goes on, longer.</p></article>")
+_STORY_TEXT = "Title here\nFirst paragraph, with words in it.\nSecond one doesn't stop. It goes on, longer."
+
+
+@pytest.mark.parametrize("page, text", [
+    (_STORY, _STORY_TEXT),
+    (f"<nav><a href=x>Home</a></nav><form id=aspnetForm><div class=menu><a href=y>M</a></div>{_STORY}<footer>c</footer></form>", _STORY_TEXT),
+    (f"<aside>{_STORY}</aside>", _STORY_TEXT),
+    (f"<main><h2>Head line</h2><form>{_STORY}<aside><article><p>Related, text. Long one.</p></article></aside></form></main>",
+     "Head line\n" + _STORY_TEXT),
+    ("<form><div class=nav><a href=x>a</a></div><p>Some long text, with words. It ends.</p><p>Another one, as long. It ends.</p><label>x</label></form>",
+     "Some long text, with words. It ends.\nAnother one, as long. It ends."),
+    (f"{_STORY}<aside><article><p>Related text, in a sidebar. Long.</p></article></aside><form><p>Tell us, what you think. Please do.</p></form>",
+     _STORY_TEXT),
+    ("<article><p>one<br>two, three. Four</p></article>", "one two, three. Four"),
+    ("<!--><article><p>Text, here. Yes it is.</p></article><!-- x -->", "Text, here. Yes it is."),
+    ("<article><p title=\"x>Text, here. Yes it is.</p></article>", "Text, here. Yes it is."),
+    ("<article><p data-x=a=\"b>Text, here. Yes.</p></article>", "Text, here. Yes."),
+    ("<span><article><p>Text, here. Yes.</span></p><p>More, here. Yes.</p></article>", "Text, here. Yes.\nMore, here. Yes."),
+    ("<article><p>Text, here. Yes.</p><p style='display: none'>No, no. No.</p><p hidden>No, no.</p><p data-hidden=x>Seen, it is. Yes.</p></article>",
+     "Text, here. Yes.\nSeen, it is. Yes."),
+])
+def test_articles_in_wrappers_and_odd_markup(page, text):
+    assert main_text(page) == text
+
+
+@pytest.mark.parametrize("page", ["<b>x " * 100_000, "<b>x " * 50_000 + "</i>" * 50_000, "<p><b>some, text. here " * 30_000,
+                                  "<aside>some, text. here " * 30_000])
+def test_unclosed_tags_take_linear_time(page):
+    import time
+    main_text(page[:len(page) // 8])
+
+    def seconds(p):
+        t0 = time.process_time()
+        main_text(p)
+        return time.process_time() - t0
+    assert seconds(page) < 5 and seconds(page) < 40 * max(seconds(page[:len(page) // 8]), 0.02)
+
+
 # ---- 6: segmentations
 
 
