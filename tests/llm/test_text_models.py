@@ -340,35 +340,30 @@ def test_draws_are_distinct_and_seeded_by_row(spark):
 
 def test_gradients_of_the_network():
     rng = np.random.default_rng(2)
-    w = [x.astype(np.float64) for x in pseudo_lm.start_weights()]
-    cls, at = rng.integers(0, pseudo_lm.CLASSES, 40), np.array([0, 25, 25, 40])
-
-    def loss(w):
-        z = pseudo_lm._hidden(w, pseudo_lm._windows(cls, at)) @ w[2] + w[3]
-        z = z - z.max(axis=1, keepdims=True)
-        return float(np.mean(np.log(np.exp(z).sum(axis=1)) - z[np.arange(40), cls]))
-
-    t = pseudo_lm.Trainer(w)
-    t.seen = [np.zeros_like(x) for x in w]
-    before = [x.copy() for x in t.w]
-    with np.errstate(divide="ignore", invalid="ignore"):
-        t.run(cls, at)
-    for k, shape in enumerate(pseudo_lm._SHAPES):
-        for _ in range(12):
-            i = tuple(rng.integers(0, s) for s in shape)
-            up, down = [x.copy() for x in w], [x.copy() for x in w]
-            up[k][i] += 1e-5
-            down[k][i] -= 1e-5
-            g = (loss(up) - loss(down)) / 2e-5
-            assert abs(math.sqrt(t.seen[k][i]) - abs(g)) < 1e-5  # the first step saw the gradient itself
-            if abs(g) > 1e-6:
-                assert np.sign(before[k][i] - t.w[k][i]) == np.sign(g)
+    net = pseudo_lm.Network(*[x.astype(np.float64) * 3 for x in pseudo_lm.start_network(64)])
+    words, at = rng.integers(0, 1 << 63, 40).astype(np.uint64), np.array([0, 25, 25, 40])
+    ids, place = pseudo_lm.padded(pseudo_lm.rows_of(words, 64), at, 64)
+    noise = rng.integers(0, 64, (2, 7)).astype(ids.dtype)
+    _, moves = pseudo_lm.gradients(net, ids, place, noise)
+    for k, (rows, d, n) in enumerate(moves):
+        whole = np.zeros_like(net[k])
+        whole[rows] = d * (40 if k > 1 else 1)  # the last two are means
+        for _ in range(20):
+            i = rng.integers(0, whole.shape[0]), rng.integers(0, whole.shape[1])
+            losses = []
+            for step in (1e-5, -1e-5):
+                moved = pseudo_lm.Network(*[x.copy() for x in net])
+                moved[k][i] += step
+                losses.append(pseudo_lm.gradients(moved, ids, place, noise)[0])
+            assert abs((losses[0] - losses[1]) / 2e-5 - whole[i]) < 1e-4
+    assert moves[0][2].sum() == 2 * ids.shape[1] and moves[1][2].sum() == 2 * (40 + 7)
 
 
 def test_windows_stay_within_documents():
-    near = pseudo_lm._windows(np.array([1, 2, 3, 4]), np.array([0, 3, 3, 4]))
-    c = pseudo_lm.CLASSES
-    assert near.T.tolist() == [[c, c, 2, 3], [c, 1, 3, c], [1, 2, c, c], [c, c, c, c]]
+    ids, place = pseudo_lm.padded(np.array([[1, 2, 3, 4], [5, 6, 7, 8]]), np.array([0, 3, 3, 4]), 64)
+    near = [[ids[0, p + j] for j in (-2, -1, 1, 2)] for p in place]
+    assert near == [[64, 64, 2, 3], [64, 1, 3, 64], [1, 2, 64, 64], [64, 64, 64, 64]]
+    assert ids[:, place].tolist() == [[1, 2, 3, 4], [5, 6, 7, 8]]
 
 
 def test_scores_prefer_text_like_the_corpus(spark):
@@ -389,14 +384,73 @@ def test_scores_prefer_text_like_the_corpus(spark):
     assert pseudo_lm.pseudo_likelihood(df.limit(0)).count() == 0
 
 
-def test_corpus_counts_cover_every_document(spark):
-    df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
-    lang, w = pseudo_lm.train(df.repartition(3))
-    bucket, at = pseudo_lm.tokens(*string_bytes(pa.array([r["text"] for r in df.collect()])))
-    want = pseudo_lm.language(np.bincount(bucket, minlength=pseudo_lm.BUCKETS))
-    assert np.array_equal(lang.of, want.of) and np.allclose(lang.inside, want.inside)
-    trained = pseudo_lm.log_probabilities(w, lang, bucket, at).mean()
-    assert trained > pseudo_lm.log_probabilities(pseudo_lm.start_weights(), lang, bucket, at).mean()
+def _plain_score(text, counts, total, net, pool):
+    """One document's sum, word by word."""
+    words = re.findall(r"[0-9A-Za-z\u0080-\U0010FFFF]+", text or "")
+    hashes = [int(_hash(w)) for w in words]
+    n = len(net.word)
+
+    def vector(table, h):
+        return table[h % n].astype(float) + table[(h >> 32) % n]
+    beyond = 2 * net.near[n].astype(float)
+    drawn = [vector(net.word, int(h)) for h in pool[:pseudo_lm.NORM]]
+    out = 0.0
+    for i, h in enumerate(hashes):
+        x = net.bias[0].astype(float)
+        for c, j in zip(net.place, (-2, -1, 1, 2)):
+            x = x + c * (vector(net.near, hashes[i + j]) if 0 <= i + j < len(hashes) else beyond)
+        x = np.tanh(x)
+        odds = counts[h] / total * math.exp(x @ vector(net.word, h)) / np.mean([math.exp(x @ d) for d in drawn])
+        out += math.log(odds / (1 + odds))
+    return len(words), out
+
+
+def _hash(word):
+    return pseudo_lm.tokens(*string_bytes(pa.array([word])))[0][0]
+
+
+def test_scores_equal_brute_force_whatever_words_are_frequent(spark, monkeypatch):
+    df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").repartition(3).checkpoint()
+    rows = df.collect()
+    every = Counter(int(h) for h in pseudo_lm.tokens(*string_bytes(pa.array([r["text"] for r in rows])))[0])
+    for frequent in (1 << 18, 300, 0):  # counts in the tasks, in both, in the joined table alone
+        monkeypatch.setattr(pseudo_lm, "FREQUENT", frequent)
+        kept = []
+        real = pseudo_lm.train
+        monkeypatch.setattr(pseudo_lm, "train", lambda *a: kept.append(real(*a)) or kept[-1])
+        got = {r["doc_id"]: r for r in pseudo_lm.pseudo_likelihood(df).collect()}
+        monkeypatch.setattr(pseudo_lm, "train", real)
+        counts, _, lang, net = kept[0]
+        assert len(lang.words) <= frequent and len(got) == len(rows)
+        assert {r["word"] % (1 << 64): r["n"] for r in counts.collect()} == every and lang.total == sum(every.values())
+        for r in rows[:40]:
+            n, want = _plain_score(r["text"], every, lang.total, net, lang.pool)
+            assert got[r["doc_id"]]["n_tokens"] == n and abs(got[r["doc_id"]]["log_likelihood"] - want) < 1e-3 * max(1, n)
+
+
+def test_vocabulary_grows_and_neighbours_count(spark):
+    """Words outside the sample have counts of their own, and a word is likelier where its neighbours foretell it."""
+    rng = random.Random(3)
+    rows = [(d, " ".join(f"a{k} b{k} c{k}" for k in (rng.randrange(30) for _ in range(200)))) for d in range(60)]
+    rows += [(100 + d, f"only{d} once{d}") for d in range(500)]
+    counts, _, lang, net = pseudo_lm.train(spark.createDataFrame(rows, "doc_id long, text string"), 50)
+    n = {r["word"] % (1 << 64): r["n"] for r in counts.collect()}
+    assert len(n) == 90 + 1000 and all(n[int(_hash(f"only{d}"))] == 1 for d in range(500))
+    words, at = pseudo_lm.tokens(*string_bytes(pa.array(["a1 b1 c1 a2 b2 c2", "a1 b2 c1 a2 b1 c2"])))
+    fit = pseudo_lm.fits(net, lang, words, at)
+    assert fit[1] > fit[7] + 1 and fit[4] > fit[10] + 1
+
+
+def test_language_model_of_odd_tables(spark, monkeypatch):
+    schema = "doc_id long, text string"
+    for rows in ([], [(1, None), (None, ""), (2, "!?")]):
+        got = pseudo_lm.pseudo_likelihood(spark.createDataFrame(rows, schema)).collect()
+        assert len(got) == len(rows) and all(r["n_tokens"] == 0 and r["log_likelihood"] == 0 for r in got)
+    # documents too large for the sample, and one document many times
+    monkeypatch.setattr(pseudo_lm, "WARM_BYTES", 4)
+    same = [(7, "one and the same text")] * 50 + [(None, "one and the same text")]
+    got = pseudo_lm.pseudo_likelihood(spark.createDataFrame(same, schema)).collect()
+    assert len(got) == 51 and max(r["log_likelihood"] for r in got) - min(r["log_likelihood"] for r in got) < 1e-6
 
 
 def test_contacts_and_numbers_of_any_length_are_whole(spark):
