@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from minutewise.operators.selection import first_by_text_order
 from minutewise.schema import COST_COLUMNS, TRACE_SCHEMA
 from minutewise.session import stored
 
@@ -201,8 +202,27 @@ def first_rows(df: DataFrame, n: int | None = None) -> DataFrame:
 
 
 def sample_rows(df: DataFrame, n: int, seed: int = 42) -> DataFrame:
-    """Exactly min(n, rows) rows chosen uniformly at random (seeded); a top-n, so a task keeps n rows at most."""
-    return df.orderBy(F.rand(seed)).limit(n)
+    """Exactly min(n, rows) rows chosen uniformly at random (seeded).
+
+    A Bernoulli sample that is large enough (six standard deviations above n) is stored once, and the n of its rows
+    that come first by a hash of their number stay. No task meets rows of the others.
+    """
+    total = df.count()
+    if n >= total:
+        return df
+    if n <= 0:
+        return df.limit(0)
+    number = "_number"
+    while number in {c.lower() for c in df.columns}:
+        number = f"_{number}"
+    for tries in range(64):
+        share = min(1.0, 2 ** tries * (n + 6 * (n ** 0.5 + 6)) / total)
+        drawn = df if share >= 1 else df.sample(fraction=share, seed=seed + tries)
+        rows = stored(drawn.withColumn(number, F.monotonically_increasing_id()), "row-sample")
+        if rows.count() >= n:
+            break
+    order = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(number).cast("string")))
+    return first_by_text_order(rows, n, order, F.col(number)).drop(number)
 
 
 def sample_fraction(df: DataFrame, fraction: float, seed: int = 42) -> DataFrame:

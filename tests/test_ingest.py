@@ -88,6 +88,18 @@ def test_sample_rows_exact(spark):
     df = spark.range(1000)
     assert ing.sample_rows(df, 37).count() == 37
     assert ing.sample_rows(df, 5000).count() == 1000
+    assert ing.sample_rows(df, 0).count() == 0 and ing.sample_rows(df.limit(0), 3).count() == 0
+
+
+def test_sample_rows_are_different_rows_drawn_evenly(spark):
+    df = spark.range(0, 20_000, 1, 7).selectExpr("id", "id % 2 AS _number")
+    got = ing.sample_rows(df, 4000, seed=5)
+    rows = got.collect()
+    assert got.columns == df.columns and len({r["id"] for r in rows}) == 4000
+    assert abs(sum(r["id"] for r in rows) / 4000 - 10_000) < 500 and abs(sum(r["_number"] for r in rows) - 2000) < 200
+    assert {r["id"] for r in rows} == {r["id"] for r in got.collect()}
+    assert {r["id"] for r in ing.sample_rows(df, 4000, seed=6).collect()} != {r["id"] for r in rows}
+    assert "TakeOrdered" not in got._jdf.queryExecution().toString()
 
 
 def test_uncommitted_batch_is_invisible_and_overwritten(spark):
