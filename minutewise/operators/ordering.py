@@ -53,3 +53,13 @@ def running_total(df: DataFrame, order: list[Column | str], value: str, name: st
     if rank_name:
         cols.append((F.col("_off_n") + F.col("_pos") + 1).alias(rank_name))
     return out.select(*cols)
+
+
+def running_totals(df: DataFrame, order: list[Column | str], totals: dict[str, str]) -> DataFrame:
+    """Add, for each new name of ``totals``, the inclusive running sum of the column that it stands for in the total
+    order: several sums from one sorted stage."""
+    staged = _sorted_stage(df, order)
+    offs = _partition_offsets(staged, {name: F.sum(c) for name, c in totals.items()})
+    local = Window.partitionBy("_pid").orderBy("_pos").rowsBetween(Window.unboundedPreceding, 0)
+    return staged.join(F.broadcast(offs), "_pid").select(
+        *df.columns, *[(F.col(f"_off_{name}") + F.sum(c).over(local)).alias(name) for name, c in totals.items()])

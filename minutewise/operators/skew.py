@@ -1,18 +1,23 @@
 """Workload skew and classification by funcName: categories, reuse, Lorenz/Gini, top shares,
 stability by median CV, rank–size series and histograms.
 
-Inputs are per-function tables (one row per function). Global orderings use the distributed
+Inputs are per-function tables (one row per function). Lorenz, Gini and top shares come from a stored table of
+values and how many functions have each, so functions are counted, never sorted; ranks by name use the distributed
 exact rank of ``ordering``, quantiles the counting passes of ``selection``; histogram bounds are one-row
 scalar subqueries.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from minutewise.operators.ordering import global_rank, running_total
+from minutewise.operators.ordering import global_rank, running_totals
 from minutewise.operators.selection import quantile_array
+from minutewise.session import stored
+
+#: Points of a Lorenz curve that one row is expanded to at a time, and rows of an output task.
+LORENZ_BLOCK, LORENZ_TASK = 1 << 16, 2_000_000
 
 
 def invocation_category(functions: DataFrame, rare_q: float = 0.20, hot_q: float = 0.80) -> DataFrame:
@@ -31,10 +36,10 @@ def category_counts(classified: DataFrame) -> DataFrame:
 
 
 def category_share(classified: DataFrame) -> DataFrame:
-    """Share of functions per category in percent."""
-    total = classified.select(F.count(F.lit(1))).scalar()
-    return classified.groupBy("category").agg(
-        (F.count(F.lit(1)) / total * 100.0).alias("pct"))
+    """Share of functions per category in percent, from one aggregate (its three rows are summed by a window)."""
+    counts = classified.groupBy("category").agg(F.count(F.lit(1)).alias("_n"))
+    total = F.sum("_n").over(Window.partitionBy(F.lit(0)))
+    return counts.select("category", (F.col("_n") / total * 100.0).alias("pct"))
 
 
 def reuse_ratios(functions: DataFrame) -> DataFrame:
@@ -53,62 +58,71 @@ def reuse_summary(ratios: DataFrame) -> DataFrame:
                       F.max("requests_per_user").alias("max_requests_per_user"))
 
 
-def lorenz_curve(functions: DataFrame, value: str = "invocations") -> DataFrame:
-    """(x, lorenz) with a leading (0, 0); x = i/n over ascending values.
-
-    Running shares of sorted values do not depend on how ties are ordered.
-    """
-    run = running_total(functions.select("funcName", value), [F.col(value), F.col("funcName")], value,
-                        "cum", "i")
-    totals = functions.agg(F.count(F.lit(1)).alias("n"), F.sum(value).alias("t"))
-    n = totals.select("n").scalar()
-    t = totals.select("t").scalar()
-    pts = run.select((F.col("i") / n).alias("x"), (F.col("cum") / t).alias("lorenz"))
-    origin = functions.sparkSession.range(1).select(F.lit(0.0).alias("x"), F.lit(0.0).alias("lorenz"))
-    return origin.unionByName(pts)
+def value_frequencies(functions: DataFrame, value: str = "invocations") -> DataFrame:
+    """value, n (functions that have it), total (value * n) and the running sums n_upto and total_upto over ascending
+    values, this one included. A NULL value counts as 0.
 
+    The counts are stored once, and ``functions`` is read once for them. They have one row per distinct value: with R
+    requests at most about sqrt(2 R) rows, however many functions there are."""
+    counts = functions.groupBy(F.coalesce(F.col(value), F.lit(0)).alias("value")).agg(F.count(F.lit(1)).alias("n"))
+    counts = stored(counts, "value-frequencies").withColumn("total", F.col("value") * F.col("n"))
+    return running_totals(counts, [F.col("value")], {"n_upto": "n", "total_upto": "total"})
 
-def gini(functions: DataFrame, value: str = "invocations") -> DataFrame:
-    """1 − 2·trapezoid(Lorenz) in closed form, 2Σ i·x_i /(nΣx) − (n+1)/n (x ascending)."""
-    ranked = global_rank(functions.select("funcName", value), [F.col(value), F.col("funcName")], "i")
-    agg = ranked.agg(F.count(F.lit(1)).alias("n"), F.sum(value).alias("t"),
-                     F.sum(F.col("i") * F.col(value)).alias("s"))
-    n, t, s = F.col("n").cast("double"), F.col("t").cast("double"), F.col("s").cast("double")
-    return agg.select((F.lit(2.0) * s / (n * t) - (n + 1) / n).alias("gini"))
 
+def lorenz_curve(functions: DataFrame, value: str = "invocations") -> DataFrame:
+    """(x, lorenz) with a leading (0, 0); x = i/n over ascending values. No functions: the leading point alone; all
+    values 0: NULL shares.
 
-def top_share(functions: DataFrame, shares=(0.01, 0.05, 0.10), value: str = "invocations") -> DataFrame:
-    """Percent of all requests in the top p of functions, k = int(max(1, n·p))."""
-    ranked = global_rank(functions.select("funcName", value), [F.desc(value), F.col("funcName")], "r")
-    n = functions.select(F.count(F.lit(1))).scalar()
-    cols = [F.sum(value).alias("_t")]
-    for p in shares:
-        k = F.greatest(F.lit(1.0), n * F.lit(p)).cast("long")
-        cols.append(F.sum(F.when(F.col("r") <= k, F.col(value)).otherwise(0)).alias(f"_top_{round(p * 100)}"))
-    agg = ranked.agg(*cols)
-    return agg.select(*[(F.col(f"_top_{round(p * 100)}") / F.col("_t") * 100.0).alias(f"top_{round(p * 100)}_pct")
-                        for p in shares])
+    Running shares of sorted values do not depend on how ties are ordered, so the points of a value follow from its
+    row of ``value_frequencies``. A value is expanded in blocks, dealt over as many tasks as the points need, so a value
+    that a third of the functions share is not one task's."""
+    origin = functions.sparkSession.range(1).select(F.lit(0.0).alias("x"), F.lit(0.0).alias("lorenz"))
+    freq = value_frequencies(functions, value)
+    n, t = freq.agg(F.sum("n"), F.sum("total")).first()
+    if not n:
+        return origin
+    # the number of tasks is given, as adaptive execution would go by the few bytes that come in
+    blocks = (freq.withColumn("_block", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(n - 1) div {LORENZ_BLOCK}"))))
+              .repartition(-(-n // LORENZ_TASK), "value", "_block"))
+    first = F.col("_block") * LORENZ_BLOCK
+    j = F.explode(F.sequence(first + 1, F.least(F.col("n"), first + LORENZ_BLOCK)))
+    pts = blocks.withColumn("_j", j).select(
+        ((F.col("n_upto") - F.col("n") + F.col("_j")) / F.lit(n)).alias("x"),
+        F.try_divide(F.col("total_upto") - F.col("total") + F.col("_j") * F.col("value"), F.lit(t)).alias("lorenz"))
+    return origin.unionByName(pts)
 
 
 def workload_skew(functions: DataFrame, shares=(0.01, 0.05, 0.10), value: str = "invocations") -> DataFrame:
-    """A14 + A15 from one ascending rank and one aggregate: gini and top-p shares.
-
-    The k largest values sum to the same total whichever tied rows are taken, so the top-k
-    share can use the ascending rank (i > n − k)."""
-    ranked = global_rank(functions.select("funcName", value), [F.col(value), F.col("funcName")], "i")
-    n = F.count(F.lit(1))
-    cols = [n.alias("n"), F.sum(value).alias("t"), F.sum(F.col("i") * F.col(value)).alias("s")]
-    total_n = functions.select(F.count(F.lit(1))).scalar()
+    """A14 + A15 from one table of value frequencies and one aggregate of it.
+
+    Gini is 1 − 2·trapezoid(Lorenz) in closed form, 2Σ i·x_i /(nΣx) − (n+1)/n (x ascending); the ranks i of a value's
+    functions are consecutive. The top k = int(max(1, n·p)) functions of a share p take the last k ranks."""
+    freq = value_frequencies(functions, value)
+    total_n = freq.select(F.sum("n")).scalar()
+    x, c, upto = F.col("value").cast("double"), F.col("n"), F.col("n_upto")
+    ranks = c.cast("double") * (upto - c) + c.cast("double") * (c + 1) / 2
+    cols = [F.sum("n").alias("n"), F.sum("total").alias("t"), F.sum(x * ranks).alias("s")]
     for p in shares:
         k = F.greatest(F.lit(1.0), total_n * F.lit(p)).cast("long")
-        cols.append(F.sum(F.when(F.col("i") > total_n - k, F.col(value)).otherwise(0)).alias(f"_top_{round(p * 100)}"))
-    agg = ranked.agg(*cols)
+        taken = F.greatest(F.lit(0), F.least(c, upto - (total_n - k)))
+        cols.append(F.sum(F.col("value") * taken).alias(f"_top_{round(p * 100)}"))
+    agg = freq.agg(*cols)
     nn, t, s_ = F.col("n").cast("double"), F.col("t").cast("double"), F.col("s").cast("double")
     return agg.select((F.lit(2.0) * s_ / (nn * t) - (nn + 1) / nn).alias("gini"),
                       *[(F.col(f"_top_{round(p * 100)}") / F.col("t") * 100.0).alias(f"top_{round(p * 100)}_pct")
                         for p in shares])
 
 
+def gini(functions: DataFrame, value: str = "invocations") -> DataFrame:
+    """A14."""
+    return workload_skew(functions, (), value)
+
+
+def top_share(functions: DataFrame, shares=(0.01, 0.05, 0.10), value: str = "invocations") -> DataFrame:
+    """Percent of all requests in the top p of functions."""
+    return workload_skew(functions, shares, value).drop("gini")
+
+
 def stability_by_median(variation: DataFrame) -> DataFrame:
     """Stable when cv ≤ median(cv) (NULLs skipped), else Noisy (a NULL cv is Noisy).
 
@@ -123,7 +137,9 @@ def stability_counts(classified: DataFrame) -> DataFrame:
 
 
 def rank_size(functions: DataFrame) -> DataFrame:
-    """Rank (1 = most invocations, ties by name) and invocations."""
+    """Rank (1 = most invocations, ties by name) and invocations.
+
+    ``functions`` is read twice (to find the cuts between tasks, then to sort): pass a stored table."""
     ranked = global_rank(functions.select("funcName", "invocations"),
                          [F.desc("invocations"), F.asc("funcName")], "rank")
     return ranked.select("rank", "funcName", "invocations")

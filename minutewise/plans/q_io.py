@@ -109,6 +109,25 @@ def q_import_totals_mixed(spark, sf):
     return ing.import_totals(ing.read_ledger(spark, f"{_ingest_mixed(spark, sf)}/ledger"))
 
 
+@register("compacted_ledger_totals", with_ctes(_MIXED_CTE, """files AS (
+  SELECT region, slot, bool_or(bad) AS bad, COUNT(*) AS n FROM mixed GROUP BY region, slot
+  UNION ALL SELECT 'R0', 0, false, 0)""", select="""
+SELECT CASE WHEN bad THEN 'FAILED' ELSE 'SUCCESS' END AS status, CAST(COUNT(*) AS BIGINT) AS files,
+       CAST(SUM(CASE WHEN bad THEN 0 ELSE n END) AS BIGINT) AS rows,
+       CAST(SUM(CASE WHEN bad THEN 0 ELSE n END) AS BIGINT) AS visible_rows FROM files GROUP BY 1"""))
+def q_compacted_ledger_totals(spark, sf):
+    """The ledger is compacted, the failed files are tried again (and fail again), and it is compacted once more;
+    visible_rows are the table's rows from files of the status."""
+    base = _ingest_mixed(spark, sf)
+    ing.compact_ledger(spark, f"{base}/ledger")
+    ing.ingest(spark, f"{base}/csv", f"{base}/requests", f"{base}/ledger", files_per_batch=40)
+    ing.compact_ledger(spark, f"{base}/ledger")
+    ledger = ing.latest_ledger(ing.read_ledger(spark, f"{base}/ledger"))
+    rows = ing.read_table(spark, f"{base}/requests", f"{base}/ledger").groupBy("csv_file").agg(F.count(F.lit(1)).alias("n"))
+    return ledger.join(rows, "csv_file", "left").groupBy("status").agg(
+        F.count(F.lit(1)).alias("files"), F.sum("row_count").alias("rows"), F.sum(F.coalesce("n", F.lit(0))).alias("visible_rows"))
+
+
 @register("ingest_by_header_name", with_ctes(_MIXED_CTE, select=f"""
 SELECT region, clusterName, CAST(COUNT(*) AS BIGINT) AS n_rows, CAST(COUNT(DISTINCT funcName) AS BIGINT) AS n_functions,
        {r('SUM(cpu_usage)')} AS cpu, {r('SUM(memory_usage)')} AS memory, {r('SUM(requestBodySize)')} AS size,

@@ -6,10 +6,10 @@ from pyspark.sql import functions as F
 
 from minutewise.functions.numeric import round_doubles
 from minutewise.operators import profile as prof
-from minutewise.operators import skew
+from minutewise.operators import sketches, skew
 from minutewise.plans.oracle_sql import r, with_ctes
 from minutewise.plans.registry import register
-from minutewise.session import materialize
+from minutewise.session import materialize, stored
 from minutewise.sources.fixture import trace
 
 FUNCS_CTE = """funcs AS (
@@ -240,7 +240,7 @@ def q_stability_median_counts(spark, sf):
           "SELECT CAST(ROW_NUMBER() OVER (ORDER BY invocations DESC, funcName) AS BIGINT) AS rank, funcName, invocations "
           "FROM funcs"))
 def q_rank_size(spark, sf):
-    return skew.rank_size(_funcs(spark, sf))
+    return skew.rank_size(materialize(_funcs(spark, sf)))
 
 
 @register("histogram_requests_per_pod", with_ctes(FUNCS_CTE, _hist_sql(
@@ -283,3 +283,18 @@ def q_first_rows_count(spark, sf):
     t = trace(spark, sf)
     return first_rows(t, 700).agg(F.count(F.lit(1)).alias("n_first")).crossJoin(
         first_rows(t).agg(F.count(F.lit(1)).alias("n_all")))
+
+
+@register("sketched_function_statistics", with_ctes(FUNCS_CTE, select=
+          "SELECT funcName, invocations, true AS pods_close, true AS users_close FROM funcs"))
+def q_sketched_function_statistics(spark, sf):
+    """A4 from stored minute sketches: requests are exact, distinct pods and users within 6 standard errors of the exact counts."""
+    t = trace(spark, sf)
+    kept = stored(sketches.entity_sketches(t), "entity-sketches")
+    hourly = sketches.merge_sketches(kept, F.floor(F.col("minute") / 60).alias("hour"), "funcName")  # two steps, as of a store
+    rolled = sketches.estimated_entities(hourly, "funcName")
+    exact = prof.function_statistics(t).select("funcName", F.col("pods").alias("exact_pods"), F.col("users").alias("exact_users"))
+    close = lambda c: F.abs(F.col(c) - F.col(f"exact_{c}")) <= 6 * 1.04 / 2 ** (sketches.LG_K / 2) * F.col(f"exact_{c}")
+    both = rolled.join(exact, rolled["funcName"].eqNullSafe(exact["funcName"]))
+    return both.select(rolled["funcName"], F.col("requests").alias("invocations"), close("pods").alias("pods_close"),
+                       close("users").alias("users_close"))

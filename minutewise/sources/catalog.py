@@ -28,7 +28,7 @@ def replace_table(df: DataFrame, path: str, partition_by: list[str] | None = ("r
     w.parquet(path)
 
 
-def _versions(spark: SparkSession, path: str) -> list[str]:
+def committed_versions(spark: SparkSession, path: str) -> list[str]:
     """Names of the committed versions below ``path``, oldest first."""
     root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -47,7 +47,7 @@ def publish_table(df: DataFrame, path: str, partition_by: list[str] | None = ("r
     before; a query that is running keeps its files until ``drop_old_versions``. So ``df`` may read the table itself.
     """
     spark, path = df.sparkSession, path.rstrip("/")
-    last = _versions(spark, path)
+    last = committed_versions(spark, path)
     number = int(last[-1].split("-")[1]) + 1 if last else 1
     new = f"{path}/version-{number:010d}-{uuid.uuid4().hex}"
     # the marker of a half-written partitioned write must not count: it is written by the job's commit alone
@@ -61,7 +61,7 @@ def publish_table(df: DataFrame, path: str, partition_by: list[str] | None = ("r
 def current_table(spark: SparkSession, path: str) -> DataFrame:
     """The newest committed version of a published table."""
     path = path.rstrip("/")
-    versions = _versions(spark, path)
+    versions = committed_versions(spark, path)
     if not versions:
         raise FileNotFoundError(f"no version of {path} is committed")
     return spark.read.parquet(f"{path}/{versions[-1]}")
@@ -73,7 +73,7 @@ def drop_old_versions(spark: SparkSession, path: str, keep: int = 2) -> int:
     path = path.rstrip("/")
     if keep < 1:
         raise ValueError("the current version has to stay")
-    old = _versions(spark, path)[:-keep]
+    old = committed_versions(spark, path)[:-keep]
     for name in old:
         p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/{name}")
         p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)

@@ -15,6 +15,9 @@ Commit protocol: a batch's rows are written under ``ingest_batch=<md5 of its fil
 directory per batch) with dynamic partition overwrite, then its ledger rows are appended.
 ``read_table`` returns only rows of batches the ledger records, so a job that dies between the two
 writes leaves no visible rows, and the retry of the same files overwrites the orphaned partition.
+
+The ledger is a log, with a few small files for each batch. ``compact_ledger`` replaces the log so far by a snapshot
+with the latest row of each file; ``read_ledger`` is the snapshot and the log since.
 """
 
 from __future__ import annotations
@@ -31,6 +34,7 @@ from pyspark.sql import types as T
 from minutewise.operators.selection import first_by_text_order
 from minutewise.schema import COST_COLUMNS, TRACE_SCHEMA
 from minutewise.session import stored
+from minutewise.sources.catalog import committed_versions, current_table, drop_old_versions, publish_table
 
 CORRUPT = "_corrupt_record"
 # Fixed value: region = text before the first '_' of the directory two levels above the file
@@ -112,8 +116,35 @@ def _parquet_or_none(spark: SparkSession, path: str, schema: T.StructType) -> Da
         return spark.createDataFrame([], schema)
 
 
+def _snapshot(ledger_path: str) -> str:
+    return f"{ledger_path.rstrip('/')}/_latest"  # readers of the log pass over names that begin with _
+
+
 def read_ledger(spark: SparkSession, ledger_path: str) -> DataFrame:
-    return _parquet_or_none(spark, ledger_path, LEDGER_SCHEMA)
+    """The newest snapshot, if there is one, and the log since; a row that is in both counts once."""
+    log = _parquet_or_none(spark, ledger_path, LEDGER_SCHEMA)
+    if not committed_versions(spark, _snapshot(ledger_path)):
+        return log
+    return current_table(spark, _snapshot(ledger_path)).select(*log.columns).unionByName(log).distinct()
+
+
+def compact_ledger(spark: SparkSession, ledger_path: str) -> int:
+    """Publish the latest row of each file as a snapshot and delete the log files that it covers; returns how many.
+
+    Files of the log are listed before the snapshot is written, so a row that is appended meanwhile stays in the log. A
+    job that dies between the two steps leaves rows in both, which read as one. Batches whose files were all tried again
+    have no rows in the table and may go from the ledger. The snapshot before is kept for running queries; a query
+    that has listed the log but not read it yet has to be run again. Nothing to compact: nothing changes."""
+    covered = _parquet_or_none(spark, ledger_path, LEDGER_SCHEMA).inputFiles()
+    if not covered:
+        return 0
+    publish_table(latest_ledger(read_ledger(spark, ledger_path)), _snapshot(ledger_path), partition_by=None)
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    for name in covered:
+        p = hadoop.Path(spark.sparkContext._jvm.java.net.URI(name))
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, False)
+    drop_old_versions(spark, _snapshot(ledger_path))
+    return len(covered)
 
 
 def load_files(spark: SparkSession, files: list[tuple[str, str | None]], imported_at: datetime, batch_key: str) -> tuple[DataFrame, DataFrame, DataFrame]:

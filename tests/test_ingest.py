@@ -115,3 +115,33 @@ def test_uncommitted_batch_is_invisible_and_overwritten(spark):
     ing.ingest(spark, root, f"{out}/t", f"{out}/l")  # retry of the same files
     assert spark.read.parquet(f"{out}/t").count() == 3  # orphaned partition overwritten, no duplicates
     assert ing.read_table(spark, f"{out}/t", f"{out}/l").count() == 3
+
+
+def test_compacted_ledger_keeps_what_is_read(spark):
+    root, out = _tree(), tempfile.mkdtemp(prefix="mw-out-", dir="/tmp")
+    assert ing.compact_ledger(spark, f"{out}/l") == 0  # nothing was written yet
+    ing.ingest(spark, root, f"{out}/t", f"{out}/l")
+    ing.ingest(spark, root, f"{out}/t", f"{out}/l")  # failed files once more
+    look = lambda: ({os.path.basename(r.csv_file): (r.status, r.row_count) for r in ing.latest_ledger(ing.read_ledger(spark, f"{out}/l")).collect()},
+                    ing.read_table(spark, f"{out}/t", f"{out}/l").count(),
+                    {r.status: (r.files, r.rows) for r in ing.import_totals(ing.read_ledger(spark, f"{out}/l")).collect()})
+    before = look()
+    assert ing.read_ledger(spark, f"{out}/l").count() == 6
+    assert ing.compact_ledger(spark, f"{out}/l") > 0
+    assert look() == before and ing.read_ledger(spark, f"{out}/l").count() == 4
+    assert ing.compact_ledger(spark, f"{out}/l") == 0 and look() == before
+    # a file that is mended later loads, and the log since counts beside the snapshot
+    _write(root, {"R2_west/day1/b.csv": HEADER + "2592000.5,,c1,f2,p1,u1,0.1,10,0.01,5\n"})
+    again = {os.path.basename(r.csv_file): r.status for r in ing.ingest(spark, root, f"{out}/t", f"{out}/l").collect()}
+    assert again == {"b.csv": "SUCCESS", "c.csv": "FAILED"}
+    assert look()[1] == 4 and look()[0]["b.csv"] == ("SUCCESS", 1)
+    assert ing.compact_ledger(spark, f"{out}/l") > 0 and look()[1] == 4
+
+
+def test_compaction_that_dies_before_the_log_goes(spark):
+    from minutewise.sources.catalog import publish_table
+    root, out = _tree(), tempfile.mkdtemp(prefix="mw-out-", dir="/tmp")
+    ing.ingest(spark, root, f"{out}/t", f"{out}/l")
+    publish_table(ing.latest_ledger(ing.read_ledger(spark, f"{out}/l")), ing._snapshot(f"{out}/l"), partition_by=None)
+    assert ing.read_ledger(spark, f"{out}/l").count() == 4  # rows of log and snapshot count once
+    assert {r.status: r.files for r in ing.import_totals(ing.read_ledger(spark, f"{out}/l")).collect()} == {"SUCCESS": 2, "FAILED": 2}

@@ -43,3 +43,52 @@ def test_stability_by_median_null_cv_is_noisy(spark):
     df = spark.createDataFrame([("a", 0.5), ("b", 1.0), ("c", None)], "funcName string, cv double")
     got = {r.funcName: r.stability for r in skew.stability_by_median(df).collect()}
     assert got == {"a": "Stable", "b": "Noisy", "c": "Noisy"}
+
+
+def test_skew_from_value_frequencies_equals_the_sorted_form(spark, monkeypatch):
+    values = [1] * 30 + [2, 2, 7, 7, 7, 90, 0, None]
+    monkeypatch.setattr(skew, "LORENZ_BLOCK", 8)  # a value's functions are expanded in several blocks
+    monkeypatch.setattr(skew, "LORENZ_TASK", 10)
+    xs = sorted(v or 0 for v in values)
+    n, t = len(xs), sum(xs)
+    pts = sorted((r.x, r.lorenz) for r in skew.lorenz_curve(_funcs(spark, values)).collect())
+    want = [(0.0, 0.0)] + [((i + 1) / n, sum(xs[:i + 1]) / t) for i in range(n)]
+    assert len(pts) == n + 1 and all(abs(a - c) < 1e-12 and abs(b - d) < 1e-12 for (a, b), (c, d) in zip(pts, want))
+    got = skew.workload_skew(_funcs(spark, values)).first()
+    assert abs(got.gini - (2 * sum((i + 1) * x for i, x in enumerate(xs)) / (n * t) - (n + 1) / n)) < 1e-12
+    for p in (1, 5, 10):
+        k = int(max(1, n * p / 100))
+        assert abs(got[f"top_{p}_pct"] - sum(xs[-k:]) / t * 100) < 1e-9
+
+
+def test_skew_of_no_functions_and_of_zeros(spark):
+    assert [(r.x, r.lorenz) for r in skew.lorenz_curve(_funcs(spark, [1]).limit(0)).collect()] == [(0.0, 0.0)]
+    zeros = skew.lorenz_curve(_funcs(spark, [0, 0])).orderBy("x").collect()
+    assert [(r.x, r.lorenz) for r in zeros] == [(0.0, 0.0), (0.5, None), (1.0, None)]
+
+
+def test_category_share_of_one_aggregate(spark):
+    df = spark.createDataFrame([("Hot",), ("Rare",), ("Rare",), ("Normal",)], "category string")
+    out = skew.category_share(df)
+    assert {r.category: r.pct for r in out.collect()} == {"Hot": 25.0, "Rare": 50.0, "Normal": 25.0}
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") == 1
+
+
+def test_sketches_roll_up_within_their_error(spark):
+    from minutewise.operators import sketches
+    t = spark.range(60_000).select(
+        (F.col("id") % 7200).cast("double").alias("time_worker"), F.lit("R1").alias("region"),
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("f"), F.col("id") % 5)).alias("funcName"),
+        F.when(F.col("id") % 11 != 0, F.concat(F.lit("p"), F.col("id") % 40_000)).alias("podID"), F.lit(None).cast("string").alias("userID"))
+    fine = sketches.entity_sketches(t).checkpoint()
+    hourly = sketches.merge_sketches(fine, F.floor(F.col("minute") / 60).alias("hour"), "funcName")
+    exact = {r.funcName: r for r in t.groupBy("funcName").agg(F.count("*").alias("n"), F.countDistinct("podID").alias("pods")).collect()}
+    for rolled in (sketches.estimated_entities(fine, "funcName"), sketches.estimated_entities(hourly, "funcName")):
+        got = {r.funcName: r for r in rolled.collect()}
+        assert got.keys() == exact.keys()
+        for f, r in got.items():
+            assert r.requests == exact[f].n and r.users == 0
+            assert abs(r.pods - exact[f].pods) <= 6 * 1.04 / 2 ** 7 * exact[f].pods
+    assert sketches.entity_sketches(t.limit(0)).count() == 0
+    whole = sketches.estimated_entities(hourly).first()
+    assert whole.requests == 60_000 and abs(whole.pods - t.select("podID").distinct().where("podID IS NOT NULL").count()) <= 0.05 * whole.pods
