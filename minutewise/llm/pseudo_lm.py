@@ -12,13 +12,14 @@ tokens, stand for the vocabulary in the mean.
 
 A word's vector is the sum of two rows of a table, chosen by different bits of its hash. The table has as many rows as
 the vocabulary has words, up to ``ROWS``; beyond that words share rows, but rarely both. It is trained by a softmax
-over the word and words drawn at random, on every document: each task goes over its own documents, from common weights
-that a bounded sample has set (about ``WARM`` documents by a hash, ``WARM_BYTES`` at most), and each row is averaged
-over the tasks by the number of tokens that moved it.
+over the word and words drawn at random, on every document, in two rounds: each task goes over its own documents, from
+common weights, and each row is then averaged over the tasks by the number of tokens that moved it. The first round
+takes one document of ``FIRST``, by a hash, in tasks of about ``WARM`` documents and ``WARM_BYTES``; the second, from
+its weights, takes all others. Up to ``WARM`` documents are gone over in both rounds.
 
-The counts of at most ``FREQUENT`` words, the most frequent ones, are sent to the tasks; counts of the other words stay
-a table, and the tokens that need them are joined to it. The driver gets those counts, the weights (both bounded), a
-histogram of counts and the ids of the sample.
+Words are drawn by the counts of the whole vocabulary. The counts of at most ``FREQUENT`` words, the most frequent ones,
+are sent to the tasks; counts of the other words stay a table, and the tokens that need them are joined to it. The driver
+gets those counts, the drawn words, the weights (all bounded) and a histogram of counts.
 
 Defined cases: a null or empty text has no tokens, the sum 0 and no mean; beyond the ends of a text the network sees
 a vector of its own; repeated rows each count and each get a row; rows without an id are scored alike; an empty table
@@ -31,12 +32,11 @@ from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from minutewise.llm.common import id_and_text, store, text_passes, text_runs
+from minutewise.llm.common import id_and_text, store, text_passes
 from minutewise.llm.wordhash import ALNUM, word_hashes
 
 SIDE = 2
@@ -47,8 +47,9 @@ ROWS = 1 << 15
 FREQUENT = 1 << 18
 #: Distinct words that a task counts before it hands them on.
 COUNTED = 1 << 20
-WARM, WARM_BYTES = 2000, 16 << 20
-#: Words drawn from the sample's tokens, for a training step and for the mean of a score.
+#: The first round takes a document of so many, and its tasks about so many documents and bytes.
+FIRST, WARM, WARM_BYTES = 8, 2000, 16 << 20
+#: Words drawn from all tokens (about so many), for a training step and for the mean of a score.
 POOL, NOISE, NORM = 1 << 15, 32, 128
 BATCH = 4096
 RATE = 0.1
@@ -252,56 +253,19 @@ def count_words(docs: DataFrame) -> tuple[DataFrame, int, int, int]:
     return counts, sum(r["words"] for r in sizes), sum(r["n"] for r in sizes), least
 
 
-def _warm_texts(docs: DataFrame, warm: int) -> DataFrame:
-    """(h, text) of about ``warm`` different documents by a hash of id and text, ``WARM_BYTES`` at most."""
-    h = F.xxhash64("doc_id", "text")
-    share = min(1.0, warm / max(1, docs.count()))
-    chosen = h <= F.lit(min((1 << 63) - 1, int(share * (1 << 64)) - (1 << 63)))
-    rows = docs.where(chosen).select(h.alias("h"), F.octet_length("text").alias("size")).distinct().collect()
-    taken, size = [], 0
-    for r in sorted(rows):
-        if size + r["size"] <= WARM_BYTES:
-            taken.append(r["h"])
-            size += r["size"]
-    return docs.select(h.alias("h"), "text").where(F.col("h").isin(taken)).dropDuplicates(["h"])
+def draw_words(counts: DataFrame, total: int) -> np.ndarray:
+    """About ``POOL`` words drawn by their counts: each its expected number of times, rounded by a hash of the word."""
+    point = F.pmod(F.xxhash64("word", F.lit(SEED)), F.lit(1 << 40)) / F.lit(float(1 << 40))
+    times = F.floor(F.col("n") * F.lit(POOL / total) + point)
+    got = counts.select("word", times.alias("times")).where("times > 0").toArrow()
+    words, times = (got.column(k).to_numpy() for k in range(2))
+    order = np.argsort(words)
+    return np.random.default_rng(SEED).permutation(np.repeat(words[order], times[order])).view(np.uint64)
 
 
-def train(docs: DataFrame, warm: int = WARM) -> tuple[DataFrame, int, Language, Network]:
-    """Counts of all words, the smallest frequent size class, and the model, from all rows of (doc_id, text)."""
-    context = docs.sparkSession.sparkContext
-    counts, n_words, total, least = count_words(docs)
-    top = counts.where(_size(F.col("n")) >= least).toArrow()
-    words, n = (top.column(k).to_numpy() for k in range(2))
-    order = np.argsort(words.view(np.uint64))
-    n_rows = min(ROWS, 1 << max(6, (max(1, n_words) - 1).bit_length()))
-    start = start_network(n_rows)
-
-    def first(pdf: pd.DataFrame) -> pd.DataFrame:
-        texts = list(pdf.sort_values("h", kind="stable")["text"])
-        parts = [tokens(*run) for run in text_runs(texts)]
-        every = np.concatenate([w for w, _ in parts])
-        if not len(every):
-            return pd.DataFrame({"net": [], "pool": []})
-        pool = np.random.default_rng(SEED).choice(every, POOL)
-        t = Trainer(start, pool)
-        for part in parts:
-            t.run(*part)
-        return pd.DataFrame({"net": [np.concatenate(t.net).tobytes()], "pool": [pool.tobytes()]})
-
-    got = _warm_texts(docs, warm).groupBy(F.lit(0).alias("_all")).applyInPandas(first, "net binary, pool binary").collect()
-    if got:
-        pool = np.frombuffer(got[0]["pool"], np.uint64)
-        flat = np.frombuffer(got[0]["net"], np.float32).reshape(-1, HIDDEN)
-    else:  # no words, or none in documents that the sample may hold
-        flat = np.concatenate(start)
-        few = words if len(words) else counts.select("word").limit(POOL).toArrow().column(0).to_numpy()
-        pool = np.random.default_rng(SEED).choice(few, POOL).view(np.uint64) if len(few) else few.view(np.uint64)
-    lang = Language(words[order].view(np.uint64), n[order], total, pool)
-    ends = np.cumsum([len(x) for x in start])
-    common = Network(*[x.copy() for x in np.split(flat, ends[:-1])])
-    if not total:
-        return counts, least, lang, common
-    held = context.broadcast((common, lang.pool))
+def train_round(docs: DataFrame, common: Network, pool: np.ndarray) -> Network:
+    """Each task's weights after its own documents, from ``common``, averaged row by row by the tokens that moved it."""
+    held = docs.sparkSession.sparkContext.broadcast((common, pool))
 
     def share(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = Trainer(*held.value)
@@ -319,7 +283,33 @@ def train(docs: DataFrame, warm: int = WARM) -> tuple[DataFrame, int, Language,
             .agg(*[(F.sum(c) / F.sum("n")).alias(c) for c in _KEPT]).toArrow())
     net = np.concatenate(common)
     net[mean.column("row").to_numpy()] = np.stack([mean.column(c).to_numpy() for c in _KEPT], axis=1)
-    return counts, least, lang, Network(*np.split(net, ends[:-1]))
+    return Network(*np.split(net, np.cumsum([len(x) for x in common])[:-1]))
+
+
+def rounds(docs: DataFrame, warm: int = WARM) -> list[DataFrame]:
+    """The documents of each round of training: all of them together, each in one round (in both if they are ``warm`` at
+    most). The first round's tasks take their documents in the order of a hash."""
+    n, size = docs.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    part = min(1.0, max(1 / FIRST, warm / max(1, n)))
+    h = F.xxhash64("doc_id", "text")
+    early = F.lit(True) if part == 1 else h < F.lit(int(part * (1 << 64)) - (1 << 63))
+    tasks = int(max(1, np.ceil(n * part / warm), np.ceil(size * part / WARM_BYTES)))
+    first = docs.where(early).select(h.alias("h"), "text").repartition(tasks, "h").sortWithinPartitions("h", "text")
+    return [first.select("text"), docs if part == 1 else docs.where(~early)]
+
+
+def train(docs: DataFrame, warm: int = WARM) -> tuple[DataFrame, int, Language, Network]:
+    """Counts of all words, the smallest frequent size class, and the model, from all rows of (doc_id, text)."""
+    counts, n_words, total, least = count_words(docs)
+    top = counts.where(_size(F.col("n")) >= least).toArrow()
+    words, n = (top.column(k).to_numpy() for k in range(2))
+    order = np.argsort(words.view(np.uint64))
+    pool = draw_words(counts, total) if total else np.zeros(0, np.uint64)
+    lang = Language(words[order].view(np.uint64), n[order], total, pool)
+    net = start_network(min(ROWS, 1 << max(6, (max(1, n_words) - 1).bit_length())))
+    for part in rounds(docs, warm) if total else ():
+        net = train_round(part, net, pool)
+    return counts, least, lang, net
 
 
 def log_probabilities(fit: np.ndarray, n: np.ndarray, total: int) -> np.ndarray:

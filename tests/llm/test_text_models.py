@@ -441,6 +441,17 @@ def test_vocabulary_grows_and_neighbours_count(spark):
     assert fit[1] > fit[7] + 1 and fit[4] > fit[10] + 1
 
 
+def test_language_model_comes_from_all_documents(spark):
+    """Rounds hold every document, however many; drawn words follow the counts of all."""
+    df = spark.createDataFrame([(d, f"word{d}") for d in range(3000)], "doc_id long, text string")
+    first, second = ([r["text"] for r in x.select("text").collect()] for x in pseudo_lm.rounds(df, 100))
+    assert sorted(first + second) == sorted(f"word{d}" for d in range(3000)) and 250 < len(first) < 500
+    counts = spark.createDataFrame([(d, 1 if d else 5000) for d in range(5001)], "word long, n long")
+    pool = pseudo_lm.draw_words(counts, 10000)
+    assert abs(len(pool) - pseudo_lm.POOL) < 300 and len(set(pool.tolist())) == 5001
+    assert abs((pool == 0).mean() - 0.5) < 0.01
+
+
 def test_language_model_of_odd_tables(spark, monkeypatch):
     schema = "doc_id long, text string"
     for rows in ([], [(1, None), (None, ""), (2, "!?")]):
