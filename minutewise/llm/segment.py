@@ -408,7 +408,7 @@ def _digests(doc: np.ndarray, piece: np.ndarray, n: int) -> np.ndarray:
 
 
 def _rows(batch: pa.RecordBatch, raw: np.ndarray, offs: np.ndarray, v: Vocabulary, k: int, key_at: int):
-    """(number of tokens, log p, inclusion, digest, round trip, draws) of the documents of a pass."""
+    """(whether there, number of tokens, log p, inclusion, digest, round trip, pieces) of the documents of a pass."""
     raw, offs = _spaced(raw, offs)
     keys = batch.column(key_at).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
     drawn, bound = draw(raw, offs, keys, v, k)
@@ -420,17 +420,24 @@ def _rows(batch: pa.RecordBatch, raw: np.ndarray, offs: np.ndarray, v: Vocabular
         inclusion = -np.expm1(-np.exp(logp - bound[:, None]))
     digest = np.stack([_digests(d.doc, d.piece, n) for d in drawn], axis=1)
     same = np.ones(n, bool)
+    want = np.diff(offs)
     for d in drawn:
         text = decode(d.piece, v)
         size = np.bincount(d.doc, (v.at[1:] - v.at[:-1])[d.piece], n).astype(np.int64)
-        want = np.diff(offs)
-        ok = (size == want) | ~d.there
-        whole = slice(None) if d.there.all() else np.repeat(d.there, want)
-        if ok.all() and not np.array_equal(text, raw[whole]):
-            other = np.repeat(np.arange(n), want)[whole][text != raw[whole]]
-            ok[other] = False
-        same &= ok
-    return there, count, logp, inclusion, digest, same, drawn
+        ok = d.there & (size == want)
+        # all documents of the right size are compared, whatever the others are
+        mine, given = (text, raw) if ok.all() else (text[np.repeat(ok, size)], raw[np.repeat(ok, want)])
+        if not np.array_equal(mine, given):
+            ok[np.repeat(np.flatnonzero(ok), want[ok])[mine != given]] = False
+        same &= ok | ~d.there
+    # the pieces of all draws of a document one after another
+    ends = np.cumsum(count.ravel())
+    at = (ends - count.ravel()).reshape(count.shape)
+    pieces = np.empty(ends[-1] if len(ends) else 0, np.int32)
+    for r, d in enumerate(drawn):
+        before = np.cumsum(count[:, r]) - count[:, r]
+        pieces[np.repeat(at[:, r] - before, count[:, r]) + np.arange(len(d.piece))] = d.piece
+    return there, count, logp, inclusion, digest, same, pieces
 
 
 def _ragged(values: np.ndarray, there: np.ndarray, kind: pa.DataType) -> pa.Array:
@@ -438,22 +445,31 @@ def _ragged(values: np.ndarray, there: np.ndarray, kind: pa.DataType) -> pa.Arra
     return pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(values[there], kind))
 
 
+def _piece_lists(pieces: np.ndarray, count: np.ndarray, there: np.ndarray) -> pa.Array:
+    """The pieces of each draw that there is (a draw that is not has none)."""
+    ends = np.concatenate([[0], np.cumsum(count[there])])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(pieces))
+
+
 def segmentations(docs: DataFrame, k: int = SAMPLES, model_file: str = MODEL, id_col: str = "doc_id",
                   text_col: str = "text") -> DataFrame:
-    """doc_id, n_tokens, logp, inclusion, digest (arrays over the draws) and round_trip: one row per row of ``docs``."""
+    """doc_id, n_tokens, logp, inclusion, digest (arrays over the draws), round_trip and pieces, the segmentations
+    themselves (an array of piece ids for each draw): one row per row of ``docs``."""
     held = docs.sparkSession.sparkContext.broadcast(load_vocabulary(model_file))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, raw, offs in text_passes(batches, limit=PASS_BYTES):
-            there, count, logp, inclusion, digest, same, _ = _rows(batch, raw, offs, held.value, k, 0)
+            there, count, logp, inclusion, digest, same, pieces = _rows(batch, raw, offs, held.value, k, 0)
+            lists = np.concatenate([[0], np.cumsum(there.sum(axis=1))])
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), _ragged(count, there, pa.int64()), _ragged(logp, there, pa.float64()),
-                 _ragged(inclusion, there, pa.float64()), _ragged(digest, there, pa.int64()), pa.array(same)],
-                names=["doc_id", "n_tokens", "logp", "inclusion", "digest", "round_trip"])
+                 _ragged(inclusion, there, pa.float64()), _ragged(digest, there, pa.int64()), pa.array(same),
+                 pa.ListArray.from_arrays(pa.array(lists, pa.int32()), _piece_lists(pieces, count, there))],
+                names=["doc_id", "n_tokens", "logp", "inclusion", "digest", "round_trip", "pieces"])
 
     return id_and_text(docs, id_col, text_col).mapInArrow(
         run, "doc_id long, n_tokens array<long>, logp array<double>, inclusion array<double>, digest array<long>, "
-             "round_trip boolean")
+             "round_trip boolean, pieces array<array<int>>")
 
 
 def with_tokens(docs: DataFrame, k: int = SAMPLES, model_file: str = MODEL, id_col: str = "doc_id", text_col: str = "text",
@@ -468,18 +484,8 @@ def with_tokens(docs: DataFrame, k: int = SAMPLES, model_file: str = MODEL, id_c
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, raw, offs in text_passes(batches, text_col, PASS_BYTES):
-            there, _, logp, inclusion, _, _, drawn = _rows(batch, raw, offs, held.value, k, key_at)
-            n = batch.num_rows
-            # all draws of a document one after another
-            doc = np.concatenate([d.doc for d in drawn])
-            number = np.repeat(np.arange(len(drawn)), [len(d.doc) for d in drawn])
-            order = np.lexsort((number, doc))
-            piece = np.concatenate([d.piece for d in drawn])[order]
-            sizes = np.zeros((n, len(drawn)), np.int64)
-            np.add.at(sizes, (doc, number), 1)
-            ends = np.concatenate([[0], np.cumsum(sizes[there])])
-            pieces = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(piece, pa.int32()))
-            inner = pa.StructArray.from_arrays([pieces, pa.array(logp[there]), pa.array(inclusion[there])],
+            there, count, logp, inclusion, _, _, pieces = _rows(batch, raw, offs, held.value, k, key_at)
+            inner = pa.StructArray.from_arrays([_piece_lists(pieces, count, there), pa.array(logp[there]), pa.array(inclusion[there])],
                                                names=["pieces", "logp", "inclusion"])
             rows = np.concatenate([[0], np.cumsum(there.sum(axis=1))])
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.ListArray.from_arrays(pa.array(rows, pa.int32()), inner)],

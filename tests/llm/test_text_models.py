@@ -335,6 +335,14 @@ def test_draws_are_distinct_and_seeded_by_row(spark):
     assert segment.segmentations(df.limit(0)).count() == 0
 
 
+def test_segmentations_hold_their_pieces(spark):
+    texts = {1: "Some words, and more of them", 2: "", 3: None, 4: "a"}
+    v = segment.load_vocabulary()
+    for r in segment.segmentations(spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(1)).collect():
+        assert [len(x) for x in r["pieces"]] == r["n_tokens"] and len({tuple(x) for x in r["pieces"]}) == len(r["digest"])
+        assert all(segment.decode_text(x, v) == (texts[r["doc_id"]] or "") for x in r["pieces"])
+
+
 # ---- 9: language model
 
 
