@@ -50,6 +50,22 @@ def test_toxicity_learns_words_and_stems_from_open_rows_only(spark):
     assert all(toxicity.LEAST_CUT <= x <= toxicity.MOST_CUT for x in model.thresholds.values())
 
 
+def test_toxicity_learns_from_all_labelled_rows(spark, monkeypatch):
+    """Several tasks, each with rows of its own: buckets of all rows have embeddings, and the mean of the tasks is right."""
+    rows = _toxic_corpus(random.Random(2), 3000)
+    docs = spark.createDataFrame([(d, t, la) for d, t, la, _ in rows], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(d, y) for d, _, _, y in rows], "doc_id long, toxic int")
+    monkeypatch.setattr(toxicity, "SHARE", 600)
+    taken = []
+    real = toxicity._train_round
+    monkeypatch.setattr(toxicity, "_train_round", lambda df, *a: taken.append((df.count(), df.rdd.getNumPartitions())) or real(df, *a))
+    model = toxicity.train(docs, labels)
+    open_ = docs.where(~toxicity.held_out(F.col("doc_id"))).count()
+    assert len(taken) == toxicity.ROUNDS and all(0.75 * open_ < n < 0.85 * open_ and tasks > 1 for n, tasks in taken)
+    got = {r["doc_id"]: r["score"] for r in toxicity.with_scores(docs.select("doc_id", "text"), model).collect()}
+    assert np.mean([(got[d] >= toxicity.THRESHOLD) == bool(y) for d, _, _, y in rows]) > 0.9
+
+
 def test_toxicity_without_labels(spark):
     docs = spark.createDataFrame([(1, "a", "en")], "doc_id long, text string, lang string")
     none = spark.createDataFrame([], "doc_id long, toxic int")
