@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from minutewise.operators.ordering import global_rank
 from minutewise.operators.selection import first_by_text_order
 from minutewise.schema import COST_COLUMNS, TRACE_SCHEMA
 from minutewise.session import stored
@@ -169,9 +170,13 @@ def load_files(spark: SparkSession, files: list[tuple[str, str | None]], importe
                                                       T.StructField("csv_file", T.StringType()), T.StructField("region", T.StringType())]))
     raw = raw.persist()  # parsed once, for the status and for the rows
     per = raw.groupBy("csv_file").agg(F.count(F.lit(1)).alias("rows_read"), F.min(F.substring(CORRUPT, 1, 400)).alias("bad"))
-    listed = spark.createDataFrame([(p, dict(wrong).get(p)) for p, _ in files], "csv_file string, problem string")
+    # one row for each file of the batch, gathered once for the ledger and for the rows
+    read = {r["csv_file"]: (r["rows_read"], r["bad"]) for r in per.collect()}
+    problems = dict(wrong)
+    listed = spark.createDataFrame([(p, problems.get(p), *read.get(p, (None, None))) for p, _ in files],
+                                   "csv_file string, problem string, rows_read long, bad string").coalesce(1)
     error = F.coalesce("problem", F.concat(F.lit("malformed record: "), F.col("bad")))
-    status = listed.join(per, "csv_file", "left").select(
+    status = listed.select(
         "csv_file", region_of(F.col("csv_file")).alias("region"),
         F.when(error.isNull(), F.coalesce("rows_read", F.lit(0))).otherwise(0).cast("long").alias("row_count"),
         F.when(error.isNull(), "SUCCESS").otherwise("FAILED").alias("status"), F.substring(error, 1, 500).alias("error"),
@@ -199,18 +204,16 @@ def ingest(spark: SparkSession, root: str, table_path: str, ledger_path: str, fi
     """Load every CSV under ``root`` not yet loaded successfully; add good files to ``table_path`` (parquet,
     one directory per batch) and a row for every file to ``ledger_path``. Returns the ledger rows of this run.
 
-    The file list stays a table; each step takes the next files that this run has not yet tried."""
+    The file list stays a table, numbered once; each step takes the next files by their numbers."""
     now = datetime.now(timezone.utc).replace(tzinfo=None)
     done = latest_ledger(read_ledger(spark, ledger_path)).where("status = 'SUCCESS'").select("csv_file")
-    new = stored(list_csv_files(spark, root).join(done, "csv_file", "left_anti").select("csv_file"), "csv-files")
-    this_run = lambda: read_ledger(spark, ledger_path).where(F.col("imported_at") == F.lit(now).cast("timestamp"))
-    while True:
-        left = new.join(this_run().select("csv_file"), "csv_file", "left_anti")
-        paths = [r["csv_file"] for r in left.orderBy("csv_file").limit(files_per_batch).collect()]
-        if not paths:
-            return this_run()
+    new = list_csv_files(spark, root).join(done, "csv_file", "left_anti").select("csv_file")
+    new, first = stored(global_rank(new, ["csv_file"], "number"), "csv-files"), 1
+    while found := new.where(F.col("number").between(first, first + files_per_batch - 1)).collect():
+        paths, first = sorted(r["csv_file"] for r in found), first + files_per_batch
         headers = {r["csv_file"]: r["header"] for r in header_lines(spark.read.text(paths)).collect()}
         run_batch(spark, [(p, headers.get(p)) for p in paths], now, batch_key(paths), table_path, ledger_path)
+    return read_ledger(spark, ledger_path).where(F.col("imported_at") == F.lit(now).cast("timestamp"))
 
 
 def read_table(spark: SparkSession, table_path: str, ledger_path: str) -> DataFrame:

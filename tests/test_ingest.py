@@ -145,3 +145,19 @@ def test_compaction_that_dies_before_the_log_goes(spark):
     publish_table(ing.latest_ledger(ing.read_ledger(spark, f"{out}/l")), ing._snapshot(f"{out}/l"), partition_by=None)
     assert ing.read_ledger(spark, f"{out}/l").count() == 4  # rows of log and snapshot count once
     assert {r.status: r.files for r in ing.import_totals(ing.read_ledger(spark, f"{out}/l")).collect()} == {"SUCCESS": 2, "FAILED": 2}
+
+
+def test_ledger_is_not_read_again_for_each_batch(spark, tmp_path, monkeypatch):
+    from minutewise.schema import TRACE_SCHEMA
+    from minutewise.sources import ingest as ing
+    names = [f.name for f in TRACE_SCHEMA.fields]
+    for i in range(4):
+        d = tmp_path / "csv" / "R1_a" / f"day{i}"
+        d.mkdir(parents=True)
+        (d / "part.csv").write_text(",".join(names) + f"\n{i}.0,{i}.5,c,f,p,u,1.0,2.0,3.0,4.0\n")
+    reads, real = [], ing.read_ledger
+    monkeypatch.setattr(ing, "read_ledger", lambda *a: reads.append(a) or real(*a))
+    got = ing.ingest(spark, str(tmp_path / "csv"), str(tmp_path / "t"), str(tmp_path / "l"), files_per_batch=1).collect()
+    assert len(reads) == 2 and len(got) == 4 and {r["status"] for r in got} == {"SUCCESS"}
+    assert len({r["ingest_batch"] for r in got}) == 4
+    assert ing.read_table(spark, str(tmp_path / "t"), str(tmp_path / "l")).count() == 4
