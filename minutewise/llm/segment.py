@@ -47,38 +47,58 @@ PASS_BYTES = 3 << 17
 #: Bytes of the words whose lattices are computed at a time.
 BLOCK_BYTES = 1 << 16
 _U = np.uint64
-_TOP = 18
 _FIX = float(1 << 36)
 
 
 class Vocabulary(NamedTuple):
-    """Piece ids with their bytes, weights, and a hash table of all beginnings of pieces."""
+    """Piece ids with their bytes and weights, and the trie of the pieces: byte b leads from slot s to slot base[s] + b if
+    the parent of that slot is s. The root is slot 0."""
     data: np.ndarray     # bytes of all pieces by id
     at: np.ndarray       # n + 1 offsets into data
     weight: np.ndarray   # by id
     first_byte: int      # id of <0x00>
-    keys: np.ndarray     # sorted hashes of beginnings
-    piece: np.ndarray    # id of the piece that the beginning is, or -1
-    begin: np.ndarray    # by the first _TOP bits of a hash: where its keys begin (and one more entry)
+    base: np.ndarray     # by slot
+    parent: np.ndarray   # by slot, or -1
+    piece: np.ndarray    # by slot: id of the piece that ends there, or -1
     longest: int
 
-    def look_up(self, key: np.ndarray) -> np.ndarray:
-        """Index of each hash among the keys, or -1."""
-        top = (key >> _U(64 - _TOP)).astype(np.int64)
-        i, end = np.take(self.begin, top), np.take(self.begin, top + 1)
-        # most slots hold one key at most, so the first is tried for all at once (of an empty slot, a key that differs)
-        hit = np.take(self.keys, i, mode="clip") == key
-        out = np.where(hit & (i < end), i, -1)
-        i += 1
-        open_ = np.flatnonzero(~hit & (i < end))
-        i, end, key = i[open_], end[open_], key[open_]
-        while len(open_):
-            hit = self.keys[i] == key
-            out[open_[hit]] = i[hit]
-            i = i + 1
-            go = ~hit & (i < end)
-            open_, i, end, key = open_[go], i[go], end[go], key[go]
-        return out
+
+def _trie(whole: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Base, parent and piece of the slots. The children of a beginning share its base; large families choose first."""
+    families: dict[bytes, list[int]] = {b"": []}
+    for begin in sorted({p[:k] for p in whole for k in range(1, len(p) + 1)}):
+        families[begin] = []
+        families[begin[:-1]].append(begin[-1])
+    free = np.ones(256 * 256 + 3 * sum(map(len, families.values())), bool)
+    free[:256] = False
+    bases, at = {b: 0 for b in families}, 256
+    for begin in sorted((b for b in families if len(families[b]) > 1), key=lambda b: (-len(families[b]), b)):
+        sons = np.array(families[begin])
+        while True:
+            slot = at + np.flatnonzero(free[at:at + 256])
+            slot = slot[free[slot[:, None] + (sons[1:] - sons[0])].all(axis=1)]
+            if len(slot):
+                break
+            at += 256
+        bases[begin] = int(slot[0] - sons[0])
+        free[bases[begin] + sons] = False
+    # the gaps are for the only children
+    ones = [b for b in families if len(families[b]) == 1]
+    slot = np.flatnonzero(free)[:len(ones)]
+    free[slot] = False
+    bases.update((b, int(i) - families[b][0]) for b, i in zip(ones, slot))
+    size = len(free) - int(free[::-1].argmin())
+    # behind the last slot there are 256 more without a parent, to which all lead that have no children
+    base, parent, piece = np.full(size + 256, size, np.int64), np.full(size + 256, -1, np.int32), np.full(size + 256, -1, np.int32)
+    for begin, sons in families.items():
+        slot = bases[begin[:-1]] + begin[-1] if begin else 0
+        if sons:
+            base[slot] = bases[begin]
+        for b in sons:
+            parent[bases[begin] + b] = slot
+    for p, i in whole.items():
+        piece[bases[p[:-1]] + p[-1]] = i
+    return base, parent, piece
 
 
 def load_vocabulary(model_file: str = MODEL) -> Vocabulary:
@@ -102,124 +122,129 @@ def load_vocabulary(model_file: str = MODEL) -> Vocabulary:
             if score > -1e8:  # others are not formed by merging
                 weight[i] = -ALPHA * np.log(max(0.0, -score) + SHIFT)
                 whole[data[-1]] = i
-    begins = sorted({p[:k] for p in whole for k in range(1, len(p) + 1)})
-    flat = np.frombuffer(b"".join(begins), np.uint8)
-    ends = np.cumsum([len(b) for b in begins])
-    keys = span_hashes(prefix_hash(flat), ends - [len(b) for b in begins], ends)
-    order = np.argsort(keys)
-    begin = np.searchsorted(keys[order] >> _U(64 - _TOP), np.arange((1 << _TOP) + 1))
-    ids = np.array([whole.get(b, -1) for b in begins], np.int64)
     return Vocabulary(np.frombuffer(b"".join(data), np.uint8), np.concatenate([[0], np.cumsum([len(d) for d in data])]), weight,
-                      first_byte, keys[order], ids[order], begin, max(map(len, whole)))
+                      first_byte, *_trie(whole), max(map(len, whole)))
 
 
 class Lattice(NamedTuple):
     """Edges sorted by start node; ``upto`` is the cumulated probability of the node's edges up to this one."""
-    node: np.ndarray
-    to: np.ndarray
     piece: np.ndarray
+    step: np.ndarray     # bytes of the piece
+    next: np.ndarray     # the first edge of the node it leads to, or -1 at the end of the word
     q: np.ndarray
     logq: np.ndarray
     upto: np.ndarray
-    first: np.ndarray    # by node: its first edge (and one more entry)
-    end: np.ndarray      # by word: its last node
-    start: np.ndarray    # by word: its first node
+    first: np.ndarray    # by node that has edges: its first edge (and one more entry)
+    start: np.ndarray    # by word: the first edge of its first node
 
 
 def lattice(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, v: Vocabulary) -> Lattice:
-    """Lattice of the words raw[starts:ends], with probabilities of the next piece at each node.
+    """Lattice of the words raw[starts:ends], long words first, with probabilities of the next piece at each node.
 
     Words don't depend on each other, so they are taken in blocks of ``BLOCK_BYTES`` whose arrays stay in the processor's
-    cache. Give them by length: the steps of a block are as many as its longest word has bytes."""
+    cache. The steps of a block are as many as its longest word has bytes."""
     upto = np.cumsum(ends - starts)
     cuts = np.flatnonzero(np.diff(upto // BLOCK_BYTES)) + 1
-    blocks, nodes, edges = [], 0, 0
+    blocks, edges = [], 0
     for a, b in zip([0, *cuts], [*cuts, len(starts)]):
-        net = _lattice_block(raw, starts[a:b], ends[a:b], v)
-        blocks.append(net._replace(node=net.node + nodes, to=net.to + nodes, first=net.first[bool(blocks):] + edges,
-                                   end=net.end + nodes, start=net.start + nodes))
-        nodes, edges = nodes + len(net.first) - 1, edges + len(net.node)
-    return Lattice(*map(np.concatenate, zip(*blocks)))
+        blocks.append(_lattice_block(raw, starts[a:b], ends[a:b], v, edges))
+        edges += len(blocks[-1].piece)
+    net = Lattice(*map(np.concatenate, zip(*blocks)))
+    return net._replace(first=np.append(net.first, edges))
 
 
-def _lattice_block(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, v: Vocabulary) -> Lattice:
-    size = ends - starts
+def _lattice_block(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, v: Vocabulary, edges: int) -> Lattice:
+    """Lattice of a block of words whose first edge has the number ``edges``."""
+    n, size = len(starts), ends - starts + 1
     base = np.concatenate([[0], np.cumsum(size)])
-    flat = raw[np.repeat(starts - base[:-1], size) + np.arange(base[-1])]
-    word = np.repeat(np.arange(len(size)), size)
-    stop = base[1:][word]
-    total = prefix_hash(flat)
+    m, final = base[-1], base[1:] - 1
+    # behind each word a byte that no piece holds
+    flat = np.take(raw, np.repeat(starts - base[:-1], size) + np.arange(m), mode="clip") if n else np.zeros(0, np.uint8)
+    flat[final] = 0xFF
+    left = np.repeat(final, size) - np.arange(m)
+    # nodes by bytes left, and of these by word: the words with so many bytes or more are the first ones
+    level = np.concatenate([[0], np.cumsum(np.bincount(left, minlength=1))])
+    node = np.take(level, left) + np.repeat(np.arange(n), size)
+    byte = np.empty(m, np.int64)
+    byte[node] = np.arange(m)
     lead = (flat & 0xC0) != 0x80
-    live = np.flatnonzero(lead)
-    s, e, p = [], [], []
+    leads = np.flatnonzero(lead)
+    own = np.zeros(m, np.int64)
+    own[leads] = np.diff(leads, append=m)
+    widest = own.max(initial=0)
+    single = np.zeros(m, bool)
+    single[final] = True
+    at = byte[n:]
+    at = at[lead[at]]
+    slot = np.zeros(len(at), np.int64)
+    found = []
     for width in range(1, v.longest + 1):
-        live = live[live + width <= stop[live]]
-        if not len(live):
+        to = np.take(v.base, slot) + np.take(flat, at + (width - 1))
+        ok = np.flatnonzero(np.take(v.parent, to) == slot)
+        if not len(ok):
             break
-        key = span_hashes(total, live, live + width)
-        i = v.look_up(key)
-        ok = i >= 0
-        live, i = live[ok], v.piece[i[ok]]
-        got = i >= 0
-        s.append(live[got])
-        e.append(live[got] + width)
-        p.append(i[got])
-    s, e, p = (np.concatenate([np.zeros(0, np.int64), *x[::-1]]) for x in (s, e, p))  # long pieces first
+        at, slot = np.take(at, ok), np.take(to, ok)
+        p = np.take(v.piece, slot)
+        got = np.flatnonzero(p >= 0)
+        here = np.take(at, got)
+        found.append((np.take(node, here), np.take(node, here + width), width, np.take(p, got)))
+        if width <= widest:
+            single[here[np.take(own, here) == width]] = True
     # characters that no piece covers by itself are spelt in bytes
-    nxt = np.append(np.flatnonzero(lead)[1:], len(flat))
-    own = np.zeros(len(flat) + 1, np.int64)
-    own[np.flatnonzero(lead)] = nxt
-    single = np.zeros(len(flat), bool)
-    single[s[e == own[s]]] = True
-    char = np.maximum.accumulate(np.where(lead, np.arange(len(flat)), 0)) if len(flat) else np.zeros(0, np.int64)
+    char = np.maximum.accumulate(np.where(lead, np.arange(m), 0))
     spelt = np.flatnonzero(~single[char])
-    s, e = np.concatenate([s, spelt]), np.concatenate([e, spelt + 1])
-    p = np.concatenate([p, v.first_byte + flat[spelt].astype(np.int64)])
-    # every word has one node more than bytes
-    node, to, left = s + word[s], e + word[s], stop[s] - s
-    order = np.argsort(node, kind="stable")  # of a node the long pieces, mostly the likely ones, stay first
-    node, to, p, left = (np.take(x, order) for x in (node, to, p, left))
-    w = np.take(v.weight, p)
-    back = np.zeros(base[-1] + len(size))
-    by_left = np.argsort(left.astype(np.uint16) if len(left) and left.max() < 1 << 16 else left, kind="stable")
-    # edges by bytes left, and of these by node: a node's edges are a run, and a step takes all runs with so many bytes left
-    at, upto, gain, far = (np.take(x, by_left) for x in (node, to, w, left))
-    run = np.flatnonzero(np.append(True, at[1:] != at[:-1])) if len(at) else at
-    width, run_node = np.diff(np.append(run, len(at))), np.take(at, run)
-    cuts = np.flatnonzero(np.diff(np.take(far, run))) + 1
-    for i, j in zip([0, *cuts], [*cuts, len(run)]) if len(run) else ():
-        begin, stop_ = run[i], run[j - 1] + width[j - 1]
-        x = gain[begin:stop_] + np.take(back, upto[begin:stop_])
+    found.insert(0, (node[spelt], node[spelt + 1], 1, v.first_byte + flat[spelt].astype(np.int32)))
+    count = np.bincount(np.concatenate([x[0] for x in found]), minlength=m)
+    first = np.concatenate([[0], np.cumsum(count)])
+    free = first[:-1].copy()
+    piece, step, to = (np.empty(first[-1], kind) for kind in (np.int32, np.int32, np.int64))
+    for from_, into, width, p in reversed(found):  # of a node the long pieces, mostly the likely ones, first
+        i = np.take(free, from_)
+        piece[i], step[i], to[i] = p, width, into
+        free[from_] = i + 1
+    total = np.take(v.weight, piece)
+    back = np.zeros(m)
+    has = np.flatnonzero(count)
+    run, width = np.take(first, has), np.take(count, has)
+    cuts = np.searchsorted(has, level[1:])
+    for i, j in zip(cuts[:-1], cuts[1:]):
+        if i == j:
+            continue
+        begin, stop = run[i], run[j - 1] + width[j - 1]
+        total[begin:stop] += np.take(back, to[begin:stop])
         inner = run[i:j] - begin
-        top = np.maximum.reduceat(x, inner)
-        x -= np.repeat(top, width[i:j])
-        back[run_node[i:j]] = top + np.log(np.add.reduceat(np.exp(x, out=x), inner))
-    logq = w + np.take(back, to) - np.take(back, node)
+        top = np.maximum.reduceat(total[begin:stop], inner)
+        x = total[begin:stop] - np.repeat(top, width[i:j])
+        back[has[i:j]] = top + np.log(np.add.reduceat(np.exp(x, out=x), inner))
+    logq = np.subtract(total, np.repeat(back, count), out=total)
     q = np.exp(logq)
-    first = np.concatenate([[0], np.cumsum(np.bincount(node, minlength=base[-1] + len(size)))])
     # in fixed point, so that sums don't depend on what else the pass holds
     sums = np.concatenate([[0], np.cumsum(np.rint(q * _FIX).astype(np.int64))])
-    inside = (sums[1:] - np.take(sums, np.take(first, node))) / _FIX
-    last = np.append(node[1:] != node[:-1], True) if len(node) else np.zeros(0, bool)
-    inside[last] = 1.0
-    return Lattice(node, to, p, q, np.rint(logq * _FIX).astype(np.int64), np.minimum(inside, 1.0), first, base[1:] + np.arange(len(size)),
-                   base[:-1] + np.arange(len(size)))
+    upto = np.minimum((sums[1:] - np.repeat(np.take(sums, run), width)) / _FIX, 1.0)
+    upto[run + width - 1] = 1.0
+    follow = np.where(to < n, -1, np.take(first, to) + edges)
+    return Lattice(piece, step, follow, q, np.rint(logq * _FIX).astype(np.int64), upto, run + edges, np.take(first, node[base[:-1]]) + edges)
 
 
-def _choose(net: Lattice, node: np.ndarray, u: np.ndarray) -> np.ndarray:
-    """The edge of each node at the point u of its cumulated probabilities."""
-    e, last = np.take(net.first, node), np.take(net.first, node + 1) - 1
-    open_ = np.flatnonzero((u >= np.take(net.upto, e)) & (e < last))
+def _choose(net: Lattice, first: np.ndarray, u: np.ndarray) -> np.ndarray:
+    """The edge at the point u < 1 of the cumulated probabilities of each node, given by its first edge."""
+    open_ = np.flatnonzero(u >= np.take(net.upto, first))
+    out, now, u = first.copy(), np.take(first, open_), np.take(u, open_)
     while len(open_):
-        e[open_] += 1
-        now = e[open_]
-        open_ = open_[(u[open_] >= net.upto[now]) & (now < last[open_])]
-    return e
+        now += 1
+        out[open_] = now
+        go = np.flatnonzero(u >= np.take(net.upto, now))
+        open_, now, u = (np.take(x, go) for x in (open_, now, u))
+    return out
+
+
+def _salted(key: np.ndarray, draw: int) -> np.ndarray:
+    return mix(key ^ _U(0xC2B2AE3D27D4EB4F * (draw + 1) & (1 << 64) - 1))
 
 
-def _uniform(key: np.ndarray, draw: int, at: np.ndarray) -> np.ndarray:
+def _uniform(salted: np.ndarray, at: np.ndarray) -> np.ndarray:
     """Hashed uniform numbers in (0, 1)."""
-    h = mix(mix(key ^ _U(0xC2B2AE3D27D4EB4F * (draw + 1) & (1 << 64) - 1)) ^ at.astype(np.uint64) * _U(0x9E3779B97F4A7C15))
+    h = mix(salted ^ at.astype(np.uint64) * _U(0x9E3779B97F4A7C15))
     return ((h >> _U(12)).astype(np.float64) + 0.5) / (1 << 52)
 
 
@@ -232,11 +257,10 @@ def _below(mass: np.ndarray, bound: np.ndarray, u: np.ndarray) -> np.ndarray:
 
 class Path(NamedTuple):
     """One segmentation of each document: its tokens in order, and the set that each token splits off."""
-    doc: np.ndarray
     at: np.ndarray       # byte in the pass
-    word: np.ndarray     # word occurrence
     edge: np.ndarray
     gap: np.ndarray      # perturbed bound of the set that leaves the path at this token
+    begin: np.ndarray    # by document: its first token (and one more entry)
     fork: np.ndarray     # by document: the token at which the path left another one (-1: none)
     out: np.ndarray      # by document: the edges that the set at the fork avoids, padded with -1
 
@@ -245,11 +269,29 @@ class Drawn(NamedTuple):
     """The r-th segmentation of the documents of a pass."""
     doc: np.ndarray
     piece: np.ndarray
+    begin: np.ndarray    # by document: its first token (and one more entry)
     there: np.ndarray    # by document: whether it has so many
     logp: np.ndarray
     score: np.ndarray
 
 
+def _distinct(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """One occurrence of each distinct word, long words first, and the word of each occurrence."""
+    hashes = span_hashes(prefix_hash(raw), starts, ends)
+    order = np.argsort(hashes)
+    hashes = np.take(hashes, order)
+    new = np.append(True, hashes[1:] != hashes[:-1])[:len(order)]
+    some = order[new]
+    size = (ends - starts)[some]
+    shorter = size.max(initial=0) - size
+    by_size = np.argsort(shorter.astype(np.uint16) if shorter.max(initial=0) < 1 << 16 else shorter, kind="stable")
+    place = np.empty_like(by_size)
+    place[by_size] = np.arange(len(by_size))
+    word = np.empty_like(order)
+    word[order] = np.take(place, np.cumsum(new) - 1)
+    return some[by_size], word
+
+
 def draw(raw: np.ndarray, offs: np.ndarray, keys: np.ndarray, v: Vocabulary, k: int = SAMPLES
          ) -> tuple[list[Drawn], np.ndarray]:
     """k segmentations of each document (its bytes with the space in front) and the inclusion threshold of each."""
@@ -261,110 +303,113 @@ def draw(raw: np.ndarray, offs: np.ndarray, keys: np.ndarray, v: Vocabulary, k:
     begins[offs[:-1][np.diff(offs) > 0]] = True
     starts = np.flatnonzero(begins)
     ends = np.append(starts[1:], len(raw))
-    doc_of = np.searchsorted(offs, starts, "right") - 1
-    _, some, word = np.unique(span_hashes(prefix_hash(raw), starts, ends), return_index=True, return_inverse=True)
-    by_size = np.argsort(ends[some] - starts[some], kind="stable")
-    place = np.empty_like(by_size)
-    place[by_size] = np.arange(len(by_size))
-    some, word = some[by_size], place[word]
+    words = np.diff(np.searchsorted(starts, offs))
+    doc_of = np.repeat(np.arange(n), words)
+    some, word = _distinct(raw, starts, ends)
     net = lattice(raw, starts[some], ends[some], v)
-
-    def walk(doc, at, occ, node, number):
-        """Draw pieces from each node to the end of its word."""
-        got = []
-        end = net.end[word[occ]]
-        while len(node):
-            u = _uniform(key[doc], 2 * number, at - offs[doc])
-            e = _choose(net, node, u)
-            got.append((doc, at, occ, e))
-            to = np.take(net.to, e)
-            go = np.flatnonzero(to < end)
-            doc, at, occ, node, end = (np.take(x, go) for x in (doc, at + to - node, occ, to, end))
-        return [np.concatenate([np.zeros(0, np.int64), *x]) for x in zip(*got)] if got else [np.zeros(0, np.int64)] * 4
-
-    def finish(doc, at, occ, edge, bound, fork_at, out, number) -> tuple[Path, np.ndarray]:
-        """Order the tokens and bound the sets that leave the path at or behind the fork."""
-        order = np.argsort(at, kind="stable")
-        doc, at, occ, edge = (np.take(x, order) for x in (doc, at, occ, edge))
+    start = np.take(net.start, word)
+
+    def walk(doc, at, edge, number, path):
+        """Draw pieces from each node, given by its first edge, to the end of its word; they go into ``path`` by byte."""
+        salted, from_ = np.take(_salted(key, 2 * number), doc), np.take(offs, doc)
+        while len(at):
+            e = _choose(net, edge, _uniform(salted, at - from_))
+            path[at] = e
+            edge = np.take(net.next, e)
+            go = np.flatnonzero(edge >= 0)
+            at, e, edge, salted, from_ = (np.take(x, go) for x in (at, e, edge, salted, from_))
+            at += np.take(net.step, e)
+
+    def finish(path, bound, fork_at, out, number) -> tuple[Path, np.ndarray]:
+        """The tokens of ``path`` and the bounds of the sets that leave it at or behind the fork."""
+        at = np.flatnonzero(path >= 0)
+        edge = np.take(path, at)
+        begin = np.searchsorted(at, offs)
+        size = np.diff(begin)
         sums = np.concatenate([[0], np.cumsum(np.take(net.logq, edge))])
-        begin = np.searchsorted(doc, np.arange(n + 1))
-        rest = np.maximum(1 - np.take(net.q, edge), 0.0)
-        forked = np.take(fork_at, doc)
+        new = np.flatnonzero(at >= np.repeat(fork_at, size))
+        rest = np.maximum(1 - np.take(net.q, np.take(edge, new)), 0.0)
         fork = np.full(n, -1, np.int64)
-        here = np.flatnonzero(at == forked)
-        fork[doc[here]] = here
-        if len(here):
-            avoid = out[doc[here]]
+        d = np.flatnonzero((fork_at >= 0) & (size > 0))
+        if len(d):
+            here = np.searchsorted(at, fork_at[d])
+            fork[d] = here
+            avoid = out[d]
             q = np.where(avoid >= 0, net.q[np.maximum(avoid, 0)], 0.0).sum(axis=1)
-            node = net.node[edge[here]]
+            node = np.searchsorted(net.first, edge[here], "right") - 1
             full = (avoid >= 0).sum(axis=1) >= net.first[node + 1] - net.first[node]
-            rest[here] = np.where(full, 0.0, np.maximum(1 - q, 0.0))
-        gap = np.full(len(doc), -np.inf)
-        new = np.flatnonzero((rest > 0) & (at >= forked))
-        node = np.take(net.node, np.take(edge, new))
-        new = new[np.take(net.first, node + 1) - np.take(net.first, node) > 1]
-        d = np.take(doc, new)
-        mass = (sums[new] - sums[begin[d]]) / _FIX + np.log(rest[new])
-        gap[new] = _below(mass, bound[d], _uniform(key[d], 2 * number + 1, at[new] - offs[d]))
-        return Path(doc, at, occ, edge, gap, fork, out), (sums[begin[1:]] - sums[begin[:-1]]) / _FIX
-
-    everything = np.arange(len(starts))
-    tokens = walk(doc_of, starts, everything, np.take(net.start, word), 0)
-    best = -np.log(-np.log(_uniform(key, 1 << 20, np.zeros(n))))
+            rest[np.searchsorted(new, here)] = np.where(full, 0.0, np.maximum(1 - q, 0.0))
+        # nothing is left where a node has one edge only
+        some = np.flatnonzero(rest > 0)
+        new, rest = np.take(new, some), np.take(rest, some)
+        size = np.diff(np.searchsorted(new, begin))
+        mass = (np.take(sums, new) - np.repeat(sums[begin[:-1]], size)) / _FIX + np.log(rest)
+        u = _uniform(np.repeat(_salted(key, 2 * number + 1), size), np.take(at, new) - np.repeat(offs[:-1], size))
+        gap = np.full(len(at), -np.inf)
+        gap[new] = _below(mass, np.repeat(bound, size), u)
+        return Path(at, edge, gap, begin, fork, out), (sums[begin[1:]] - sums[begin[:-1]]) / _FIX
+
+    def drawn_from(p, there, logp, score):
+        return Drawn(np.repeat(np.arange(n), np.diff(p.begin)), np.take(net.piece, p.edge), p.begin, there, logp, score)
+
+    tokens = np.full(len(raw), -1, np.int64)
+    walk(doc_of, starts, start, 0, tokens)
+    best = -np.log(-np.log(_uniform(_salted(key, 1 << 20), np.zeros(n))))
     none = np.full((n, k + 1), -1, np.int64)
-    path, logp = finish(*tokens, best, np.full(n, -1, np.int64), none, 0)
-    paths, drawn = [path], [Drawn(path.doc, net.piece[path.edge], np.ones(n, bool), logp, best)]
+    path, logp = finish(tokens, best, np.full(n, -1, np.int64), none, 0)
+    paths, drawn = [path], [drawn_from(path, np.ones(n, bool), logp, best)]
     for r in range(1, k + 1):
         top = np.full((len(paths), n), -np.inf)
         for i, p in enumerate(paths):
-            has, cut = np.unique(p.doc, return_index=True)
+            has = np.flatnonzero(np.diff(p.begin))
             if len(has):
-                top[i, has] = np.maximum.reduceat(p.gap, cut)
+                top[i, has] = np.maximum.reduceat(p.gap, p.begin[has])
         bound, which = top.max(axis=0), top.argmax(axis=0)
         there = bound > -np.inf
         if r == k:
             return drawn, bound
         fork_at = np.full(n, 1 << 62, np.int64)
-        out, kept, new = np.full((n, k + 1), -1, np.int64), [], []
+        out, go_on = np.full((n, k + 1), -1, np.int64), []
         after = np.full(n, 1 << 62, np.int64)
+        tokens = np.full(len(raw), -1, np.int64)
         for i, p in enumerate(paths):
             mine = there & (which == i)
-            hit = np.flatnonzero(mine[p.doc] & (p.gap == bound[p.doc]))
-            _, one = np.unique(p.doc[hit], return_index=True)
+            hit = np.flatnonzero(p.gap == np.repeat(np.where(mine, bound, np.nan), np.diff(p.begin)))
+            d, one = np.unique(np.searchsorted(p.begin, hit, "right") - 1, return_index=True)
             hit = hit[one]
-            d = p.doc[hit]
             p.gap[hit] = -np.inf
-            fork_at[d] = p.at[hit]
+            at = p.at[hit]
+            fork_at[d] = at
             avoid = np.where((p.fork[d] == hit)[:, None], p.out[d], -1)
             fresh = p.fork[d] != hit
             avoid[fresh, 0] = p.edge[hit[fresh]]
-            keep = mine[p.doc] & (p.at < fork_at[p.doc])
-            kept.append([x[keep] for x in (p.doc, p.at, p.word, p.edge)])
+            before = hit - p.begin[d]
+            keep = np.repeat(hit - np.cumsum(before), before) + np.arange(before.sum())
+            tokens[np.take(p.at, keep)] = np.take(p.edge, keep)
             # the next piece at the fork: any but those avoided
-            node = net.node[p.edge[hit]]
+            node = np.searchsorted(net.first, p.edge[hit], "right") - 1
             lo = np.where(avoid >= 0, net.upto[np.maximum(avoid, 0)] - net.q[np.maximum(avoid, 0)], 2.0)
             q = np.where(avoid >= 0, net.q[np.maximum(avoid, 0)], 0.0)
-            u = _uniform(key[d], 2 * r, p.at[hit] - offs[d]) * np.maximum(1 - q.sum(axis=1), 0.0)
+            u = _uniform(_salted(key, 2 * r)[d], at - offs[d]) * np.maximum(1 - q.sum(axis=1), 0.0)
             for col in np.argsort(lo, axis=1).T:
                 row = np.arange(len(d))
                 u = np.where(u >= lo[row, col], u + q[row, col], u)
-            e = _choose(net, node, u)
+            e = np.where(u < 1, _choose(net, net.first[node], np.minimum(u, np.nextafter(1.0, 0.0))), net.first[node + 1] - 1)
             for j in np.flatnonzero((avoid == e[:, None]).any(axis=1)):  # rounding
                 free = [x for x in range(net.first[node[j]], net.first[node[j] + 1]) if x not in avoid[j]]
                 e[j] = max(free, key=lambda x: net.q[x])
             avoid[np.arange(len(d)), (avoid >= 0).sum(axis=1)] = e
             out[d] = avoid
-            new.append([d, p.at[hit], p.word[hit], e])
-            after[d] = p.word[hit]
-            step = p.at[hit] + net.to[e] - node
-            inside = net.to[e] < net.end[word[p.word[hit]]]
-            new.append(walk(d[inside], step[inside], p.word[hit][inside], net.to[e][inside], r))
-        later = everything[(everything > after[doc_of]) & there[doc_of]]
-        new.append(walk(doc_of[later], starts[later], later, net.start[word[later]], r))
-        tokens = [np.concatenate(x) for x in zip(*kept, *new)]
-        path, logp = finish(*tokens, bound, fork_at, out, r)
+            tokens[at] = e
+            after[d] = np.searchsorted(starts, at, "right") - 1
+            inside = np.flatnonzero(net.next[e] >= 0)
+            go_on.append([d[inside], (at + net.step[e])[inside], net.next[e[inside]]])
+        later = np.flatnonzero(np.arange(len(starts)) > np.repeat(after, words))
+        go_on.append([doc_of[later], starts[later], start[later]])
+        walk(*(np.concatenate(x) for x in zip(*go_on)), r, tokens)
+        path, logp = finish(tokens, bound, fork_at, out, r)
         paths.append(path)
-        drawn.append(Drawn(path.doc, net.piece[path.edge], there, logp, bound))
+        drawn.append(drawn_from(path, there, logp, bound))
     raise AssertionError("k must be positive")
 
 
@@ -395,11 +440,10 @@ def _spaced(raw: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 _DIGEST = 0x100000001B3
 
 
-def _digests(doc: np.ndarray, piece: np.ndarray, n: int) -> np.ndarray:
+def _digests(begin: np.ndarray, piece: np.ndarray) -> np.ndarray:
     """A 64-bit hash of each document's pieces in order."""
-    begin = np.searchsorted(doc, np.arange(n + 1))
     size = np.diff(begin)
-    place = np.arange(len(doc)) - np.repeat(begin[:-1], size)
+    place = np.arange(len(piece)) - np.repeat(begin[:-1], size)
     places = mix(np.arange(1, size.max(initial=0) + 1, dtype=np.uint64))
     h = mix(piece.astype(np.uint64) * _U(_DIGEST) + np.take(places, place))
     sums = np.zeros(len(h) + 1, np.uint64)
@@ -414,16 +458,16 @@ def _rows(batch: pa.RecordBatch, raw: np.ndarray, offs: np.ndarray, v: Vocabular
     drawn, bound = draw(raw, offs, keys, v, k)
     n = len(offs) - 1
     there = np.stack([d.there for d in drawn], axis=1)
-    count = np.stack([np.bincount(d.doc, minlength=n) for d in drawn], axis=1)
+    count = np.stack([np.diff(d.begin) for d in drawn], axis=1)
     logp = np.stack([d.logp for d in drawn], axis=1)
     with np.errstate(over="ignore"):
         inclusion = -np.expm1(-np.exp(logp - bound[:, None]))
-    digest = np.stack([_digests(d.doc, d.piece, n) for d in drawn], axis=1)
+    digest = np.stack([_digests(d.begin, d.piece) for d in drawn], axis=1)
     same = np.ones(n, bool)
     want = np.diff(offs)
     for d in drawn:
         text = decode(d.piece, v)
-        size = np.bincount(d.doc, (v.at[1:] - v.at[:-1])[d.piece], n).astype(np.int64)
+        size = np.diff(np.concatenate([[0], np.cumsum(np.take(np.diff(v.at), d.piece))])[d.begin])
         ok = d.there & (size == want)
         # all documents of the right size are compared, whatever the others are
         mine, given = (text, raw) if ok.all() else (text[np.repeat(ok, size)], raw[np.repeat(ok, want)])

@@ -303,6 +303,53 @@ def _all_segmentations(v, data):
     return {s: w - total for s, w in out.items()}
 
 
+def test_trie_holds_the_pieces_and_nothing_else(vocabulary):
+    v = vocabulary
+    seen = set()
+    for i in np.flatnonzero(v.weight > -np.inf):
+        if not v.first_byte <= i < v.first_byte + 256:
+            slot = 0
+            for b in v.data[v.at[i]:v.at[i + 1]].tolist():
+                to = v.base[slot] + b
+                assert v.parent[to] == slot
+                slot = to
+            assert v.piece[slot] == i
+            seen.add(slot)
+    assert sorted(seen) == np.flatnonzero(v.piece >= 0).tolist()
+    assert (v.base[:, None] + [0, 255] < len(v.parent)).all() and not (v.parent[v.base + 0xFF] == np.arange(len(v.base))).any()
+
+
+def test_lattice_holds_all_segmentations_of_each_word(vocabulary):
+    v, words = vocabulary, [" internation", " a▁é\U0001F9FF", "   ab", " qzq", " "]
+    size = np.array([len(w.encode()) for w in words])
+    order = np.argsort(-size, kind="stable")
+    ends = np.cumsum(size)
+    net = segment.lattice(np.frombuffer("".join(words).encode(), np.uint8), (ends - size)[order], ends[order], v)
+    for w, start in zip(order, net.start):
+        got, todo = {}, [(int(start), (), 0.0)]
+        while todo:
+            e, pieces, logp = todo.pop()
+            for e in range(e, net.first[np.searchsorted(net.first, e, "right")]):
+                assert net.step[e] == v.at[net.piece[e] + 1] - v.at[net.piece[e]]
+                row = (int(net.next[e]), (*pieces, int(net.piece[e])), logp + math.log(net.q[e]))
+                if row[0] < 0:
+                    got[row[1]] = row[2]
+                else:
+                    todo.append(row)
+        want = _all_segmentations(v, words[w].encode())
+        assert got.keys() == want.keys() and all(abs(got[s] - want[s]) < 1e-9 for s in want)
+
+
+def test_draws_stay_the_same(spark):
+    """The digests that the search over hashed beginnings of pieces gave, which the trie replaced."""
+    texts = {5: "Some words, and more of them", 8: "internationalisation " * 40, 1 << 40: "Èonai aiaiai, éèà 你好世界 12345"}
+    want = {5: [-3896141942141333782, -3418345923743390707, -8978750018850175420],
+            8: [188411774588198847, 77650930421825221, -7987755104743751877],
+            1 << 40: [-6953408568580870873, -4946037260786972507, 8055544041367994530]}
+    got = segment.segmentations(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()
+    assert {r["doc_id"]: r["digest"] for r in got} == want and all(r["round_trip"] for r in got)
+
+
 @pytest.mark.parametrize("text", ["the of", "a▁é\U0001F9FF x", "  ab", "internation"])
 def test_draws_follow_the_distribution(vocabulary, text):
     v, n = vocabulary, 8000
