@@ -317,17 +317,16 @@ def draw(raw: np.ndarray, offs: np.ndarray, keys: np.ndarray, v: Vocabulary, k:
             path[at] = e
             edge = np.take(net.next, e)
             go = np.flatnonzero(edge >= 0)
-            at, e, edge, salted, from_ = (np.take(x, go) for x in (at, e, edge, salted, from_))
-            at += np.take(net.step, e)
+            at, edge, salted, from_ = (np.take(x, go) for x in (at + np.take(net.step, e), edge, salted, from_))
 
     def finish(path, bound, fork_at, out, number) -> tuple[Path, np.ndarray]:
         """The tokens of ``path`` and the bounds of the sets that leave it at or behind the fork."""
         at = np.flatnonzero(path >= 0)
-        edge = np.take(path, at)
+        edge = np.take(path, at).astype(np.int64)
         begin = np.searchsorted(at, offs)
         size = np.diff(begin)
         sums = np.concatenate([[0], np.cumsum(np.take(net.logq, edge))])
-        new = np.flatnonzero(at >= np.repeat(fork_at, size))
+        new = np.flatnonzero(at >= np.repeat(fork_at, size)) if number else np.arange(len(at))
         rest = np.maximum(1 - np.take(net.q, np.take(edge, new)), 0.0)
         fork = np.full(n, -1, np.int64)
         d = np.flatnonzero((fork_at >= 0) & (size > 0))
@@ -352,7 +351,8 @@ def draw(raw: np.ndarray, offs: np.ndarray, keys: np.ndarray, v: Vocabulary, k:
     def drawn_from(p, there, logp, score):
         return Drawn(np.repeat(np.arange(n), np.diff(p.begin)), np.take(net.piece, p.edge), p.begin, there, logp, score)
 
-    tokens = np.full(len(raw), -1, np.int64)
+    kind = np.int32 if len(net.piece) < 1 << 31 else np.int64
+    tokens = np.full(len(raw), -1, kind)
     walk(doc_of, starts, start, 0, tokens)
     best = -np.log(-np.log(_uniform(_salted(key, 1 << 20), np.zeros(n))))
     none = np.full((n, k + 1), -1, np.int64)
@@ -371,7 +371,7 @@ def draw(raw: np.ndarray, offs: np.ndarray, keys: np.ndarray, v: Vocabulary, k:
         fork_at = np.full(n, 1 << 62, np.int64)
         out, go_on = np.full((n, k + 1), -1, np.int64), []
         after = np.full(n, 1 << 62, np.int64)
-        tokens = np.full(len(raw), -1, np.int64)
+        tokens = np.full(len(raw), -1, kind)
         for i, p in enumerate(paths):
             mine = there & (which == i)
             hit = np.flatnonzero(p.gap == np.repeat(np.where(mine, bound, np.nan), np.diff(p.begin)))
