@@ -69,25 +69,24 @@ def _trie(whole: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     for begin in sorted({p[:k] for p in whole for k in range(1, len(p) + 1)}):
         families[begin] = []
         families[begin[:-1]].append(begin[-1])
-    free = np.ones(256 * 256 + 3 * sum(map(len, families.values())), bool)
-    free[:256] = False
+    # a window of 256 slots is left only if it or the next one holds a child, so this is room enough
+    taken = np.zeros(512 * len(families) + 1024, bool)
     bases, at = {b: 0 for b in families}, 256
     for begin in sorted((b for b in families if len(families[b]) > 1), key=lambda b: (-len(families[b]), b)):
         sons = np.array(families[begin])
         while True:
-            slot = at + np.flatnonzero(free[at:at + 256])
-            slot = slot[free[slot[:, None] + (sons[1:] - sons[0])].all(axis=1)]
+            slot = at + np.flatnonzero(~taken[at:at + 256])
+            slot = slot[~taken[slot[:, None] + (sons[1:] - sons[0])].any(axis=1)]
             if len(slot):
                 break
             at += 256
         bases[begin] = int(slot[0] - sons[0])
-        free[bases[begin] + sons] = False
+        taken[bases[begin] + sons] = True
     # the gaps are for the only children
     ones = [b for b in families if len(families[b]) == 1]
-    slot = np.flatnonzero(free)[:len(ones)]
-    free[slot] = False
+    slot = 256 + np.flatnonzero(~taken[256:at + 512 + len(ones)])
     bases.update((b, int(i) - families[b][0]) for b, i in zip(ones, slot))
-    size = len(free) - int(free[::-1].argmin())
+    size = 1 + max(bases[b] + sons[-1] for b, sons in families.items() if sons)
     # behind the last slot there are 256 more without a parent, to which all lead that have no children
     base, parent, piece = np.full(size + 256, size, np.int64), np.full(size + 256, -1, np.int32), np.full(size + 256, -1, np.int32)
     for begin, sons in families.items():
